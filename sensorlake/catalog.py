@@ -58,3 +58,163 @@ def go3_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
     r = readings(spark, sf).withColumnRenamed("parameter", "tag")
     out = resample.summarize(r, ["asset_id", "tag"], "epoch", ["value"], DAY, name_col="tag")
     return out.select("asset_id", "tag", "bucket_start", "parameter", "timestamp", _r6())
+
+
+# ---------------------------------------------------------------- rules (RU4-RU11)
+
+from .operators import intervals as iv  # noqa: E402
+from .operators import windows as wn  # noqa: E402
+from .plans import rules as ru  # noqa: E402
+
+RUN_START = 1704067200   # 2024-01-01 00:00:00 UTC: run window of the registered rule queries
+RUN_END = 1706659199     # 2024-01-30 23:59:59 UTC
+
+
+def _conditions(spark: SparkSession, r: DataFrame, spec: list[tuple], cols: str) -> DataFrame:
+    """Rule conditions = literal rule spec x every asset found in the readings."""
+    s = spark.createDataFrame(spec, cols)
+    assets = r.select("asset_id").distinct()
+    c = s.crossJoin(assets)  # spec holds a handful of rows; assets grow with the data
+    for name in ru.CONDITION_SCHEMA.names:
+        if name not in c.columns:
+            c = c.withColumn(name, F.lit(None).cast(ru.CONDITION_SCHEMA[name].dataType))
+    return c.select(*[F.col(f.name).cast(f.dataType) for f in ru.CONDITION_SCHEMA.fields])
+
+
+SPEC_COLS = ("rule_id int, condition_id int, parameter string, function string, operator string, "
+             "threshold double, duration long, data_frequency long, join_condition string")
+
+
+def _islands_sql(hits: str, keys: str) -> str:
+    """DuckDB gaps-and-islands over a hits CTE with columns keys, epoch, lim, dur, lo, hi."""
+    return f"""
+    SELECT {keys}, min(epoch) AS start_time, max(epoch) AS end_time,
+           any_value(lim) AS lim, any_value(dur) AS dur, any_value(lo) AS lo, any_value(hi) AS hi
+    FROM (SELECT *, sum(CASE WHEN prev IS NULL OR epoch - prev > lim THEN 1 ELSE 0 END)
+                      OVER (PARTITION BY {keys} ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS isl
+          FROM (SELECT *, lag(epoch) OVER (PARTITION BY {keys} ORDER BY epoch) AS prev FROM {hits}))
+    GROUP BY {keys}, isl"""
+
+
+RU4_SPEC = [
+    (1, 1, "purchase", "raw", ">", 50.0, 3 * 3600, 43200, "or"),
+    (2, 1, "view", "raw", "<", 5.0, 0, 21600, "or"),
+    (3, 1, "error", "raw", ">=", 20.0, 86400, 86400, "or"),
+]
+
+
+def _spec_sql(spec) -> str:
+    rows = ", ".join(
+        f"({r[0]}, {r[1]}, '{r[2]}', '{r[3]}', '{r[4]}', {float(r[5])}, {r[6]}, {r[7]}, '{r[8]}')" for r in spec)
+    return (f"SELECT * FROM (VALUES {rows}) AS t(rule_id, condition_id, parameter, function, operator, "
+            "threshold, duration, data_frequency, join_condition)")
+
+
+def _cmp_sql(lhs: str) -> str:
+    return (f"CASE operator WHEN '>' THEN {lhs} > threshold WHEN '<' THEN {lhs} < threshold "
+            f"WHEN '>=' THEN {lhs} >= threshold WHEN '<=' THEN {lhs} <= threshold "
+            f"WHEN '==' THEN {lhs} = threshold WHEN '!=' THEN {lhs} <> threshold END")
+
+
+RU4_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+spec AS ({_spec_sql(RU4_SPEC)}),
+c AS (SELECT spec.*, a.asset_id, 2 * data_frequency - 1 AS lim, duration AS dur,
+             {RUN_START} - (2 * data_frequency - 1) AS lo, {RUN_END} AS hi
+      FROM spec CROSS JOIN (SELECT DISTINCT asset_id FROM r) a),
+h AS (SELECT c.rule_id, c.condition_id, c.asset_id, r.epoch, lim, dur, lo, hi
+      FROM r JOIN c ON r.asset_id = c.asset_id AND r.parameter = c.parameter
+      WHERE r.epoch BETWEEN lo AND hi AND {_cmp_sql('r.value')}),
+i AS ({_islands_sql('h', 'rule_id, condition_id, asset_id')})
+SELECT rule_id, condition_id, asset_id, start_time, end_time FROM i
+WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
+"""
+
+
+def _rule_readings(spark, sf, margin=2 * 86400):
+    return readings(spark, sf, since=RUN_START - margin, until=RUN_END)
+
+
+def _run_window(c: DataFrame) -> DataFrame:
+    return c.withColumn("start_time", F.lit(RUN_START).cast("long")).withColumn("end_time", F.lit(RUN_END).cast("long"))
+
+
+@register("ru4_threshold_islands", RU4_SQL)
+def ru4_threshold_islands(spark: SparkSession, sf: str) -> DataFrame:
+    """RU4/WN1/PJ10: raw threshold hits -> islands per rule member (gap limit, duration, edges)."""
+    r = _rule_readings(spark, sf)
+    c = _run_window(_conditions(spark, r, RU4_SPEC, SPEC_COLS))
+    mi = ru.member_intervals(r, c)
+    return mi.select("rule_id", "condition_id", "asset_id", "start_time", "end_time")
+
+
+RU5_SPEC = [
+    (11, 1, "click", "avg", ">", 30.0, 2 * 86400, 43200, "or"),
+    (12, 1, "signup", "avg", "<=", 8.0, 86400, 43200, "or"),
+]
+RU5_DURATIONS = sorted({s[6] for s in RU5_SPEC})
+
+RU5_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+spec AS ({_spec_sql(RU5_SPEC)}),
+c AS (SELECT spec.*, a.asset_id, 2 * data_frequency - 1 AS lim, duration AS dur,
+             {RUN_START} - (2 * data_frequency - 1) AS lo, {RUN_END} AS hi
+      FROM spec CROSS JOIN (SELECT DISTINCT asset_id FROM r) a),
+b AS (SELECT c.rule_id, c.condition_id, c.asset_id, r.epoch, r.value, c.operator, c.threshold, lim, dur, lo, hi
+      FROM r JOIN c ON r.asset_id = c.asset_id AND r.parameter = c.parameter
+      WHERE r.epoch BETWEEN {RUN_START} AND {RUN_END}),
+fa AS (SELECT DISTINCT rule_id, condition_id, asset_id, epoch, operator, threshold, lim, dur, lo, hi,
+              CASE dur {' '.join(f"WHEN {d} THEN avg(value) OVER (PARTITION BY rule_id, condition_id, asset_id ORDER BY epoch RANGE BETWEEN CURRENT ROW AND {d - 1} FOLLOWING)" for d in RU5_DURATIONS)} END AS avg_value
+       FROM b),
+h AS (SELECT * FROM fa WHERE {_cmp_sql('avg_value')}),
+i AS ({_islands_sql('h', 'rule_id, condition_id, asset_id')})
+SELECT rule_id, condition_id, asset_id, start_time, end_time FROM i
+WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
+"""
+
+
+@register("ru5_sliding_avg_islands", RU5_SQL)
+def ru5_sliding_avg_islands(spark: SparkSession, sf: str) -> DataFrame:
+    """RU5/WN3: forward sliding mean over [t, t+d-1] passes the operator -> islands."""
+    r = _rule_readings(spark, sf)
+    c = _run_window(_conditions(spark, r, RU5_SPEC, SPEC_COLS))
+    mi = ru.member_intervals(r, c, durations=RU5_DURATIONS)
+    return mi.select("rule_id", "condition_id", "asset_id", "start_time", "end_time")
+
+
+WN3_D = 2 * 86400
+WN3_SQL = f"""
+WITH r AS ({READINGS_SQL})
+SELECT DISTINCT asset_id, parameter, epoch,
+       round(avg(value) OVER (PARTITION BY asset_id, parameter ORDER BY epoch
+                              RANGE BETWEEN CURRENT ROW AND {WN3_D - 1} FOLLOWING), 6) AS avg_value
+FROM r
+"""
+
+
+@register("wn3_forward_average", WN3_SQL)
+def wn3_forward_average(spark: SparkSession, sf: str) -> DataFrame:
+    """WN3: forward sliding mean over [t, t + 2 days - 1] per asset and tag (day chunks + halo)."""
+    r = readings(spark, sf).select("asset_id", "parameter", "epoch", "value")
+    fa = wn.forward_average(r, ["asset_id", "parameter"], "epoch", "value", WN3_D)
+    return fa.select("asset_id", "parameter", "epoch", _r6("avg_value"))
+
+
+WN4_D, WN4_T = 3 * 86400, 1.5
+WN4_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+s AS (SELECT asset_id, parameter, epoch, value,
+             avg(value) OVER w AS m, stddev_samp(value) OVER w AS sd
+      FROM r WINDOW w AS (PARTITION BY asset_id, parameter ORDER BY epoch
+                          RANGE BETWEEN {WN4_D} PRECEDING AND 1 PRECEDING))
+SELECT asset_id, parameter, epoch, value, round((value - m) / sd, 6) AS zscore
+FROM s WHERE sd IS NOT NULL AND sd <> 0 AND abs((value - m) / sd) > {WN4_T}
+"""
+
+
+@register("wn4_trailing_zscore", WN4_SQL)
+def wn4_trailing_zscore(spark: SparkSession, sf: str) -> DataFrame:
+    """WN4: z-score against the previous 3 days (current row excluded, sample std), |z| > 1.5."""
+    r = readings(spark, sf).select("asset_id", "parameter", "epoch", "value")
+    z = wn.trailing_zscore(r, ["asset_id", "parameter"], "epoch", "value", WN4_D, ">", WN4_T)
+    return z.filter("flag").select("asset_id", "parameter", "epoch", "value", _r6("zscore"))

@@ -22,7 +22,8 @@ SESSION_DEFAULTS = {
 def get_spark(master: str | None = None, app: str = "sensorlake",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with UTC time, AQE and the web UI off."""
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in SESSION_DEFAULTS.items():

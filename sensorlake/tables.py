@@ -23,18 +23,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long reading table from ``events`` (see module doc)."""
+def readings(spark: SparkSession, sf_dir: str, since: int | None = None, until: int | None = None) -> DataFrame:
+    """Long reading table from ``events`` (see module doc).
+
+    ``since``/``until`` (epoch seconds, inclusive) filter the raw ``ts`` column,
+    so the bound reaches the parquet scan as a pushed filter.
+    """
     ev = table(spark, sf_dir, "events")
+    ts_type = ev.schema["ts"].dataType
+    if since is not None:
+        ev = ev.filter(F.col("ts") >= _ts_lit(since, ts_type))
+    if until is not None:
+        ev = ev.filter(F.col("ts") < _ts_lit(until + 1, ts_type))
     return ev.select(
         F.col("user_id").alias("asset_id"),
         F.col("event_type").alias("parameter"),
-        epoch_seconds("ts", ev.schema["ts"].dataType).alias("epoch"),
+        epoch_seconds("ts", ts_type).alias("epoch"),
         F.col("value"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
 
 
+def _ts_lit(epoch: int, ts_type):
+    import datetime as _dt
+    v = _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=int(epoch))
+    return F.lit(v).cast(ts_type)
+
+
 def fibre(spark: SparkSession, sf_dir: str, period: int = 3600) -> DataFrame:
     """Fibre-style profile rows ``(asset_id, depth, timestamp, value)``:
     asset = event type, depth = ``k``, timestamp = reading time floored to ``period``."""
