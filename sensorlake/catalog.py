@@ -70,11 +70,18 @@ RUN_START = 1704067200   # 2024-01-01 00:00:00 UTC: run window of the registered
 RUN_END = 1706659199     # 2024-01-30 23:59:59 UTC
 
 
-def _conditions(spark: SparkSession, r: DataFrame, spec: list[tuple], cols: str) -> DataFrame:
-    """Rule conditions = literal rule spec x every asset found in the readings."""
-    s = spark.createDataFrame(spec, cols)
+def _conditions(spark: SparkSession, r: DataFrame, spec, cols: str | None = None,
+                per_asset_rule: int | None = None) -> DataFrame:
+    """Rule conditions = rule spec x every asset found in the readings.
+
+    With ``per_asset_rule`` every asset gets its own rule id (base + asset id),
+    so each rule has one member per condition.
+    """
+    s = spec if isinstance(spec, DataFrame) else spark.createDataFrame(spec, cols)
     assets = r.select("asset_id").distinct()
-    c = s.crossJoin(assets)  # spec holds a handful of rows; assets grow with the data
+    c = s.crossJoin(assets)  # the spec holds a handful of rows; assets grow with the data
+    if per_asset_rule is not None:
+        c = c.withColumn("rule_id", (F.lit(per_asset_rule) + F.col("asset_id")).cast("int"))
     for name in ru.CONDITION_SCHEMA.names:
         if name not in c.columns:
             c = c.withColumn(name, F.lit(None).cast(ru.CONDITION_SCHEMA[name].dataType))
@@ -218,3 +225,204 @@ def wn4_trailing_zscore(spark: SparkSession, sf: str) -> DataFrame:
     r = readings(spark, sf).select("asset_id", "parameter", "epoch", "value")
     z = wn.trailing_zscore(r, ["asset_id", "parameter"], "epoch", "value", WN4_D, ">", WN4_T)
     return z.filter("flag").select("asset_id", "parameter", "epoch", "value", _r6("zscore"))
+
+
+RU6_SPEC = [
+    (21, 1, "purchase", "differential", ">", 200.0, 0, 43200, "or"),
+    (22, 1, "view", "differential", "<", -20.0, 0, 43200, "or"),
+]
+RU6_UNITS = {21: "%", 22: "absolute"}
+
+RU6_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+spec AS ({_spec_sql(RU6_SPEC)}),
+u AS (SELECT * FROM (VALUES {", ".join(f"({k}, '{v}')" for k, v in RU6_UNITS.items())}) AS t(rule_id, unit)),
+bt AS (SELECT asset_id, parameter, min(epoch) AS baseline_time FROM r GROUP BY asset_id, parameter),
+c AS (SELECT spec.*, u.unit, bt.asset_id, bt.baseline_time, 2 * data_frequency - 1 AS lim, duration AS dur,
+             {RUN_START} - (2 * data_frequency - 1) AS lo, {RUN_END} AS hi
+      FROM spec JOIN u USING (rule_id) JOIN bt ON bt.parameter = spec.parameter),
+b AS (SELECT c.rule_id, c.condition_id, c.asset_id, max(r.value) AS baseline_value
+      FROM r JOIN c ON r.asset_id = c.asset_id AND r.parameter = c.parameter AND r.epoch = c.baseline_time
+      GROUP BY ALL),
+d AS (SELECT c.rule_id, c.condition_id, c.asset_id, r.epoch, c.operator, c.threshold, lim, dur, lo, hi,
+             CASE WHEN c.unit = '%' THEN abs((r.value - b.baseline_value) / nullif(b.baseline_value, 0)) * 100
+                  ELSE r.value - b.baseline_value END AS value_difference
+      FROM r JOIN c ON r.asset_id = c.asset_id AND r.parameter = c.parameter
+      JOIN b ON b.rule_id = c.rule_id AND b.condition_id = c.condition_id AND b.asset_id = c.asset_id
+      WHERE r.epoch BETWEEN {RUN_START} AND {RUN_END}),
+h AS (SELECT * FROM d WHERE {_cmp_sql('value_difference')}),
+i AS ({_islands_sql('h', 'rule_id, condition_id, asset_id')})
+SELECT rule_id, condition_id, asset_id, start_time, end_time FROM i
+WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
+"""
+
+
+@register("ru6_differential_islands", RU6_SQL)
+def ru6_differential_islands(spark: SparkSession, sf: str) -> DataFrame:
+    """RU6/JN7/PJ14: change vs each asset's baseline reading (% absolute or plain) -> islands."""
+    r = _rule_readings(spark, sf)
+    c = _run_window(_conditions(spark, r, RU6_SPEC, SPEC_COLS))
+    units = F.create_map(*[F.lit(x) for kv in RU6_UNITS.items() for x in kv])
+    base = r.groupBy("asset_id", "parameter").agg(F.min("epoch").alias("_bt"))
+    c = (c.join(base, ["asset_id", "parameter"])
+          .withColumn("baseline_time", F.col("_bt")).withColumn("threshold_unit", units[F.col("rule_id")])
+          .select(*ru.CONDITION_SCHEMA.names))
+    mi = ru.member_intervals(r, c)
+    return mi.select("rule_id", "condition_id", "asset_id", "start_time", "end_time")
+
+
+RU7_SPEC = [
+    (31, 1, "click", "count", ">=", 3.0, 86400, 43200, "or"),
+    (32, 1, "error", "count", ">=", 2.0, 3 * 86400, 43200, "or"),
+    (33, 1, "view", "count", ">=", 1.0, 7 * 86400, 43200, "or"),
+]
+RU7_CLASS = {33: 7}
+
+RU7_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+spec AS ({_spec_sql(RU7_SPEC)}),
+cl AS (SELECT * FROM (VALUES {", ".join(f"({k}, {v})" for k, v in RU7_CLASS.items())}) AS t(rule_id, cls)),
+c AS (SELECT spec.*, cl.cls, a.asset_id FROM spec LEFT JOIN cl USING (rule_id)
+      CROSS JOIN (SELECT DISTINCT asset_id FROM r) a),
+g AS (SELECT c.rule_id, c.condition_id, c.asset_id, c.operator, c.threshold, c.duration,
+             CAST(floor((r.epoch - {RUN_START}) / c.duration) AS BIGINT) AS grp, count(*) AS n_events
+      FROM r JOIN c ON r.asset_id = c.asset_id AND r.parameter = c.parameter
+      WHERE r.epoch BETWEEN {RUN_START} AND {RUN_END} AND (c.cls IS NULL OR r.k = c.cls)
+      GROUP BY ALL)
+SELECT rule_id, condition_id, asset_id, {RUN_START} + duration * grp AS start_time,
+       {RUN_START} + duration * grp + duration AS end_time, n_events
+FROM g WHERE {_cmp_sql('n_events')}
+"""
+
+
+@register("ru7_event_count", RU7_SQL)
+def ru7_event_count(spark: SparkSession, sf: str) -> DataFrame:
+    """RU7/AG8: tumbling event count on a grid anchored at the run start, optional class, HAVING count op n."""
+    r = _rule_readings(spark, sf)
+    c = _run_window(_conditions(spark, r, RU7_SPEC, SPEC_COLS))
+    cls = F.create_map(*[F.lit(x) for kv in RU7_CLASS.items() for x in kv])
+    c = c.withColumn("class", cls[F.col("rule_id")].cast("int"))
+    cells = ru.count_cells(r, ru.with_members(c))
+    return cells.select("rule_id", "condition_id", "asset_id", "start_time", "end_time", "n_events")
+
+
+RU8_SPEC = [(41, 1, "error", "magnitude", ">", 100.0, 0, 43200, "or")]
+
+RU8_SQL = f"""
+WITH r AS ({READINGS_SQL})
+SELECT 41 AS rule_id, 1 AS condition_id, asset_id, epoch AS start_time, epoch AS end_time
+FROM r WHERE parameter = 'error' AND value > 100.0 AND epoch BETWEEN {RUN_START} AND {RUN_END}
+"""
+
+
+@register("ru8_magnitude", RU8_SQL)
+def ru8_magnitude(spark: SparkSession, sf: str) -> DataFrame:
+    """RU8: single readings passing the operator within the run window."""
+    r = _rule_readings(spark, sf)
+    c = _run_window(_conditions(spark, r, RU8_SPEC, SPEC_COLS))
+    mi = ru.member_intervals(r, c)
+    return mi.select("rule_id", "condition_id", "asset_id", "start_time", "end_time")
+
+
+def _hundred_rules(spark: SparkSession) -> DataFrame:
+    """100 threshold rules from one rule: tag cycles through the five types,
+    threshold steps 10, 20, ... 200."""
+    types = F.array(*[F.lit(t) for t in ("click", "error", "purchase", "signup", "view")])
+    return spark.range(1, 101).select(
+        F.col("id").cast("int").alias("rule_id"), F.lit(1).alias("condition_id"),
+        F.element_at(types, (F.pmod(F.col("id") - 1, 5) + 1).cast("int")).alias("parameter"),
+        F.lit("raw").alias("function"), F.lit(">").alias("operator"),
+        (F.floor((F.col("id") - 1) / 5) * 10 + 10).cast("double").alias("threshold"),
+        F.lit(3600).cast("long").alias("duration"), F.lit(43200).cast("long").alias("data_frequency"),
+        F.lit("or").alias("join_condition"))
+
+
+RU10_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+spec AS (SELECT CAST(id AS INTEGER) AS rule_id, 1 AS condition_id,
+                ['click', 'error', 'purchase', 'signup', 'view'][CAST((id - 1) % 5 AS INTEGER) + 1] AS parameter,
+                '>' AS operator, CAST(((id - 1) // 5) * 10 + 10 AS DOUBLE) AS threshold,
+                3600 AS duration, 43200 AS data_frequency FROM range(1, 101) t(id)),
+c AS (SELECT spec.*, a.asset_id, 2 * data_frequency - 1 AS lim, duration AS dur,
+             {RUN_START} - (2 * data_frequency - 1) AS lo, {RUN_END} AS hi
+      FROM spec CROSS JOIN (SELECT DISTINCT asset_id FROM r) a),
+h AS (SELECT c.rule_id, c.condition_id, c.asset_id, r.epoch, lim, dur, lo, hi
+      FROM r JOIN c ON r.asset_id = c.asset_id AND r.parameter = c.parameter
+      WHERE r.epoch BETWEEN lo AND hi AND r.value > c.threshold),
+i AS ({_islands_sql('h', 'rule_id, condition_id, asset_id')})
+SELECT rule_id, start_time, end_time FROM i
+WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
+"""
+
+
+@register("ru10_hundred_rules_one_plan", RU10_SQL)
+def ru10_hundred_rules_one_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """RU10: 100 rules x every asset evaluated in one plan (broadcast rule join, one shuffle)."""
+    r = _rule_readings(spark, sf)
+    c = _run_window(_conditions(spark, r, _hundred_rules(spark)))
+    return ru.evaluate(r, c)
+
+
+RU11_SPEC = [
+    (0, 1, "click", "raw", ">", 20.0, 0, 86400, "and"),
+    (0, 2, "view", "raw", ">", 20.0, 0, 86400, "and"),
+]
+
+RU11_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+spec AS ({_spec_sql(RU11_SPEC)}),
+c AS (SELECT spec.* REPLACE (CAST(1000 + a.asset_id AS INTEGER) AS rule_id), a.asset_id,
+             2 * data_frequency - 1 AS lim, duration AS dur,
+             {RUN_START} - (2 * data_frequency - 1) AS lo, {RUN_END} AS hi
+      FROM spec CROSS JOIN (SELECT DISTINCT asset_id FROM r) a),
+h AS (SELECT c.rule_id, c.condition_id, c.asset_id, r.epoch, lim, dur, lo, hi
+      FROM r JOIN c ON r.asset_id = c.asset_id AND r.parameter = c.parameter
+      WHERE r.epoch BETWEEN lo AND hi AND {_cmp_sql('r.value')}),
+i AS (SELECT * FROM ({_islands_sql('h', 'rule_id, condition_id, asset_id')})
+      WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi)
+SELECT a.rule_id, greatest(a.start_time, b.start_time) AS start_time, least(a.end_time, b.end_time) AS end_time
+FROM i a JOIN i b ON a.rule_id = b.rule_id AND a.condition_id = 1 AND b.condition_id = 2
+ AND a.start_time <= b.end_time AND b.start_time <= a.end_time
+"""
+
+
+@register("ru11_and_rules", RU11_SQL)
+def ru11_and_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """RU11/ST3/JN6: per-asset AND rule of two conditions -> spans where both hold (sweep line)."""
+    r = _rule_readings(spark, sf)
+    c = _run_window(_conditions(spark, r, RU11_SPEC, SPEC_COLS, per_asset_rule=1000))
+    return ru.evaluate(r, c)
+
+
+@register("ru14_rule_messages")
+def ru14_rule_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """RU14: one JSON message per rule with anomalies {anomalies, time_range, rule}."""
+    r = _rule_readings(spark, sf)
+    rules = _run_window(_conditions(spark, r, _hundred_rules(spark)))
+    an = ru.evaluate(r, rules)
+    header = rules.groupBy("rule_id").agg(
+        F.first("parameter").alias("parameter"), F.first("operator").alias("operator"),
+        F.first("threshold").alias("threshold"), F.first("start_time").alias("start_time"),
+        F.first("end_time").alias("end_time"))
+    return ru.messages(an, header)
+
+
+JN6_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+l AS (SELECT asset_id, epoch AS l_start, epoch + k * 3600 AS l_end FROM r WHERE parameter = 'click'),
+g AS (SELECT asset_id, epoch AS r_start, epoch + k * 3600 AS r_end FROM r WHERE parameter = 'view')
+SELECT l.asset_id, l_start, l_end, r_start, r_end,
+       greatest(l_start, r_start) AS start_time, least(l_end, r_end) AS end_time
+FROM l JOIN g ON l.asset_id = g.asset_id AND l_start <= r_end AND r_start <= l_end
+"""
+
+
+@register("jn6_interval_overlap_join", JN6_SQL)
+def jn6_interval_overlap_join(spark: SparkSession, sf: str) -> DataFrame:
+    """JN6: overlap join of intervals [epoch, epoch + k hours] of two tags per asset (multi-level bins)."""
+    r = readings(spark, sf)
+    left = r.filter(F.col("parameter") == "click").select(
+        "asset_id", F.col("epoch").alias("l_start"), (F.col("epoch") + F.col("k") * 3600).alias("l_end"))
+    right = r.filter(F.col("parameter") == "view").select(
+        "asset_id", F.col("epoch").alias("r_start"), (F.col("epoch") + F.col("k") * 3600).alias("r_end"))
+    return iv.overlap_join(left, right, ["asset_id"], "l_start", "l_end", "r_start", "r_end", base=3600)

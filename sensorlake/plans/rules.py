@@ -131,25 +131,43 @@ def _islands_of(hits: DataFrame, ts: str) -> DataFrame:
                    extra=["n_members", "join_condition"])
 
 
-def member_intervals(readings: DataFrame, conditions: DataFrame, durations=None) -> DataFrame:
+def rule_kinds(conditions: DataFrame) -> tuple[set[str], list[int]]:
+    """Plan-time facts of a (small) condition table: the rule kinds present and
+    the distinct durations of window rules. Fetching them builds only the
+    branches the rules need and gives window frames their literal widths."""
+    rows = (conditions.select(F.lower(F.col("function")).alias("f"), "duration").distinct().collect())
+    kinds = {r["f"] for r in rows}
+    durations = sorted({int(r["duration"]) for r in rows if r["f"] in ("avg", "zscore") and r["duration"] is not None})
+    return kinds, durations
+
+
+def member_intervals(readings: DataFrame, conditions: DataFrame, durations=None, kinds=None) -> DataFrame:
     """Per member (rule, condition, asset) anomaly intervals for all rule kinds
     except event counts: ``rule_id, condition_id, asset_id, n_members,
     join_condition, start_time, end_time``."""
+    if kinds is None or durations is None:
+        k2, d2 = rule_kinds(conditions)
+        kinds = k2 if kinds is None else kinds
+        durations = d2 if durations is None else durations
     c = with_members(conditions)
     fn = F.lower(F.col("function"))
     parts = []
-    raw = c.filter(fn == "raw")
-    parts.append(_islands_of(raw_hits(readings, raw), "epoch"))
-    if durations:
-        avg = c.filter(fn == "avg")
-        parts.append(_islands_of(avg_hits(readings, avg, durations), "epoch"))
-        zs = c.filter(fn == "zscore")
-        parts.append(_islands_of(zscore_hits(readings, zs, durations), "epoch"))
-    diff = c.filter(fn == "differential")
-    parts.append(_islands_of(differential_hits(readings, diff), "epoch"))
-    mag = c.filter(fn == "magnitude")
-    parts.append(magnitude_hits(readings, mag).select(
-        *MEMBER, "n_members", "join_condition", F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time")))
+    if "raw" in kinds:
+        parts.append(_islands_of(raw_hits(readings, c.filter(fn == "raw")), "epoch"))
+    if "avg" in kinds:
+        parts.append(_islands_of(avg_hits(readings, c.filter(fn == "avg"), durations), "epoch"))
+    if "zscore" in kinds:
+        parts.append(_islands_of(zscore_hits(readings, c.filter(fn == "zscore"), durations), "epoch"))
+    if "differential" in kinds:
+        parts.append(_islands_of(differential_hits(readings, c.filter(fn == "differential")), "epoch"))
+    if "magnitude" in kinds:
+        parts.append(magnitude_hits(readings, c.filter(fn == "magnitude")).select(
+            *MEMBER, "n_members", "join_condition", F.col("epoch").alias("start_time"),
+            F.col("epoch").alias("end_time")))
+    if not parts:
+        spark = conditions.sparkSession
+        return spark.createDataFrame([], "rule_id int, condition_id int, asset_id long, n_members long, "
+                                         "join_condition string, start_time long, end_time long")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -165,10 +183,15 @@ def evaluate(readings: DataFrame, conditions: DataFrame, durations=None) -> Data
     ``durations`` lists the distinct ``duration`` values of avg / zscore
     conditions (window frames need literal widths).
     """
-    mi = member_intervals(readings, conditions, durations)
+    kinds, d2 = rule_kinds(conditions)
+    durations = d2 if durations is None else durations
+    mi = member_intervals(readings, conditions, durations, kinds)
     is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
     ors = mi.filter(~is_and).select("rule_id", "start_time", "end_time")
     ands = intersect_members(mi.filter(is_and), ["rule_id"], "condition_id", "n_members")
+    out = ors.unionByName(ands)
+    if "count" not in kinds:
+        return out
     c = with_members(conditions)
     cells = count_cells(readings, c.filter(F.lower(F.col("function")) == "count"))
     c_is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
@@ -176,7 +199,7 @@ def evaluate(readings: DataFrame, conditions: DataFrame, durations=None) -> Data
     c_and = (all_present(cells.filter(c_is_and).withColumn("member", F.concat_ws(":", "condition_id", "asset_id")),
                          ["rule_id", "start_time", "end_time"], "grp", "member", "n_members")
              .select("rule_id", "start_time", "end_time"))
-    return ors.unionByName(ands).unionByName(c_or).unionByName(c_and)
+    return out.unionByName(c_or).unionByName(c_and)
 
 
 def messages(anomalies: DataFrame, rules: DataFrame) -> DataFrame:
