@@ -426,3 +426,6 @@ def jn6_interval_overlap_join(spark: SparkSession, sf: str) -> DataFrame:
     right = r.filter(F.col("parameter") == "view").select(
         "asset_id", F.col("epoch").alias("r_start"), (F.col("epoch") + F.col("k") * 3600).alias("r_end"))
     return iv.overlap_join(left, right, ["asset_id"], "l_start", "l_end", "r_start", "r_end", base=3600)
+
+
+from . import catalog_aggs  # noqa: E402,F401  (registers its queries)

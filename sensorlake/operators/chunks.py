@@ -92,7 +92,7 @@ def row_halo(df: DataFrame, keys: Sequence[str], ts: str, n: int, chunk=DEFAULT_
                      .alias("_tail")))
     wprev = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(-n, -1)
     halo = (tail.withColumn("_h", F.flatten(F.collect_list("_tail").over(wprev)))
-                .withColumn("_h", F.slice("_h", -n, n))
+                .withColumn("_h", F.slice("_h", F.greatest(F.size("_h") - n + 1, F.lit(1)), n))
                 .select(*keys, "_chunk", F.explode("_h").alias("_x"))
                 .select(*[F.col(f"_x._v_{c}").alias(c) for c in cols], "_chunk"))
     return (base.withColumn("_primary", F.lit(True))

@@ -114,22 +114,61 @@ def moving_average(df: DataFrame, keys: Sequence[str], ts: str, value: str, n: i
     return h.withColumn(out, F.avg(value).over(w)).filter("_primary").drop("_chunk", "_primary")
 
 
-def _local_ewm(ts: str, value: str, a: float):
+def _local_ewm(keys: list[str], ts: str, value: str, a: float):
+    """Partition function: zero-state exponential smoothing per (keys, _chunk) over
+    rows sorted by (keys, _chunk, ts); vectorised per Arrow batch with pandas'
+    grouped ``ewm``, state carried only for the one group spanning two batches."""
     import numpy as np
     import pandas as pd
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts, kind="stable")
-        x = pdf[value].to_numpy(dtype="float64", na_value=np.nan)
-        live = ~np.isnan(x)
-        k = np.cumsum(live)
-        xs = np.concatenate([[0.0], x[live]])  # state 0 before the chunk
-        loc = pd.Series(xs).ewm(alpha=a, adjust=False).mean().to_numpy()[1:]
-        out = np.full(len(x), np.nan)
-        out[live] = loc
-        pdf["_k"] = k.astype("int64")
-        pdf["_L"] = out
-        return pdf
+    d = 1.0 - a
+    gk = [*keys, "_chunk"]
+
+    def fn(batches):
+        prev_key, prev_l, prev_k, prev_first = None, 0.0, 0, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            live = pdf[value].notna()
+            k = live.astype("int64").groupby([pdf[c] for c in gk], sort=False).cumsum()
+            sub = pdf.loc[live, [*gk, value]]
+            loc = pd.Series(np.nan, index=pdf.index)
+            seed = pd.Series(np.nan, index=pdf.index)
+            first = pd.Series(np.nan, index=pdf.index)
+            if len(sub):
+                seeded = sub.groupby(gk, sort=False)[value].ewm(alpha=a, adjust=False).mean()
+                seeded.index = seeded.index.get_level_values(-1)
+                f = sub.groupby(gk, sort=False)[value].transform("first")
+                kk = k[live].astype("float64").to_numpy()
+                seed[live] = seeded.reindex(sub.index).to_numpy()
+                first[live] = f.to_numpy()
+                loc[live] = seed[live].to_numpy() - np.power(d, kk) * f.to_numpy()
+            first_key = tuple(pdf.loc[0, gk])
+            if prev_key is not None and first_key == prev_key:
+                # the chunk continues from the previous batch: compose with its state
+                same = np.ones(len(pdf), dtype=bool)
+                for c, v in zip(gk, first_key):
+                    same &= (pdf[c] == v).to_numpy()
+                kp = (k[same] + prev_k).to_numpy().astype("float64")
+                loc[same] = loc[same].to_numpy() + np.power(d, k[same].to_numpy().astype("float64")) * prev_l
+                if prev_first is not None:
+                    seed[same] = loc[same].to_numpy() + np.power(d, kp) * prev_first
+                    first[same] = prev_first
+                k = k.where(~same, k + prev_k)
+            pdf["_k"] = k.astype("int64")
+            pdf["_L"] = loc.to_numpy()
+            pdf["_S"] = seed.to_numpy()
+            last = pdf.iloc[-1]
+            key = tuple(last[c] for c in gk)
+            tail = pdf[(pdf[gk] == pd.Series(key, index=gk)).all(axis=1) & live]
+            if len(tail):
+                prev_l, prev_k = float(tail["_L"].iloc[-1]), int(tail["_k"].iloc[-1])
+                prev_first = float(first[tail.index[-1]])
+            elif key != prev_key:
+                prev_l, prev_k, prev_first = 0.0, 0, None
+            prev_key = key
+            yield pdf
     return fn
 
 
@@ -138,18 +177,22 @@ def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: f
     """Exponential smoothing (WN8): ``y_1 = x_1``, ``y_j = a*x_j + (1-a)*y_{j-1}``.
 
     Null inputs are skipped (the state carries over) and stay null in ``out``.
-    The recurrence has no Spark built-in, so each (key, day chunk) group runs it
-    from state 0 in pandas (``applyInPandas``, group size bounded by the chunk),
-    giving the local part ``L_k``. The state entering a chunk is folded from
-    earlier chunks' ``(L_last, m)`` pairs (one row per chunk, seeded with the
-    series' first value) and ``y_k = L_k + (1-a)^k * Y_in``.
+    The recurrence has no Spark built-in. Rows are hash-partitioned by
+    (key, day chunk) and sorted; a pandas pass per partition computes the
+    zero-state local part ``L_k`` of every chunk (``mapInPandas``, batch by
+    batch). The state entering a chunk is folded from earlier chunks'
+    ``(L_last, m)`` pairs (one row per chunk, seeded with the series' first
+    value), and ``y_k = L_k + (1-a)^k * Y_in``.
     """
     from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+    keys = list(keys)
     a, d = float(alpha), 1.0 - float(alpha)
     c = df.withColumn("_chunk", chunk_of(ts, chunk))
-    schema = StructType([*c.schema.fields, StructField("_k", LongType()), StructField("_L", DoubleType())])
-    loc = c.groupBy(*keys, "_chunk").applyInPandas(_local_ewm(ts, value, a), schema)
+    schema = StructType([*c.schema.fields, StructField("_k", LongType()), StructField("_L", DoubleType()),
+                         StructField("_S", DoubleType())])
+    loc = (c.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", ts)
+            .mapInPandas(_local_ewm(keys, ts, value, a), schema))
     per = (loc.filter(F.col("_L").isNotNull()).groupBy(*keys, "_chunk")
               .agg(F.max(F.struct("_k", "_L")).alias("_last"), F.min(F.struct("_k", F.col(value).alias("x"))).alias("_f"))
               .select(*keys, "_chunk", F.col("_last._k").alias("_m"), F.col("_last._L").alias("_llast"),
@@ -159,10 +202,12 @@ def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: f
     folded = F.aggregate(
         "_prev", F.lit(None).cast("double"),
         lambda y, p: p["_llast"] + F.pow(F.lit(d), p["_m"]) * F.coalesce(y, p["_first"]))
-    per = per.select(*keys, "_chunk", F.coalesce(folded, F.col("_first")).alias("_yin"))
+    per = per.select(*keys, "_chunk", folded.alias("_yin"))
     j = loc.join(per, [*keys, "_chunk"], "left")
-    y = F.col("_L") + F.pow(F.lit(d), F.col("_k")) * F.col("_yin")
-    return j.withColumn(out, F.when(F.col(value).isNotNull(), y)).drop("_chunk", "_k", "_L", "_yin")
+    # first chunk of a series: the seeded pass is already the answer (bit for bit the
+    # row-by-row recursion); later chunks compose the local part with the carried state
+    y = F.when(F.col("_yin").isNull(), F.col("_S")).otherwise(F.col("_L") + F.pow(F.lit(d), F.col("_k")) * F.col("_yin"))
+    return j.withColumn(out, F.when(F.col(value).isNotNull(), y)).drop("_chunk", "_k", "_L", "_S", "_yin")
 
 
 def equal_count_buckets(df: DataFrame, keys: Sequence[str], ts: str, n: int, chunk=DEFAULT_CHUNK) -> DataFrame:
