@@ -70,18 +70,10 @@ RUN_START = 1704067200   # 2024-01-01 00:00:00 UTC: run window of the registered
 RUN_END = 1706659199     # 2024-01-30 23:59:59 UTC
 
 
-def _conditions(spark: SparkSession, r: DataFrame, spec, cols: str | None = None,
-                per_asset_rule: int | None = None) -> DataFrame:
-    """Rule conditions = rule spec x every asset found in the readings.
-
-    With ``per_asset_rule`` every asset gets its own rule id (base + asset id),
-    so each rule has one member per condition.
-    """
-    s = spec if isinstance(spec, DataFrame) else spark.createDataFrame(spec, cols)
-    assets = r.select("asset_id").distinct()
-    c = s.crossJoin(assets)  # the spec holds a handful of rows; assets grow with the data
-    if per_asset_rule is not None:
-        c = c.withColumn("rule_id", (F.lit(per_asset_rule) + F.col("asset_id")).cast("int"))
+def _conditions(spark: SparkSession, spec, cols: str | None = None) -> DataFrame:
+    """Rule conditions from a rule spec; ``asset_id`` left null = every asset
+    (per-asset evaluation), so the table stays as small as the spec."""
+    c = spec if isinstance(spec, DataFrame) else spark.createDataFrame(spec, cols)
     for name in ru.CONDITION_SCHEMA.names:
         if name not in c.columns:
             c = c.withColumn(name, F.lit(None).cast(ru.CONDITION_SCHEMA[name].dataType))
@@ -150,7 +142,7 @@ def _run_window(c: DataFrame) -> DataFrame:
 def ru4_threshold_islands(spark: SparkSession, sf: str) -> DataFrame:
     """RU4/WN1/PJ10: raw threshold hits -> islands per rule member (gap limit, duration, edges)."""
     r = _rule_readings(spark, sf)
-    c = _run_window(_conditions(spark, r, RU4_SPEC, SPEC_COLS))
+    c = _run_window(_conditions(spark, RU4_SPEC, SPEC_COLS))
     mi = ru.member_intervals(r, c)
     return mi.select("rule_id", "condition_id", "asset_id", "start_time", "end_time")
 
@@ -184,8 +176,8 @@ WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
 def ru5_sliding_avg_islands(spark: SparkSession, sf: str) -> DataFrame:
     """RU5/WN3: forward sliding mean over [t, t+d-1] passes the operator -> islands."""
     r = _rule_readings(spark, sf)
-    c = _run_window(_conditions(spark, r, RU5_SPEC, SPEC_COLS))
-    mi = ru.member_intervals(r, c, durations=RU5_DURATIONS)
+    c = _run_window(_conditions(spark, RU5_SPEC, SPEC_COLS))
+    mi = ru.member_intervals(r, c)
     return mi.select("rule_id", "condition_id", "asset_id", "start_time", "end_time")
 
 
@@ -261,11 +253,11 @@ WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
 def ru6_differential_islands(spark: SparkSession, sf: str) -> DataFrame:
     """RU6/JN7/PJ14: change vs each asset's baseline reading (% absolute or plain) -> islands."""
     r = _rule_readings(spark, sf)
-    c = _run_window(_conditions(spark, r, RU6_SPEC, SPEC_COLS))
+    c = _run_window(_conditions(spark, RU6_SPEC, SPEC_COLS)).drop("asset_id", "baseline_time")
     units = F.create_map(*[F.lit(x) for kv in RU6_UNITS.items() for x in kv])
-    base = r.groupBy("asset_id", "parameter").agg(F.min("epoch").alias("_bt"))
-    c = (c.join(base, ["asset_id", "parameter"])
-          .withColumn("baseline_time", F.col("_bt")).withColumn("threshold_unit", units[F.col("rule_id")])
+    # explicit conditions: each asset's own baseline time (its first reading of the tag)
+    base = r.groupBy("asset_id", "parameter").agg(F.min("epoch").alias("baseline_time"))
+    c = (c.join(base, "parameter").withColumn("threshold_unit", units[F.col("rule_id")])
           .select(*ru.CONDITION_SCHEMA.names))
     mi = ru.member_intervals(r, c)
     return mi.select("rule_id", "condition_id", "asset_id", "start_time", "end_time")
@@ -299,10 +291,10 @@ FROM g WHERE {_cmp_sql('n_events')}
 def ru7_event_count(spark: SparkSession, sf: str) -> DataFrame:
     """RU7/AG8: tumbling event count on a grid anchored at the run start, optional class, HAVING count op n."""
     r = _rule_readings(spark, sf)
-    c = _run_window(_conditions(spark, r, RU7_SPEC, SPEC_COLS))
+    c = _run_window(_conditions(spark, RU7_SPEC, SPEC_COLS))
     cls = F.create_map(*[F.lit(x) for kv in RU7_CLASS.items() for x in kv])
     c = c.withColumn("class", cls[F.col("rule_id")].cast("int"))
-    cells = ru.count_cells(r, ru.with_members(c))
+    cells = ru.count_cells(r, ru.prepare(c))
     return cells.select("rule_id", "condition_id", "asset_id", "start_time", "end_time", "n_events")
 
 
@@ -319,7 +311,7 @@ FROM r WHERE parameter = 'error' AND value > 100.0 AND epoch BETWEEN {RUN_START}
 def ru8_magnitude(spark: SparkSession, sf: str) -> DataFrame:
     """RU8: single readings passing the operator within the run window."""
     r = _rule_readings(spark, sf)
-    c = _run_window(_conditions(spark, r, RU8_SPEC, SPEC_COLS))
+    c = _run_window(_conditions(spark, RU8_SPEC, SPEC_COLS))
     mi = ru.member_intervals(r, c)
     return mi.select("rule_id", "condition_id", "asset_id", "start_time", "end_time")
 
@@ -350,7 +342,7 @@ h AS (SELECT c.rule_id, c.condition_id, c.asset_id, r.epoch, lim, dur, lo, hi
       FROM r JOIN c ON r.asset_id = c.asset_id AND r.parameter = c.parameter
       WHERE r.epoch BETWEEN lo AND hi AND r.value > c.threshold),
 i AS ({_islands_sql('h', 'rule_id, condition_id, asset_id')})
-SELECT rule_id, start_time, end_time FROM i
+SELECT rule_id, asset_id, start_time, end_time FROM i
 WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
 """
 
@@ -359,19 +351,19 @@ WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
 def ru10_hundred_rules_one_plan(spark: SparkSession, sf: str) -> DataFrame:
     """RU10: 100 rules x every asset evaluated in one plan (broadcast rule join, one shuffle)."""
     r = _rule_readings(spark, sf)
-    c = _run_window(_conditions(spark, r, _hundred_rules(spark)))
+    c = _run_window(_conditions(spark, _hundred_rules(spark)))
     return ru.evaluate(r, c)
 
 
 RU11_SPEC = [
-    (0, 1, "click", "raw", ">", 20.0, 0, 86400, "and"),
-    (0, 2, "view", "raw", ">", 20.0, 0, 86400, "and"),
+    (51, 1, "click", "raw", ">", 20.0, 0, 86400, "and"),
+    (51, 2, "view", "raw", ">", 20.0, 0, 86400, "and"),
 ]
 
 RU11_SQL = f"""
 WITH r AS ({READINGS_SQL}),
 spec AS ({_spec_sql(RU11_SPEC)}),
-c AS (SELECT spec.* REPLACE (CAST(1000 + a.asset_id AS INTEGER) AS rule_id), a.asset_id,
+c AS (SELECT spec.*, a.asset_id,
              2 * data_frequency - 1 AS lim, duration AS dur,
              {RUN_START} - (2 * data_frequency - 1) AS lo, {RUN_END} AS hi
       FROM spec CROSS JOIN (SELECT DISTINCT asset_id FROM r) a),
@@ -380,8 +372,8 @@ h AS (SELECT c.rule_id, c.condition_id, c.asset_id, r.epoch, lim, dur, lo, hi
       WHERE r.epoch BETWEEN lo AND hi AND {_cmp_sql('r.value')}),
 i AS (SELECT * FROM ({_islands_sql('h', 'rule_id, condition_id, asset_id')})
       WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi)
-SELECT a.rule_id, greatest(a.start_time, b.start_time) AS start_time, least(a.end_time, b.end_time) AS end_time
-FROM i a JOIN i b ON a.rule_id = b.rule_id AND a.condition_id = 1 AND b.condition_id = 2
+SELECT a.rule_id, a.asset_id, greatest(a.start_time, b.start_time) AS start_time, least(a.end_time, b.end_time) AS end_time
+FROM i a JOIN i b ON a.rule_id = b.rule_id AND a.asset_id = b.asset_id AND a.condition_id = 1 AND b.condition_id = 2
  AND a.start_time <= b.end_time AND b.start_time <= a.end_time
 """
 
@@ -390,7 +382,7 @@ FROM i a JOIN i b ON a.rule_id = b.rule_id AND a.condition_id = 1 AND b.conditio
 def ru11_and_rules(spark: SparkSession, sf: str) -> DataFrame:
     """RU11/ST3/JN6: per-asset AND rule of two conditions -> spans where both hold (sweep line)."""
     r = _rule_readings(spark, sf)
-    c = _run_window(_conditions(spark, r, RU11_SPEC, SPEC_COLS, per_asset_rule=1000))
+    c = _run_window(_conditions(spark, RU11_SPEC, SPEC_COLS))
     return ru.evaluate(r, c)
 
 
@@ -398,7 +390,7 @@ def ru11_and_rules(spark: SparkSession, sf: str) -> DataFrame:
 def ru14_rule_messages(spark: SparkSession, sf: str) -> DataFrame:
     """RU14: one JSON message per rule with anomalies {anomalies, time_range, rule}."""
     r = _rule_readings(spark, sf)
-    rules = _run_window(_conditions(spark, r, _hundred_rules(spark)))
+    rules = _run_window(_conditions(spark, _hundred_rules(spark)))
     an = ru.evaluate(r, rules)
     header = rules.groupBy("rule_id").agg(
         F.first("parameter").alias("parameter"), F.first("operator").alias("operator"),

@@ -435,14 +435,14 @@ def ru13_execution_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 ST4_SQL = f"""
 WITH r AS ({READINGS_SQL}),
-h AS (SELECT CAST(1000 + asset_id AS INTEGER) AS rule_id,
+h AS (SELECT 61 AS rule_id,
              CASE parameter WHEN 'click' THEN 1 WHEN 'view' THEN 2 END AS condition_id, asset_id,
              {RUN_START} + {DAY} * CAST(floor((epoch - {RUN_START}) / {DAY}) AS BIGINT) AS start_time
       FROM r WHERE parameter IN ('click', 'view') AND epoch BETWEEN {RUN_START} AND {RUN_END}),
 c AS (SELECT DISTINCT rule_id, condition_id, asset_id, start_time, start_time + {DAY} AS end_time FROM h),
-p AS (SELECT rule_id, start_time, end_time, condition_id, count(*) AS m FROM c GROUP BY ALL)
-SELECT rule_id, start_time, end_time, CAST(product(m) AS BIGINT) AS combinations FROM p
-GROUP BY rule_id, start_time, end_time HAVING count(*) = 2
+p AS (SELECT rule_id, asset_id, start_time, end_time, condition_id, count(*) AS m FROM c GROUP BY ALL)
+SELECT rule_id, asset_id, start_time, end_time, CAST(product(m) AS BIGINT) AS combinations FROM p
+GROUP BY rule_id, asset_id, start_time, end_time HAVING count(*) = 2
 """
 
 
@@ -453,9 +453,11 @@ def st4_exact_combinations(spark: SparkSession, sf: str) -> DataFrame:
     not enumerated."""
     from .catalog import SPEC_COLS, _conditions, _rule_readings, _run_window
     from .plans import rules as ru
-    spec = [(0, 1, "click", "count", ">=", 1.0, DAY, 43200, "and"), (0, 2, "view", "count", ">=", 1.0, DAY, 43200, "and")]
+    spec = [(61, 1, "click", "count", ">=", 1.0, DAY, 43200, "and"), (61, 2, "view", "count", ">=", 1.0, DAY, 43200, "and")]
     r = _rule_readings(spark, sf)
-    c = _run_window(_conditions(spark, r, spec, SPEC_COLS, per_asset_rule=1000))
-    cells = ru.count_cells(r, ru.with_members(c))
+    c = _run_window(_conditions(spark, spec, SPEC_COLS))
+    cells = ru.count_cells(r, ru.prepare(c))
     n = c.groupBy("rule_id").agg(F.count_distinct("condition_id").alias("n_conditions"))
-    return combine.combine_exact(cells.select("rule_id", "condition_id", "asset_id", "start_time", "end_time"), n)
+    # per-asset rule: combinations are formed inside each asset's scope
+    return combine.combine_exact(cells.select("rule_id", "condition_id", "asset_id", "start_time", "end_time"), n,
+                                 group=["rule_id", "asset_id"])

@@ -15,18 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def combine_exact(member_intervals: DataFrame, n_conditions: DataFrame) -> DataFrame:
+def combine_exact(member_intervals: DataFrame, n_conditions: DataFrame, group=("rule_id",)) -> DataFrame:
     """ST4/ST3/RU11 ``mode="exact"``: ``member_intervals`` holds (rule_id,
     condition_id, asset_id, start_time, end_time); ``n_conditions`` holds
-    (rule_id, n_conditions). Returns (rule_id, start_time, end_time, combinations)."""
-    per = (member_intervals.groupBy("rule_id", "start_time", "end_time", "condition_id")
+    (rule_id, n_conditions); ``group`` is the rule scope (add ``asset_id`` for
+    per-asset rules). Returns (group..., start_time, end_time, combinations)."""
+    g = list(group)
+    per = (member_intervals.groupBy(*g, "start_time", "end_time", "condition_id")
                            .agg(F.count(F.lit(1)).alias("_members")))
-    agg = per.groupBy("rule_id", "start_time", "end_time").agg(
+    agg = per.groupBy(*g, "start_time", "end_time").agg(
         F.count(F.lit(1)).alias("_conds"),
         F.aggregate(F.collect_list("_members"), F.lit(1).cast("long"), lambda acc, x: acc * x).alias("combinations"))
     return (agg.join(n_conditions, "rule_id")
                .filter(F.col("_conds") == F.col("n_conditions"))
-               .select("rule_id", "start_time", "end_time", "combinations"))
+               .select(*g, "start_time", "end_time", "combinations"))
 
 
 def combination_count(conditions: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Alert rules as data, evaluated for all rules in one Spark plan (RU4-RU10, RU14).
 
-A *condition* frame has one row per rule x condition x asset:
+A *condition* frame has one row per rule x condition x asset (asset null =
+every asset, evaluated per asset):
 
     rule_id int, condition_id int, asset_id, parameter string,
     function string   raw | avg | differential | count | magnitude | zscore
@@ -12,15 +13,18 @@ A *condition* frame has one row per rule x condition x asset:
 
 Readings are the long table ``asset_id, parameter, epoch, value, k``
 (``k`` = event class). Rules are never turned into SQL text: the small
-condition frame is joined to the readings (broadcast only when its plan size
-is small) and every rule kind becomes hit times -> islands -> AND/OR.
+condition frame is joined to the readings (broadcast when its row count, read
+once at plan time, is bounded) and every rule kind becomes hit times ->
+islands -> AND/OR.
 The work therefore grows with the readings scanned, not with the number of
 rules, and there is no per-rule job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -28,7 +32,6 @@ from ..functions.scalars import compare, pct_change
 from ..operators.intervals import all_present, intersect_members
 from ..operators.islands import islands
 from ..operators.windows import forward_average, trailing_stats
-from ..session import broadcast_if_small
 
 CONDITION_SCHEMA = StructType([
     StructField("rule_id", IntegerType()), StructField("condition_id", IntegerType()),
@@ -43,7 +46,25 @@ CONDITION_SCHEMA = StructType([
 MEMBER = ["rule_id", "condition_id", "asset_id"]
 # columns a member's hits carry into the window and island steps
 _KEEP = [*MEMBER, "epoch", "value", "duration", "operator", "threshold", "limit", "start_time", "end_time",
-         "n_members", "join_condition"]
+         "n_members", "join_condition", "_scope"]
+_EXTRA = ["n_members", "join_condition", "_scope"]
+
+# conditions beyond this many rows are joined without a broadcast hint
+MAX_BROADCAST_CONDITIONS = 1_000_000
+
+
+@dataclass
+class RulePlan:
+    """Prepared conditions plus the plan-time facts read from the (small)
+    condition table in one summary query."""
+    conditions: DataFrame
+    kinds: set[str]
+    durations: list[int]
+    n_rows: int
+    has_wildcard: bool
+    has_explicit: bool
+    lo: int | None
+    hi: int | None
 
 
 def gap_limit(data_frequency) -> Column:
@@ -52,17 +73,54 @@ def gap_limit(data_frequency) -> Column:
     return 2 * f - 1
 
 
-def with_members(conditions: DataFrame) -> DataFrame:
-    """Add ``limit`` and ``n_members`` (members of the rule = condition x asset rows)."""
-    n = conditions.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n_members"))
-    return (conditions.join(n, "rule_id")
-                      .withColumn("limit", gap_limit(F.col("data_frequency")))
-                      .withColumn("join_condition", F.lower(F.coalesce(F.col("join_condition"), F.lit("or")))))
+def prepare(conditions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_CONDITIONS) -> RulePlan:
+    """Add ``limit`` and ``n_members`` and read the plan-time facts.
 
-
-def _joined(readings: DataFrame, cond: DataFrame, lo: Column, hi: Column) -> DataFrame:
-    c = broadcast_if_small(cond)
-    j = readings.join(c, ["asset_id", "parameter"], "inner")
+    ``asset_id`` null means "every asset, evaluated per asset": the condition
+    is joined to the readings on ``parameter`` only, and AND combines the
+    rule's conditions per asset. Otherwise members are (condition, asset)
+    pairs of the rule. The condition table is broadcast only when its row
+    count, read here, is at most ``max_broadcast_rows``.
+    """
+    w = Window.partitionBy("rule_id")
+    c = (conditions.withColumn("limit", gap_limit(F.col("data_frequency")))
+                   .withColumn("join_condition", F.lower(F.coalesce(F.col("join_condition"), F.lit("or"))))
+                   .withColumn("n_members", F.count(F.lit(1)).over(w)))
+    fn = F.lower(F.col("function"))
+    rows = (c.groupBy(fn.alias("f"), "duration", F.col("asset_id").isNull().alias("wild"))
+             .agg(F.count(F.lit(1)).alias("n"),
+                  F.min(F.least(F.col("start_time") - F.greatest(F.col("limit"), F.coalesce(F.col("duration"), F.lit(0))),
+                                F.coalesce(F.col("baseline_time"), F.col("start_time")))).alias("lo"),
+                  F.max("end_time").alias("hi"))
+             .collect())
+    n = sum(r["n"] for r in rows)
+    los = [r["lo"] for r in rows if r["lo"] is not None]
+    his = [r["hi"] for r in rows if r["hi"] is not None]
+    c = F.broadcast(c) if n <= max_broadcast_rows else c
+    return RulePlan(
+        conditions=c, kinds={r["f"] for r in rows},
+        durations=sorted({int(r["duration"]) for r in rows if r["f"] in ("avg", "zscore") and r["duration"] is not None}),
+        n_rows=n, has_wildcard=any(r["wild"] for r in rows), has_explicit=any(not r["wild"] for r in rows),
+        lo=min(los) if los else None, hi=max(his) if his else None)
+
+
+def _joined(readings: DataFrame, plan: RulePlan, fn: str, lo: Column, hi: Column) -> DataFrame:
+    """Readings x conditions of one kind: explicit assets by (asset, parameter),
+    wildcard conditions by parameter; the readings side is never broadcast."""
+    c = plan.conditions.filter(F.lower(F.col("function")) == fn)
+    r = readings
+    if plan.lo is not None and plan.hi is not None:
+        r = r.filter(F.col("epoch").between(plan.lo, plan.hi))  # global run bounds, ahead of the join
+    parts = []
+    if plan.has_explicit:
+        e = c.filter(F.col("asset_id").isNotNull())
+        parts.append(r.join(e, ["asset_id", "parameter"], "inner").withColumn("_scope", F.lit("*")))
+    if plan.has_wildcard:
+        wc = c.filter(F.col("asset_id").isNull()).drop("asset_id")
+        parts.append(r.join(wc, "parameter", "inner").withColumn("_scope", F.col("asset_id").cast("string")))
+    j = parts[0]
+    for p in parts[1:]:
+        j = j.unionByName(p)
     return j.filter((F.col("epoch") >= lo) & (F.col("epoch") <= hi))
 
 
@@ -70,147 +128,133 @@ def _class_ok() -> Column:
     return F.col("class").isNull() | (F.col("k") == F.col("class"))
 
 
-def raw_hits(readings: DataFrame, cond: DataFrame) -> DataFrame:
+def raw_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU4: readings whose value passes the operator, in ``[start - limit, end]``."""
-    j = _joined(readings, cond, F.col("start_time") - F.col("limit"), F.col("end_time"))
+    j = _joined(readings, plan, "raw", F.col("start_time") - F.col("limit"), F.col("end_time"))
     return j.filter(compare("value", F.col("operator"), F.col("threshold")))
 
 
-def avg_hits(readings: DataFrame, cond: DataFrame, durations) -> DataFrame:
+def avg_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU5: forward sliding mean over ``[t, t + duration - 1]`` passes the operator."""
-    j = _joined(readings, cond, F.col("start_time"), F.col("end_time"))
-    fa = forward_average(j.select(*_KEEP), MEMBER, "epoch", "value", F.col("duration"), durations=durations)
+    j = _joined(readings, plan, "avg", F.col("start_time"), F.col("end_time"))
+    fa = forward_average(j.select(*_KEEP), MEMBER, "epoch", "value", F.col("duration"), durations=plan.durations)
     return fa.filter(compare("avg_value", F.col("operator"), F.col("threshold")))
 
 
-def differential_hits(readings: DataFrame, cond: DataFrame) -> DataFrame:
+def differential_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU6: change vs the reading at ``baseline_time``: absolute percent when the
     unit is ``%`` (S4: a zero baseline gives no hit), else the plain difference."""
-    base = (readings.join(broadcast_if_small(cond.select("rule_id", "condition_id", "asset_id", "parameter",
-                                                         "baseline_time")), ["asset_id", "parameter"])
-                    .filter(F.col("epoch") == F.col("baseline_time"))
-                    .groupBy(*MEMBER).agg(F.max(F.struct("epoch", "value"))["value"].alias("baseline_value")))
-    cur = _joined(readings, cond, F.col("start_time"), F.col("end_time"))
+    at_base = _joined(readings, plan, "differential", F.col("baseline_time"), F.col("baseline_time"))
+    base = (at_base.filter(F.col("epoch") == F.col("baseline_time"))
+                   .groupBy(*MEMBER).agg(F.max(F.struct("epoch", "value"))["value"].alias("baseline_value")))
+    cur = _joined(readings, plan, "differential", F.col("start_time"), F.col("end_time"))
     j = cur.join(base, MEMBER, "inner")
     diff = F.when(F.col("threshold_unit") == "%", pct_change("value", "baseline_value", absolute=True)) \
             .otherwise(F.col("value") - F.col("baseline_value"))
     return j.withColumn("value_difference", diff).filter(compare("value_difference", F.col("operator"), F.col("threshold")))
 
 
-def zscore_hits(readings: DataFrame, cond: DataFrame, durations) -> DataFrame:
+def zscore_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """z-score rule (S9): history ``[start - d, end)``, flags in ``[start, end)``."""
-    j = _joined(readings, cond, F.col("start_time") - F.col("duration"), F.col("end_time") - 1)
-    st = trailing_stats(j.select(*_KEEP), MEMBER, "epoch", "value", F.col("duration"), durations=durations)
+    j = _joined(readings, plan, "zscore", F.col("start_time") - F.col("duration"), F.col("end_time") - 1)
+    st = trailing_stats(j.select(*_KEEP), MEMBER, "epoch", "value", F.col("duration"), durations=plan.durations)
     z = F.when(F.col("hist_std") != 0, (F.col("value") - F.col("hist_mean")) / F.col("hist_std"))
     return (st.filter(F.col("epoch") >= F.col("start_time"))
               .filter(compare(F.abs(z), F.col("operator"), F.col("threshold"))))
 
 
-def count_cells(readings: DataFrame, cond: DataFrame) -> DataFrame:
+def count_cells(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU7 / AG8: tumbling event count on a grid anchored at the window start;
     cells whose count passes the operator -> ``[start + d*g, start + d*g + d]``."""
-    j = _joined(readings, cond, F.col("start_time"), F.col("end_time")).filter(_class_ok())
+    j = _joined(readings, plan, "count", F.col("start_time"), F.col("end_time")).filter(_class_ok())
     g = F.floor((F.col("epoch") - F.col("start_time")) / F.col("duration")).cast("long")
     agg = (j.withColumn("grp", g)
-            .groupBy(*MEMBER, "grp", "start_time", "duration", "operator", "threshold", "n_members", "join_condition")
+            .groupBy(*MEMBER, "grp", "start_time", "duration", "operator", "threshold", *_EXTRA)
             .agg(F.count(F.lit(1)).alias("n_events")))
     return (agg.filter(compare("n_events", F.col("operator"), F.col("threshold")))
                .withColumn("start_time", F.col("start_time") + F.col("duration") * F.col("grp"))
                .withColumn("end_time", F.col("start_time") + F.col("duration")))
 
 
-def magnitude_hits(readings: DataFrame, cond: DataFrame) -> DataFrame:
+def magnitude_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU8: readings passing the operator (optionally of one class) in the window."""
-    j = _joined(readings, cond, F.col("start_time"), F.col("end_time")).filter(_class_ok())
+    j = _joined(readings, plan, "magnitude", F.col("start_time"), F.col("end_time")).filter(_class_ok())
     return j.filter(compare("value", F.col("operator"), F.col("threshold")))
 
 
-def _islands_of(hits: DataFrame, ts: str) -> DataFrame:
-    return islands(hits, MEMBER, ts, F.col("limit"), duration=F.col("duration"),
-                   lo=F.col("start_time") - F.col("limit"), hi=F.col("end_time"),
-                   extra=["n_members", "join_condition"])
-
-
-def rule_kinds(conditions: DataFrame) -> tuple[set[str], list[int]]:
-    """Plan-time facts of a (small) condition table: the rule kinds present and
-    the distinct durations of window rules. Fetching them builds only the
-    branches the rules need and gives window frames their literal widths."""
-    rows = (conditions.select(F.lower(F.col("function")).alias("f"), "duration").distinct().collect())
-    kinds = {r["f"] for r in rows}
-    durations = sorted({int(r["duration"]) for r in rows if r["f"] in ("avg", "zscore") and r["duration"] is not None})
-    return kinds, durations
+def _islands_of(hits: DataFrame) -> DataFrame:
+    return islands(hits, MEMBER, "epoch", F.col("limit"), duration=F.col("duration"),
+                   lo=F.col("start_time") - F.col("limit"), hi=F.col("end_time"), extra=_EXTRA)
 
 
-def member_intervals(readings: DataFrame, conditions: DataFrame, durations=None, kinds=None) -> DataFrame:
+def member_intervals(readings: DataFrame, conditions: DataFrame | RulePlan) -> DataFrame:
     """Per member (rule, condition, asset) anomaly intervals for all rule kinds
     except event counts: ``rule_id, condition_id, asset_id, n_members,
-    join_condition, start_time, end_time``."""
-    if kinds is None or durations is None:
-        k2, d2 = rule_kinds(conditions)
-        kinds = k2 if kinds is None else kinds
-        durations = d2 if durations is None else durations
-    c = with_members(conditions)
-    fn = F.lower(F.col("function"))
+    join_condition, _scope, start_time, end_time``."""
+    plan = conditions if isinstance(conditions, RulePlan) else prepare(conditions)
     parts = []
-    if "raw" in kinds:
-        parts.append(_islands_of(raw_hits(readings, c.filter(fn == "raw")), "epoch"))
-    if "avg" in kinds:
-        parts.append(_islands_of(avg_hits(readings, c.filter(fn == "avg"), durations), "epoch"))
-    if "zscore" in kinds:
-        parts.append(_islands_of(zscore_hits(readings, c.filter(fn == "zscore"), durations), "epoch"))
-    if "differential" in kinds:
-        parts.append(_islands_of(differential_hits(readings, c.filter(fn == "differential")), "epoch"))
-    if "magnitude" in kinds:
-        parts.append(magnitude_hits(readings, c.filter(fn == "magnitude")).select(
-            *MEMBER, "n_members", "join_condition", F.col("epoch").alias("start_time"),
-            F.col("epoch").alias("end_time")))
+    if "raw" in plan.kinds:
+        parts.append(_islands_of(raw_hits(readings, plan)))
+    if "avg" in plan.kinds:
+        parts.append(_islands_of(avg_hits(readings, plan)))
+    if "zscore" in plan.kinds:
+        parts.append(_islands_of(zscore_hits(readings, plan)))
+    if "differential" in plan.kinds:
+        parts.append(_islands_of(differential_hits(readings, plan)))
+    if "magnitude" in plan.kinds:
+        parts.append(magnitude_hits(readings, plan).select(
+            *MEMBER, *_EXTRA, F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time")))
     if not parts:
-        spark = conditions.sparkSession
+        spark = readings.sparkSession
         return spark.createDataFrame([], "rule_id int, condition_id int, asset_id long, n_members long, "
-                                         "join_condition string, start_time long, end_time long")
+                                         "join_condition string, _scope string, start_time long, end_time long")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def evaluate(readings: DataFrame, conditions: DataFrame, durations=None) -> DataFrame:
-    """Anomalies ``rule_id, start_time, end_time`` of every rule (RU10).
+def _scope_asset(readings: DataFrame) -> Column:
+    t = readings.schema["asset_id"].dataType
+    return F.when(F.col("_scope") == "*", F.lit(None)).otherwise(F.col("_scope")).cast(t).alias("asset_id")
+
+
+def evaluate(readings: DataFrame, conditions: DataFrame | RulePlan) -> DataFrame:
+    """Anomalies ``rule_id, asset_id, start_time, end_time`` of every rule (RU10).
 
-    OR rules (and single-member rules) keep every member interval (UNION ALL);
-    AND rules keep the spans where all members hold an interval (sweep line);
-    event-count AND rules need every member in the same grid cell (S13).
-    ``durations`` lists the distinct ``duration`` values of avg / zscore
-    conditions (window frames need literal widths).
+    OR rules (and single-member rules) keep every member interval (UNION ALL;
+    ``asset_id`` = the member's asset); AND rules keep the spans where all
+    members hold an interval (sweep line; ``asset_id`` = the asset of a
+    per-asset rule, null for a multi-asset rule); event-count AND rules need
+    every member in the same grid cell (S13).
     """
-    kinds, d2 = rule_kinds(conditions)
-    durations = d2 if durations is None else durations
-    mi = member_intervals(readings, conditions, durations, kinds)
+    plan = conditions if isinstance(conditions, RulePlan) else prepare(conditions)
+    mi = member_intervals(readings, plan)
     is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
-    ors = mi.filter(~is_and).select("rule_id", "start_time", "end_time")
-    ands = intersect_members(mi.filter(is_and), ["rule_id"], "condition_id", "n_members")
+    ors = mi.filter(~is_and).select("rule_id", "asset_id", "start_time", "end_time")
+    ands = (intersect_members(mi.filter(is_and), ["rule_id", "_scope"], "condition_id", "n_members")
+            .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
     out = ors.unionByName(ands)
-    if "count" not in kinds:
+    if "count" not in plan.kinds:
         return out
-    c = with_members(conditions)
-    cells = count_cells(readings, c.filter(F.lower(F.col("function")) == "count"))
-    c_is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
-    c_or = cells.filter(~c_is_and).select("rule_id", "start_time", "end_time")
-    c_and = (all_present(cells.filter(c_is_and).withColumn("member", F.concat_ws(":", "condition_id", "asset_id")),
-                         ["rule_id", "start_time", "end_time"], "grp", "member", "n_members")
-             .select("rule_id", "start_time", "end_time"))
+    cells = count_cells(readings, plan)
+    c_or = cells.filter(~is_and).select("rule_id", "asset_id", "start_time", "end_time")
+    c_and = (all_present(cells.filter(is_and).withColumn("member", F.concat_ws(":", "condition_id", "asset_id")),
+                         ["rule_id", "_scope", "start_time", "end_time"], "grp", "member", "n_members")
+             .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
     return out.unionByName(c_or).unionByName(c_and)
 
 
 def messages(anomalies: DataFrame, rules: DataFrame) -> DataFrame:
     """One JSON message per rule with anomalies (RU14):
-    ``{"anomalies": [{start_time, end_time}...], "time_range": {...}, "rule": {...}}``.
+    ``{"anomalies": [{asset_id, start_time, end_time}...], "time_range": {...}, "rule": {...}}``.
 
-    The anomaly list of a rule is bounded by its run window (islands are
-    separated by more than the gap limit), so the per-rule collect is bounded.
+    The anomaly list of a rule is bounded by its run window and assets
+    (islands are separated by more than the gap limit), so the per-rule
+    collect is bounded.
     """
     per = (anomalies.groupBy("rule_id")
-                    .agg(F.sort_array(F.collect_list(F.struct("start_time", "end_time"))).alias("anomalies")))
+                    .agg(F.sort_array(F.collect_list(F.struct("start_time", "end_time", "asset_id"))).alias("anomalies")))
     r = rules.select("rule_id", F.struct(*[c for c in rules.columns]).alias("rule"),
                      F.struct(F.col("start_time"), F.col("end_time")).alias("time_range"))
     j = per.join(r, "rule_id")
