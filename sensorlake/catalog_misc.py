@@ -42,9 +42,7 @@ def go1_hourly_gap_fill(spark: SparkSession, sf: str) -> DataFrame:
     that day gets every hour; empty hours keep only count = 0."""
     r = readings(spark, sf, since=GO1_START, until=GO1_END)
     b = resample.assign_bucket(r, "epoch", HOUR, GO1_START, GO1_END, required=["value"])
-    cal = resample.bucket_calendar(spark, GO1_START, GO1_END, HOUR)
-    n = (GO1_END - GO1_START) // HOUR + 1
-    g = resample.summarize(b, ["asset_id"], "epoch", ["value"], HOUR, calendar=cal, calendar_rows=n)
+    g = resample.summarize(b, ["asset_id"], "epoch", ["value"], HOUR, calendar=(GO1_START, GO1_END))
     return g.select("asset_id", "bucket_start", "parameter", "timestamp", _r6())
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import compare
@@ -61,12 +61,11 @@ def linear_soft_sensor(df: DataFrame, coefficients: DataFrame, keys: Sequence[st
     any listed tag is absent for the key; optional ``transform(Column)`` (the
     ratio step, caller supplied)."""
     coef = broadcast_if_small(coefficients.withColumnRenamed("tag", tag))
-    n_tags = coefficients.agg(F.count(F.lit(1)).alias("_n"))
+    n_tags = coefficients.select("tag").distinct().count()  # model size, a handful of tags
     j = df.join(coef, tag)
     agg = j.groupBy(*keys).agg(F.sum(F.col("coef") * F.col(value)).alias("_s"),
                                F.count_distinct(tag).alias("_k"))
-    agg = agg.crossJoin(F.broadcast(n_tags))  # one row
-    v = F.when(F.col("_k") == F.col("_n"), F.col("_s") + F.lit(intercept))
+    v = F.when(F.col("_k") == F.lit(n_tags), F.col("_s") + F.lit(intercept))
     if transform is not None:
         v = transform(v)
     return agg.select(*keys, v.alias("value"))
@@ -133,8 +132,8 @@ def min_of_max(df: DataFrame, group: str, ts: str) -> DataFrame:
     """AG14: latest time per group and the earliest of those latest times
     (the common "data complete up to" watermark)."""
     per = df.groupBy(group).agg(F.max(ts).alias("max_time"))
-    low = per.agg(F.min("max_time").alias("min_of_max"))
-    return per.crossJoin(F.broadcast(low))  # one row
+    # one row per sensor type: a global window over that tiny aggregate
+    return per.withColumn("min_of_max", F.min("max_time").over(Window.partitionBy()))
 
 
 def top_n(df: DataFrame, key: str, n: int = 10) -> DataFrame:

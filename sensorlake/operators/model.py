@@ -24,11 +24,12 @@ def predict_linear(df: DataFrame, coefficients: DataFrame, keys: Sequence[str],
     table ``(keys..., feature, value)`` and coefficients ``(feature, coef)`` plus an
     ``__intercept__`` row. Quadratic models list squared / cross features as
     ``a*b`` names; their values are computed by ``expand_quadratic``."""
-    coef = broadcast_if_small(coefficients)
+    coef = broadcast_if_small(coefficients.filter(F.col(feature) != "__intercept__"))
     j = df.join(coef, feature)
-    intercept = coefficients.filter(F.col(feature) == "__intercept__").select(F.col("coef").alias("_b0"))
+    # the intercept is one model number: read it once, use it as a literal
+    b0 = [r[0] for r in coefficients.filter(F.col(feature) == "__intercept__").select("coef").collect()]
     pred = j.groupBy(*keys).agg(F.sum(F.col("coef") * F.col(value)).alias("_s"))
-    return pred.crossJoin(F.broadcast(intercept)).select(*keys, (F.col("_s") + F.col("_b0")).alias(out))
+    return pred.select(*keys, (F.col("_s") + F.lit(b0[0] if b0 else 0.0)).alias(out))
 
 
 def predict_wide(df: DataFrame, coefficients: DataFrame, feature: str = "feature", out: str = "predicted"):

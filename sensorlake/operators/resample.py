@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bucket_floor, col
-from ..session import broadcast_if_rows
 
 # Gold bucket sizes (seconds) for the 30 min ... 1 month products (GO9).
 GOLD_BUCKETS = (60, 120, 3600, 21600, 86400)
@@ -89,22 +88,22 @@ def bucket_aggregate(df: DataFrame, keys: Sequence[str], ts: str, metrics: Seque
 
 
 def summarize(df: DataFrame, keys: Sequence[str], ts: str, metrics: Sequence[str], n: int,
-              calendar: DataFrame | None = None, calendar_rows: int | None = None,
-              name_col: str | None = None) -> DataFrame:
+              calendar: tuple[int, int] | None = None, name_col: str | None = None) -> DataFrame:
     """Long gold rows ``keys, parameter, bucket_start, timestamp, value`` (GO3/GO4/GO6).
 
     Parameters are ``<metric>_{min,max,sum,count}``; min/max rows carry the time
-    of the extreme, sum/count rows the bucket start. With ``calendar`` (GO1) every
-    key seen in the input gets every calendar bucket; an empty bucket yields only
-    a ``count = 0`` row (JN8). The calendar is broadcast only when its row count,
-    known from its bounds, is small. ``name_col`` (one of ``keys``) names the
-    output after a tag column of a long table: ``<tag>_min`` etc.
+    of the extreme, sum/count rows the bucket start. With ``calendar = (start,
+    end)`` (GO1) every key seen in the input gets every bucket of the range; an
+    empty bucket yields only a ``count = 0`` row (JN8). The grid is generated
+    per key (``explode(sequence)``), not by a cross join, and left-joined to the
+    aggregate on (keys, bucket). ``name_col`` (one of ``keys``) names the output
+    after a tag column of a long table: ``<tag>_min`` etc.
     """
     agg = bucket_aggregate(df, keys, ts, metrics, n)
     if calendar is not None:
-        seen = agg.select(*keys).distinct()
-        cal = broadcast_if_rows(calendar, calendar_rows if calendar_rows is not None else 10**9)
-        grid = seen.crossJoin(cal)
+        lo, hi = calendar[0] - calendar[0] % n, calendar[1] - calendar[1] % n
+        grid = agg.select(*keys).distinct().withColumn(
+            "bucket_start", F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"), F.lit(n).cast("long"))))
         agg = grid.join(agg, [*keys, "bucket_start"], "left")
     return _melt(agg, keys, metrics, name_col)
 

@@ -173,7 +173,7 @@ def _local_ewm(keys: list[str], ts: str, value: str, a: float):
 
 
 def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: float, out: str = "smoothed",
-               chunk=DEFAULT_CHUNK) -> DataFrame:
+               chunk=DEFAULT_CHUNK, materialize: bool = True) -> DataFrame:
     """Exponential smoothing (WN8): ``y_1 = x_1``, ``y_j = a*x_j + (1-a)*y_{j-1}``.
 
     Null inputs are skipped (the state carries over) and stay null in ``out``.
@@ -191,8 +191,11 @@ def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: f
     c = df.withColumn("_chunk", chunk_of(ts, chunk))
     schema = StructType([*c.schema.fields, StructField("_k", LongType()), StructField("_L", DoubleType()),
                          StructField("_S", DoubleType())])
-    loc = (c.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", ts)
+    loc = (c.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", ts, value)
             .mapInPandas(_local_ewm(keys, ts, value, a), schema))
+    if materialize:
+        from ..session import cut_lineage
+        loc = cut_lineage(loc)
     per = (loc.filter(F.col("_L").isNotNull()).groupBy(*keys, "_chunk")
               .agg(F.max(F.struct("_k", "_L")).alias("_last"), F.min(F.struct("_k", F.col(value).alias("x"))).alias("_f"))
               .select(*keys, "_chunk", F.col("_last._k").alias("_m"), F.col("_last._L").alias("_llast"),

@@ -17,8 +17,7 @@ def generate_gauge(spark: SparkSession, start: int, end: int, assets: Sequence[s
     second in ``[start, end)`` and asset. ``anomalies`` holds
     ``(asset_id, from, to, column, value)`` windows that override the value."""
     t = spark.range(start, end).withColumnRenamed("id", "epoch_timestamp")
-    a = spark.createDataFrame([(x,) for x in assets], "asset_id string")
-    df = t.crossJoin(F.broadcast(a))  # assets: a short configuration list
+    df = t.withColumn("asset_id", F.explode(F.array(*[F.lit(a) for a in assets])))
     for i, (name, (lo, hi)) in enumerate(bounds.items()):
         df = df.withColumn(name, F.lit(lo) + F.rand(seed + i) * F.lit(hi - lo))
     for asset, frm, to, c, v in anomalies:

@@ -52,9 +52,10 @@ def soft_tag_stream(df: DataFrame, mapping: DataFrame, window: str = "60 seconds
     output tag) aggregate over the listed input tags. One checkpoint per group
     instead of one query per soft tag."""
     w = df.withWatermark(ts, watermark).withColumn("_w", F.window(ts, window))
-    out = ag.soft_tags(w.withColumn("window_start", F.col("_w.start")).drop("_w"), mapping,
-                       ["window_start"], "tag_id", "value", ts)
-    return out.select("tag_id", "value", F.col(ts).alias("timestamp"), "quality", "window_start")
+    # group by the window struct itself so the watermark applies (append mode)
+    out = ag.soft_tags(w, mapping, ["_w"], "tag_id", "value", ts)
+    return out.select("tag_id", "value", F.col(ts).alias("timestamp"), "quality",
+                      F.col("_w.start").alias("window_start"))
 
 
 def pivot_batch(tags: Sequence[str], expression, batch: str = "last_updated_date", out_tag: str = "derived",
