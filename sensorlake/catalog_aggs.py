@@ -472,3 +472,38 @@ def wn9_equal_count_buckets(spark: SparkSession, sf: str) -> DataFrame:
     """WN9: ntile(24) over the distinct profile times of each asset, with bucket start time."""
     f = fibre(spark, sf)
     return wn.equal_count_buckets(f, ["asset_id"], "timestamp", 24).select("asset_id", "timestamp", "bucket", "bucket_time")
+
+
+# ---------------------------------------------------------------- PJ scalar functions
+
+PJ_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       round(CASE l_returnflag WHEN 'R' THEN l_extendedprice * 0.001 WHEN 'A' THEN l_extendedprice * 0.66
+            ELSE l_extendedprice END, 6) AS scaled_price,
+       CAST(floor(epoch(l_shipdate)) AS BIGINT) - CAST(floor(epoch(l_shipdate)) AS BIGINT) % 86400 AS ship_day,
+       CASE WHEN length(CAST(l_partkey AS VARCHAR)) >= 18 THEN CAST(l_partkey AS VARCHAR)
+            ELSE lpad(CAST(l_partkey AS VARCHAR), 18, '0') END AS part_code,
+       round(abs((l_extendedprice * (1 - l_discount) - l_extendedprice) / nullif(l_extendedprice, 0)) * 100, 6) AS discount_pct,
+       coalesce(CASE lower(trim(l_linestatus)) WHEN 'o' THEN 'open' WHEN 'f' THEN 'filled' END, l_linestatus) AS status_name,
+       l_quantity > 25 AS big_line
+FROM lineitem
+WHERE coalesce(l_discount, 0) <> 0 OR coalesce(l_tax, 0) <> 0
+"""
+
+
+@register("pj_scalar_functions", PJ_SQL)
+def pj_scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
+    """PJ5/PJ7/PJ9/PJ10/PJ11/PJ14/PJ15: unit scaling per flag, day floor, zero-padded codes,
+    percentage change, name normalisation, operator compare, non-zero filter."""
+    from .functions import scalars as sc
+    li = table(spark, sf, "lineitem")
+    ep = sc.epoch_seconds("l_shipdate", li.schema["l_shipdate"].dataType)
+    li = li.filter(sc.nonzero_traffic("l_discount", "l_tax"))
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.round(sc.scale_units("l_extendedprice", "l_returnflag", {"R": 0.001, "A": 0.66}), 6).alias("scaled_price"),
+        sc.bucket_floor(ep, DAY).alias("ship_day"),
+        sc.zfill("l_partkey", 18).alias("part_code"),
+        F.round(sc.pct_change(F.col("l_extendedprice") * (1 - F.col("l_discount")), "l_extendedprice"), 6).alias("discount_pct"),
+        sc.normalise("l_linestatus", {"o": "open", "f": "filled"}).alias("status_name"),
+        sc.compare("l_quantity", ">", 25.0).alias("big_line"))
