@@ -104,7 +104,7 @@ def intersect_members(intervals: DataFrame, group: Sequence[str], member: str, n
     tot = carry(tot, g, {"_before": F.sum("_tot")})
     wk = Window.partitionBy(*g).orderBy("_chunk")
     tot = tot.withColumn("_nfirst", F.lead("_first").over(wk)).select(*g, "_chunk", "_before", "_nfirst")
-    ev = ev.join(tot, [*g, "_chunk"], "left")
+    ev = ev.join(tot, [*g, "_chunk"], "inner")
     ev = (ev.withColumn("_cov", F.col("_loc") + F.coalesce(F.col("_before"), F.lit(0)))
             .withColumn("_next", F.coalesce(F.lead("_p").over(wc), F.col("_nfirst"))))
     return (ev.filter((F.col("_cov") == F.col(n_members)) & F.col("_next").isNotNull())

@@ -27,15 +27,22 @@ def _lit(x) -> Column:
 
 
 def islands(hits: DataFrame, keys: Sequence[str], ts: str, limit, duration=None, lo=None, hi=None,
-            chunk=DEFAULT_CHUNK, extra: Sequence[str] = ()) -> DataFrame:
+            chunk=DEFAULT_CHUNK, extra: Sequence[str] = (), materialize: bool = False) -> DataFrame:
     """Islands ``keys..., start_time, end_time`` of hit times ``ts``.
 
     ``limit``, ``duration``, ``lo``, ``hi`` are ints or per-row columns (all rows
-    of one key must agree, e.g. columns of a rule). ``extra`` columns, constant
-    per key, are carried to the output. With ``duration`` None every island is kept.
+    of one key must agree, e.g. columns of a rule); ``limit`` may also name one of
+    the ``extra`` columns. ``extra`` columns, constant per key, are carried to the
+    output. With ``duration`` None every island is kept. Only the keys, the time,
+    the limit and the extras travel through the shuffle.
+
+    The boundary rows feed two consumers (chunk summary and rows); with
+    ``materialize`` they are checkpointed once (shared checkpoint folder), so the
+    hits are read, joined and shuffled only once.
     """
     keys = list(keys)
-    params = {"_limit": _lit(limit)}
+    params = {} if isinstance(limit, str) else {"_limit": _lit(limit)}
+    lim = F.col(limit) if isinstance(limit, str) else F.col("_limit")
     if duration is not None:
         params["_dur"] = _lit(duration)
     if lo is not None:
@@ -43,30 +50,38 @@ def islands(hits: DataFrame, keys: Sequence[str], ts: str, limit, duration=None,
     if hi is not None:
         params["_hi"] = _lit(hi)
     pcols = list(params)
-    h = hits.select(*keys, *extra, F.col(ts).alias("_t"), *[v.alias(k) for k, v in params.items()])
-    h = h.withColumn("_chunk", chunk_of("_t", chunk))
+    h = hits.filter(F.col(ts).isNotNull()).select(*keys, *extra, F.col(ts).alias("_t"),
+                                                  *[v.alias(k) for k, v in params.items()])
+    # non-nullable chunk id: no inferred null filters, so every branch reading the
+    # windowed hits has the same plan and the hits shuffle is reused, not redone
+    h = h.withColumn("_chunk", F.coalesce(chunk_of("_t", chunk), F.lit(0).cast("long")))
     wc = Window.partitionBy(*keys, "_chunk").orderBy("_t")
     h = h.withColumn("_p", F.lag("_t").over(wc)).withColumn("_n", F.lead("_t").over(wc))
-    gap_before = F.col("_p").isNull() | (F.col("_t") - F.col("_p") > F.col("_limit"))
-    gap_after = F.col("_n").isNull() | (F.col("_n") - F.col("_t") > F.col("_limit"))
+    gap_before = F.col("_p").isNull() | (F.col("_t") - F.col("_p") > lim)
+    gap_after = F.col("_n").isNull() | (F.col("_n") - F.col("_t") > lim)
     b0 = h.filter(gap_before | gap_after)  # candidate boundaries incl. first/last row of each chunk
+    if materialize:
+        from ..session import cut_lineage
+        b0 = cut_lineage(b0)
 
     # previous chunk's last hit and next chunk's first hit (one row per chunk)
     s = b0.groupBy(*keys, "_chunk").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     wk = Window.partitionBy(*keys).orderBy("_chunk")
     s = s.select(*keys, "_chunk", F.lag("_last").over(wk).alias("_pl"), F.lead("_first").over(wk).alias("_nf"))
-    b1 = b0.join(s, [*keys, "_chunk"], "left")
+    # inner joins: every chunk of b0 has a summary row, and matching join types keep the
+    # two branches' plans identical so Spark reuses the shuffle of the hits
+    b1 = b0.join(s, [*keys, "_chunk"], "inner")
     prev = F.coalesce(F.col("_p"), F.col("_pl"))
     nxt = F.coalesce(F.col("_n"), F.col("_nf"))
-    b1 = (b1.withColumn("_is_start", prev.isNull() | (F.col("_t") - prev > F.col("_limit")))
-            .withColumn("_is_end", nxt.isNull() | (nxt - F.col("_t") > F.col("_limit")))
+    b1 = (b1.withColumn("_is_start", prev.isNull() | (F.col("_t") - prev > lim))
+            .withColumn("_is_end", nxt.isNull() | (nxt - F.col("_t") > lim))
             .filter(F.col("_is_start") | F.col("_is_end"))
             .withColumn("_s", F.when(F.col("_is_start"), F.col("_t"))))
 
     # island start for end rows: latest start at or before it, possibly in an earlier chunk
     cs = b1.groupBy(*keys, "_chunk").agg(F.max("_s").alias("_ls"))
     cs = carry(cs, keys, {"_carry": F.max("_ls")}).select(*keys, "_chunk", "_carry")
-    b2 = b1.join(cs, [*keys, "_chunk"], "left")
+    b2 = b1.join(cs, [*keys, "_chunk"], "inner")
     run = Window.partitionBy(*keys, "_chunk").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
     b2 = b2.withColumn("_start", F.coalesce(F.max("_s").over(run), F.col("_carry")))
     out = b2.filter("_is_end").select(*keys, *extra, F.col("_start").alias("start_time"),

@@ -43,15 +43,25 @@ def _frame_by_duration(w: Window, fn, value: str, d, durations: Sequence[int] |
     return expr
 
 
+def _chunk_for(d, chunk):
+    """Chunk length: at least a day and at least four frame widths, so the halo
+    copies stay below a quarter of the rows (per row when ``d`` is a column)."""
+    if chunk is not None:
+        return chunk
+    if isinstance(d, Column):
+        return F.greatest(F.lit(DEFAULT_CHUNK).cast("long"), 4 * d.cast("long"))
+    return max(DEFAULT_CHUNK, 4 * int(d))
+
+
 def forward_average(df: DataFrame, keys: Sequence[str], ts: str, value: str, d,
-                    durations: Sequence[int] | None = None, chunk=DEFAULT_CHUNK) -> DataFrame:
+                    durations: Sequence[int] | None = None, chunk=None) -> DataFrame:
     """Forward sliding mean over ``[t, t + d - 1]`` (WN3), one row per distinct ``t``.
 
     Output ``keys, ts, avg_value``. Rows near the end of the data see a partial
     window (S8). ``d`` is an int, or a column with its distinct values in ``durations``.
     """
     dcol = d if isinstance(d, Column) else F.lit(int(d))
-    h = halo_split(df, ts, before=0, after=dcol - 1, chunk=chunk)
+    h = halo_split(df, ts, before=0, after=dcol - 1, chunk=_chunk_for(d, chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy(ts)
     avg = _frame_by_duration(w, F.avg, value, d, durations, lambda x: 0, lambda x: x - 1)
     out = h.withColumn("avg_value", avg).filter("_primary")
@@ -59,10 +69,10 @@ def forward_average(df: DataFrame, keys: Sequence[str], ts: str, value: str, d,
 
 
 def trailing_stats(df: DataFrame, keys: Sequence[str], ts: str, value: str, d,
-                   durations: Sequence[int] | None = None, chunk=DEFAULT_CHUNK) -> DataFrame:
+                   durations: Sequence[int] | None = None, chunk=None) -> DataFrame:
     """Mean and sample std of the previous ``d`` seconds ``[t - d, t - 1]`` (WN4 frame)."""
     dcol = d if isinstance(d, Column) else F.lit(int(d))
-    h = halo_split(df, ts, before=dcol, after=0, chunk=chunk)
+    h = halo_split(df, ts, before=dcol, after=0, chunk=_chunk_for(d, chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy(ts)
     mean = _frame_by_duration(w, F.avg, value, d, durations, lambda x: -x, lambda x: -1)
     std = _frame_by_duration(w, F.stddev_samp, value, d, durations, lambda x: -x, lambda x: -1)
@@ -72,7 +82,7 @@ def trailing_stats(df: DataFrame, keys: Sequence[str], ts: str, value: str, d,
 
 def trailing_zscore(df: DataFrame, keys: Sequence[str], ts: str, value: str, d, op: str = ">",
                     threshold: float = 3.0, durations: Sequence[int] | None = None,
-                    chunk=DEFAULT_CHUNK) -> DataFrame:
+                    chunk=None) -> DataFrame:
     """Trailing z-score (WN4, S9): current row excluded, sample std; a null or
     zero std flags nothing. Output rows carry ``zscore`` and ``flag``."""
     from ..functions.scalars import compare

@@ -61,6 +61,8 @@ class RulePlan:
     kinds: set[str]
     durations: list[int]
     n_rows: int
+    has_and: bool
+    has_or: bool
     has_wildcard: bool
     has_explicit: bool
     lo: int | None
@@ -87,7 +89,8 @@ def prepare(conditions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_CONDI
                    .withColumn("join_condition", F.lower(F.coalesce(F.col("join_condition"), F.lit("or"))))
                    .withColumn("n_members", F.count(F.lit(1)).over(w)))
     fn = F.lower(F.col("function"))
-    rows = (c.groupBy(fn.alias("f"), "duration", F.col("asset_id").isNull().alias("wild"))
+    is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
+    rows = (c.groupBy(fn.alias("f"), "duration", F.col("asset_id").isNull().alias("wild"), is_and.alias("is_and"))
              .agg(F.count(F.lit(1)).alias("n"),
                   F.min(F.least(F.col("start_time") - F.greatest(F.col("limit"), F.coalesce(F.col("duration"), F.lit(0))),
                                 F.coalesce(F.col("baseline_time"), F.col("start_time")))).alias("lo"),
@@ -100,7 +103,8 @@ def prepare(conditions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_CONDI
     return RulePlan(
         conditions=c, kinds={r["f"] for r in rows},
         durations=sorted({int(r["duration"]) for r in rows if r["f"] in ("avg", "zscore") and r["duration"] is not None}),
-        n_rows=n, has_wildcard=any(r["wild"] for r in rows), has_explicit=any(not r["wild"] for r in rows),
+        n_rows=n, has_and=any(r["is_and"] for r in rows), has_or=any(not r["is_and"] for r in rows),
+        has_wildcard=any(r["wild"] for r in rows), has_explicit=any(not r["wild"] for r in rows),
         lo=min(los) if los else None, hi=max(his) if his else None)
 
 
@@ -182,9 +186,27 @@ def magnitude_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     return j.filter(compare("value", F.col("operator"), F.col("threshold")))
 
 
-def _islands_of(hits: DataFrame) -> DataFrame:
-    return islands(hits, MEMBER, "epoch", F.col("limit"), duration=F.col("duration"),
-                   lo=F.col("start_time") - F.col("limit"), hi=F.col("end_time"), extra=_EXTRA)
+def _islands_of(hits: DataFrame, plan: RulePlan) -> DataFrame:
+    """Islands per member; only (member, time, limit) travel through the shuffle.
+    Rule parameters come back afterwards from the broadcast condition table
+    (one row per rule x condition) for the duration / window-edge test (S2)."""
+    # chunk by expected density: about 1e5 readings at the member's data frequency
+    # (limit = 2f - 1), between one day and one year
+    chunk = F.least(F.greatest((F.col("limit") + 1) * 50_000, F.lit(86_400)), F.lit(365 * 86_400)).cast("long")
+    isl = (islands(hits, MEMBER, "epoch", "limit", extra=["limit"], chunk=chunk)
+           .withColumnRenamed("start_time", "_is").withColumnRenamed("end_time", "_ie"))
+    params = (plan.conditions.select("rule_id", "condition_id", "duration", "start_time", "end_time", "n_members",
+                                     "join_condition", F.col("asset_id").isNull().alias("_wild"))
+                             .dropDuplicates(["rule_id", "condition_id"]))
+    if plan.n_rows <= MAX_BROADCAST_CONDITIONS:
+        params = F.broadcast(params)
+    j = isl.join(params, ["rule_id", "condition_id"])
+    keep = ((F.col("_ie") - F.col("_is") >= F.col("duration"))
+            | (F.col("_is") == F.col("start_time") - F.col("limit"))
+            | (F.col("_ie") == F.col("end_time")))
+    scope = F.when(F.col("_wild"), F.col("asset_id").cast("string")).otherwise(F.lit("*"))
+    return j.filter(keep).select(*MEMBER, "n_members", "join_condition", scope.alias("_scope"),
+                                 F.col("_is").alias("start_time"), F.col("_ie").alias("end_time"))
 
 
 def member_intervals(readings: DataFrame, conditions: DataFrame | RulePlan) -> DataFrame:
@@ -194,13 +216,13 @@ def member_intervals(readings: DataFrame, conditions: DataFrame | RulePlan) -> D
     plan = conditions if isinstance(conditions, RulePlan) else prepare(conditions)
     parts = []
     if "raw" in plan.kinds:
-        parts.append(_islands_of(raw_hits(readings, plan)))
+        parts.append(_islands_of(raw_hits(readings, plan), plan))
     if "avg" in plan.kinds:
-        parts.append(_islands_of(avg_hits(readings, plan)))
+        parts.append(_islands_of(avg_hits(readings, plan), plan))
     if "zscore" in plan.kinds:
-        parts.append(_islands_of(zscore_hits(readings, plan)))
+        parts.append(_islands_of(zscore_hits(readings, plan), plan))
     if "differential" in plan.kinds:
-        parts.append(_islands_of(differential_hits(readings, plan)))
+        parts.append(_islands_of(differential_hits(readings, plan), plan))
     if "magnitude" in plan.kinds:
         parts.append(magnitude_hits(readings, plan).select(
             *MEMBER, *_EXTRA, F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time")))
@@ -228,21 +250,35 @@ def evaluate(readings: DataFrame, conditions: DataFrame | RulePlan) -> DataFrame
     per-asset rule, null for a multi-asset rule); event-count AND rules need
     every member in the same grid cell (S13).
     """
+    from ..session import cut_lineage
+
     plan = conditions if isinstance(conditions, RulePlan) else prepare(conditions)
-    mi = member_intervals(readings, plan)
     is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
-    ors = mi.filter(~is_and).select("rule_id", "asset_id", "start_time", "end_time")
-    ands = (intersect_members(mi.filter(is_and), ["rule_id", "_scope"], "condition_id", "n_members")
-            .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
-    out = ors.unionByName(ands)
-    if "count" not in plan.kinds:
-        return out
-    cells = count_cells(readings, plan)
-    c_or = cells.filter(~is_and).select("rule_id", "asset_id", "start_time", "end_time")
-    c_and = (all_present(cells.filter(is_and).withColumn("member", F.concat_ws(":", "condition_id", "asset_id")),
-                         ["rule_id", "_scope", "start_time", "end_time"], "grp", "member", "n_members")
-             .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
-    return out.unionByName(c_or).unionByName(c_and)
+    both = plan.has_and and plan.has_or
+    parts = []
+    if plan.kinds - {"count"}:
+        mi = member_intervals(readings, plan)
+        if both:
+            mi = cut_lineage(mi)  # feeds the OR and the AND branch: computed once
+        if plan.has_or:
+            parts.append(mi.filter(~is_and).select("rule_id", "asset_id", "start_time", "end_time"))
+        if plan.has_and:
+            parts.append(intersect_members(mi.filter(is_and), ["rule_id", "_scope"], "condition_id", "n_members")
+                         .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
+    if "count" in plan.kinds:
+        cells = count_cells(readings, plan)
+        if both:
+            cells = cut_lineage(cells)
+        if plan.has_or:
+            parts.append(cells.filter(~is_and).select("rule_id", "asset_id", "start_time", "end_time"))
+        if plan.has_and:
+            members = cells.filter(is_and).withColumn("member", F.concat_ws(":", "condition_id", "asset_id"))
+            parts.append(all_present(members, ["rule_id", "_scope", "start_time", "end_time"], "grp", "member",
+                                     "n_members").select("rule_id", _scope_asset(readings), "start_time", "end_time"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def messages(anomalies: DataFrame, rules: DataFrame) -> DataFrame:
