@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import resample
+from .session import local_frame
 from .tables import READINGS_SQL, readings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,7 +74,7 @@ RUN_END = 1706659199     # 2024-01-30 23:59:59 UTC
 def _conditions(spark: SparkSession, spec, cols: str | None = None) -> DataFrame:
     """Rule conditions from a rule spec; ``asset_id`` left null = every asset
     (per-asset evaluation), so the table stays as small as the spec."""
-    c = spec if isinstance(spec, DataFrame) else spark.createDataFrame(spec, cols)
+    c = spec if isinstance(spec, DataFrame) else local_frame(spark, spec, cols)
     for name in ru.CONDITION_SCHEMA.names:
         if name not in c.columns:
             c = c.withColumn(name, F.lit(None).cast(ru.CONDITION_SCHEMA[name].dataType))

@@ -9,6 +9,7 @@ from .catalog import DAY, _r6, register
 from .operators import aggregates as ag
 from .operators import joins as jn
 from .operators import windows as wn
+from .session import local_frame
 from .tables import FIBRE_SQL, READINGS_SQL, fibre, readings, table
 
 HOUR = 3600
@@ -69,7 +70,7 @@ SELECT asset_id, window_start, output_tag AS tag_id,
 def ag3_soft_tags(spark: SparkSession, sf: str) -> DataFrame:
     """AG3: average / maximum / median / sum-rate soft tags per asset and 6-hour window, one aggregate."""
     r = readings(spark, sf).withColumn("window_start", F.col("epoch") - F.col("epoch") % (6 * HOUR))
-    m = spark.createDataFrame(AG3_MAP, "output_tag string, input_tag string, function string")
+    m = local_frame(spark, AG3_MAP, "output_tag string, input_tag string, function string")
     st = ag.soft_tags(r, m, ["asset_id", "window_start"], "parameter", "value", "epoch")
     return st.select("asset_id", "window_start", "tag_id", _r6(), "epoch", "quality")
 
@@ -91,7 +92,7 @@ SELECT asset_id, day, round(CASE WHEN k = 3 THEN (s + 5.0) / (1.0 + abs(s + 5.0)
 def ag4_linear_soft_sensor(spark: SparkSession, sf: str) -> DataFrame:
     """AG4: sum(coef * tag) + 5 per asset and day, then a ratio transform x / (1 + |x|)."""
     r = readings(spark, sf).withColumn("day", F.col("epoch") - F.col("epoch") % DAY)
-    coef = spark.createDataFrame(AG4_COEF, "tag string, coef double")
+    coef = local_frame(spark, AG4_COEF, "tag string, coef double")
     out = ag.linear_soft_sensor(r, coef, ["asset_id", "day"], "parameter", "value", 5.0,
                                 transform=lambda v: v / (1.0 + F.abs(v)))
     return out.select("asset_id", "day", _r6())

@@ -13,6 +13,7 @@ from .operators import resample
 from .plans import combine, lifecycle
 from .sources import files, sinks
 from .streaming import tags as st
+from .session import local_frame
 from .tables import READINGS_SQL, readings, table
 
 HOUR = 3600
@@ -245,7 +246,7 @@ SELECT l_orderkey, l_linenumber, l_partkey,
 def ml2_linear_prediction(spark: SparkSession, sf: str) -> DataFrame:
     """ML2: prediction from coefficients held as data (model read once -> one select)."""
     li = table(spark, sf, "lineitem")
-    coef = spark.createDataFrame(ML2_COEF, "feature string, coef double")
+    coef = local_frame(spark, ML2_COEF, "feature string, coef double")
     p = ml.predict_wide(li, coef)
     return p.select("l_orderkey", "l_linenumber", "l_partkey", _r6("predicted"))
 
@@ -306,7 +307,7 @@ def rc3_attribute_rules(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit("p_size").alias("attribute"), F.col("p_size").cast("string").alias("value")),
         F.struct(F.lit("p_brand").alias("attribute"), F.col("p_brand").alias("value")),
         F.struct(F.lit("p_container_kind").alias("attribute"), F.split("p_name", " ")[0].alias("value")))))
-    rules = spark.createDataFrame(RC3_RULES, "pattern string, attribute string, expected string")
+    rules = local_frame(spark, RC3_RULES, "pattern string, attribute string, expected string")
     return rc.attribute_violations(f, rules, "p_partkey", "p_type")
 
 
@@ -424,7 +425,7 @@ def ru13_execution_windows(spark: SparkSession, sf: str) -> DataFrame:
     r = readings(spark, sf)
     m = r.groupBy("parameter").agg(F.max("epoch").alias("max_bronze_time"),
                                    (F.max("epoch") - 5400).alias("last_run_time"))
-    spec = spark.createDataFrame(RU13_SPEC, "parameter string, rule_run_frequency int, delay int")
+    spec = local_frame(spark, RU13_SPEC, "parameter string, rule_run_frequency int, delay int")
     w = lifecycle.execution_window(spec.join(m, "parameter"), RU13_EF, RU13_DOWN, now=RUN_END)
     return w.select("parameter", "start_time", "end_time", "next_run_time")
 

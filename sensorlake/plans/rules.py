@@ -186,6 +186,11 @@ def magnitude_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     return j.filter(compare("value", F.col("operator"), F.col("threshold")))
 
 
+def _narrow(hits: DataFrame) -> DataFrame:
+    from ..session import cut_lineage
+    return cut_lineage(hits.select(*MEMBER, "epoch", "limit"))
+
+
 def _islands_of(hits: DataFrame, plan: RulePlan) -> DataFrame:
     """Islands per member; only (member, time, limit) travel through the shuffle.
     Rule parameters come back afterwards from the broadcast condition table
@@ -217,12 +222,14 @@ def member_intervals(readings: DataFrame, conditions: DataFrame | RulePlan) -> D
     parts = []
     if "raw" in plan.kinds:
         parts.append(_islands_of(raw_hits(readings, plan), plan))
+    # window-based hits are costly to recompute: the island step reads them in
+    # several branches, so they are written once (narrow: member, time, limit)
     if "avg" in plan.kinds:
-        parts.append(_islands_of(avg_hits(readings, plan), plan))
+        parts.append(_islands_of(_narrow(avg_hits(readings, plan)), plan))
     if "zscore" in plan.kinds:
-        parts.append(_islands_of(zscore_hits(readings, plan), plan))
+        parts.append(_islands_of(_narrow(zscore_hits(readings, plan)), plan))
     if "differential" in plan.kinds:
-        parts.append(_islands_of(differential_hits(readings, plan), plan))
+        parts.append(_islands_of(_narrow(differential_hits(readings, plan)), plan))
     if "magnitude" in plan.kinds:
         parts.append(magnitude_hits(readings, plan).select(
             *MEMBER, *_EXTRA, F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time")))
