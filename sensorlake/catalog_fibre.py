@@ -191,3 +191,33 @@ FROM embeddings GROUP BY label
 def da2_band_registry(spark: SparkSession, sf: str) -> DataFrame:
     """DA2: latest epoch per (asset, frequency band) from the acoustic silver rows."""
     return fb.band_registry(fb.das_silver(_das_bronze(spark, sf)))
+
+
+# ---------------------------------------------------------------- RU9 fibre rules
+
+RU9_BASE = 1704067200  # baseline profile: the first hour of the month
+RU9_SQL = f"""
+WITH f AS ({FIBRE_SQL}),
+raw AS (SELECT DISTINCT asset_id, timestamp, 'raw' AS kind FROM f
+        WHERE depth BETWEEN 20 AND 40 AND value > 150),
+b AS (SELECT asset_id, depth, avg(value) AS base FROM f WHERE timestamp = {RU9_BASE} GROUP BY ALL),
+c AS (SELECT asset_id, depth, timestamp, avg(value) AS cur FROM f WHERE timestamp > {RU9_BASE} GROUP BY ALL),
+d AS (SELECT DISTINCT c.asset_id, c.timestamp, 'differential' AS kind FROM c JOIN b USING (asset_id, depth)
+      WHERE (c.cur - b.base) / nullif(b.base, 0) * 100 > 500)
+SELECT * FROM raw UNION ALL SELECT * FROM d
+"""
+
+
+@register("ru9_fibre_rules", RU9_SQL)
+def ru9_fibre_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """RU9: fibre rules per profile time: raw (any reading over depth 20..40 above 150, distinct
+    times) and signed percent differential vs the baseline profile, joined by depth."""
+    from .functions.scalars import pct_change
+    f = fibre(spark, sf)
+    raw = (f.filter(F.col("depth").between(20, 40) & (F.col("value") > 150))
+            .select("asset_id", "timestamp").distinct().withColumn("kind", F.lit("raw")))
+    base = f.filter(F.col("timestamp") == RU9_BASE).groupBy("asset_id", "depth").agg(F.avg("value").alias("base"))
+    cur = f.filter(F.col("timestamp") > RU9_BASE).groupBy("asset_id", "depth", "timestamp").agg(F.avg("value").alias("cur"))
+    d = (cur.join(base, ["asset_id", "depth"]).filter(pct_change("cur", "base", absolute=False) > 500)
+            .select("asset_id", "timestamp").distinct().withColumn("kind", F.lit("differential")))
+    return raw.unionByName(d)
