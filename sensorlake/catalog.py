@@ -9,13 +9,14 @@ sides so that summation order does not change the compared values.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import resample
-from .session import local_frame
+from .session import configure, ensure_checkpoint_dir, local_frame
 from .tables import READINGS_SQL, readings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,8 +24,15 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query; the registered callable first pins the session settings
+    results depend on (UTC time zone) and makes sure a checkpoint folder exists."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            configure(spark)
+            ensure_checkpoint_dir(spark)
+            return fn(spark, sf)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn
