@@ -395,7 +395,22 @@ def ru11_and_rules(spark: SparkSession, sf: str) -> DataFrame:
     return ru.evaluate(r, c)
 
 
-@register("ru14_rule_messages")
+_RU10_CTES = RU10_SQL.split("SELECT rule_id, asset_id, start_time, end_time FROM i")[0].rstrip()
+RU14_SQL = _RU10_CTES + f""",
+an AS (SELECT rule_id, asset_id, start_time, end_time FROM i
+       WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi),
+m AS (SELECT rule_id, list({{'start_time': start_time, 'end_time': end_time, 'asset_id': asset_id}}
+                           ORDER BY start_time, end_time, asset_id) AS anomalies FROM an GROUP BY rule_id)
+SELECT m.rule_id, to_json({{'anomalies': m.anomalies,
+                            'time_range': {{'start_time': {RUN_START}, 'end_time': {RUN_END}}},
+                            'rule': {{'rule_id': s.rule_id, 'parameter': s.parameter, 'operator': s.operator,
+                                      'threshold': s.threshold, 'start_time': {RUN_START},
+                                      'end_time': {RUN_END}}}}}) AS message
+FROM m JOIN spec s USING (rule_id)
+"""
+
+
+@register("ru14_rule_messages", RU14_SQL)
 def ru14_rule_messages(spark: SparkSession, sf: str) -> DataFrame:
     """RU14: one JSON message per rule with anomalies {anomalies, time_range, rule}."""
     r = _rule_readings(spark, sf)

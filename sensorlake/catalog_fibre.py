@@ -47,10 +47,14 @@ def pb1_publish_windows(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- PB3 / PB4 matrices
 
 PB3_N = 24
-PB3_SQL = f"""
-WITH f AS ({FIBRE_SQL}),
+
+
+def _matrix_sql(where: str, n: int) -> str:
+    """DuckDB text of the depth-by-time matrix product over the fibre rows matching ``where``."""
+    return f"""
+WITH f AS (SELECT * FROM ({FIBRE_SQL}) WHERE {where}),
 t AS (SELECT DISTINCT asset_id, timestamp FROM f),
-b AS (SELECT asset_id, timestamp, ntile({PB3_N}) OVER (PARTITION BY asset_id ORDER BY timestamp) AS bucket FROM t),
+b AS (SELECT asset_id, timestamp, ntile({n}) OVER (PARTITION BY asset_id ORDER BY timestamp) AS bucket FROM t),
 bt AS (SELECT asset_id, bucket, min(timestamp) AS bucket_time FROM b GROUP BY ALL),
 cell AS (SELECT f.asset_id, b.bucket, f.depth, avg(f.value) AS v FROM f JOIN b USING (asset_id, timestamp) GROUP BY ALL),
 d AS (SELECT DISTINCT asset_id, depth FROM cell),
@@ -59,8 +63,10 @@ s AS (SELECT g.asset_id, g.depth, list(round(c.v, 6) ORDER BY g.bucket) AS s
       FROM g LEFT JOIN cell c ON c.asset_id = g.asset_id AND c.depth = g.depth AND c.bucket = g.bucket GROUP BY ALL),
 tm AS (SELECT asset_id, list(bucket_time ORDER BY bucket) AS time FROM bt GROUP BY ALL)
 SELECT s.asset_id, any_value(tm.time) AS time, list(s.depth ORDER BY s.depth) AS depth, list(s.s ORDER BY s.depth) AS data
-FROM s JOIN tm USING (asset_id) GROUP BY s.asset_id
-"""
+FROM s JOIN tm USING (asset_id) GROUP BY s.asset_id"""
+
+
+PB3_SQL = _matrix_sql("TRUE", PB3_N)
 
 
 def _round_matrix(df: DataFrame) -> DataFrame:
@@ -102,11 +108,23 @@ def pb4_das_matrix_product(spark: SparkSession, sf: str) -> DataFrame:
     return _round_matrix(m).select("label", "time", "position", "data")
 
 
-@register("pb5_append_product")
+PB5_CUT = 1705276800  # 2024-01-15 00:00:00 UTC
+PB5_SQL = f"""
+WITH o AS ({_matrix_sql(f"timestamp < {PB5_CUT}", 12)}),
+n AS ({_matrix_sql(f"timestamp >= {PB5_CUT}", 12)})
+SELECT coalesce(o.asset_id, n.asset_id) AS asset_id,
+       list_concat(coalesce(o.time, []), coalesce(n.time, [])) AS time, o.depth AS depth,
+       CASE WHEN o.data IS NULL THEN n.data WHEN n.data IS NULL THEN o.data
+            ELSE list_transform(list_zip(o.data, n.data), lambda x: list_concat(x[1], x[2])) END AS data
+FROM o FULL JOIN n ON o.asset_id = n.asset_id
+"""
+
+
+@register("pb5_append_product", PB5_SQL)
 def pb5_append_product(spark: SparkSession, sf: str) -> DataFrame:
     """PB5: month product = first-half product appended with the second-half product."""
     f = fibre(spark, sf)
-    cut = 1705276800  # 2024-01-15 00:00:00 UTC
+    cut = PB5_CUT
     old = fb.matrix_product(f.filter(F.col("timestamp") < cut), ["asset_id"], "timestamp", "depth", "value", 12)
     new = fb.matrix_product(f.filter(F.col("timestamp") >= cut), ["asset_id"], "timestamp", "depth", "value", 12)
     return _round_matrix(fb.append_product(old, new, ["asset_id"]))

@@ -70,12 +70,16 @@ def preprocess(df: DataFrame, keys: Sequence[str], ts: str, value: str, lo: floa
     """ML1 without the model step: resample to ``period`` means, validity range
     with hold-last-good, moving average and exponential smoothing.
 
-    Output ``keys, ts, raw, in_range, modified, moving_avg, filtered``.
+    Output ``keys, ts, raw, in_range, modified, moving_avg, filtered``. After
+    resampling the series is regular, so the window chunks hold about 1e4
+    samples (``period * 1e4`` seconds, at least a day).
     """
+    from .chunks import DEFAULT_CHUNK
+    chunk = max(DEFAULT_CHUNK, int(period) * 10_000)
     r = resample_mean(df, keys, ts, period, [value]).withColumnRenamed("bucket_start", ts).withColumnRenamed(value, "raw")
-    h = wn.hold_last_good(r, keys, ts, "raw", lo, hi, rows=rows, max_lag=max_lag)
-    m = wn.moving_average(h, keys, ts, "modified", window - 1)
-    s = wn.exp_smooth(m, keys, ts, "moving_avg", alpha, out="filtered")
+    h = wn.hold_last_good(r, keys, ts, "raw", lo, hi, rows=rows, max_lag=max_lag, chunk=chunk)
+    m = wn.moving_average(h, keys, ts, "modified", window - 1, chunk=chunk)
+    s = wn.exp_smooth(m, keys, ts, "moving_avg", alpha, out="filtered", chunk=chunk)
     return s.withColumn("filtered", F.coalesce("filtered", "modified"))
 
 
