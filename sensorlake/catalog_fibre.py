@@ -111,12 +111,20 @@ def pb4_das_matrix_product(spark: SparkSession, sf: str) -> DataFrame:
 PB5_CUT = 1705276800  # 2024-01-15 00:00:00 UTC
 PB5_SQL = f"""
 WITH o AS ({_matrix_sql(f"timestamp < {PB5_CUT}", 12)}),
-n AS ({_matrix_sql(f"timestamp >= {PB5_CUT}", 12)})
-SELECT coalesce(o.asset_id, n.asset_id) AS asset_id,
-       list_concat(coalesce(o.time, []), coalesce(n.time, [])) AS time, o.depth AS depth,
-       CASE WHEN o.data IS NULL THEN n.data WHEN n.data IS NULL THEN o.data
-            ELSE list_transform(list_zip(o.data, n.data), lambda x: list_concat(x[1], x[2])) END AS data
-FROM o FULL JOIN n ON o.asset_id = n.asset_id
+n AS ({_matrix_sql(f"timestamp >= {PB5_CUT}", 12)}),
+ox AS (SELECT asset_id, unnest(depth) AS depth, unnest(data) AS os FROM o),
+nx AS (SELECT asset_id, unnest(depth) AS depth, unnest(data) AS ns FROM n),
+tm AS (SELECT coalesce(o.asset_id, n.asset_id) AS asset_id, o.time AS ot, n.time AS nt FROM o FULL JOIN n USING (asset_id)),
+dd AS (SELECT asset_id, depth FROM ox UNION SELECT asset_id, depth FROM nx),
+j AS (SELECT dd.asset_id, dd.depth,
+             list_concat(coalesce(ox.os, list_transform(coalesce(tm.ot, []), lambda t: CAST(NULL AS DOUBLE))),
+                         coalesce(nx.ns, list_transform(coalesce(tm.nt, []), lambda t: CAST(NULL AS DOUBLE)))) AS s
+      FROM dd JOIN tm USING (asset_id)
+      LEFT JOIN ox ON ox.asset_id = dd.asset_id AND ox.depth = dd.depth
+      LEFT JOIN nx ON nx.asset_id = dd.asset_id AND nx.depth = dd.depth)
+SELECT j.asset_id, list_concat(coalesce(any_value(tm.ot), []), coalesce(any_value(tm.nt), [])) AS time,
+       list(j.depth ORDER BY j.depth) AS depth, list(j.s ORDER BY j.depth) AS data
+FROM j JOIN tm USING (asset_id) GROUP BY j.asset_id
 """
 
 

@@ -141,17 +141,28 @@ def array_matrix_product(df: DataFrame, keys: Sequence[str], ts: str, data: str,
 
 
 def append_product(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """PB5: append a new product to an existing one of the same depths:
-    times concatenated, each depth's series extended (``zip_with(concat)``)."""
-    o = old.select(*keys, F.col("time").alias("_ot"), F.col("data").alias("_od"), "depth")
-    n = new.select(*keys, F.col("time").alias("_nt"), F.col("data").alias("_nd"))
-    j = o.join(n, list(keys), "full")
-    return j.select(*keys,
-                    F.concat(F.coalesce("_ot", F.array().cast("array<long>")),
-                             F.coalesce("_nt", F.array().cast("array<long>"))).alias("time"),
-                    "depth",
-                    F.when(F.col("_od").isNull(), F.col("_nd")).when(F.col("_nd").isNull(), F.col("_od"))
-                     .otherwise(F.zip_with("_od", "_nd", lambda a, b: F.concat(a, b))).alias("data"))
+    """PB5: append a new product to an existing one: times concatenated and each
+    depth's series extended. Depths are matched by value (not position); a
+    depth missing on one side gets nulls for that side's times."""
+    keys = list(keys)
+
+    def side(df, p):
+        t = df.select(*keys, F.col("time").alias(f"_{p}t"))
+        x = df.select(*keys, F.inline(F.arrays_zip(F.col("depth").alias("depth"), F.col("data").alias(f"_{p}s"))))
+        return t, x
+    ot, ox = side(old, "o")
+    nt, nx = side(new, "n")
+    times = ot.join(nt, keys, "full")
+    series = ox.join(nx, [*keys, "depth"], "full").join(times, keys, "left")
+    pad = lambda t: F.transform(F.coalesce(F.col(t), F.array().cast("array<long>")), lambda _: F.lit(None).cast("double"))
+    s = F.concat(F.coalesce(F.col("_os"), pad("_ot")), F.coalesce(F.col("_ns"), pad("_nt")))
+    mat = (series.select(*keys, "depth", s.alias("_s"))
+                 .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("depth", "_s"))).alias("_d")))
+    return (times.join(mat, keys, "left")
+                 .select(*keys, F.concat(F.coalesce("_ot", F.array().cast("array<long>")),
+                                         F.coalesce("_nt", F.array().cast("array<long>"))).alias("time"),
+                         F.transform("_d", lambda x: x["depth"]).alias("depth"),
+                         F.transform("_d", lambda x: x["_s"]).alias("data")))
 
 
 def retain(df: DataFrame, ts: str, cutoff) -> DataFrame:

@@ -104,9 +104,10 @@ def test_das_bronze_shape_and_products(spark, tmp):
     prod = spark.createDataFrame([("W1", [1], [10], [[1.0]])], "asset_id string, time array<long>, depth array<int>, data array<array<double>>")
     fb.write_products(prod, os.path.join(tmp, "p"))
     assert any(n.startswith("asset_id=W1") for n in os.listdir(os.path.join(tmp, "p")))
-    new = spark.createDataFrame([("W1", [2], [[2.0]])], "asset_id string, time array<long>, data array<array<double>>")
+    new = spark.createDataFrame([("W1", [2], [10, 20], [[2.0], [3.0]])],
+                                "asset_id string, time array<long>, depth array<int>, data array<array<double>>")
     ap = fb.append_product(prod, new, ["asset_id"]).collect()[0]
-    assert ap.time == [1, 2] and ap.data == [[1.0, 2.0]]
+    assert ap.time == [1, 2] and ap.depth == [10, 20] and ap.data == [[1.0, 2.0], [None, 3.0]]
 
 
 def test_xml_features_and_landing_sink(spark, tmp):
