@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bucket_floor, col
@@ -87,6 +87,29 @@ def bucket_aggregate(df: DataFrame, keys: Sequence[str], ts: str, metrics: Seque
     return b.groupBy(*keys, "bucket_start").agg(*_measure_aggs(metrics, ts))
 
 
+def _fill_calendar(agg: DataFrame, keys: Sequence[str], metrics: Sequence[str], n: int,
+                   calendar: tuple[int, int]) -> DataFrame:
+    """Every key of ``agg`` gets every bucket of the calendar range (JN8), in one
+    pass over the aggregate: the first bucket row of each key (a window over the
+    small aggregate) is expanded into placeholder rows for the whole range with
+    ``explode(sequence)`` and merged with the real rows by a second aggregate.
+    No cross join, and the input is aggregated only once."""
+    lo, hi = calendar[0] - calendar[0] % n, calendar[1] - calendar[1] % n
+    w = Window.partitionBy(*keys)
+    first = agg.withColumn("_first", F.min("bucket_start").over(w)).filter(F.col("bucket_start") == F.col("_first"))
+    grid = first.select(*keys, F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"),
+                                                     F.lit(n).cast("long"))).alias("bucket_start"))
+    measures = [c for c in agg.columns if c not in (*keys, "bucket_start")]
+    placeholders = grid.select(*keys, "bucket_start", *[F.lit(None).cast(agg.schema[c].dataType).alias(c)
+                                                        for c in measures])
+    merged = agg.unionByName(placeholders)
+    re_aggs = []
+    for m in metrics:
+        re_aggs += [F.min(f"_{m}_min").alias(f"_{m}_min"), F.max(f"_{m}_max").alias(f"_{m}_max"),
+                    F.sum(f"_{m}_sum").alias(f"_{m}_sum"), F.sum(f"_{m}_count").alias(f"_{m}_count")]
+    return merged.groupBy(*keys, "bucket_start").agg(*re_aggs)
+
+
 def summarize(df: DataFrame, keys: Sequence[str], ts: str, metrics: Sequence[str], n: int,
               calendar: tuple[int, int] | None = None, name_col: str | None = None) -> DataFrame:
     """Long gold rows ``keys, parameter, bucket_start, timestamp, value`` (GO3/GO4/GO6).
@@ -95,16 +118,13 @@ def summarize(df: DataFrame, keys: Sequence[str], ts: str, metrics: Sequence[str
     of the extreme, sum/count rows the bucket start. With ``calendar = (start,
     end)`` (GO1) every key seen in the input gets every bucket of the range; an
     empty bucket yields only a ``count = 0`` row (JN8). The grid is generated
-    per key (``explode(sequence)``), not by a cross join, and left-joined to the
-    aggregate on (keys, bucket). ``name_col`` (one of ``keys``) names the output
-    after a tag column of a long table: ``<tag>_min`` etc.
+    per key (``explode(sequence)``), not by a cross join (see ``_fill_calendar``).
+    ``name_col`` (one of ``keys``) names the output after a tag column of a long
+    table: ``<tag>_min`` etc.
     """
     agg = bucket_aggregate(df, keys, ts, metrics, n)
     if calendar is not None:
-        lo, hi = calendar[0] - calendar[0] % n, calendar[1] - calendar[1] % n
-        grid = agg.select(*keys).distinct().withColumn(
-            "bucket_start", F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"), F.lit(n).cast("long"))))
-        agg = grid.join(agg, [*keys, "bucket_start"], "left")
+        agg = _fill_calendar(agg, keys, metrics, n, calendar)
     return _melt(agg, keys, metrics, name_col)
 
 

@@ -50,7 +50,7 @@ _KEEP = [*MEMBER, "epoch", "value", "duration", "operator", "threshold", "limit"
 _EXTRA = ["n_members", "join_condition", "_scope"]
 
 # conditions beyond this many rows are joined without a broadcast hint
-MAX_BROADCAST_CONDITIONS = 1_000_000
+MAX_BROADCAST_CONDITIONS = 100_000
 
 
 @dataclass
