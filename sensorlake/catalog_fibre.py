@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import DAY, _r6, register
+from .catalog import DAY, register
 from .operators import fibre as fb
 from .tables import FIBRE_SQL, READINGS_SQL, fibre, readings, table
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import DAY, GO3_SQL, RUN_END, RUN_START, _r6, register
+from .catalog import DAY, RUN_END, RUN_START, _r6, register
 from .operators import model as ml
 from .operators import reconcile as rc
 from .operators import resample

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import bucket_floor, col
+from ..functions.scalars import bucket_floor
 
 # Gold bucket sizes (seconds) for the 30 min ... 1 month products (GO9).
 GOLD_BUCKETS = (60, 120, 3600, 21600, 86400)
@@ -199,4 +199,4 @@ def gold_products(df: DataFrame, keys: Sequence[str], ts: str, metrics: Sequence
 
 
 __all__ = ["bucket_calendar", "assign_bucket", "bucket_aggregate", "summarize", "summarize_wide",
-           "dedupe_gold", "refresh_gold", "compact_gold", "resample_mean", "gold_products", "col"]
+           "dedupe_gold", "refresh_gold", "compact_gold", "resample_mean", "gold_products"]
