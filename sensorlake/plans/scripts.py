@@ -53,3 +53,10 @@ def zscore_spike(data: DataFrame, params: dict) -> DataFrame:
                         params.get("operator", ">"), float(params.get("threshold", 3.0)))
     z = z.filter(F.col("flag") & F.col("epoch").between(params["start_time"], params["end_time"]))
     return z.select(F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time"))
+
+
+def route_rule_types(rules: DataFrame, type_col: str = "rule_type") -> tuple[DataFrame, DataFrame]:
+    """RU16: split a rule table into standard rules and script rules
+    (``rule_type = 'script'``); missing type means standard."""
+    is_script = F.lower(F.coalesce(F.col(type_col), F.lit("standard"))) == "script"
+    return rules.filter(~is_script), rules.filter(is_script)

@@ -126,3 +126,9 @@ def test_xml_features_and_landing_sink(spark, tmp):
     log = sinks.log_files(spark.createDataFrame([("a.h5",)], "file_name string"), "error", "bad header").collect()[0]
     assert log.status == "error" and log.error_message == "bad header"
     assert files.rename_columns(spark.createDataFrame([(1, 2)], "a int, b int"), ["x", "y"], "c_").columns == ["c_x", "c_y"]
+
+
+def test_route_rule_types(spark):
+    rules = spark.createDataFrame([(1, None), (2, "script"), (3, "Standard")], "rule_id int, rule_type string")
+    std, scr = scripts.route_rule_types(rules)
+    assert sorted(r.rule_id for r in std.collect()) == [1, 3] and [r.rule_id for r in scr.collect()] == [2]
