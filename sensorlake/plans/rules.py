@@ -22,6 +22,7 @@ rules, and there is no per-rule job.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,28 +84,43 @@ def prepare(conditions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_CONDI
     rule's conditions per asset. Otherwise members are (condition, asset)
     pairs of the rule. The condition table is broadcast only when its row
     count, read here, is at most ``max_broadcast_rows``.
+
+    The facts come from one read of at most ``max_broadcast_rows + 1`` narrow
+    rows of the (configuration-sized) table; a larger table is summarised by
+    an aggregate instead and joined without a broadcast hint.
     """
     w = Window.partitionBy("rule_id")
     c = (conditions.withColumn("limit", gap_limit(F.col("data_frequency")))
                    .withColumn("join_condition", F.lower(F.coalesce(F.col("join_condition"), F.lit("or"))))
                    .withColumn("n_members", F.count(F.lit(1)).over(w)))
-    fn = F.lower(F.col("function"))
-    is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
-    rows = (c.groupBy(fn.alias("f"), "duration", F.col("asset_id").isNull().alias("wild"), is_and.alias("is_and"))
-             .agg(F.count(F.lit(1)).alias("n"),
-                  F.min(F.least(F.col("start_time") - F.greatest(F.col("limit"), F.coalesce(F.col("duration"), F.lit(0))),
-                                F.coalesce(F.col("baseline_time"), F.col("start_time")))).alias("lo"),
-                  F.max("end_time").alias("hi"))
-             .collect())
-    n = sum(r["n"] for r in rows)
-    los = [r["lo"] for r in rows if r["lo"] is not None]
-    his = [r["hi"] for r in rows if r["hi"] is not None]
-    c = F.broadcast(c) if n <= max_broadcast_rows else c
+    narrow = conditions.select(
+        "rule_id", F.lower(F.col("function")).alias("f"), "duration", F.col("asset_id").isNull().alias("wild"),
+        F.lower(F.coalesce(F.col("join_condition"), F.lit("or"))).alias("jc"),
+        F.least(F.col("start_time") - F.greatest(gap_limit(F.col("data_frequency")), F.coalesce(F.col("duration"), F.lit(0))),
+                F.coalesce(F.col("baseline_time"), F.col("start_time"))).alias("lo"),
+        F.col("end_time").alias("hi"))
+    rows = narrow.limit(max_broadcast_rows + 1).collect()
+    if len(rows) <= max_broadcast_rows:
+        members = Counter(r["rule_id"] for r in rows)
+        facts = [(r["f"], r["duration"], r["wild"], r["jc"] == "and" and members[r["rule_id"]] > 1, r["lo"], r["hi"])
+                 for r in rows]
+        c = F.broadcast(c)
+    else:
+        is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
+        agg = (c.groupBy(F.lower(F.col("function")).alias("f"), "duration", F.col("asset_id").isNull().alias("wild"),
+                         is_and.alias("is_and"))
+                .agg(F.min(F.least(F.col("start_time") - F.greatest(F.col("limit"), F.coalesce(F.col("duration"), F.lit(0))),
+                                   F.coalesce(F.col("baseline_time"), F.col("start_time")))).alias("lo"),
+                     F.max("end_time").alias("hi"))
+                .collect())
+        facts = [(r["f"], r["duration"], r["wild"], r["is_and"], r["lo"], r["hi"]) for r in agg]
+    los = [x[4] for x in facts if x[4] is not None]
+    his = [x[5] for x in facts if x[5] is not None]
     return RulePlan(
-        conditions=c, kinds={r["f"] for r in rows},
-        durations=sorted({int(r["duration"]) for r in rows if r["f"] in ("avg", "zscore") and r["duration"] is not None}),
-        n_rows=n, has_and=any(r["is_and"] for r in rows), has_or=any(not r["is_and"] for r in rows),
-        has_wildcard=any(r["wild"] for r in rows), has_explicit=any(not r["wild"] for r in rows),
+        conditions=c, kinds={x[0] for x in facts},
+        durations=sorted({int(x[1]) for x in facts if x[0] in ("avg", "zscore") and x[1] is not None}),
+        n_rows=len(rows), has_and=any(x[3] for x in facts), has_or=any(not x[3] for x in facts),
+        has_wildcard=any(x[2] for x in facts), has_explicit=any(not x[2] for x in facts),
         lo=min(los) if los else None, hi=max(his) if his else None)
 
 
