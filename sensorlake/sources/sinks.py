@@ -112,3 +112,17 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) ->
 def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
     p = latest_version_path(base)
     return spark.read.parquet(p) if p else None
+
+
+def write_clustered(df: DataFrame, path: str, ts: str, cluster_by: Sequence[str], day_col: str = "day",
+                    files_per_day: int | None = None, mode: str = "errorifexists") -> None:
+    """Layout for long reading tables (the clustering of the reference's tables):
+    partitioned by day for partition pruning, and within each day range-
+    partitioned and sorted by (cluster keys, time) so parquet row-group
+    statistics let tag / asset / time filters skip data."""
+    day = F.to_date(F.timestamp_seconds(F.col(ts))) if dict(df.dtypes)[ts] in ("bigint", "int") \
+        else F.to_date(F.col(ts))
+    d = df.withColumn(day_col, day)
+    n = files_per_day or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = d.repartitionByRange(n, day_col, *cluster_by, ts).sortWithinPartitions(day_col, *cluster_by, ts)
+    d.write.mode(mode).partitionBy(day_col).parquet(path)

@@ -98,3 +98,15 @@ def test_generate_gauge(spark):
     r = g.agg(F.min("temperature"), F.max("temperature")).collect()[0]
     assert 50 <= r[0] and r[1] <= 60
     assert g.filter((F.col("asset_id") == "A") & (F.col("pressure") == 2100.0)).count() == 10
+
+
+def test_write_clustered_prunes(spark, tmp):
+    df = spark.range(0, 3 * 86400, 600).select(F.col("id").alias("epoch"), (F.col("id") % 7).cast("string").alias("tag"),
+                                                F.lit(1.0).alias("value"))
+    p = os.path.join(tmp, "clustered")
+    sinks.write_clustered(df, p, "epoch", ["tag"])
+    back = spark.read.parquet(p)
+    assert back.count() == df.count()
+    q = back.filter((F.col("day") == "1970-01-02") & (F.col("tag") == "3"))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and q.count() > 0
