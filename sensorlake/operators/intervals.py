@@ -21,14 +21,19 @@ from pyspark.sql import functions as F
 from .chunks import DEFAULT_CHUNK, carry, chunk_of
 
 
+# Without a known longest interval, the coarsest level spans this horizon
+# (longer intervals are still exact: they take more bins on the top level).
+DEFAULT_HORIZON = 10 * 365 * 86400
+
+
 def _levels_for(max_span: int | None, base: int, fanout: int) -> int:
-    if not max_span:
-        return 8
-    lv, w = 1, base * fanout
-    while w < max_span:
+    """Grid levels so that the coarsest bin width reaches ``max_span``."""
+    target = max_span or DEFAULT_HORIZON
+    lv, w = 1, base
+    while w < target:
         w *= fanout
         lv += 1
-    return lv + 1
+    return lv
 
 
 def _binned(df: DataFrame, s: str, e: str, base: int, fanout: int, levels: int, prefix: str) -> DataFrame:
@@ -57,10 +62,15 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ls: str
 
     Column names other than ``keys`` must differ between the sides and from
     ``start_time``/``end_time``. ``base`` should be near the typical interval
-    length; ``max_span`` (longest possible interval, e.g. a run window) bounds
-    the number of grid levels.
+    length; ``max_span`` (longest possible interval, e.g. a run window, or
+    ``"auto"`` to read it with one small aggregate of both sides) bounds the
+    number of grid levels.
     """
     keys = list(keys)
+    if max_span == "auto":
+        a = left.agg(F.max(F.col(le) - F.col(ls))).collect()[0][0] or 0
+        b = right.agg(F.max(F.col(re) - F.col(rs))).collect()[0][0] or 0
+        max_span = max(int(a), int(b), 1)
     levels = _levels_for(max_span, base, fanout)
     lb = _binned(left, ls, le, base, fanout, levels, "_l")
     rb = _binned(right, rs, re, base, fanout, levels, "_r")
