@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
-from .windows import equal_count_buckets
 
 # Publish windows in seconds: 30 min, 1 h, 1 day, 1 week, 1 month.
 WINDOWS = {"30min": 1800, "1hour": 3600, "1day": 86400, "1week": 604800, "1month": 2592000}
@@ -113,22 +112,31 @@ def band_registry(silver: DataFrame, registry: DataFrame | None = None, time: st
 def matrix_product(df: DataFrame, keys: Sequence[str], ts: str, depth: str, value: str, n: int) -> DataFrame:
     """PB3: per key ``time[]`` (first time of each of ``n`` equal-count buckets),
     ``depth[]`` (ascending) and ``data[][]`` depth-major (mean per bucket,
-    null where a depth has no reading in a bucket)."""
+    null where a depth has no reading in a bucket).
+
+    The bucket of every distinct time (``ntile_ranks``, one row per key and
+    time, far smaller than the readings) is written once to the checkpoint
+    folder; the readings are then joined to it once and averaged per cell.
+    """
+    from ..session import cut_lineage
+    from .windows import ntile_ranks
+
     keys = list(keys)
-    b = equal_count_buckets(df, keys, ts, n)
-    j = df.join(b, [*keys, ts], "inner")
-    cell = j.groupBy(*keys, "bucket", depth).agg(F.avg(value).alias("_v"))
-    times = (b.select(*keys, "bucket", "bucket_time").distinct()
-              .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bucket", "bucket_time"))).alias("_t"))
-              .select(*keys, F.transform("_t", lambda x: x["bucket_time"]).alias("time"),
-                      F.transform("_t", lambda x: x["bucket"]).alias("_buckets")))
-    series = cell.groupBy(*keys, depth).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "_v"))).alias("_m"))
-    series = series.join(times.select(*keys, "_buckets"), keys)
-    series = series.select(*keys, depth, F.transform("_buckets", lambda bk: F.element_at(F.col("_m"), bk)).alias("_s"))
+    t = cut_lineage(ntile_ranks(df, keys, ts, n))
+    times = (t.groupBy(*keys, "bucket").agg(F.min(ts).alias("_bt"))
+              .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bucket", "_bt"))).alias("_t"))
+              .select(*keys, F.transform("_t", lambda x: x["_bt"]).alias("time")))
+    cell = (df.join(t, [*keys, ts], "inner")
+              .groupBy(*keys, "bucket", depth).agg(F.avg(value).alias("_v"), F.first("n_times").alias("_N")))
+    series = (cell.groupBy(*keys, depth)
+                  .agg(F.map_from_entries(F.collect_list(F.struct("bucket", "_v"))).alias("_m"),
+                       F.first("_N").alias("_N"))
+                  .select(*keys, depth, F.transform(F.sequence(F.lit(1), F.least(F.lit(n), F.col("_N")).cast("int")),
+                                                    lambda bk: F.element_at(F.col("_m"), bk)).alias("_s")))
     mat = (series.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(depth, "_s"))).alias("_d"))
                  .select(*keys, F.transform("_d", lambda x: x[depth]).alias("depth"),
                          F.transform("_d", lambda x: x["_s"]).alias("data")))
-    return times.drop("_buckets").join(mat, keys)
+    return times.join(mat, keys)
 
 
 def array_matrix_product(df: DataFrame, keys: Sequence[str], ts: str, data: str, n: int) -> DataFrame:

@@ -223,9 +223,8 @@ def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: f
     return j.withColumn(out, F.when(F.col(value).isNotNull(), y)).drop("_chunk", "_k", "_L", "_S", "_yin")
 
 
-def equal_count_buckets(df: DataFrame, keys: Sequence[str], ts: str, n: int, chunk=DEFAULT_CHUNK) -> DataFrame:
-    """``ntile(n)`` over the distinct times of each key (WN9), plus the first
-    time of each bucket: ``keys, ts, bucket, bucket_time``.
+def ntile_ranks(df: DataFrame, keys: Sequence[str], ts: str, n: int, chunk=DEFAULT_CHUNK) -> DataFrame:
+    """``ntile(n)`` over the distinct times of each key: ``keys, ts, bucket, n_times``.
 
     The rank of a time is its rank inside its day chunk plus the count of
     times in earlier chunks; the total per key comes from an aggregate, so no
@@ -236,15 +235,20 @@ def equal_count_buckets(df: DataFrame, keys: Sequence[str], ts: str, n: int, chu
     t = t.withColumn("_r", F.row_number().over(wc))
     cnt = t.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
     cnt = carry(cnt, keys, {"_before": F.sum("_cnt")})
-    tot = cnt.groupBy(*keys).agg(F.sum("_cnt").alias("_N"))
-    cnt = cnt.join(tot, list(keys)).select(*keys, "_chunk", "_before", "_N")
+    cnt = cnt.withColumn("_N", F.sum("_cnt").over(Window.partitionBy(*keys))).select(*keys, "_chunk", "_before", "_N")
     t = t.join(cnt, [*keys, "_chunk"])
     r = F.col("_r") + F.coalesce(F.col("_before"), F.lit(0))
     q = F.floor(F.col("_N") / n)
     rem = F.col("_N") - q * n
     big = rem * (q + 1)
     bucket = F.when(r <= big, F.floor((r - 1) / (q + 1)) + 1).otherwise(rem + F.floor((r - 1 - big) / q) + 1)
-    t = t.withColumn("bucket", bucket.cast("int"))
+    return t.select(*keys, ts, bucket.cast("int").alias("bucket"), F.col("_N").alias("n_times"))
+
+
+def equal_count_buckets(df: DataFrame, keys: Sequence[str], ts: str, n: int, chunk=DEFAULT_CHUNK) -> DataFrame:
+    """``ntile(n)`` over the distinct times of each key (WN9), plus the first
+    time of each bucket: ``keys, ts, bucket, bucket_time``."""
+    t = ntile_ranks(df, keys, ts, n, chunk)
     first = t.groupBy(*keys, "bucket").agg(F.min(ts).alias("bucket_time"))
     return t.select(*keys, ts, "bucket").join(first, [*keys, "bucket"])
 
