@@ -53,3 +53,15 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert _rows(sdf.columns, srows) == _rows(dcols, res.fetchall())
+
+
+def test_plans_have_no_nested_loops_or_global_windows(spark):
+    """SURVEY 5 (4): no cartesian / nested-loop joins in any registered query, and
+    no window without partition keys except over tiny aggregates (AG14)."""
+    import re
+    allowed_global = {"ag14_min_of_max_time"}
+    for name, fn in sorted(entry.queries().items()):
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"NestedLoopJoin|CartesianProduct", plan), name
+        if name not in allowed_global:
+            assert not re.search(r"Window \[.*?\], \[\], \[", plan), name
