@@ -36,6 +36,8 @@ def _frame_by_duration(w: Window, fn, value: str, d, durations: Sequence[int] |
     """
     if not isinstance(d, Column):
         return fn(value).over(w.rangeBetween(lo_of(int(d)), hi_of(int(d))))
+    if not durations:
+        raise ValueError("a per-row duration column needs the list of its distinct values (durations=...)")
     expr = None
     for dl in sorted(set(int(x) for x in durations)):
         e = fn(value).over(w.rangeBetween(lo_of(dl), hi_of(dl)))

@@ -132,3 +132,22 @@ def test_route_rule_types(spark):
     rules = spark.createDataFrame([(1, None), (2, "script"), (3, "Standard")], "rule_id int, rule_type string")
     std, scr = scripts.route_rule_types(rules)
     assert sorted(r.rule_id for r in std.collect()) == [1, 3] and [r.rule_id for r in scr.collect()] == [2]
+
+
+def test_publish_gates(spark):
+    import datetime as dt
+    def at(h, m):
+        return int(dt.datetime(2024, 1, 1, h, m, tzinfo=dt.timezone.utc).timestamp())
+    rows = spark.createDataFrame([(at(5, 31),), (at(5, 10),), (at(23, 45),), (at(11, 40),)], "t long")
+    week, month = fb.publish_gates(F.col("t"))
+    got = [(r.w, r.m) for r in rows.select(week.alias("w"), month.alias("m")).collect()]
+    assert got == [(True, False), (False, False), (True, True), (True, False)]
+
+
+def test_quadratic_prediction(spark):
+    from sensorlake.operators import model as ml
+    long = spark.createDataFrame([(1, "a", 2.0), (1, "b", 3.0)], "id int, feature string, value double")
+    q = ml.expand_quadratic(long, ["id"], "feature", "value")
+    assert sorted((r.feature, r.value) for r in q.collect()) == [("a", 2.0), ("a*a", 4.0), ("a*b", 6.0), ("b", 3.0), ("b*b", 9.0)]
+    coef = spark.createDataFrame([("a", 1.0), ("a*b", 0.5), ("__intercept__", 2.0)], "feature string, coef double")
+    assert ml.predict_linear(q, coef, ["id"], "feature", "value").collect()[0].predicted == 2.0 + 2.0 + 3.0

@@ -58,3 +58,11 @@ def test_wide_summary(spark):
     w = {r.epoch_timestamp: r for r in resample.summarize_wide(df, ["asset_id"], "t", ["v"], "day").collect()}
     assert w[0].min_v == 1.0 and w[0].min_v_epoch_timestamp == 10 and w[0].max_v_epoch_timestamp == 20
     assert w[86400].max_v == 2.0
+
+
+def test_gauge_summary_eight_parameters(spark):
+    df = spark.createDataFrame([("G1", 10, 2000.0, 50.0), ("G1", 20, 2005.0, 49.0)],
+                               "asset_id string, epoch long, pressure double, temperature double")
+    g = resample.summarize(df, ["asset_id"], "epoch", ["pressure", "temperature"], 3600)
+    params = sorted(r.parameter for r in g.collect())
+    assert len(params) == 8 and params[0] == "pressure_count" and params[-1] == "temperature_sum"
