@@ -118,8 +118,11 @@ def distinct_list(df: DataFrame, keys: Sequence[str], value: str, out: str) -> D
 
 
 def flatten_lists(df: DataFrame, keys: Sequence[str], lists: str, out: str) -> DataFrame:
-    """AG12: flatten + distinct of per-row lists per key."""
-    return df.groupBy(*keys).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(lists)))).alias(out))
+    """AG12: flatten + distinct of per-row lists per key: elements are exploded
+    first and gathered as a set (deduplicated map-side), so a hot key never
+    holds all of its lists at once."""
+    ex = df.select(*keys, F.explode(lists).alias("_e"))
+    return ex.groupBy(*keys).agg(F.sort_array(F.collect_set("_e")).alias(out))
 
 
 def multiplicity(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
