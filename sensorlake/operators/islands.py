@@ -82,7 +82,8 @@ def islands(hits: DataFrame, keys: Sequence[str], ts: str, limit, duration=None,
     cs = b1.groupBy(*keys, "_chunk").agg(F.max("_s").alias("_ls"))
     cs = carry(cs, keys, {"_carry": F.max("_ls")}).select(*keys, "_chunk", "_carry")
     b2 = b1.join(cs, [*keys, "_chunk"], "inner")
-    run = Window.partitionBy(*keys, "_chunk").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+    # RANGE frame: rows at the same time (duplicates) all see a start at that time
+    run = Window.partitionBy(*keys, "_chunk").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
     b2 = b2.withColumn("_start", F.coalesce(F.max("_s").over(run), F.col("_carry")))
     out = b2.filter("_is_end").select(*keys, *extra, F.col("_start").alias("start_time"),
                                       F.col("_t").alias("end_time"), *pcols)

@@ -48,3 +48,11 @@ def test_islands_disjoint_and_ordered(spark):
                                                               ["k"], "t", 5, chunk=64).collect())
     for (s1, e1), (s2, e2) in zip(out, out[1:]):
         assert s1 <= e1 < s2 <= e2
+
+
+def test_islands_with_many_duplicate_times(spark):
+    rows = [(1, t) for t in (5, 5, 5, 6, 6, 20, 20, 21, 40)] * 3
+    df = spark.createDataFrame(rows, "k int, t long").repartition(3)
+    for chunk in (1, 7, 86400):
+        got = sorted((r.start_time, r.end_time) for r in islands(df, ["k"], "t", 2, chunk=chunk).collect())
+        assert got == [(5, 6), (20, 21), (40, 40)], chunk
