@@ -405,10 +405,9 @@ an AS (SELECT rule_id, asset_id, start_time, end_time FROM i
 m AS (SELECT rule_id, list({{'start_time': start_time, 'end_time': end_time, 'asset_id': asset_id}}
                            ORDER BY start_time, end_time, asset_id) AS anomalies FROM an GROUP BY rule_id)
 SELECT m.rule_id, to_json({{'anomalies': m.anomalies,
-                            'time_range': {{'start_time': {RUN_START}, 'end_time': {RUN_END}}},
+                            'time_range': {{'start': {RUN_START} - (2 * s.data_frequency - 1), 'end': {RUN_END}}},
                             'rule': {{'rule_id': s.rule_id, 'parameter': s.parameter, 'operator': s.operator,
-                                      'threshold': s.threshold, 'start_time': {RUN_START},
-                                      'end_time': {RUN_END}}}}}) AS message
+                                      'threshold': s.threshold}}}}) AS message
 FROM m JOIN spec s USING (rule_id)
 """
 
@@ -422,7 +421,7 @@ def ru14_rule_messages(spark: SparkSession, sf: str) -> DataFrame:
     header = rules.groupBy("rule_id").agg(
         F.first("parameter").alias("parameter"), F.first("operator").alias("operator"),
         F.first("threshold").alias("threshold"), F.first("start_time").alias("start_time"),
-        F.first("end_time").alias("end_time"))
+        F.first("end_time").alias("end_time"), F.max(ru.gap_limit(F.col("data_frequency"))).alias("max_limit"))
     return ru.messages(an, header)
 
 

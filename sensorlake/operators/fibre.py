@@ -20,7 +20,7 @@ from ..session import broadcast_if_small
 WINDOWS = {"30min": 1800, "1hour": 3600, "1day": 86400, "1week": 604800, "1month": 2592000}
 
 # Marker for acoustic rows whose device has no asset.
-MISSING_ASSET = "asset_not_found"
+MISSING_ASSET = "No_match_found_in_Asset_for_device_id"
 
 
 def _c(x) -> Column:

@@ -59,10 +59,14 @@ def run_rules(docs: DataFrame, assets: DataFrame, readings: DataFrame, state: Da
                               "threshold_unit", F.col("baseline_time").cast("long").alias("baseline_time"),
                               "class", "start_time", "end_time"))
     anomalies = ru.evaluate(readings, conditions)
+    # message header: the rule as documented (name, tenant, severity, join condition,
+    # controls, conditions) plus its run window, reported from start - largest gap limit
     header = (conditions.groupBy("rule_id")
-                        .agg(F.first("start_time").alias("start_time"), F.first("end_time").alias("end_time"))
-                        .join(docs.select("rule_id", "rule_name", "severity"), "rule_id"))
-    messages = ru.messages(anomalies, header.select("rule_id", "rule_name", "severity", "start_time", "end_time"))
+                        .agg(F.first("start_time").alias("start_time"), F.first("end_time").alias("end_time"),
+                             F.max(ru.gap_limit(F.col("data_frequency"))).alias("max_limit"))
+                        .join(docs.select("rule_id", "rule_name", "tenant_id", "severity", "join_condition",
+                                          "risk_register_controls", "conditions"), "rule_id"))
+    messages = ru.messages(anomalies, header)
     runs = (windows.join(cond.select("rule_id", "sensor_type").dropDuplicates(["rule_id"]), ["rule_id", "sensor_type"])
                    .groupBy("sensor_type").agg(F.max("next_run_time").alias("next_run_time"))
                    .select(F.lit(workflow_id).alias("workflow_id"), "sensor_type", "next_run_time"))

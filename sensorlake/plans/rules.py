@@ -306,15 +306,22 @@ def evaluate(readings: DataFrame, conditions: DataFrame | RulePlan) -> DataFrame
 
 def messages(anomalies: DataFrame, rules: DataFrame) -> DataFrame:
     """One JSON message per rule with anomalies (RU14):
-    ``{"anomalies": [{asset_id, start_time, end_time}...], "time_range": {...}, "rule": {...}}``.
-
-    The anomaly list of a rule is bounded by its run window and assets
-    (islands are separated by more than the gap limit), so the per-rule
-    collect is bounded.
+    ``{"anomalies": [{start_time, end_time, asset_id}...], "time_range": {"start", "end"},
+    "rule": {...}}``.
+
+    ``rules`` holds one row per rule: ``rule_id``, ``start_time``, ``end_time``,
+    optionally ``max_limit`` (the largest gap limit of its members; the reported
+    range starts that much earlier, as the hits were read from there), and any
+    rule fields, which form the ``rule`` object. The anomaly list of a rule is
+    bounded by its run window and assets (islands are separated by more than
+    the gap limit), so the per-rule collect is bounded.
     """
     per = (anomalies.groupBy("rule_id")
                     .agg(F.sort_array(F.collect_list(F.struct("start_time", "end_time", "asset_id"))).alias("anomalies")))
-    r = rules.select("rule_id", F.struct(*[c for c in rules.columns]).alias("rule"),
-                     F.struct(F.col("start_time"), F.col("end_time")).alias("time_range"))
+    window_cols = {"start_time", "end_time", "max_limit"}
+    fields = [c for c in rules.columns if c not in window_cols]
+    lead = F.coalesce(F.col("max_limit"), F.lit(0)) if "max_limit" in rules.columns else F.lit(0)
+    r = rules.select("rule_id", F.struct(*fields).alias("rule"),
+                     F.struct((F.col("start_time") - lead).alias("start"), F.col("end_time").alias("end")).alias("time_range"))
     j = per.join(r, "rule_id")
     return j.select("rule_id", F.to_json(F.struct("anomalies", "time_range", "rule")).alias("message"))

@@ -41,5 +41,7 @@ def test_rule_engine_run(spark, tmp):
     assert an == [(1, "W1", s0 + 300, s0 + 359)]
     msgs = {r.rule_id: json.loads(r.message) for r in res.messages.collect()}
     assert msgs[1]["rule"]["severity"] == "high" and msgs[1]["anomalies"][0]["start_time"] == s0 + 300
+    assert msgs[1]["time_range"] == {"start": s0 - 800 - 1, "end": s0 + 1899}  # start - (2f - 1), f = 1
+    assert msgs[1]["rule"]["conditions"][0]["parameter"] == "pressure"
     st = {r.sensor_type: r.last_run_time for r in res.state.collect()}
     assert st["gauge"] == w.next_run_time
