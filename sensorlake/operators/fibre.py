@@ -190,6 +190,15 @@ def publish_with_backfill(df: DataFrame, keys: Sequence[str], ts: str, as_of, wi
         "window_start", F.when(F.col("window_id") == 0, cur).otherwise(prev))
 
 
+def product_documents(products: DataFrame, key: str = "asset_id") -> DataFrame:
+    """PB6 document form of a product: ``{"data": [[...]], "time": [...], "depth": ["..."]}``
+    with depth labels as strings, one JSON document per key."""
+    doc = F.struct(F.col("data"), F.col("time"), F.transform("depth", lambda d: d.cast("string")).alias("depth"))
+    return products.select(key, F.to_json(doc).alias("value"))
+
+
 def write_products(products: DataFrame, path: str, key: str = "asset_id") -> None:
-    """PB6: one gzip JSON document set per asset (``partitionBy``), Spark writer compression."""
-    products.write.mode("overwrite").partitionBy(key).option("compression", "gzip").json(path)
+    """PB6: one gzip JSON document per asset (``partitionBy``), Spark writer compression
+    instead of zip packing on the driver."""
+    (product_documents(products, key).write.mode("overwrite").partitionBy(key)
+        .option("compression", "gzip").text(path))

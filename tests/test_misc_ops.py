@@ -104,6 +104,9 @@ def test_das_bronze_shape_and_products(spark, tmp):
     prod = spark.createDataFrame([("W1", [1], [10], [[1.0]])], "asset_id string, time array<long>, depth array<int>, data array<array<double>>")
     fb.write_products(prod, os.path.join(tmp, "p"))
     assert any(n.startswith("asset_id=W1") for n in os.listdir(os.path.join(tmp, "p")))
+    import json
+    doc = json.loads(spark.read.text(os.path.join(tmp, "p")).collect()[0].value)
+    assert doc == {"data": [[1.0]], "time": [1], "depth": ["10"]}
     new = spark.createDataFrame([("W1", [2], [10, 20], [[2.0], [3.0]])],
                                 "asset_id string, time array<long>, depth array<int>, data array<array<double>>")
     ap = fb.append_product(prod, new, ["asset_id"]).collect()[0]
