@@ -496,3 +496,28 @@ def st4_exact_combinations(spark: SparkSession, sf: str) -> DataFrame:
     # per-asset rule: combinations are formed inside each asset's scope
     return combine.combine_exact(cells.select("rule_id", "condition_id", "asset_id", "start_time", "end_time"), n,
                                  group=["rule_id", "asset_id"])
+
+
+# ---------------------------------------------------------------- GO6 since-midnight upsert
+
+GO6_MIDNIGHT = 1705708800  # 2024-01-20 00:00:00 UTC
+GO6_SQL = f"""
+WITH old AS (SELECT * FROM {_gold_sql(None, GO6_MIDNIGHT + DAY - 1)}),
+new AS (SELECT * FROM {_gold_sql(GO6_MIDNIGHT, None)})
+SELECT o.asset_id, o.tag, o.parameter, o.timestamp, round(coalesce(n.value, o.value), 6) AS value
+FROM old o LEFT JOIN new n USING (asset_id, tag, parameter, timestamp)
+UNION ALL
+SELECT n.asset_id, n.tag, n.parameter, n.timestamp, round(n.value, 6) FROM new n
+WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.asset_id = n.asset_id AND o.tag = n.tag
+                  AND o.parameter = n.parameter AND o.timestamp = n.timestamp)
+"""
+
+
+@register("go6_since_midnight_upsert", GO6_SQL)
+def go6_since_midnight_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """GO6/SK5: gold loaded through Jan 20, then the since-midnight recomputation (no gap
+    fill) upserted by (asset, tag, parameter, timestamp), updating the value only."""
+    old = _gold(spark, sf, until=GO6_MIDNIGHT + DAY - 1)
+    new = _gold(spark, sf, since=GO6_MIDNIGHT)
+    out = sinks.upsert(old, new, ["asset_id", "tag", "parameter", "timestamp"], set_cols=["value"])
+    return out.select("asset_id", "tag", "parameter", "timestamp", _r6())
