@@ -37,6 +37,17 @@ def write_stream_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], chec
     return w.start()
 
 
+def idempotent_batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
+                            fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """SK2 helper: a ``foreachBatch`` function writing each micro-batch to its own
+    ``batch_id=<n>`` folder with overwrite, so a batch replayed after a failure
+    replaces its earlier partial output instead of duplicating it."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        out = transform(batch) if transform is not None else batch
+        out.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+    return fn
+
+
 def write_landing(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """SK3: one record per JSON file in a landing folder."""
     w = (df.writeStream.format("json").option("checkpointLocation", checkpoint)

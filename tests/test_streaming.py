@@ -118,3 +118,12 @@ def test_late_rows_dropped_by_watermark(spark, tmp):
     run()
     got = sorted(r.tag_id for r in spark.read.parquet(out).collect())
     assert got == ["a", "c"]
+
+
+def test_idempotent_batch_writer(spark, tmp):
+    df = spark.createDataFrame([("a", 1.0)], "tag_id string, value double")
+    fn = sinks.idempotent_batch_writer(os.path.join(tmp, "out"))
+    fn(df, 0)
+    fn(df, 0)  # replay of the same batch
+    fn(df, 1)
+    assert spark.read.parquet(os.path.join(tmp, "out")).count() == 2
