@@ -97,7 +97,7 @@ def fit_linear_regression(train: DataFrame, features: Sequence[str], label: str)
     return LinearRegression(featuresCol="features", labelCol=label).fit(va.transform(train)), va
 
 
-def feature_pipeline(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]):
+def prepare_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]):
     """ML6: mean imputation, label indexing, one-hot encoding, standard scaling."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler

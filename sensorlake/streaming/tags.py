@@ -1,4 +1,4 @@
-"""Streaming tag pipeline stages (SM1-SM6): bronze -> silver -> gold.
+"""Streaming tag stages (SM1-SM6): bronze -> silver -> gold.
 
 Every function takes a streaming (or batch) DataFrame and returns one; the
 caller starts it with ``sources.sinks.write_stream`` / ``write_stream_batch``.

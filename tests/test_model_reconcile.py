@@ -14,9 +14,9 @@ def test_linear_fit_and_spark_ml(spark):
     assert model.coefficients[0] == pytest.approx(3.0, rel=1e-6)
 
 
-def test_feature_pipeline(spark):
+def test_prepare_features(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, "b"), (3.0, "a")], "x double, c string")
-    m = ml.feature_pipeline(df, ["x"], ["c"])
+    m = ml.prepare_features(df, ["x"], ["c"])
     out = m.transform(df).select("features").collect()
     assert len(out) == 3
 

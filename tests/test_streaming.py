@@ -84,18 +84,18 @@ def test_landing_to_gold_stream(spark, tmp):
     aggs = spark.createDataFrame([("AGG",)], "tag_id string")
     meta = spark.createDataFrame([("T1", "u1"), ("T2", "u2")], "source_tag_id string, measurement_set_uuid string")
 
-    def pipeline(df):
+    def stages(df):
         bronze = files.landing_to_bronze(df).drop("last_updated_date")
         silver = st.physical_tags(st.dedup_silver(bronze), aggs)
         return st.enrich_gold(silver, meta)
 
     out = os.path.join(tmp, "gold")
-    q = sinks.write_stream(pipeline(files.read_landing(spark, landing)), out, os.path.join(tmp, "ck"),
+    q = sinks.write_stream(stages(files.read_landing(spark, landing)), out, os.path.join(tmp, "ck"),
                            available_now=True)
     q.awaitTermination(120)
     got = sorted((r.tag_id, r.value, r.measurement_set_uuid) for r in spark.read.parquet(out).collect())
     batch = sorted((r.tag_id, r.value, r.measurement_set_uuid)
-                   for r in pipeline(files.read_landing(spark, landing, streaming=False)).collect())
+                   for r in stages(files.read_landing(spark, landing, streaming=False)).collect())
     assert got == batch == [("T1", 1.0, "u1"), ("T2", 2.0, "u2")]
 
 
