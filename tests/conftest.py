@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,8 +9,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 @pytest.fixture(scope="session")
 def spark():
     from sensorlake.session import get_spark
-    s = get_spark("local[4]", app="sensorlake-tests", shuffle_partitions=4,
-                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sl-test-ckpt-")})
+    # the checkpoint folder comes from the session (spark.checkpoint.dir); only when it
+    # is unset does ensure_checkpoint_dir create a scratch one
+    s = get_spark("local[4]", app="sensorlake-tests", shuffle_partitions=4)
     s.sparkContext.setLogLevel("OFF")
     yield s
     s.stop()

@@ -35,7 +35,6 @@ def main() -> None:
     os.makedirs(ev)
     spark = get_spark("local[8]", shuffle_partitions=32,
                       extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": ev,
-                             "spark.checkpoint.dir": os.path.join(scratch, "ck"),
                              "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     spark.sparkContext.setLogLevel("OFF")
     n = 3_000_000
