@@ -79,3 +79,32 @@ def test_rule_plan_has_no_nested_loop(spark):
     cond = _cond(spark, [(1, 1, None, "p", "raw", ">", 0.0, 0, 5, "and"), (1, 2, None, "p", "avg", ">", 0.0, 10, 5, "and")])
     plan = ru.evaluate(readings, cond)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def _readings(spark, rows):
+    return spark.createDataFrame(rows, "asset_id long, parameter string, epoch long, value double, k int")
+
+
+def test_and_rule_over_explicit_assets(spark):
+    rows = [(1, "p", t, 10.0, None) for t in range(100, 200, 5)] + [(2, "p", t, 10.0, None) for t in range(150, 260, 5)]
+    cond = _cond(spark, [(7, 1, 1, "p", "raw", ">", 5.0, 0, 5, "and"), (7, 1, 2, "p", "raw", ">", 5.0, 0, 5, "and")])
+    got = [(r.rule_id, r.asset_id, r.start_time, r.end_time) for r in ru.evaluate(_readings(spark, rows), cond).collect()]
+    assert got == [(7, None, 150, 195)]
+
+
+def test_count_rule_and_over_assets(spark):
+    # grid of 100 s from 0: asset 1 has events in cells 0 and 1, asset 2 only in cell 1
+    rows = [(1, "e", 10, 1.0, None), (1, "e", 150, 1.0, None), (2, "e", 160, 1.0, None)]
+    cond = _cond(spark, [(8, 1, 1, "e", "count", ">=", 1.0, 100, 5, "and"),
+                         (8, 1, 2, "e", "count", ">=", 1.0, 100, 5, "and")])
+    got = [(r.rule_id, r.start_time, r.end_time) for r in ru.evaluate(_readings(spark, rows), cond).collect()]
+    assert got == [(8, 100, 200)]
+
+
+def test_wildcard_differential_and_zero_baseline(spark):
+    rows = [(1, "p", 0, 10.0, None), (1, "p", 10, 30.0, None), (1, "p", 20, 10.5, None),
+            (2, "p", 0, 0.0, None), (2, "p", 10, 5.0, None)]
+    cond = _cond(spark, [(9, 1, None, "p", "differential", ">", 50.0, 0, 5, "or")]) \
+        .withColumn("baseline_time", F.lit(0).cast("long")).withColumn("threshold_unit", F.lit("%"))
+    got = sorted((r.asset_id, r.start_time, r.end_time) for r in ru.evaluate(_readings(spark, rows), cond).collect())
+    assert got == [(1, 10, 10)]  # asset 2: zero baseline -> no hit, no error
