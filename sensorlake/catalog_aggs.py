@@ -508,3 +508,15 @@ def pj_scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
         F.round(sc.pct_change(F.col("l_extendedprice") * (1 - F.col("l_discount")), "l_extendedprice"), 6).alias("discount_pct"),
         sc.normalise("l_linestatus", {"o": "open", "f": "filled"}).alias("status_name"),
         sc.compare("l_quantity", ">", 25.0).alias("big_line"))
+
+
+SO1_SQL = """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1
+"""
+
+
+@register("so1_first_order", SO1_SQL)
+def so1_first_order(spark: SparkSession, sf: str) -> DataFrame:
+    """SO1: the earliest order (sort key then id), a top-1 report: one row kept per task before the merge."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return wn.first_by(o, ["o_orderdate", "o_orderkey"])
