@@ -520,3 +520,21 @@ def so1_first_order(spark: SparkSession, sf: str) -> DataFrame:
     """SO1: the earliest order (sort key then id), a top-1 report: one row kept per task before the merge."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     return wn.first_by(o, ["o_orderdate", "o_orderkey"])
+
+
+AG12W_SQL = """
+SELECT conv_id, w AS words FROM (
+  SELECT conv_id, list_sort(list_distinct(flatten(list(
+           list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> ''))))) AS w
+  FROM conversations GROUP BY conv_id)
+WHERE len(w) > 0
+"""
+
+
+@register("ag12_flatten_words", AG12W_SQL)
+def ag12_flatten_words(spark: SparkSession, sf: str) -> DataFrame:
+    """AG12: per conversation the sorted distinct words of all its turns (whole texts split,
+    lists flattened through an exploded set, so no conversation's lists are held at once)."""
+    c = table(spark, sf, "conversations").select(
+        "conv_id", F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: x != "").alias("words"))
+    return ag.flatten_lists(c, ["conv_id"], "words", "words")
