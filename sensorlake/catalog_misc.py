@@ -521,3 +521,24 @@ def go6_since_midnight_upsert(spark: SparkSession, sf: str) -> DataFrame:
     new = _gold(spark, sf, since=GO6_MIDNIGHT)
     out = sinks.upsert(old, new, ["asset_id", "tag", "parameter", "timestamp"], set_cols=["value"])
     return out.select("asset_id", "tag", "parameter", "timestamp", _r6())
+
+
+CH1_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+st AS (SELECT 'wf' AS workflow_id, parameter AS sensor_type, max(epoch) AS last_run_time FROM r GROUP BY parameter),
+w AS ({RU13_SQL})
+SELECT st.workflow_id, st.sensor_type, coalesce(w.next_run_time, st.last_run_time) AS last_run_time
+FROM st LEFT JOIN w ON w.parameter = st.sensor_type
+"""
+
+
+@register("ch1_watermark_state", CH1_SQL)
+def ch1_watermark_state(spark: SparkSession, sf: str) -> DataFrame:
+    """CH1: first-run state from the newest data per sensor, advanced after a run by each
+    sensor rule's next run time (upsert on workflow and sensor)."""
+    r = readings(spark, sf)
+    state = lifecycle.first_run_state(r, "wf", "parameter", "epoch")
+    runs = ru13_execution_windows(spark, sf).select(
+        F.lit("wf").alias("workflow_id"), F.col("parameter").alias("sensor_type"), "next_run_time")
+    out = lifecycle.advance_watermark(state, runs)
+    return out.select("workflow_id", "sensor_type", "last_run_time")
