@@ -95,7 +95,8 @@ def das_silver(bronze: DataFrame, keys: Sequence[str] = ("device_id", "asset_id"
     ex = rows.select(*keys, "minute", F.posexplode("row").alias("_pos", "_v"))
     avg = ex.groupBy(*keys, "minute", "_pos").agg(F.avg("_v").alias("_a"))
     lst = avg.groupBy(*keys, "minute").agg(F.sort_array(F.collect_list(F.struct("_pos", "_a"))).alias("_l"))
-    dep = rows.groupBy(*keys).agg(F.first(depth).alias(depth))
+    # depth per key straight from the bronze rows (reads only keys and depth, not the matrices)
+    dep = bronze.select(*keys, depth).groupBy(*keys).agg(F.first(depth).alias(depth))
     return (lst.join(dep, keys, "left")
                .select(*keys, F.col("minute").alias("time"), F.transform("_l", lambda x: x["_a"]).alias("data"), depth))
 
