@@ -56,21 +56,26 @@ def _binned(df: DataFrame, s: str, e: str, base: int, fanout: int, levels: int,
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ls: str, le: str, rs: str, re: str,
-                 base: int = 3600, fanout: int = 16, max_span: int | None = None) -> DataFrame:
+                 base: int | str = 3600, fanout: int = 16, max_span: int | str | None = None) -> DataFrame:
     """All pairs of closed intervals that overlap (``ls <= re and rs <= le``) with
     equal ``keys``; adds ``start_time = greatest(starts)``, ``end_time = least(ends)``.
 
     Column names other than ``keys`` must differ between the sides and from
     ``start_time``/``end_time``. ``base`` should be near the typical interval
-    length; ``max_span`` (longest possible interval, e.g. a run window, or
-    ``"auto"`` to read it with one small aggregate of both sides) bounds the
-    number of grid levels.
+    length (``"auto"``: the median length of both sides, one approximate
+    percentile aggregate); ``max_span`` (longest possible interval, e.g. a run
+    window, or ``"auto"`` to read it with the same aggregate) bounds the number
+    of grid levels.
     """
     keys = list(keys)
-    if max_span == "auto":
-        a = left.agg(F.max(F.col(le) - F.col(ls))).collect()[0][0] or 0
-        b = right.agg(F.max(F.col(re) - F.col(rs))).collect()[0][0] or 0
-        max_span = max(int(a), int(b), 1)
+    if base == "auto" or max_span == "auto":
+        lens = (left.select((F.col(le) - F.col(ls)).alias("_len"))
+                    .unionByName(right.select((F.col(re) - F.col(rs)).alias("_len"))))
+        med, top = lens.agg(F.percentile_approx("_len", 0.5), F.max("_len")).collect()[0]
+        if base == "auto":
+            base = max(int(med or 0), 1)
+        if max_span == "auto":
+            max_span = max(int(top or 0), 1)
     levels = _levels_for(max_span, base, fanout)
     lb = _binned(left, ls, le, base, fanout, levels, "_l")
     rb = _binned(right, rs, re, base, fanout, levels, "_r")

@@ -38,3 +38,14 @@ def test_and_of_two_members(spark):
         got = sorted((r.start_time, r.end_time) for r in
                      intersect_members(df, ["rule_id"], "condition_id", "n", chunk=chunk).collect())
         assert got == [(5, 10), (20, 25)]
+
+
+def test_overlap_join_auto_grid(spark):
+    left = [(1, i, i * 50, i * 50 + (i % 7) * 40) for i in range(60)]
+    right = [(1, j, j * 35 + 3, j * 35 + 3 + (j % 5) * 90) for j in range(80)]
+    L = spark.createDataFrame(left, "k int, li int, ls long, le long")
+    R = spark.createDataFrame(right, "k int, ri int, rs long, re long")
+    got = sorted((r.li, r.ri) for r in overlap_join(L, R, ["k"], "ls", "le", "rs", "re", base="auto",
+                                                     max_span="auto").collect())
+    exp = sorted((a[1], b[1]) for a in left for b in right if a[2] <= b[3] and b[2] <= a[3])
+    assert got == exp
