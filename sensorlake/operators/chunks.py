@@ -61,21 +61,6 @@ def carry(summary: DataFrame, keys: Sequence[str], out: dict[str, Column]) -> Da
     return summary
 
 
-def chunked_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                        out: str, chunk_col: str = "_chunk") -> DataFrame:
-    """Exact running ``sum(value)`` ordered by ``order`` within ``keys``, computed
-    per (keys, chunk) plus the carried total of earlier chunks."""
-    w = Window.partitionBy(*keys, chunk_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumn("_local", F.sum(value).over(w))
-    tot = local.groupBy(*keys, chunk_col).agg(F.sum(value).alias("_tot"))
-    if chunk_col != "_chunk":
-        tot = tot.withColumnRenamed(chunk_col, "_chunk")
-    tot = carry(tot, keys, {"_before": F.sum("_tot")}).select(*keys, F.col("_chunk").alias(chunk_col), "_before")
-    return (local.join(tot, [*keys, chunk_col], "left")
-                 .withColumn(out, F.col("_local") + F.coalesce(F.col("_before"), F.lit(0)))
-                 .drop("_local", "_before"))
-
-
 def row_halo(df: DataFrame, keys: Sequence[str], ts: str, n: int, chunk=DEFAULT_CHUNK) -> DataFrame:
     """Rows tagged ``_chunk``/``_primary`` such that a ``rowsBetween(-n, 0)``
     frame over ``partitionBy(keys, "_chunk").orderBy(ts)`` is exact for primary rows.

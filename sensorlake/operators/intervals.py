@@ -126,11 +126,6 @@ def intersect_members(intervals: DataFrame, group: Sequence[str], member: str, n
               .select(*g, F.col("_p").alias("start_time"), (F.col("_next") - 1).alias("end_time")))
 
 
-def union_members(intervals: DataFrame, group: Sequence[str]) -> DataFrame:
-    """OR of interval sets (ST2): all intervals of all members (UNION ALL)."""
-    return intervals.select(*group, "start_time", "end_time")
-
-
 def all_present(hits: DataFrame, group: Sequence[str], at: str, member: str, n_members: str) -> DataFrame:
     """Times (or grid cells) at which every member of a group has a hit (JN9):
     ``count(distinct member) == n``; an aggregate, no self-join."""

@@ -87,11 +87,6 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
     return df
 
 
-def broadcast_if_rows(df: DataFrame, n_rows: int, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast a side whose row count is known from its parameters (e.g. a calendar)."""
-    return F.broadcast(df) if n_rows <= max_rows else df
-
-
 def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     """Small configuration frame (rule specs, coefficient tables) built through
     Arrow, so no Python worker is needed to read it on the executors."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField, StructType)
 
@@ -132,7 +132,3 @@ def rename_columns(df: DataFrame, names: Sequence[str] | None = None, prefix: st
     if prefix:
         df = df.toDF(*[f"{prefix}{c}" for c in df.columns])
     return df
-
-
-def marker(c: str | Column, pattern: str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).rlike(pattern)

@@ -110,3 +110,13 @@ def test_write_clustered_prunes(spark, tmp):
     q = back.filter((F.col("day") == "1970-01-02") & (F.col("tag") == "3"))
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and q.count() > 0
+
+
+def test_read_text_lines_blocks(spark, tmp):
+    for name, text in [("a.txt", "x\nSTART\n1\n2\nEND\n"), ("b.txt", "START\n9\nEND\nSTART\n8\nEND")]:
+        with open(os.path.join(tmp, name), "w") as f:
+            f.write(text)
+    lines = files.read_text_lines(spark, tmp)
+    blocks = files.parse_block_text(lines, "^START", "^END")
+    got = sorted((r.file.split("/")[-1], r.block_id, r.value) for r in blocks.collect())
+    assert got == [("a.txt", 1, "1"), ("a.txt", 1, "2"), ("b.txt", 1, "9"), ("b.txt", 2, "8")]
