@@ -75,7 +75,9 @@ def _chunk_for(d, chunk):
 
 
 def _shift(w: Window, value: str) -> Column:
-    return F.coalesce(F.first(value, ignorenulls=True).over(
+    """Per-partition shift (a value of the partition, so totals stay small). A
+    deterministic aggregate keeps plans comparable, so Spark can reuse shuffles."""
+    return F.coalesce(F.min(value).over(
         w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.lit(0.0))
 
 
@@ -95,8 +97,12 @@ def forward_average(df: DataFrame, keys: Sequence[str], ts: str, value: str, d,
     def build(dl):
         n, s1, _ = _frame_sums(w, value, 0, dl - 1, F.col("_shift"))
         return F.when(n > 0, s1 / n + F.col("_shift"))
-    out = h.withColumn("avg_value", _by_duration(d, durations, build)).filter("_primary")
-    return out.dropDuplicates([*keys, "_chunk", ts]).drop("_chunk", "_primary", "_shift")
+    out = h.withColumn("avg_value", _by_duration(d, durations, build)).filter("_primary").drop("_primary", "_shift")
+    # one row per distinct time; rows of one time share the mean. A deterministic
+    # aggregate (not dropDuplicates' first()) keeps the plan reusable.
+    rest = [c for c in out.columns if c not in (*keys, "_chunk", ts)]
+    return (out.groupBy(*keys, "_chunk", ts).agg(*[F.max(c).alias(c) for c in rest])
+               .drop("_chunk").select(*[c for c in df.columns if c != "_chunk"], "avg_value"))
 
 
 def trailing_stats(df: DataFrame, keys: Sequence[str], ts: str, value: str, d,
