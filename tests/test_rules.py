@@ -108,3 +108,32 @@ def test_wildcard_differential_and_zero_baseline(spark):
         .withColumn("baseline_time", F.lit(0).cast("long")).withColumn("threshold_unit", F.lit("%"))
     got = sorted((r.asset_id, r.start_time, r.end_time) for r in ru.evaluate(_readings(spark, rows), cond).collect())
     assert got == [(1, 10, 10)]  # asset 2: zero baseline -> no hit, no error
+
+
+def test_one_plan_equals_rule_by_rule(spark):
+    """RU10: all rule kinds evaluated together give the union of evaluating each rule alone."""
+    import random
+    rnd = random.Random(2)
+    rows = []
+    for a in (1, 2):
+        for p in ("p", "q"):
+            t = 0
+            for _ in range(200):
+                t += rnd.choice([1, 2, 5])
+                rows.append((a, p, t, float(rnd.randint(0, 20)), rnd.randint(0, 3)))
+    readings = _readings(spark, rows)
+    spec = [(1, 1, None, "p", "raw", ">", 15.0, 5, 3, "or"),
+            (2, 1, None, "q", "avg", ">", 10.0, 20, 3, "or"),
+            (3, 1, None, "p", "zscore", ">", 1.5, 30, 3, "or"),
+            (4, 1, None, "q", "magnitude", ">=", 19.0, 0, 3, "or"),
+            (5, 1, None, "p", "count", ">=", 3.0, 50, 3, "or"),
+            (6, 1, None, "p", "raw", ">", 10.0, 0, 3, "and"),
+            (6, 2, None, "q", "raw", ">", 10.0, 0, 3, "and"),
+            (7, 1, 1, "p", "count", ">=", 2.0, 40, 3, "and"),
+            (7, 1, 2, "p", "count", ">=", 2.0, 40, 3, "and")]
+    cond = _cond(spark, spec).withColumn("end_time", F.lit(900).cast("long"))
+    together = sorted(tuple(r) for r in ru.evaluate(readings, cond).collect())
+    alone = []
+    for rid in sorted({s[0] for s in spec}):
+        alone += [tuple(r) for r in ru.evaluate(readings, cond.filter(F.col("rule_id") == rid)).collect()]
+    assert together == sorted(alone) and len(together) > 0
