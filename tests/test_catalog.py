@@ -65,3 +65,13 @@ def test_plans_have_no_nested_loops_or_global_windows(spark):
         assert not re.search(r"NestedLoopJoin|CartesianProduct", plan), name
         if name not in allowed_global:
             assert not re.search(r"Window \[.*?\], \[\], \[", plan), name
+
+
+@pytest.mark.parametrize("name", ["ru6_differential_islands", "pj_scalar_functions", "wn4_trailing_zscore",
+                                  "go5_wide_daily_summary", "pb1_publish_windows", "sm1_dedup_within_watermark"])
+def test_query_matches_oracle_with_ansi_off(spark, con, name):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
