@@ -120,3 +120,16 @@ def test_read_text_lines_blocks(spark, tmp):
     blocks = files.parse_block_text(lines, "^START", "^END")
     got = sorted((r.file.split("/")[-1], r.block_id, r.value) for r in blocks.collect())
     assert got == [("a.txt", 1, "1"), ("a.txt", 1, "2"), ("b.txt", 1, "9"), ("b.txt", 2, "8")]
+
+
+def test_read_with_outcome(spark, tmp):
+    d = os.path.join(tmp, "in")
+    os.makedirs(d)
+    with open(os.path.join(d, "good.json"), "w") as f:
+        f.write('{"source_module": "m", "body": "[]"}\n{"source_module": "m", "body": "[1]"}\n')
+    with open(os.path.join(d, "bad.json"), "w") as f:
+        f.write('{"source_module": "m", "body": "[]"}\n{not json\n')
+    rows, outcome = files.read_with_outcome(spark, d, files.LANDING_SCHEMA)
+    out = {r.file_name.split("/")[-1]: (r.status, r.n_rows, r.n_errors) for r in outcome.collect()}
+    assert out == {"good.json": ("processed", 2, 0), "bad.json": ("error", 2, 1)}
+    assert rows.count() == 3
