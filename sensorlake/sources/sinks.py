@@ -137,3 +137,12 @@ def write_clustered(df: DataFrame, path: str, ts: str, cluster_by: Sequence[str]
     n = files_per_day or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = d.repartitionByRange(n, day_col, *cluster_by, ts).sortWithinPartitions(day_col, *cluster_by, ts)
     d.write.mode(mode).partitionBy(day_col).parquet(path)
+
+
+def retain_version(spark: SparkSession, base: str, ts: str, cutoff, partition_by: Sequence[str] = ()) -> str | None:
+    """PB7 on a versioned table: the latest version's rows at or after ``cutoff``
+    become a new version (the old one is never overwritten while it may be read)."""
+    cur = read_latest(spark, base)
+    if cur is None:
+        return None
+    return write_version(cur.filter(F.col(ts) >= F.lit(cutoff)), base, partition_by)

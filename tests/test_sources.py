@@ -133,3 +133,11 @@ def test_read_with_outcome(spark, tmp):
     out = {r.file_name.split("/")[-1]: (r.status, r.n_rows, r.n_errors) for r in outcome.collect()}
     assert out == {"good.json": ("processed", 2, 0), "bad.json": ("error", 2, 1)}
     assert rows.count() == 3
+
+
+def test_retain_version(spark, tmp):
+    base = os.path.join(tmp, "tbl")
+    sinks.write_version(spark.createDataFrame([(1, 1.0), (5, 2.0), (9, 3.0)], "t long, v double"), base)
+    path = sinks.retain_version(spark, base, "t", 5)
+    assert path.endswith("v000002")
+    assert sorted(r.t for r in sinks.read_latest(spark, base).collect()) == [5, 9]
