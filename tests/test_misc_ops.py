@@ -154,3 +154,11 @@ def test_quadratic_prediction(spark):
     assert sorted((r.feature, r.value) for r in q.collect()) == [("a", 2.0), ("a*a", 4.0), ("a*b", 6.0), ("b", 3.0), ("b*b", 9.0)]
     coef = spark.createDataFrame([("a", 1.0), ("a*b", 0.5), ("__intercept__", 2.0)], "feature string, coef double")
     assert ml.predict_linear(q, coef, ["id"], "feature", "value").collect()[0].predicted == 2.0 + 2.0 + 3.0
+
+
+def test_band_registry_upsert(spark):
+    silver = spark.createDataFrame([("W1", "0-100", 50), ("W1", "0-100", 70), ("W2", "100-200", 10)],
+                                   "asset_id string, freq_band string, time long")
+    old = spark.createDataFrame([("W1", "0-100", 20), ("W3", "0-100", 5)], "asset_id string, freq_band string, latest_epoch long")
+    got = sorted(tuple(r) for r in fb.band_registry(silver, old).collect())
+    assert got == [("W1", "0-100", 70), ("W2", "100-200", 10), ("W3", "0-100", 5)]
