@@ -48,9 +48,11 @@ def main() -> None:
     runs = {
         "islands": lambda: isl.islands(r.filter(F.col("value") > 55), ["asset_id"], "epoch", 1),
         "forward_average": lambda: wn.forward_average(r, ["asset_id"], "epoch", "value", 600),
+        "trailing_zscore_blocks": lambda: wn.trailing_zscore(r, ["asset_id"], "epoch", "value", 3600),
         "trailing_zscore_running": lambda: wn.trailing_zscore(r, ["asset_id"], "epoch", "value", 3600,
                                                               method="running"),
-        "trailing_zscore_exact": lambda: wn.trailing_zscore(r, ["asset_id"], "epoch", "value", 3600),
+        "trailing_zscore_exact": lambda: wn.trailing_zscore(r, ["asset_id"], "epoch", "value", 3600,
+                                                            method="exact"),
     }
     for name, fn in runs.items():
         spark.sparkContext.setJobGroup(name, name)
