@@ -141,3 +141,18 @@ def test_retain_version(spark, tmp):
     path = sinks.retain_version(spark, base, "t", 5)
     assert path.endswith("v000002")
     assert sorted(r.t for r in sinks.read_latest(spark, base).collect()) == [5, 9]
+
+
+def test_decompress_invalid_payload_is_null(spark):
+    df = spark.createDataFrame([("not-base64!",), (None,)], "body string")
+    assert [r.body for r in broker.decompress_body(df).collect()] == [None, None]
+
+
+def test_write_clustered_timestamp_column(spark, tmp):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 23, 59)
+    df = spark.createDataFrame([("a", t0, 1.0), ("a", t0 + dt.timedelta(minutes=2), 2.0)], "tag string, ts timestamp, v double")
+    p = os.path.join(tmp, "c")
+    sinks.write_clustered(df, p, "ts", ["tag"], files_per_day=2)
+    days = sorted(r.day.isoformat() for r in spark.read.parquet(p).select("day").distinct().collect())
+    assert days == ["2024-01-01", "2024-01-02"]
