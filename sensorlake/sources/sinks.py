@@ -8,7 +8,6 @@ content as a DataFrame so the caller picks the write.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,22 +96,40 @@ def conform(df: DataFrame, schema: StructType, defaults: dict | None = None) ->
     return out.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
-def next_version_path(base: str) -> str:
-    """Versioned folder for a rewrite (``base/v000001`` ...), local or mounted paths."""
-    os.makedirs(base, exist_ok=True)
-    vs = [int(n[1:]) for n in os.listdir(base) if n.startswith("v") and n[1:].isdigit()]
-    return os.path.join(base, f"v{(max(vs) + 1 if vs else 1):06d}")
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem and Path for ``path`` (HDFS, object stores, local files alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def latest_version_path(base: str) -> str | None:
-    vs = sorted(n for n in os.listdir(base) if n.startswith("v") and n[1:].isdigit()
-                and os.path.exists(os.path.join(base, n, "_SUCCESS"))) if os.path.isdir(base) else []
-    return os.path.join(base, vs[-1]) if vs else None
+def _versions(spark: SparkSession, base: str, complete: bool) -> list[str]:
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    vs = sorted(n for n in names if n.startswith("v") and n[1:].isdigit())
+    if complete:
+        jvm = spark.sparkContext._jvm
+        vs = [n for n in vs if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{n}/_SUCCESS"))]
+    return vs
+
+
+def next_version_path(spark: SparkSession, base: str) -> str:
+    """Versioned folder for a rewrite (``base/v000001`` ...), on any Hadoop file system."""
+    vs = _versions(spark, base, complete=False)
+    return f"{base.rstrip('/')}/v{(int(vs[-1][1:]) + 1 if vs else 1):06d}"
+
+
+def latest_version_path(spark: SparkSession, base: str) -> str | None:
+    """Newest completely written version (its ``_SUCCESS`` marker exists)."""
+    vs = _versions(spark, base, complete=True)
+    return f"{base.rstrip('/')}/{vs[-1]}" if vs else None
 
 
 def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
     """Write a new table version; readers switch to it once ``_SUCCESS`` exists."""
-    path = next_version_path(base)
+    path = next_version_path(df.sparkSession, base)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -121,7 +138,7 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) ->
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
-    p = latest_version_path(base)
+    p = latest_version_path(spark, base)
     return spark.read.parquet(p) if p else None
 
 
