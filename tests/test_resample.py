@@ -66,3 +66,15 @@ def test_gauge_summary_eight_parameters(spark):
     g = resample.summarize(df, ["asset_id"], "epoch", ["pressure", "temperature"], 3600)
     params = sorted(r.parameter for r in g.collect())
     assert len(params) == 8 and params[0] == "pressure_count" and params[-1] == "temperature_sum"
+
+
+def test_gold_products_rollup_equals_direct(spark):
+    df = spark.range(0, 5000).select(F.lit("A").alias("asset_id"), (F.col("id") * 7).alias("t"),
+                                     ((F.col("id") * 37) % 101).cast("double").alias("v"))
+    got = resample.gold_products(df, ["asset_id"], "t", ["v"], sizes=(60, 3600, 90))
+    for size in (60, 3600, 90):
+        direct = resample.summarize(df, ["asset_id"], "t", ["v"], size)
+        a = sorted((r.parameter, r.bucket_start, r.timestamp, round(r.value, 6))
+                   for r in got.filter(F.col("bucket_size") == size).collect())
+        b = sorted((r.parameter, r.bucket_start, r.timestamp, round(r.value, 6)) for r in direct.collect())
+        assert a == b, size
