@@ -226,10 +226,10 @@ FROM documents GROUP BY text HAVING count(*) > 1
 
 @register("ag16_duplicate_texts", AG16_SQL)
 def ag16_duplicate_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """AG16: exact duplicate documents (whole text), copy count and first id."""
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    dup = ag.duplicates(d, ["text"], "doc_id")
-    return dup.select(F.sha2("text", 256).alias("text_sha"), "n_copies", "min_doc_id")
+    """AG16: exact duplicate documents (whole text, by SHA-256), copy count and first id."""
+    # group on the 256-bit digest: whole texts are hashed where they are read and never shuffled
+    d = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha"))
+    return ag.duplicates(d, ["text_sha"], "doc_id").select("text_sha", "n_copies", "min_doc_id")
 
 
 AG17_SQL = f"""
