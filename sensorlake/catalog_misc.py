@@ -542,3 +542,25 @@ def ch1_watermark_state(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("wf").alias("workflow_id"), F.col("parameter").alias("sensor_type"), "next_run_time")
     out = lifecycle.advance_watermark(state, runs)
     return out.select("workflow_id", "sensor_type", "last_run_time")
+
+
+SR8_SQL = """
+SELECT l_orderkey, l_linenumber, l_returnflag, coalesce(l_discount, 0) AS l_discount FROM lineitem
+"""
+
+
+@register("sr8_delimited_roundtrip", SR8_SQL)
+def sr8_delimited_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """SR8/PJ16: the line table exported as text with the multi-character separator ';@'
+    and no header (to the checkpoint folder), read back with a fixed header list and nulls
+    filled with 0."""
+    import uuid
+    from .session import ensure_checkpoint_dir
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_discount")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensorlake-export-{uuid.uuid4().hex}"
+    li.write.option("sep", ";@").option("header", "false").csv(path)
+    back = files.read_delimited(spark, path, ";@", ["l_orderkey", "l_linenumber", "l_returnflag", "l_discount"])
+    return back.select(F.col("l_orderkey").cast("long").alias("l_orderkey"),
+                       F.col("l_linenumber").cast("int").alias("l_linenumber"),
+                       F.col("l_returnflag").cast("string").alias("l_returnflag"),
+                       F.col("l_discount").cast("double").alias("l_discount"))
