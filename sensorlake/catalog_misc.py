@@ -564,3 +564,33 @@ def sr8_delimited_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("l_linenumber").cast("int").alias("l_linenumber"),
                        F.col("l_returnflag").cast("string").alias("l_returnflag"),
                        F.col("l_discount").cast("double").alias("l_discount"))
+
+
+SR1_SQL = """
+SELECT event_type || ':' || CAST(user_id AS VARCHAR) AS tag_id, value,
+       CAST(floor(epoch(ts)) AS BIGINT) AS epoch, 'Good' AS quality
+FROM events
+"""
+
+
+@register("sr1_landing_roundtrip", SR1_SQL)
+def sr1_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """SR1/PJ1/PJ2/SK3: readings packed as landing messages (one JSON array body per asset
+    and day), written as JSON lines to the checkpoint folder, read back with the landing
+    schema and exploded to bronze rows (tag, value, time, quality)."""
+    import uuid
+    from .session import ensure_checkpoint_dir
+    from .sources.files import LANDING_SCHEMA, landing_to_bronze, read_landing
+    ev = table(spark, sf, "events")
+    item = F.struct(F.col("event_type").alias("nodeId"),
+                    F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("displayName"),
+                    F.struct(F.col("value").alias("value"),
+                             F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                             F.lit("Good").alias("statusCode")).alias("value"))
+    msgs = (ev.groupBy("user_id", F.to_date("ts").alias("_day"))  # one message per asset and day
+              .agg(F.to_json(F.collect_list(item)).alias("body"))
+              .select(F.lit("opc").alias("source_module"), "body"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensorlake-landing-{uuid.uuid4().hex}"
+    msgs.write.json(path)
+    bronze = landing_to_bronze(read_landing(spark, path, LANDING_SCHEMA, streaming=False))
+    return bronze.select("tag_id", "value", F.unix_seconds("timestamp").alias("epoch"), "quality")
