@@ -594,3 +594,29 @@ def sr1_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     msgs.write.json(path)
     bronze = landing_to_bronze(read_landing(spark, path, LANDING_SCHEMA, streaming=False))
     return bronze.select("tag_id", "value", F.unix_seconds("timestamp").alias("epoch"), "quality")
+
+
+SR2_SINCE = "2024-01-10 00:00:00"
+SR2_SQL = f"""
+SELECT event_type AS tagId, CAST(floor(epoch(ts)) AS BIGINT) AS epoch, value
+FROM events WHERE ts > TIMESTAMP '{SR2_SINCE}' AND event_type <> 'error'
+"""
+
+
+@register("sr2_broker_roundtrip", SR2_SQL)
+def sr2_broker_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """SK4/SR2: readings sent as binary JSON bodies (tag_id renamed tagId) with an
+    enqueued time and a module property; the broker-shaped stream keeps messages after
+    the reset time from the wanted module and parses the bodies back."""
+    from .functions.scalars import epoch_seconds
+    from .sources import broker
+    ev = table(spark, sf, "events")
+    rows = ev.select(F.col("event_type").alias("tag_id"),
+                     epoch_seconds("ts", ev.schema["ts"].dataType).alias("epoch"), "value",
+                     F.col("ts").cast("timestamp").alias("enqueuedTime"),
+                     F.create_map(F.lit("module"), F.when(F.col("event_type") == "error", F.lit("diag"))
+                                  .otherwise(F.lit("opc"))).alias("properties"))
+    msgs = broker.to_broker_body(rows, {"tag_id": "tagId"}, cols=["tag_id", "epoch", "value"],
+                                 keep=["enqueuedTime", "properties"])
+    shaped = broker.shape_broker(msgs, SR2_SINCE, "module", "opc")
+    return shaped.select(F.from_json("body", "tagId string, epoch long, value double").alias("r")).select("r.*")

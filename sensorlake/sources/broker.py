@@ -51,7 +51,10 @@ def decompress_body(df: DataFrame, col: str = "body", codec: str = "gzip+base64"
     return df.mapInPandas(fn, schema)
 
 
-def to_broker_body(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
-    """SK4: row -> JSON -> binary ``body`` (renames e.g. tag_id -> tagId)."""
-    cols = [F.col(c).alias((renames or {}).get(c, c)) for c in df.columns]
-    return df.select(F.to_json(F.struct(*cols)).cast("binary").alias("body"))
+def to_broker_body(df: DataFrame, renames: dict[str, str] | None = None, cols=None, keep=()) -> DataFrame:
+    """SK4: row -> JSON -> binary ``body`` (renames e.g. tag_id -> tagId); ``cols``
+    picks the fields of the body (default all), ``keep`` columns travel alongside
+    (e.g. an event time or properties for the sender)."""
+    cols = list(cols) if cols is not None else [c for c in df.columns if c not in keep]
+    fields = [F.col(c).alias((renames or {}).get(c, c)) for c in cols]
+    return df.select(F.to_json(F.struct(*fields)).cast("binary").alias("body"), *keep)
