@@ -620,3 +620,22 @@ def sr2_broker_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                                  keep=["enqueuedTime", "properties"])
     shaped = broker.shape_broker(msgs, SR2_SINCE, "module", "opc")
     return shaped.select(F.from_json("body", "tagId string, epoch long, value double").alias("r")).select("r.*")
+
+
+SK10_SQL = """
+SELECT event_type AS tag_id, value, CAST(floor(epoch(ts)) AS BIGINT) AS timestamp, 'Good' AS quality,
+       CAST(floor(epoch(ts)) AS BIGINT) AS last_updated_date
+FROM events
+"""
+
+
+@register("sk10_conform_schema", SK10_SQL)
+def sk10_conform_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """SK10: readings brought to a declared table schema: column order and types, defaults
+    for the missing quality and last-updated columns."""
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+    schema = StructType([StructField("tag_id", StringType()), StructField("value", DoubleType()),
+                         StructField("timestamp", LongType()), StructField("quality", StringType()),
+                         StructField("last_updated_date", LongType())])
+    r = readings(spark, sf).select(F.col("epoch").alias("timestamp"), "value", F.col("parameter").alias("tag_id"))
+    return sinks.conform(r, schema, {"quality": F.lit("Good"), "last_updated_date": F.col("timestamp")})
