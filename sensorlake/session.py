@@ -52,7 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:  # once per context
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
