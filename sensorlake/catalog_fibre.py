@@ -175,20 +175,25 @@ def pb8_publish_with_backfill(spark: SparkSession, sf: str) -> DataFrame:
 
 def _das_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Acoustic bronze rows derived from the vectors: one file per vector, a single
-    time sample (vector id x 20 s, in microseconds) of one spectrum row."""
+    time sample (vector id x 20 s, in microseconds) of one spectrum row, shaped by
+    SR7: band label from a band table (band = label, range label*100 .. +100), asset
+    from a device table, depth positions from the spectrum width."""
     e = table(spark, sf, "embeddings")
-    return e.select(
-        F.concat(F.lit("dev-"), F.col("label").cast("string")).alias("device_id"),
-        F.col("label").cast("string").alias("asset_id"),
-        F.concat(F.lit("band-"), F.col("label").cast("string")).alias("freq_band"),
-        F.array((F.col("vec_id") * 20_000_000).cast("long")).alias("time"),
-        F.array(F.col("embedding").cast("array<double>")).alias("source_data"),
-        F.sequence(F.lit(0), F.size("embedding") - 1).alias("depth"))
+    decoded = e.select(F.concat(F.lit("dev-"), F.col("label").cast("string")).alias("device_id"),
+                       F.col("label").alias("band_id"), F.size("embedding").alias("n_depth"),
+                       F.array((F.col("vec_id") * 20_000_000).cast("long")).alias("time"),
+                       F.array(F.col("embedding").cast("array<double>")).alias("source_data"))
+    labels = e.select("label").distinct()
+    bands = labels.select(F.col("label").alias("band_id"), (F.col("label") * 100).alias("start"),
+                          (F.col("label") * 100 + 100).alias("end"))
+    assets = labels.select(F.concat(F.lit("dev-"), F.col("label").cast("string")).alias("device_id"),
+                           F.col("label").cast("string").alias("asset_id"))
+    return fb.shape_das_bronze(decoded, bands, assets)
 
 
 DA1_SQL = """
 WITH e AS (SELECT 'dev-' || CAST(label AS VARCHAR) AS device_id, CAST(label AS VARCHAR) AS asset_id,
-                  'band-' || CAST(label AS VARCHAR) AS freq_band,
+                  CAST(label * 100 AS VARCHAR) || '-' || CAST(label * 100 + 100 AS VARCHAR) AS freq_band,
                   CAST(floor(vec_id * 20000000 / 1000000 / 60) * 60 AS BIGINT) AS time,
                   unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos, len(embedding) AS n FROM embeddings),
 a AS (SELECT device_id, asset_id, freq_band, time, pos, any_value(n) AS n, avg(v) AS av FROM e GROUP BY ALL)
@@ -207,7 +212,8 @@ def da1_das_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 DA2_SQL = """
-SELECT CAST(label AS VARCHAR) AS asset_id, 'band-' || CAST(label AS VARCHAR) AS freq_band,
+SELECT CAST(label AS VARCHAR) AS asset_id,
+       CAST(label * 100 AS VARCHAR) || '-' || CAST(label * 100 + 100 AS VARCHAR) AS freq_band,
        max(CAST(floor(vec_id * 20000000 / 1000000 / 60) * 60 AS BIGINT)) AS latest_epoch
 FROM embeddings GROUP BY label
 """
