@@ -19,28 +19,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import DEFAULT_CHUNK, carry, chunk_of
+from .chunks import carry, chunk_of
 
 
 def _lit(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+def density_chunk(limit) -> Column:
+    """Chunk length for islands from the gap limit (``2f - 1`` for data frequency
+    f): about 1e5 readings per chunk, between one day and one year."""
+    lim = F.col(limit) if isinstance(limit, str) else _lit(limit)
+    return F.least(F.greatest((lim + 1) * 50_000, F.lit(86_400)), F.lit(365 * 86_400)).cast("long")
+
+
 def islands(hits: DataFrame, keys: Sequence[str], ts: str, limit, duration=None, lo=None, hi=None,
-            chunk=DEFAULT_CHUNK, extra: Sequence[str] = (), materialize: bool = False) -> DataFrame:
+            chunk=None, extra: Sequence[str] = (), materialize: bool = False) -> DataFrame:
     """Islands ``keys..., start_time, end_time`` of hit times ``ts``.
 
     ``limit``, ``duration``, ``lo``, ``hi`` are ints or per-row columns (all rows
     of one key must agree, e.g. columns of a rule); ``limit`` may also name one of
     the ``extra`` columns. ``extra`` columns, constant per key, are carried to the
     output. With ``duration`` None every island is kept. Only the keys, the time,
-    the limit and the extras travel through the shuffle.
+    the limit and the extras travel through the shuffle. ``chunk`` defaults to
+    ``density_chunk(limit)``.
 
     The boundary rows feed two consumers (chunk summary and rows); with
     ``materialize`` they are checkpointed once (shared checkpoint folder), so the
     hits are read, joined and shuffled only once.
     """
     keys = list(keys)
+    if chunk is None:
+        chunk = density_chunk(limit)
     params = {} if isinstance(limit, str) else {"_limit": _lit(limit)}
     lim = F.col(limit) if isinstance(limit, str) else F.col("_limit")
     if duration is not None:

@@ -211,10 +211,8 @@ def _islands_of(hits: DataFrame, plan: RulePlan) -> DataFrame:
     """Islands per member; only (member, time, limit) travel through the shuffle.
     Rule parameters come back afterwards from the broadcast condition table
     (one row per rule x condition) for the duration / window-edge test (S2)."""
-    # chunk by expected density: about 1e5 readings at the member's data frequency
-    # (limit = 2f - 1), between one day and one year
-    chunk = F.least(F.greatest((F.col("limit") + 1) * 50_000, F.lit(86_400)), F.lit(365 * 86_400)).cast("long")
-    isl = (islands(hits, MEMBER, "epoch", "limit", extra=["limit"], chunk=chunk)
+    # chunks follow the member's data density (islands.density_chunk of its limit)
+    isl = (islands(hits, MEMBER, "epoch", "limit", extra=["limit"])
            .withColumnRenamed("start_time", "_is").withColumnRenamed("end_time", "_ie"))
     params = (plan.conditions.select("rule_id", "condition_id", "duration", "start_time", "end_time", "n_members",
                                      "join_condition", F.col("asset_id").isNull().alias("_wild"))
