@@ -639,3 +639,28 @@ def sk10_conform_schema(spark: SparkSession, sf: str) -> DataFrame:
                          StructField("last_updated_date", LongType())])
     r = readings(spark, sf).select(F.col("epoch").alias("timestamp"), "value", F.col("parameter").alias("tag_id"))
     return sinks.conform(r, schema, {"quality": F.lit("Good"), "last_updated_date": F.col("timestamp")})
+
+
+RU15_D, RU15_T = 3 * DAY, 2.5
+RU15_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+s AS (SELECT asset_id, parameter, epoch, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS sd
+      FROM r WINDOW w AS (PARTITION BY asset_id, parameter ORDER BY epoch
+                          RANGE BETWEEN {RU15_D} PRECEDING AND 1 PRECEDING))
+SELECT 71 AS rule_id, epoch AS start_time, epoch AS end_time FROM s
+WHERE sd IS NOT NULL AND sd <> 0 AND abs((value - m) / sd) > {RU15_T}
+  AND epoch BETWEEN {RUN_START} AND {RUN_END}
+"""
+
+
+@register("ru15_script_rule", RU15_SQL)
+def ru15_script_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """RU15/RU16: a script rule (a registered DataFrame function, never code text) over
+    every asset: trailing z-score spikes as single-point anomalies."""
+    from .plans import scripts
+    r = readings(spark, sf)
+    rule = {"rule_id": 71, "script": "zscore_spike", "asset_ids": None, "start_time": RUN_START,
+            "end_time": RUN_END, "history": RU15_D,
+            "params": {"d": RU15_D, "threshold": RU15_T, "keys": ["parameter"]}}
+    return scripts.run_script_rules([rule], r).select(F.col("rule_id").cast("int").alias("rule_id"),
+                                                      "start_time", "end_time")

@@ -25,14 +25,16 @@ def script_rule(name: str):
 
 
 def run_script_rules(rules: list[dict], readings: DataFrame, ts: str = "epoch") -> DataFrame | None:
-    """RU15/RU16: ``rules`` are script rule rows (rule_id, script, asset_ids,
-    start_time, end_time, history, params) — a configuration list. Returns
+    """RU15/RU16: ``rules`` are script rule rows (rule_id, script, asset_ids (None =
+    every asset), start_time, end_time, history, params) — a configuration list. Returns
     ``rule_id, start_time, end_time`` for all of them as one plan."""
     out = None
     for r in rules:
         fn = SCRIPTS[r["script"]]
         lo = int(r["start_time"]) - int(r.get("history", 0))
-        data = readings.filter(F.col("asset_id").isin(*r["asset_ids"]) & F.col(ts).between(lo, int(r["end_time"])))
+        data = readings.filter(F.col(ts).between(lo, int(r["end_time"])))
+        if r.get("asset_ids") is not None:  # None: every asset
+            data = data.filter(F.col("asset_id").isin(*r["asset_ids"]))
         res = fn(data, dict(r.get("params", {}), start_time=r["start_time"], end_time=r["end_time"]))
         res = res.select(F.lit(r["rule_id"]).alias("rule_id"), "start_time", "end_time")
         out = res if out is None else out.unionByName(res)
@@ -49,7 +51,8 @@ def chart(df: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:
 def zscore_spike(data: DataFrame, params: dict) -> DataFrame:
     """Example registered rule: trailing z-score spikes (WN4) as single-point anomalies."""
     from ..operators.windows import trailing_zscore
-    z = trailing_zscore(data, ["asset_id"], "epoch", params.get("value", "value"), int(params.get("d", 3600)),
+    keys = ["asset_id", *params.get("keys", [])]
+    z = trailing_zscore(data, keys, "epoch", params.get("value", "value"), int(params.get("d", 3600)),
                         params.get("operator", ">"), float(params.get("threshold", 3.0)))
     z = z.filter(F.col("flag") & F.col("epoch").between(params["start_time"], params["end_time"]))
     return z.select(F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time"))
