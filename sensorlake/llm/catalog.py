@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import embed_dedup, language, mixing, packing, simhash, token_counts, token_files, topk
+from sensorlake.llm import embed_dedup, language, mixing, packing, simhash, substring, token_counts, token_files, topk
 from sensorlake.llm.common import documents, embeddings, ensure_checkpoint_dir
 from sensorlake.llm.tokens import tokenizer_path
 
@@ -32,6 +32,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows.filter(F.col("vec_id") % 100 == 0), rows, k=10)
 
 
+@query("op2_substring_dedup", substring.REPEATS_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by 13-word windows that start in a smaller doc_id, removed from every document."""
+    return substring.remove_repeats(documents(spark, sf_dir), window=13)
+
+
 @query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the three quarters that are not held out."""
