@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import embed_dedup, language, mixing, packing, simhash, substring, token_counts, token_files, topk
+from sensorlake.llm import embed_dedup, language, mixing, packing, simhash, substring, suffix_dedup, token_counts, token_files, topk
 from sensorlake.llm.common import documents, embeddings, ensure_checkpoint_dir
 from sensorlake.llm.tokens import tokenizer_path
 
@@ -79,6 +79,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+@query("op9_suffix_array_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 50-byte strings that start in a smaller doc_id, removed from every document."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), length=50)
+
+
 @query("op10_source_mixing", mixing.MIX_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to their targets by systematic sampling."""
