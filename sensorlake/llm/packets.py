@@ -44,11 +44,12 @@ def from_five_bytes(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def pack_texts(docs: DataFrame) -> tuple[DataFrame, int]:
+def pack_texts(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """(table of packed rows, number of key buckets, a power of two).
 
-    Columns: chunk, doc_ids, ends (int64 ends of the texts in data), data (UTF-8, null text empty).
-    Texts of a row stand in order of doc_id, null ids last.
+    Columns: chunk, doc_ids, ends (int64 ends of the texts in data), data (UTF-8, null text empty),
+    carried (for each column of ``carry`` its values as strings). Texts of a row stand in order of
+    doc_id, null ids last.
     """
     spark = docs.sparkSession
     size = text_bytes(docs)
@@ -57,27 +58,30 @@ def pack_texts(docs: DataFrame) -> tuple[DataFrame, int]:
         held, n = [], 0
 
         def row():
-            held.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-            ends = np.cumsum([len(t) for _, t in held], dtype="<i8")
+            held.sort(key=lambda h: (h[0] is None, h[0] or 0, h[1]))
+            ends = np.cumsum([len(h[1]) for h in held], dtype="<i8")
             return pa.RecordBatch.from_arrays(
-                [pa.array([[d for d, _ in held]], pa.list_(pa.int64())), pa.array([ends.tobytes()], pa.binary()),
-                 pa.array([b"".join(t for _, t in held)], pa.binary())], names=["doc_ids", "ends", "data"])
+                [pa.array([[h[0] for h in held]], pa.list_(pa.int64())), pa.array([ends.tobytes()], pa.binary()),
+                 pa.array([b"".join(h[1] for h in held)], pa.binary()),
+                 pa.array([[[h[2 + i] for h in held] for i in range(len(carry))]], pa.list_(pa.list_(pa.string())))],
+                names=["doc_ids", "ends", "data", "carried"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            carried = [batch.column(2 + i).to_pylist() for i in range(len(carry))]
+            for doc_id, text, *rest in zip(batch.column(0).to_pylist(), batch.column(1), *carried):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 if held and (n + len(raw) > ROW_BYTES or len(held) >= ROW_TEXTS):
                     yield row()
                     held, n = [], 0
-                held.append((doc_id, raw))
+                held.append((doc_id, raw, *rest))
                 n += len(raw)
         if held:
             yield row()
 
     buckets = max(spread(spark, size, 8 << 20), int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"packed_{uuid.uuid4().hex}"
-    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-     .mapInArrow(pack, "doc_ids array<long>, ends binary, data binary")
+    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).cast("string") for c in carry])
+     .mapInArrow(pack, "doc_ids array<long>, ends binary, data binary, carried array<array<string>>")
      .withColumn("chunk", F.monotonically_increasing_id())
      .write.bucketBy(buckets, "chunk").format("parquet").option("compression", "zstd")
      .option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
@@ -226,13 +230,14 @@ def ask(sent: DataFrame, answer) -> DataFrame:
     return cut_lineage(sent.groupBy("bucket").applyInArrow(answer, REPLY))
 
 
-def asked(packed: DataFrame, replied: DataFrame | None, doubles: DataFrame | None, fn, schema: str) -> DataFrame:
+def asked(packed: DataFrame, replied: DataFrame | None, doubles: DataFrame | None, fn, schema: str,
+          carry: bool = False) -> DataFrame:
     """``fn(chunk, Texts, replies by bucket, state, copies)`` yields record batches for each row of texts.
 
     The small side is gathered by chunk (at most one reply a bucket) and joined to the bucketed table,
     which stays where it lies.
     """
-    rows = packed.select("chunk", "doc_ids", "ends", "data")
+    rows = packed.select("chunk", "doc_ids", "ends", "data", *(["carried"] if carry else []))
     if replied is not None:
         got = replied.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "kind", "bits")).alias("replies"))
         rows = rows.join(got.hint("shuffle_hash"), "chunk", "left")
@@ -246,9 +251,12 @@ def asked(packed: DataFrame, replied: DataFrame | None, doubles: DataFrame | Non
     def run(batches):
         for batch in batches:
             for at in range(batch.num_rows):
-                chunk, doc_ids, ends, data, got, dup = (batch.column(i)[at].as_py() for i in range(6))
+                chunk, doc_ids, ends, data, got, dup, *rest = (c[at].as_py() for c in batch.columns)
                 by = {r["bucket"]: r["bits"] for r in got or () if r["kind"] == 0}
                 kept = next((r["bits"] for r in got or () if r["kind"] == 1), b"")
-                yield from fn(chunk, Texts(doc_ids, ends, data), by, kept, dup or [])
+                t = Texts(doc_ids, ends, data)
+                t.carried = rest[0] if rest else []
+                yield from fn(chunk, t, by, kept, dup or [])
 
-    return rows.select("chunk", "doc_ids", "ends", "data", "replies", "copies").mapInArrow(run, schema)
+    columns = ["chunk", "doc_ids", "ends", "data", "replies", "copies", *(["carried"] if carry else [])]
+    return rows.select(*columns).mapInArrow(run, schema)

@@ -256,8 +256,8 @@ def sorter(length: int, shallow: int):
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, shallow: int = 24, many_rows: int = MANY_ROWS,
-                   with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text) of every row.
+                   with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text, and ``carry`` as strings) of every row.
 
     Removes each byte covered by a string of ``length`` bytes that also starts in a document with a
     smaller doc_id, judged on the input; n_spans counts the maximal removed runs. Windows whose anchor
@@ -271,7 +271,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, shallow: int = 24, many_ro
     are settled by digest. kept_text keeps a character whole if any of its bytes is kept. Empty input:
     no rows. Only doc_id and text are read.
     """
-    packed, buckets = packets.pack_texts(docs)
+    packed, buckets = packets.pack_texts(docs, carry)
     doubles = packets.copies(packed)
 
     def anchors(chunk, t, replies, kept, dup):
@@ -311,12 +311,14 @@ def remove_repeats(docs: DataFrame, length: int = 50, shallow: int = 24, many_ro
                 rows[5].append(whole_characters(raw, out) if touched else raw.decode("utf-8", "replace"))
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"][:5 + with_text]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds[:len(names)])], names=names)
+        cols = [pa.array(r, k) for r, k in zip(rows, kinds[:len(names)])] + [pa.array(c, pa.string()) for c in t.carried]
+        yield pa.RecordBatch.from_arrays(cols, names=[*names, *carry])
 
     replied = packets.ask(packets.asked(packed, None, doubles, anchors, packets.MESSAGE), packets.repeated(many_rows))
     replied = packets.ask(packets.asked(packed, replied, doubles, regions, packets.MESSAGE), sorter(length, shallow))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
-    return packets.asked(packed, replied, doubles, remove, out)
+    out += "".join(f", `{c}` string" for c in carry)
+    return packets.asked(packed, replied, doubles, remove, out, carry=bool(carry))
 
 
 def whole_characters(raw: bytes, out: np.ndarray) -> str:
@@ -326,5 +328,3 @@ def whole_characters(raw: bytes, out: np.ndarray) -> str:
     gone = np.repeat(np.logical_and.reduceat(out, first), np.diff(np.append(first, len(data))))
     return data[~gone].tobytes().decode("utf-8", "replace")
 
-
-REPEATS_SQL = None
