@@ -154,7 +154,7 @@ class Keys:
         new = np.ones(len(key), dtype=bool)
         new[1:] = key[1:] != key[:-1]
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(key)) - 1
+        last = np.append(first[1:], len(key))[:len(first)] - 1
         self.key = key[first]
         self.many = packed[first] != packed[last]
 
