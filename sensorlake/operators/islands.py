@@ -6,10 +6,11 @@ it lasts at least ``duration`` seconds, or touches the run window edges
 ``lo`` (= start - limit) or ``hi`` (= end) exactly (S2), so an anomaly split
 across two runs is not lost.
 
-Plan: one shuffle of the hits by (keys, day chunk); ``lag``/``lead`` inside
-each chunk; only boundary rows (island starts/ends and chunk edges, a small
-fraction of the hits) take part in the cross-chunk fix-up, which works on one
-row per chunk. No window is partitioned by the series key alone.
+Plan: two shuffles. Hits are grouped by (keys, time cell) and reduced to the
+islands inside a cell; a cell's first and last island may go on in another
+cell, so only these (at most two rows a cell) are grouped by the keys and
+merged, while inner islands stay with their own cell. No window over a whole
+series' hits exists, whatever the limit or the data frequency.
 """
 
 from __future__ import annotations
@@ -19,84 +20,59 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import carry, chunk_of
+from .chunks import chunk_of
+
+#: Seconds per cell: a task's unit is one series' hits of a cell, and the merge of a series sees at
+#: most two islands a cell.
+DEFAULT_CELL = 6 * 3600
 
 
 def _lit(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def density_chunk(limit) -> Column:
-    """Chunk length for islands from the gap limit (``2f - 1`` for data frequency
-    f): about 1e5 readings per chunk, between one day and one year."""
-    lim = F.col(limit) if isinstance(limit, str) else _lit(limit)
-    return F.least(F.greatest((lim + 1) * 50_000, F.lit(86_400)), F.lit(365 * 86_400)).cast("long")
-
-
 def islands(hits: DataFrame, keys: Sequence[str], ts: str, limit, duration=None, lo=None, hi=None,
-            chunk=None, extra: Sequence[str] = (), materialize: bool = False) -> DataFrame:
+            chunk=DEFAULT_CELL, extra: Sequence[str] = ()) -> DataFrame:
     """Islands ``keys..., start_time, end_time`` of hit times ``ts``.
 
     ``limit``, ``duration``, ``lo``, ``hi`` are ints or per-row columns (all rows
     of one key must agree, e.g. columns of a rule); ``limit`` may also name one of
     the ``extra`` columns. ``extra`` columns, constant per key, are carried to the
     output. With ``duration`` None every island is kept. Only the keys, the time,
-    the limit and the extras travel through the shuffle. ``chunk`` defaults to
-    ``density_chunk(limit)``.
-
-    The boundary rows feed two consumers (chunk summary and rows); with
-    ``materialize`` they are checkpointed once (shared checkpoint folder), so the
-    hits are read, joined and shuffled only once.
+    the limit and the extras travel through the shuffle. ``chunk`` is the cell
+    length in seconds.
     """
     keys = list(keys)
-    if chunk is None:
-        chunk = density_chunk(limit)
-    params = {} if isinstance(limit, str) else {"_limit": _lit(limit)}
+    params = {} if isinstance(limit, str) else {"_limit": _lit(limit).cast("long")}
     lim = F.col(limit) if isinstance(limit, str) else F.col("_limit")
-    if duration is not None:
-        params["_dur"] = _lit(duration)
-    if lo is not None:
-        params["_lo"] = _lit(lo)
-    if hi is not None:
-        params["_hi"] = _lit(hi)
-    pcols = list(params)
-    h = hits.filter(F.col(ts).isNotNull()).select(*keys, *extra, F.col(ts).alias("_t"),
-                                                  *[v.alias(k) for k, v in params.items()])
-    # non-nullable chunk id: no inferred null filters, so every branch reading the
-    # windowed hits has the same plan and the hits shuffle is reused, not redone
-    h = h.withColumn("_chunk", F.coalesce(chunk_of("_t", chunk), F.lit(0).cast("long")))
-    wc = Window.partitionBy(*keys, "_chunk").orderBy("_t")
-    h = h.withColumn("_p", F.lag("_t").over(wc)).withColumn("_n", F.lead("_t").over(wc))
-    gap_before = F.col("_p").isNull() | (F.col("_t") - F.col("_p") > lim)
-    gap_after = F.col("_n").isNull() | (F.col("_n") - F.col("_t") > lim)
-    b0 = h.filter(gap_before | gap_after)  # candidate boundaries incl. first/last row of each chunk
-    if materialize:
-        from ..session import cut_lineage
-        b0 = cut_lineage(b0)
-
-    # previous chunk's last hit and next chunk's first hit (one row per chunk)
-    s = b0.groupBy(*keys, "_chunk").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-    wk = Window.partitionBy(*keys).orderBy("_chunk")
-    s = s.select(*keys, "_chunk", F.lag("_last").over(wk).alias("_pl"), F.lead("_first").over(wk).alias("_nf"))
-    # inner joins: every chunk of b0 has a summary row, and matching join types keep the
-    # two branches' plans identical so Spark reuses the shuffle of the hits
-    b1 = b0.join(s, [*keys, "_chunk"], "inner")
-    prev = F.coalesce(F.col("_p"), F.col("_pl"))
-    nxt = F.coalesce(F.col("_n"), F.col("_nf"))
-    b1 = (b1.withColumn("_is_start", prev.isNull() | (F.col("_t") - prev > lim))
-            .withColumn("_is_end", nxt.isNull() | (nxt - F.col("_t") > lim))
-            .filter(F.col("_is_start") | F.col("_is_end"))
-            .withColumn("_s", F.when(F.col("_is_start"), F.col("_t"))))
+    for name, value in (("_dur", duration), ("_lo", lo), ("_hi", hi)):
+        if value is not None:
+            params[name] = _lit(value).cast("long")
+    carried = [*extra, *params]
+    h = hits.filter(F.col(ts).isNotNull()).select(
+        *keys, *extra, F.col(ts).alias("_t"), chunk_of(ts, chunk).alias("_cell"), *[v.alias(k) for k, v in params.items()])
+
+    # islands inside a cell
+    cell = Window.partitionBy(*keys, "_cell")
+    order = cell.orderBy("_t")
+    h = h.withColumn("_p", F.lag("_t").over(order))
+    h = h.withColumn("_new", (F.col("_p").isNull() | (F.col("_t") - F.col("_p") > lim)).cast("int"))
+    h = h.withColumn("_isl", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    part = h.groupBy(*keys, "_cell", "_isl").agg(
+        F.min("_t").alias("start_time"), F.max("_t").alias("end_time"), *[F.first(c).alias(c) for c in carried])
+    part = part.withColumn("_last", F.max("_isl").over(cell))
+    edge = (F.col("_isl") == 1) | (F.col("_isl") == F.col("_last"))
+
+    # cells' first and last islands meet per key; inner ones are whole and keep a group of their own
+    part = part.withColumn("_group", F.when(edge, F.lit(None)).otherwise(F.col("_cell")))
+    line = Window.partitionBy(*keys, "_group").orderBy("start_time")
+    part = part.withColumn("_p", F.lag("end_time").over(line))
+    part = part.withColumn("_new", (F.col("_group").isNotNull() | F.col("_p").isNull()
+                                    | (F.col("start_time") - F.col("_p") > lim)).cast("int"))
+    part = part.withColumn("_run", F.sum("_new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    out = part.groupBy(*keys, "_group", "_run").agg(
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), *[F.first(c).alias(c) for c in carried])
 
-    # island start for end rows: latest start at or before it, possibly in an earlier chunk
-    cs = b1.groupBy(*keys, "_chunk").agg(F.max("_s").alias("_ls"))
-    cs = carry(cs, keys, {"_carry": F.max("_ls")}).select(*keys, "_chunk", "_carry")
-    b2 = b1.join(cs, [*keys, "_chunk"], "inner")
-    # RANGE frame: rows at the same time (duplicates) all see a start at that time
-    run = Window.partitionBy(*keys, "_chunk").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
-    b2 = b2.withColumn("_start", F.coalesce(F.max("_s").over(run), F.col("_carry")))
-    out = b2.filter("_is_end").select(*keys, *extra, F.col("_start").alias("start_time"),
-                                      F.col("_t").alias("end_time"), *pcols)
     keep = F.lit(duration is None)
     if duration is not None:
         keep = keep | (F.col("end_time") - F.col("start_time") >= F.col("_dur"))
@@ -104,4 +80,4 @@ def islands(hits: DataFrame, keys: Sequence[str], ts: str, limit, duration=None,
         keep = keep | (F.col("start_time") == F.col("_lo"))
     if hi is not None:
         keep = keep | (F.col("end_time") == F.col("_hi"))
-    return out.filter(keep).drop(*pcols)
+    return out.filter(keep).select(*keys, *extra, "start_time", "end_time")

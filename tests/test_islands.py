@@ -56,3 +56,17 @@ def test_islands_with_many_duplicate_times(spark):
     for chunk in (1, 7, 86400):
         got = sorted((r.start_time, r.end_time) for r in islands(df, ["k"], "t", 2, chunk=chunk).collect())
         assert got == [(5, 6), (20, 21), (40, 40)], chunk
+
+
+def test_islands_with_a_long_int_limit(spark):
+    """A plain int limit of over a day, on a series longer than its cells: same as brute force, no overflow."""
+    rows = [(1, t * 40_000) for t in range(50)] + [(1, 50 * 40_000 + 200_000)]
+    df = spark.createDataFrame(rows, "k int, t long")
+    got = sorted((r.start_time, r.end_time) for r in islands(df, ["k"], "t", 86_399).collect())
+    assert got == _brute([t for _, t in rows], 86_399)
+
+
+def test_islands_need_two_shuffles(spark):
+    df = spark.createDataFrame([(1, 1)], "k int, t long")
+    plan = islands(df, ["k"], "t", 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
