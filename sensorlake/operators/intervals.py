@@ -1,14 +1,16 @@
 """Interval operators: overlap join (JN6), N-way AND / OR of interval sets
 (RU4-RU6 combination, ST2), same-time presence (JN9).
 
-Overlap join without a nested loop: intervals are cut into bins on a
-multi-level grid (level ``l`` has bin width ``base * fanout**l``). Each
-interval lives natively on the finest level where it spans fewer than
-``fanout`` bins and is also placed on every coarser level (at most two bins
-there). A pair is emitted exactly once: on level ``max(native levels)`` in the
-bin holding ``greatest(start)``, which both intervals contain. Long intervals
-therefore cost ``O(fanout + levels)`` rows, not ``O(length / bin)``; there is
-no cap and nothing is dropped.
+Overlap join without a nested loop: an interval's level is the power of
+``fanout`` (from ``base``) that is at least its length, so it touches at most
+two bins of its own level. Two intervals meet on the higher of their levels:
+one of them is there by its own level (at most two bins) and the other, being
+no longer than a bin, touches at most two of these bins too. So two equi joins
+find all pairs: left by its own level with the right rows of that level or
+lower, and right by its own level with the left rows of strictly lower ones.
+A row is placed on a level above its own only where the other side has rows of
+that level, in two bins at most, and candidates share a bin as long as the
+longer of the two; there is no cap and nothing is dropped.
 """
 
 from __future__ import annotations
@@ -21,75 +23,71 @@ from pyspark.sql import functions as F
 from .chunks import DEFAULT_CHUNK, carry, chunk_of
 
 
-# Without a known longest interval, the coarsest level spans this horizon
-# (longer intervals are still exact: they take more bins on the top level).
-DEFAULT_HORIZON = 10 * 365 * 86400
+def _level(length: Column, base: int, fanout: int) -> Column:
+    """Smallest level whose bins are at least as long as the interval."""
+    return F.greatest(F.lit(0), F.ceil(F.log(float(fanout), F.greatest(length, F.lit(1)) / F.lit(float(base))) - F.lit(1e-9))).cast("int")
 
 
-def _levels_for(max_span: int | None, base: int, fanout: int) -> int:
-    """Grid levels so that the coarsest bin width reaches ``max_span``."""
-    target = max_span or DEFAULT_HORIZON
-    lv, w = 1, base
-    while w < target:
-        w *= fanout
-        lv += 1
-    return lv
+def _width(level: Column, base: int, fanout: int) -> Column:
+    return (F.lit(base) * F.pow(F.lit(float(fanout)), level)).cast("long")
 
 
-def _binned(df: DataFrame, s: str, e: str, base: int, fanout: int, levels: int, prefix: str) -> DataFrame:
-    def width(lv: Column) -> Column:
-        return (F.lit(base) * F.pow(F.lit(fanout), lv)).cast("long")
-
-    span_ok = [(F.floor(F.col(e) / (base * fanout ** lv)) - F.floor(F.col(s) / (base * fanout ** lv))) < fanout
-               for lv in range(levels)]
-    native = F.coalesce(*[F.when(ok, F.lit(lv)) for lv, ok in enumerate(span_ok)], F.lit(levels - 1))
-    cells = F.flatten(F.transform(
-        F.sequence(F.col(f"{prefix}native"), F.lit(levels - 1)),
-        lambda lv: F.transform(F.sequence(F.floor(F.col(s) / width(lv)).cast("long"),
-                                          F.floor(F.col(e) / width(lv)).cast("long")),
-                               lambda b: F.struct(lv.alias("lv"), b.alias("bin")))))
-    return (df.withColumn(f"{prefix}native", native.cast("int"))
-              .withColumn(f"{prefix}cell", F.explode(cells))
-              .withColumn(f"{prefix}lv", F.col(f"{prefix}cell.lv"))
-              .withColumn(f"{prefix}bin", F.col(f"{prefix}cell.bin"))
-              .drop(f"{prefix}cell"))
+def _cells(df: DataFrame, s: str, e: str, level: Column, prefix: str, base: int, fanout: int) -> DataFrame:
+    """``df`` once per bin of ``level`` that it touches."""
+    df = df.withColumn(f"{prefix}at", level)
+    width = _width(F.col(f"{prefix}at"), base, fanout)
+    return df.withColumn(f"{prefix}bin", F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.col(e) / width))))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ls: str, le: str, rs: str, re: str,
-                 base: int | str = 3600, fanout: int = 16, max_span: int | str | None = None) -> DataFrame:
+                 base: int | str = 3600, fanout: int = 16) -> DataFrame:
     """All pairs of closed intervals that overlap (``ls <= re and rs <= le``) with
     equal ``keys``; adds ``start_time = greatest(starts)``, ``end_time = least(ends)``.
 
     Column names other than ``keys`` must differ between the sides and from
-    ``start_time``/``end_time``. ``base`` should be near the typical interval
-    length (``"auto"``: the median length of both sides, one approximate
-    percentile aggregate); ``max_span`` (longest possible interval, e.g. a run
-    window, or ``"auto"`` to read it with the same aggregate) bounds the number
-    of grid levels.
+    ``start_time``/``end_time``. ``base`` is the bin length of the lowest level,
+    best near the shortest common interval length (``"auto"``: the median length
+    of both sides, one approximate percentile aggregate). Rows with a null bound
+    or an end before their start join nothing.
     """
     keys = list(keys)
-    if base == "auto" or max_span == "auto":
+    if base == "auto":
         lens = (left.select((F.col(le) - F.col(ls)).alias("_len"))
                     .unionByName(right.select((F.col(re) - F.col(rs)).alias("_len"))))
-        med, top = lens.agg(F.percentile_approx("_len", 0.5), F.max("_len")).collect()[0]
-        if base == "auto":
-            base = max(int(med or 0), 1)
-        if max_span == "auto":
-            max_span = max(int(top or 0), 1)
-    levels = _levels_for(max_span, base, fanout)
-    lb = _binned(left, ls, le, base, fanout, levels, "_l")
-    rb = _binned(right, rs, re, base, fanout, levels, "_r")
-    cond = [lb[k] == rb[k] for k in keys] + [lb["_llv"] == rb["_rlv"], lb["_lbin"] == rb["_rbin"]]
-    j = lb.join(rb, cond, "inner")
-    g_start = F.greatest(F.col(ls), F.col(rs))
-    lvl = F.greatest(F.col("_lnative"), F.col("_rnative"))
-    w = (F.lit(base) * F.pow(F.lit(fanout), lvl)).cast("long")
-    j = j.filter((F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le)) & (F.col("_llv") == lvl)
-                 & (F.col("_lbin") == F.floor(g_start / w)))
-    return j.select(*[lb[k].alias(k) for k in keys],
-                    *[lb[c] for c in left.columns if c not in keys],
-                    *[rb[c] for c in right.columns if c not in keys],
-                    g_start.alias("start_time"), F.least(F.col(le), F.col(re)).alias("end_time"))
+        base = max(int(lens.agg(F.percentile_approx("_len", 0.5)).first()[0] or 0), 1)
+    lcols, rcols = [c for c in left.columns if c not in keys], [c for c in right.columns if c not in keys]
+    a = left.filter(F.col(ls) <= F.col(le)).withColumn("_lv", _level(F.col(le) - F.col(ls), base, fanout))
+    b = right.filter(F.col(rs) <= F.col(re)).withColumn("_rv", _level(F.col(re) - F.col(rs), base, fanout))
+    rkeys = [F.col(k).alias(f"_r_{k}") for k in keys]
+
+    def levels(df: DataFrame, own: str, name: str) -> DataFrame:
+        """Per key the levels in use: a short list."""
+        return df.groupBy(*keys).agg(F.collect_set(own).alias(name))
+
+    def raised(df: DataFrame, other: DataFrame, own: str, strict: bool) -> DataFrame:
+        """``df`` once per level of ``other`` (same keys) that is not below (``strict``: above) its own."""
+        up = df.join(other, keys, "inner")
+        above = F.filter("_levels", lambda x: (x > F.col(own)) if strict else (x >= F.col(own)))
+        return up.withColumn("_to", F.explode(above)).drop("_levels")
+
+    def meet(x: DataFrame, y: DataFrame) -> DataFrame:
+        """Left cells ``x`` with right cells ``y``; a pair counts in the bin of the greater start."""
+        y = y.select(*rkeys, *rcols, "_rat", "_rbin")
+        on = [F.col(k) == F.col(f"_r_{k}") for k in keys] + [F.col("_lat") == F.col("_rat"), F.col("_lbin") == F.col("_rbin")]
+        cond = on[0]
+        for c in on[1:]:
+            cond = cond & c
+        start = F.greatest(F.col(ls), F.col(rs))
+        j = x.join(y, cond, "inner")
+        j = j.filter((F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le))
+                     & (F.col("_lbin") == F.floor(start / _width(F.col("_lat"), base, fanout))))
+        return j.select(*keys, *lcols, *rcols, start.alias("start_time"), F.least(F.col(le), F.col(re)).alias("end_time"))
+
+    own_left = _cells(a, ls, le, F.col("_lv"), "_l", base, fanout)
+    own_right = _cells(b, rs, re, F.col("_rv"), "_r", base, fanout)
+    up_right = _cells(raised(b, levels(a, "_lv", "_levels"), "_rv", False), rs, re, F.col("_to"), "_r", base, fanout)
+    up_left = _cells(raised(a, levels(b, "_rv", "_levels"), "_lv", True), ls, le, F.col("_to"), "_l", base, fanout)
+    return meet(own_left, up_right).unionByName(meet(up_left, own_right))
 
 
 def intersect_members(intervals: DataFrame, group: Sequence[str], member: str, n_members: str,

@@ -45,7 +45,42 @@ def test_overlap_join_auto_grid(spark):
     right = [(1, j, j * 35 + 3, j * 35 + 3 + (j % 5) * 90) for j in range(80)]
     L = spark.createDataFrame(left, "k int, li int, ls long, le long")
     R = spark.createDataFrame(right, "k int, ri int, rs long, re long")
-    got = sorted((r.li, r.ri) for r in overlap_join(L, R, ["k"], "ls", "le", "rs", "re", base="auto",
-                                                     max_span="auto").collect())
+    got = sorted((r.li, r.ri) for r in overlap_join(L, R, ["k"], "ls", "le", "rs", "re", base="auto").collect())
     exp = sorted((a[1], b[1]) for a in left for b in right if a[2] <= b[3] and b[2] <= a[3])
     assert got == exp
+
+
+def test_overlap_candidates_grow_with_the_pairs(spark):
+    """Sparse intervals with one very long one: join rows stay near the pairs, not their square."""
+    made = {}
+    for n in (500, 1000, 2000):
+        left = [(1, i, i * 10_000, i * 10_000 + 50) for i in range(n)] + [(1, -1, 0, 3_000)]
+        right = [(1, i, i * 10_000 + 20, i * 10_000 + 90) for i in range(n)]
+        L = spark.createDataFrame(left, "k int, li int, ls long, le long")
+        R = spark.createDataFrame(right, "k int, ri int, rs long, re long")
+        df = overlap_join(L, R, ["k"], "ls", "le", "rs", "re", base=60)
+        assert df.count() == n + 1
+        plan = df._jdf.queryExecution()
+        df.collect()
+        rows = _join_rows(plan.executedPlan())
+        made[n] = rows
+    assert made[2000] <= 6 * made[500] and made[2000] <= 40 * 2001
+
+
+def _join_rows(node):
+    """Output rows of the joins on cells in an executed plan."""
+    total, todo = 0, [node]
+    while todo:
+        x = todo.pop()
+        name = x.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(x.executedPlan())
+            continue
+        if "QueryStage" in name:
+            todo.append(x.plan())
+            continue
+        if "Join" in name and "_lbin" in x.verboseStringWithOperatorId():
+            total += x.metrics().apply("numOutputRows").value()
+        kids = x.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return total
