@@ -9,7 +9,9 @@ exact result across chunk boundaries:
   (bounded overlap), so a ``rangeBetween`` frame is exact for the chunk's own
   rows;
 * ``carry`` turns a per-chunk summary into "value of all earlier chunks"
-  with a window over one row per chunk (days, not readings).
+  with a window over one row per chunk (days, not readings);
+* ``row_ranks`` numbers a series' rows that way, and ``row_halo`` cuts it into
+  blocks of rows with the last rows of the block before.
 """
 
 from __future__ import annotations
@@ -61,24 +63,41 @@ def carry(summary: DataFrame, keys: Sequence[str], out: dict[str, Column]) -> Da
     return summary
 
 
+def row_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, out: str = "_k",
+              chunk=DEFAULT_CHUNK, counted: Column | None = None) -> DataFrame:
+    """``df`` with ``out`` = number of rows (where ``counted``) of the key up to and
+    including this one in ``order`` (which begins with ``ts``).
+
+    Counted inside a time chunk, plus the count of earlier chunks (a window over
+    one row per chunk), so no window spans a whole series.
+    """
+    keys = list(keys)
+    one = F.lit(1) if counted is None else F.when(counted, F.lit(1))
+    base = df.withColumn("_chunk", F.coalesce(chunk_of(ts, chunk), F.lit(0).cast("long")))
+    upto = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    base = base.withColumn("_r", F.count(one).over(upto))
+    cnt = carry(base.groupBy(*keys, "_chunk").agg(F.max("_r").alias("_cnt")), keys, {"_before": F.sum("_cnt")})
+    cnt = cnt.select(*[F.col(k).alias(f"_q_{k}") for k in keys], F.col("_chunk").alias("_q_chunk"), "_before")
+    same = F.col("_chunk") == F.col("_q_chunk")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_q_{k}"))
+    ranked = base.join(cnt, same, "inner").withColumn(out, F.col("_r") + F.coalesce(F.col("_before"), F.lit(0)))
+    return ranked.drop("_chunk", "_r", "_before", "_q_chunk", *[f"_q_{k}" for k in keys])
+
+
 def row_halo(df: DataFrame, keys: Sequence[str], ts: str, n: int, chunk=DEFAULT_CHUNK) -> DataFrame:
-    """Rows tagged ``_chunk``/``_primary`` such that a ``rowsBetween(-n, 0)``
-    frame over ``partitionBy(keys, "_chunk").orderBy(ts)`` is exact for primary rows.
+    """Rows tagged ``_chunk``/``_primary``/``_k`` such that a ``rowsBetween(-n, 0)``
+    frame over ``partitionBy(keys, "_chunk").orderBy("_k")`` is exact for primary rows.
 
-    The last ``n`` rows before each chunk (taken from at most ``n`` earlier
-    non-empty chunks, each contributing at most ``n`` rows) are copied in.
+    A block holds at least 50 n rows by their rank in the series, so copying the
+    last n rows of each block into the next adds at most 2 %, however sparse the
+    series is in time.
     """
-    cols = [c for c in df.columns]
-    base = df.withColumn("_chunk", chunk_of(ts, chunk))
-    wdesc = Window.partitionBy(*keys, "_chunk").orderBy(F.col(ts).desc())
-    tail = (base.withColumn("_rk", F.row_number().over(wdesc)).filter(F.col("_rk") <= n)
-                .groupBy(*keys, "_chunk")
-                .agg(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("_o"), *[F.col(c).alias(f"_v_{c}") for c in cols])))
-                     .alias("_tail")))
-    wprev = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(-n, -1)
-    halo = (tail.withColumn("_h", F.flatten(F.collect_list("_tail").over(wprev)))
-                .withColumn("_h", F.slice("_h", F.greatest(F.size("_h") - n + 1, F.lit(1)), n))
-                .select(*keys, "_chunk", F.explode("_h").alias("_x"))
-                .select(*[F.col(f"_x._v_{c}").alias(c) for c in cols], "_chunk"))
-    return (base.withColumn("_primary", F.lit(True))
-                .unionByName(halo.withColumn("_primary", F.lit(False))))
+    size = max(1000, 50 * int(n))
+    ranked = row_ranks(df, keys, [ts], ts, "_k", chunk)
+    block = F.floor((F.col("_k") - 1) / size).cast("long")
+    at_end = F.pmod(F.col("_k") - 1, F.lit(size)) >= size - int(n)
+    return (ranked.withColumn("_block", block)
+                  .withColumn("_chunk", F.explode(F.when(at_end, F.array(F.col("_block"), F.col("_block") + 1))
+                                                   .otherwise(F.array(F.col("_block")))))
+                  .withColumn("_primary", F.col("_chunk") == F.col("_block")).drop("_block"))

@@ -7,12 +7,13 @@ ranks combine an in-chunk rank with counts carried from earlier chunks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import DEFAULT_CHUNK, carry, chunk_of, halo_split, row_halo
+from .chunks import DEFAULT_CHUNK, carry, chunk_of, halo_split, row_halo, row_ranks
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -243,120 +244,58 @@ def hold_last_good(df: DataFrame, keys: Sequence[str], ts: str, value: str, lo:
     else null. Adds ``in_range`` and ``modified``."""
     good = (F.col(value) >= lo) & (F.col(value) <= hi)
     h = row_halo(df, keys, ts, rows, chunk)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(ts).rowsBetween(-rows, -1)
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_k").rowsBetween(-rows, -1)
     last_good = F.last(F.when(good, F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))), ignorenulls=True).over(w)
     h = h.withColumn("_lg", last_good).filter("_primary")
     fill = F.when(F.col(ts) - F.col("_lg.t") <= max_lag, F.col("_lg.v"))
     return (h.withColumn("in_range", F.coalesce(good, F.lit(False)))
              .withColumn("modified", F.when(F.col("in_range"), F.col(value)).otherwise(fill))
-             .drop("_lg", "_chunk", "_primary"))
+             .drop("_lg", "_chunk", "_primary", "_k"))
 
 
 def moving_average(df: DataFrame, keys: Sequence[str], ts: str, value: str, n: int, out: str = "moving_avg",
                    chunk=DEFAULT_CHUNK) -> DataFrame:
     """Moving average over the current and ``n`` previous rows (WN7)."""
     h = row_halo(df, keys, ts, n, chunk)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(ts).rowsBetween(-n, 0)
-    return h.withColumn(out, F.avg(value).over(w)).filter("_primary").drop("_chunk", "_primary")
-
-
-def _local_ewm(keys: list[str], ts: str, value: str, a: float):
-    """Partition function: zero-state exponential smoothing per (keys, _chunk) over
-    rows sorted by (keys, _chunk, ts); vectorised per Arrow batch with pandas'
-    grouped ``ewm``, state carried only for the one group spanning two batches."""
-    import numpy as np
-    import pandas as pd
-
-    d = 1.0 - a
-    gk = [*keys, "_chunk"]
-
-    def fn(batches):
-        prev_key, prev_l, prev_k, prev_first = None, 0.0, 0, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            live = pdf[value].notna()
-            k = live.astype("int64").groupby([pdf[c] for c in gk], sort=False).cumsum()
-            sub = pdf.loc[live, [*gk, value]]
-            loc = pd.Series(np.nan, index=pdf.index)
-            seed = pd.Series(np.nan, index=pdf.index)
-            first = pd.Series(np.nan, index=pdf.index)
-            if len(sub):
-                seeded = sub.groupby(gk, sort=False)[value].ewm(alpha=a, adjust=False).mean()
-                seeded.index = seeded.index.get_level_values(-1)
-                f = sub.groupby(gk, sort=False)[value].transform("first")
-                kk = k[live].astype("float64").to_numpy()
-                seed[live] = seeded.reindex(sub.index).to_numpy()
-                first[live] = f.to_numpy()
-                loc[live] = seed[live].to_numpy() - np.power(d, kk) * f.to_numpy()
-            first_key = tuple(pdf.loc[0, gk])
-            if prev_key is not None and first_key == prev_key:
-                # the chunk continues from the previous batch: compose with its state
-                same = np.ones(len(pdf), dtype=bool)
-                for c, v in zip(gk, first_key):
-                    same &= (pdf[c] == v).to_numpy()
-                kp = (k[same] + prev_k).to_numpy().astype("float64")
-                loc[same] = loc[same].to_numpy() + np.power(d, k[same].to_numpy().astype("float64")) * prev_l
-                if prev_first is not None:
-                    seed[same] = loc[same].to_numpy() + np.power(d, kp) * prev_first
-                    first[same] = prev_first
-                k = k.where(~same, k + prev_k)
-            pdf["_k"] = k.astype("int64")
-            pdf["_L"] = loc.to_numpy()
-            pdf["_S"] = seed.to_numpy()
-            last = pdf.iloc[-1]
-            key = tuple(last[c] for c in gk)
-            tail = pdf[(pdf[gk] == pd.Series(key, index=gk)).all(axis=1) & live]
-            if len(tail):
-                prev_l, prev_k = float(tail["_L"].iloc[-1]), int(tail["_k"].iloc[-1])
-                prev_first = float(first[tail.index[-1]])
-            elif key != prev_key:
-                prev_l, prev_k, prev_first = 0.0, 0, None
-            prev_key = key
-            yield pdf
-    return fn
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_k").rowsBetween(-n, 0)
+    return h.withColumn(out, F.avg(value).over(w)).filter("_primary").drop("_chunk", "_primary", "_k")
 
 
 def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: float, out: str = "smoothed",
-               chunk=DEFAULT_CHUNK, materialize: bool = True) -> DataFrame:
+               chunk=DEFAULT_CHUNK) -> DataFrame:
     """Exponential smoothing (WN8): ``y_1 = x_1``, ``y_j = a*x_j + (1-a)*y_{j-1}``.
 
     Null inputs are skipped (the state carries over) and stay null in ``out``.
-    The recurrence has no Spark built-in. Rows are hash-partitioned by
-    (key, day chunk) and sorted; a pandas pass per partition computes the
-    zero-state local part ``L_k`` of every chunk (``mapInPandas``, batch by
-    batch). The state entering a chunk is folded from earlier chunks'
-    ``(L_last, m)`` pairs (one row per chunk, seeded with the series' first
-    value), and ``y_k = L_k + (1-a)^k * Y_in``.
+    With d = 1 - a, the state i rows into a block is d^i times a running sum of
+    a * x * d^-i, plus d^(i+1) times the state that enters the block. Blocks of
+    the series (by row rank) are as long as d^m stays above 1e-60, so the sums
+    stay in range; and as a state fades by that factor over a whole block, the
+    entering state follows from the two blocks before, by ``lag`` over one row
+    per block. Two window passes over the rows, all in Spark's own expressions.
     """
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-
-    keys = list(keys)
     a, d = float(alpha), 1.0 - float(alpha)
-    c = df.withColumn("_chunk", chunk_of(ts, chunk))
-    schema = StructType([*c.schema.fields, StructField("_k", LongType()), StructField("_L", DoubleType()),
-                         StructField("_S", DoubleType())])
-    loc = (c.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", ts, value)
-            .mapInPandas(_local_ewm(keys, ts, value, a), schema))
-    if materialize:
-        from ..session import cut_lineage
-        loc = cut_lineage(loc)
-    per = (loc.filter(F.col("_L").isNotNull()).groupBy(*keys, "_chunk")
-              .agg(F.max(F.struct("_k", "_L")).alias("_last"), F.min(F.struct("_k", F.col(value).alias("x"))).alias("_f"))
-              .select(*keys, "_chunk", F.col("_last._k").alias("_m"), F.col("_last._L").alias("_llast"),
-                      F.col("_f.x").alias("_first")))
-    wprev = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_prev", F.collect_list(F.struct("_llast", "_m", "_first")).over(wprev))
-    folded = F.aggregate(
-        "_prev", F.lit(None).cast("double"),
-        lambda y, p: p["_llast"] + F.pow(F.lit(d), p["_m"]) * F.coalesce(y, p["_first"]))
-    per = per.select(*keys, "_chunk", folded.alias("_yin"))
-    j = loc.join(per, [*keys, "_chunk"], "left")
-    # first chunk of a series: the seeded pass is already the answer (bit for bit the
-    # row-by-row recursion); later chunks compose the local part with the carried state
-    y = F.when(F.col("_yin").isNull(), F.col("_S")).otherwise(F.col("_L") + F.pow(F.lit(d), F.col("_k")) * F.col("_yin"))
-    return j.withColumn(out, F.when(F.col(value).isNotNull(), y)).drop("_chunk", "_k", "_L", "_S", "_yin")
+    if not 0.0 < a <= 1.0:
+        raise ValueError("alpha must be in (0, 1]")
+    if d == 0.0:
+        return df.withColumn(out, F.col(value).cast("double"))
+    m = max(2, min(1_000_000, int(60 / -math.log10(d))))
+    keys = list(keys)
+    r = row_ranks(df, keys, [ts, value], ts, "_k", chunk, F.col(value).isNotNull())
+    r = r.withColumn("_b", F.floor((F.col("_k") - 1) / m).cast("long"))
+    r = r.withColumn("_i", (F.col("_k") - 1 - F.col("_b") * m).cast("double"))
+    x = F.when(F.col("_k") == 1, F.col(value)).otherwise(F.lit(a) * F.col(value)) * F.pow(F.lit(d), -F.col("_i"))
+    upto = Window.partitionBy(*keys, "_b").orderBy("_k", F.col(value).isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    r = r.withColumn("_L", F.coalesce(F.sum(x).over(upto), F.lit(0.0)) * F.pow(F.lit(d), F.col("_i")))
+    line = Window.partitionBy(*keys).orderBy("_b")
+    per = r.groupBy(*keys, "_b").agg(F.max_by("_L", "_k").alias("_end"))
+    enters = F.coalesce(F.lag("_end").over(line), F.lit(0.0)) + F.pow(F.lit(d), F.lit(float(m))) * F.coalesce(F.lag("_end", 2).over(line), F.lit(0.0))
+    per = per.select(*[F.col(k).alias(f"_q_{k}") for k in keys], F.col("_b").alias("_q_b"), enters.alias("_in"))
+    same = F.col("_b") == F.col("_q_b")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_q_{k}"))
+    y = F.col("_L") + F.pow(F.lit(d), F.col("_i") + 1) * F.col("_in")
+    return (r.join(per, same, "inner").withColumn(out, F.when(F.col(value).isNotNull(), y))
+             .drop("_k", "_b", "_i", "_L", "_in", "_q_b", *[f"_q_{k}" for k in keys]))
 
 
 def ntile_ranks(df: DataFrame, keys: Sequence[str], ts: str, n: int, chunk=DEFAULT_CHUNK) -> DataFrame:
