@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import compare
-from ..session import broadcast_if_small
 
 # Aggregate functions a soft tag may use (AG3).
 SOFT_TAG_FUNCTIONS = ("average", "maximum", "median", "sum")
@@ -44,12 +43,12 @@ def soft_tags(df: DataFrame, mapping: DataFrame, keys: Sequence[str], tag: str,
     helpers (S7): per (keys, output tag) aggregate over the listed input tags,
     timestamp = latest input time, quality ``Good``.
     """
-    m = broadcast_if_small(mapping.withColumnRenamed("input_tag", tag))
+    m = mapping.withColumnRenamed("input_tag", tag)
     j = df.join(m, tag)
     fn = F.first("function")
     agg = j.groupBy(*keys, "output_tag").agg(
         fn.alias("_fn"), F.avg(value).alias("_avg"), F.max(value).alias("_max"),
-        F.median(value).alias("_med"), F.sum(value).alias("_sum"), F.max(ts).alias(ts))
+        F.median(F.when(F.col("function") == "median", F.col(value))).alias("_med"), F.sum(value).alias("_sum"), F.max(ts).alias(ts))
     v = (F.when(F.col("_fn") == "average", F.col("_avg")).when(F.col("_fn") == "maximum", F.col("_max"))
           .when(F.col("_fn") == "median", F.col("_med")).when(F.col("_fn") == "sum", F.col("_sum")))
     return agg.select(*keys, F.col("output_tag").alias("tag_id"), v.alias("value"), ts, F.lit("Good").alias("quality"))
@@ -60,7 +59,7 @@ def linear_soft_sensor(df: DataFrame, coefficients: DataFrame, keys: Sequence[st
     """AG4: ``sum(coef * value) + intercept`` over a coefficient table, null when
     any listed tag is absent for the key; optional ``transform(Column)`` (the
     ratio step, caller supplied)."""
-    coef = broadcast_if_small(coefficients.withColumnRenamed("tag", tag))
+    coef = coefficients.withColumnRenamed("tag", tag)
     n_tags = coefficients.select("tag").distinct().count()  # model size, a handful of tags
     j = df.join(coef, tag)
     agg = j.groupBy(*keys).agg(F.sum(F.col("coef") * F.col(value)).alias("_s"),

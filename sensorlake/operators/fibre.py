@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 
 # Publish windows in seconds: 30 min, 1 h, 1 day, 1 week, 1 month.
 WINDOWS = {"30min": 1800, "1hour": 3600, "1day": 86400, "1week": 604800, "1month": 2592000}
@@ -74,9 +73,9 @@ def shape_das_bronze(df: DataFrame, bands: DataFrame, assets: DataFrame, band_co
     Band label = ``"<start>-<end>"`` from the band table; depth = ``sequence(0, n-1)``;
     a device without an asset gets the ``MISSING_ASSET`` marker.
     """
-    b = broadcast_if_small(bands.select(band_col, F.concat_ws("-", F.col("start").cast("string"),
-                                                               F.col("end").cast("string")).alias("freq_band")))
-    a = broadcast_if_small(assets.select(device_col, "asset_id"))
+    b = bands.select(band_col, F.concat_ws("-", F.col("start").cast("string"),
+                                                               F.col("end").cast("string")).alias("freq_band"))
+    a = assets.select(device_col, "asset_id")
     out = df.join(b, band_col, "inner").join(a, device_col, "left")
     return (out.withColumn("asset_id", F.coalesce(F.col("asset_id").cast("string"), F.lit(MISSING_ASSET)))
                .withColumn("depth", F.sequence(F.lit(0), F.col(n_depth_col) - 1)))
@@ -84,21 +83,20 @@ def shape_das_bronze(df: DataFrame, bands: DataFrame, assets: DataFrame, band_co
 
 def das_silver(bronze: DataFrame, keys: Sequence[str] = ("device_id", "asset_id", "freq_band"),
                time: str = "time", matrix: str = "source_data", depth: str = "depth") -> DataFrame:
-    """DA1: explode each time sample with its matrix row, microseconds -> seconds,
-    floor to the minute, element-wise average per minute (AG11), depth re-attached.
+    """DA1: explode each time sample with its matrix row and the row's own depths,
+    microseconds -> seconds, floor to the minute, average per depth (AG11).
 
-    Output ``keys..., time (bigint s), data array<double>, depth array<int>``.
+    Output ``keys..., time (bigint s), data array<double>, depth array<int>``,
+    both in order of depth. A fibre whose length changes keeps each row's depths.
     """
     keys = list(keys)
     rows = bronze.select(*keys, depth, F.inline(F.arrays_zip(F.col(time).alias("t"), F.col(matrix).alias("row"))))
     rows = rows.withColumn("minute", F.floor(F.col("t") / 1_000_000 / 60).cast("long") * 60)
-    ex = rows.select(*keys, "minute", F.posexplode("row").alias("_pos", "_v"))
-    avg = ex.groupBy(*keys, "minute", "_pos").agg(F.avg("_v").alias("_a"))
-    lst = avg.groupBy(*keys, "minute").agg(F.sort_array(F.collect_list(F.struct("_pos", "_a"))).alias("_l"))
-    # depth per key straight from the bronze rows (reads only keys and depth, not the matrices)
-    dep = bronze.select(*keys, depth).groupBy(*keys).agg(F.first(depth).alias(depth))
-    return (lst.join(dep, keys, "left")
-               .select(*keys, F.col("minute").alias("time"), F.transform("_l", lambda x: x["_a"]).alias("data"), depth))
+    ex = rows.select(*keys, "minute", F.inline(F.arrays_zip(F.col(depth).alias("_d"), F.col("row").alias("_v"))))
+    avg = ex.filter(F.col("_d").isNotNull()).groupBy(*keys, "minute", "_d").agg(F.avg("_v").alias("_a"))
+    lst = avg.groupBy(*keys, "minute").agg(F.sort_array(F.collect_list(F.struct("_d", "_a"))).alias("_l"))
+    return lst.select(*keys, F.col("minute").alias("time"), F.transform("_l", lambda x: x["_a"]).alias("data"),
+                      F.transform("_l", lambda x: x["_d"]).alias(depth))
 
 
 def band_registry(silver: DataFrame, registry: DataFrame | None = None, time: str = "time") -> DataFrame:
@@ -116,19 +114,21 @@ def matrix_product(df: DataFrame, keys: Sequence[str], ts: str, depth: str, valu
     null where a depth has no reading in a bucket).
 
     The bucket of every distinct time (``ntile_ranks``, one row per key and
-    time, far smaller than the readings) is written once to the checkpoint
-    folder; the readings are then joined to it once and averaged per cell.
+    time, far smaller than the readings) is joined to the readings once.
     """
-    from ..session import cut_lineage
     from .windows import ntile_ranks
 
     keys = list(keys)
-    t = cut_lineage(ntile_ranks(df, keys, ts, n))
+    t = ntile_ranks(df, keys, ts, n)
+    return _assemble(df.join(t, [*keys, ts], "inner"), t, keys, ts, depth, value, n)
+
+
+def _assemble(cells: DataFrame, t: DataFrame, keys: list[str], ts: str, depth: str, value: str, n: int) -> DataFrame:
+    """Readings with their bucket, and the buckets' times, to one product row per key."""
     times = (t.groupBy(*keys, "bucket").agg(F.min(ts).alias("_bt"))
               .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bucket", "_bt"))).alias("_t"))
               .select(*keys, F.transform("_t", lambda x: x["_bt"]).alias("time")))
-    cell = (df.join(t, [*keys, ts], "inner")
-              .groupBy(*keys, "bucket", depth).agg(F.avg(value).alias("_v"), F.first("n_times").alias("_N")))
+    cell = cells.groupBy(*keys, "bucket", depth).agg(F.avg(value).alias("_v"), F.first("n_times").alias("_N"))
     series = (cell.groupBy(*keys, depth)
                   .agg(F.map_from_entries(F.collect_list(F.struct("bucket", "_v"))).alias("_m"),
                        F.first("_N").alias("_N"))
@@ -143,10 +143,16 @@ def matrix_product(df: DataFrame, keys: Sequence[str], ts: str, depth: str, valu
 def array_matrix_product(df: DataFrame, keys: Sequence[str], ts: str, data: str, n: int) -> DataFrame:
     """PB4: acoustic product: rows carry a value array over depth positions;
     buckets by ``ntile(n)`` over times, element-wise mean per (bucket, position),
-    then ``time[]`` and depth-major ``data[][]`` per key (no pivot)."""
+    then ``time[]`` and depth-major ``data[][]`` per key (no pivot). Times are
+    ranked and joined on the array rows; positions are exploded last."""
+    from .windows import ntile_ranks
+
     keys = list(keys)
-    ex = df.select(*keys, ts, F.posexplode(data).alias("_pos", "_v"))
-    return matrix_product(ex, keys, ts, "_pos", "_v", n).withColumnRenamed("depth", "position")
+    rows = df.select(*keys, ts, data)
+    t = ntile_ranks(rows, keys, ts, n)
+    j = rows.join(t, [*keys, ts], "inner")
+    cells = j.select(*keys, "bucket", "n_times", F.posexplode(data).alias("_pos", "_v"))
+    return _assemble(cells, t, keys, ts, "_pos", "_v", n).withColumnRenamed("depth", "position")
 
 
 def append_product(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

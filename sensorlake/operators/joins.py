@@ -1,8 +1,7 @@
 """Join operators (JN1-JN4, JN7, JN10-JN12).
 
-Physical strategy is Catalyst's; dimension sides are hinted for broadcast
-only when their plan size bound is small (``broadcast_if_small``), otherwise
-AQE decides at run time from real sizes.
+Physical strategy is Catalyst's: nothing is hinted, AQE decides at run time
+from real sizes.
 """
 
 from __future__ import annotations
@@ -13,23 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from ..session import broadcast_if_small
-
 
 def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """JN1: inner join of facts (batch or stream) with a static dimension."""
-    return facts.join(broadcast_if_small(dim), on, "inner")
+    return facts.join(dim, on, "inner")
 
 
 def exclude(facts: DataFrame, dim: DataFrame, on, distinct: bool = False) -> DataFrame:
     """JN2/JN3/JN10: rows of ``facts`` with no match in ``dim`` (left anti)."""
-    out = facts.join(broadcast_if_small(dim), on, "left_anti")
+    out = facts.join(dim, on, "left_anti")
     return out.distinct() if distinct else out
 
 
 def present_in(facts: DataFrame, dim: DataFrame, on) -> DataFrame:
     """JN11: rows of ``facts`` with a match in ``dim`` (left semi)."""
-    return facts.join(broadcast_if_small(dim), on, "left_semi")
+    return facts.join(dim, on, "left_semi")
 
 
 def asset_frequency(rules: DataFrame, assets: DataFrame, asset_list: str = "asset_id",
@@ -42,7 +39,7 @@ def asset_frequency(rules: DataFrame, assets: DataFrame, asset_list: str = "asse
     """
     key = [c for c in rules.columns if c != asset_list]
     ex = rules.select(*key, F.posexplode(asset_list).alias("_pos", "_asset"))
-    a = broadcast_if_small(assets.select(F.col("asset_id").alias("_asset"), F.col(freq).alias("_f")))
+    a = assets.select(F.col("asset_id").alias("_asset"), F.col(freq).alias("_f"))
     j = ex.join(a, "_asset", "left")
     agg = j.groupBy(*key).agg(
         F.sort_array(F.collect_list(F.struct("_pos", "_asset", "_f"))).alias("_l"),

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 from . import windows as wn
 from .resample import resample_mean
 
@@ -24,7 +23,7 @@ def predict_linear(df: DataFrame, coefficients: DataFrame, keys: Sequence[str],
     table ``(keys..., feature, value)`` and coefficients ``(feature, coef)`` plus an
     ``__intercept__`` row. Quadratic models list squared / cross features as
     ``a*b`` names; their values are computed by ``expand_quadratic``."""
-    coef = broadcast_if_small(coefficients.filter(F.col(feature) != "__intercept__"))
+    coef = coefficients.filter(F.col(feature) != "__intercept__")
     j = df.join(coef, feature)
     # the intercept is one model number: read it once, use it as a literal
     b0 = [r[0] for r in coefficients.filter(F.col(feature) == "__intercept__").select("coef").collect()]

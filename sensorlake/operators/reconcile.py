@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 
 
 def missing_ids(a: DataFrame, b: DataFrame, key: str, b_key: str | None = None) -> DataFrame:
@@ -39,7 +38,7 @@ def attribute_violations(features: DataFrame, rules: DataFrame, id_col: str, tex
     matches ``pattern`` must have ``attribute == expected``. ``features`` is long
     (id, text, attribute, value); the join is on the attribute (equi), the
     pattern is tested per matching row."""
-    r = broadcast_if_small(rules)
+    r = rules
     j = features.join(r, "attribute")
     bad = j.filter(F.expr(f"{text_col} rlike pattern") & ~F.col("value").eqNullSafe(F.col("expected")))
     return bad.select(id_col, "attribute", F.col("value").alias("actual"), "expected", "pattern")

@@ -1,22 +1,27 @@
 """One rule-engine run (section 3.2 of the blueprint) as one Spark plan per step:
 
-rule documents -> flattened conditions (RU2) -> data frequencies and error
-rows (JN4, RU3) -> run window per rule from the stored watermark and the
-newest data (RU13, CH1, AG14) -> due rules only -> anomalies of all rules
-together (RU10) -> one message per rule (RU14) -> advanced watermark (CH1).
+rule documents -> flattened conditions (RU2) -> kinds, data frequencies and
+error rows (RU10, JN4, RU3) -> run window per rule and sensor from the stored
+watermark and the newest data (RU13, CH1, AG14) -> due rules only -> anomalies
+of all rules together (RU10, RU11) and of script rules (RU15, RU16) -> messages
+(RU14) -> advanced watermark (CH1).
 
-Nothing loops over rules on the driver; the only driver reads are the small
-plan-time summary of the condition table (``rules.prepare``).
+Nothing loops over rules on the driver. Driver reads are configuration facts:
+the summary of the condition table (``rules.prepare``) and one row per sensor
+type with its newest data time, which is read once and only from the stored
+watermark on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import lifecycle
+from ..session import local_frame
+from . import lifecycle, scripts
 from . import rules as ru
 
 
@@ -29,46 +34,78 @@ class RunResult:
     windows: DataFrame
 
 
+def newest_data(readings: DataFrame, sensors: DataFrame, state: DataFrame) -> DataFrame:
+    """(sensor_type, last_run_time, max_bronze_time), one row per sensor type in use.
+
+    A sensor's newest data matters only beyond its stored watermark, so where
+    every sensor has one the readings are read from the oldest of these on; a
+    sensor without newer data keeps its watermark as its newest time.
+    """
+    spark = readings.sparkSession
+    known = sensors.join(state, "sensor_type", "left").groupBy("sensor_type").agg(F.max("last_run_time").alias("t")).collect()
+    last = {r["sensor_type"]: r["t"] for r in known}
+    r = readings
+    if last and all(t is not None for t in last.values()):
+        r = r.filter(F.col("epoch") >= min(last.values()))
+    top = {x["sensor_type"]: x["t"] for x in r.groupBy("sensor_type").agg(F.max("epoch").alias("t")).collect()}
+    rows = [(s, t, top.get(s) if top.get(s) is not None else t) for s, t in last.items()]
+    return local_frame(spark, rows, "sensor_type string, last_run_time long, max_bronze_time long")
+
+
 def run_rules(docs: DataFrame, assets: DataFrame, readings: DataFrame, state: DataFrame, workflow_id: str,
-              engine_period: int, downtime: int, now: int) -> RunResult:
+              engine_period: int, downtime: int, now: int, delay: int = 0,
+              families: Mapping[str, str] = ru.PARAMETER_FAMILIES, mode: str = "overlap",
+              script_rules: list[dict] | None = None) -> RunResult:
     """``docs``: rule documents (``sources.files.RULE_DOC``); ``assets``: (asset_id,
-    data_frequency); ``readings``: (asset_id, parameter, epoch, value, k, sensor_type);
-    ``state``: run-time watermark table (workflow_id, sensor_type, last_run_time,
-    last_updated_date)."""
+    data_frequency); ``readings``: (asset_id, parameter, epoch, value, k, sensor_type
+    and, where rules need them, arrival, wire, depth); ``state``: run-time watermark
+    table (workflow_id, sensor_type, last_run_time, last_updated_date).
+
+    ``delay`` shifts the run windows back by so many seconds (late data);
+    ``families`` maps document parameters to sensor families; ``mode`` is how AND
+    rules combine (``rules.evaluate``); ``script_rules`` are run beside the
+    documents' rules (``scripts.run_script_rules``). Rules naming an unknown
+    function, parameter, operator or asset give error rows and nothing else.
+    """
     flat = lifecycle.flatten_rules(docs)
-    per_rule = flat.select("rule_id", "condition_id", F.col("asset_ids").alias("asset_id")).dropDuplicates(
+    known, name_errors = ru.dispatch(flat, families)
+    per_rule = known.select("rule_id", "condition_id", F.col("asset_ids").alias("asset_id")).dropDuplicates(
         ["rule_id", "condition_id"])
-    ok, errors = lifecycle.rules_with_frequency(per_rule, assets)
-    valid = flat.join(ok.select("rule_id", "condition_id"), ["rule_id", "condition_id"], "left_semi")
-    freq = assets.select("asset_id", "data_frequency")
-    cond = valid.join(freq, "asset_id", "inner")
+    ok, frequency_errors = lifecycle.rules_with_frequency(per_rule, assets)
+    errors = frequency_errors.unionByName(name_errors)
+    wrong = errors.select("rule_id").distinct()
+    valid = (known.join(ok.select("rule_id", "condition_id"), ["rule_id", "condition_id"], "left_semi")
+                  .join(wrong, "rule_id", "left_anti"))
+    cond = valid.join(assets.select("asset_id", "data_frequency"), "asset_id", "inner")
 
-    # run window per rule: its sensor's newest data time and stored watermark
-    newest = readings.groupBy("sensor_type").agg(F.max("epoch").alias("max_bronze_time"))
+    # run window per rule and sensor: the sensor's newest data time and stored watermark
     st = state.filter(F.col("workflow_id") == workflow_id).select("sensor_type", "last_run_time")
-    per = (cond.select("rule_id", "sensor_type", "rule_run_frequency").dropDuplicates(["rule_id"])
-               .join(newest, "sensor_type", "left").join(st, "sensor_type", "left")
-               .withColumn("delay", F.lit(0)))
+    facts = newest_data(readings, cond.select("sensor_type").distinct(), st)
+    per = (cond.groupBy("rule_id", "sensor_type").agg(F.min("rule_run_frequency").alias("rule_run_frequency"))
+               .join(facts, "sensor_type", "left").withColumn("delay", F.lit(int(delay))))
     windows = lifecycle.execution_window(per, engine_period, downtime, now)
     due = windows.filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
 
-    conditions = (cond.join(due.select("rule_id", "start_time", "end_time"), "rule_id", "inner")
+    conditions = (cond.join(due.select("rule_id", "sensor_type", "start_time", "end_time"), ["rule_id", "sensor_type"], "inner")
                       .select("rule_id", "condition_id", "asset_id", "parameter", "function", "operator",
                               "threshold", F.col("duration").cast("long").alias("duration"),
                               F.col("data_frequency").cast("long").alias("data_frequency"), "join_condition",
                               "threshold_unit", F.col("baseline_time").cast("long").alias("baseline_time"),
-                              "class", "start_time", "end_time"))
-    anomalies = ru.evaluate(readings, conditions)
+                              "class", "start_time", "end_time", "sensor_type", "wire",
+                              F.col("wire_length_from").cast("long").alias("depth_from"),
+                              F.col("wire_length_to").cast("long").alias("depth_to")))
+    anomalies = ru.evaluate(readings, conditions, mode)
+    if script_rules:
+        anomalies = anomalies.unionByName(scripts.run_script_rules(script_rules, readings).select(*anomalies.columns))
     # message header: the rule as documented (name, tenant, severity, join condition,
     # controls, conditions) plus its run window, reported from start - largest gap limit
     header = (conditions.groupBy("rule_id")
-                        .agg(F.first("start_time").alias("start_time"), F.first("end_time").alias("end_time"),
+                        .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
                              F.max(ru.gap_limit(F.col("data_frequency"))).alias("max_limit"))
                         .join(docs.select("rule_id", "rule_name", "tenant_id", "severity", "join_condition",
                                           "risk_register_controls", "conditions"), "rule_id"))
     messages = ru.messages(anomalies, header)
-    runs = (windows.join(cond.select("rule_id", "sensor_type").dropDuplicates(["rule_id"]), ["rule_id", "sensor_type"])
-                   .groupBy("sensor_type").agg(F.max("next_run_time").alias("next_run_time"))
+    runs = (windows.groupBy("sensor_type").agg(F.max("next_run_time").alias("next_run_time"))
                    .select(F.lit(workflow_id).alias("workflow_id"), "sensor_type", "next_run_time"))
     new_state = lifecycle.advance_watermark(state, runs)
     return RunResult(messages, anomalies, errors, new_state, windows)

@@ -1,35 +1,37 @@
 """Alert rules as data, evaluated for all rules in one Spark plan (RU4-RU10, RU14).
 
 A *condition* frame has one row per rule x condition x asset (asset null =
-every asset, evaluated per asset):
+every asset, evaluated per asset), see ``CONDITION_SCHEMA``:
 
-    rule_id int, condition_id int, asset_id, parameter string,
-    function string   raw | avg | differential | count | magnitude | zscore
-    operator string   > < >= <= == !=
-    threshold double, duration long, data_frequency long,
-    join_condition string ('and' | 'or'), threshold_unit string ('%' | other),
-    baseline_time long (differential), class int (count / magnitude, optional),
-    start_time long, end_time long   (run window of the rule)
+    rule_id, condition_id, asset_id, parameter, sensor_type (null = any)
+    function        a kind of ``KINDS``; ``dispatch`` derives it from a document's names
+    operator        > < >= <= == !=
+    threshold, duration, data_frequency
+    join_condition  'and' | 'or'; threshold_unit '%' | other
+    baseline_time   (differential kinds), class (count / magnitude, optional)
+    wire, depth_from, depth_to (fibre kinds)
+    start_time, end_time (run window of the rule)
 
 Readings are the long table ``asset_id, parameter, epoch, value, k``
-(``k`` = event class). Rules are never turned into SQL text: the small
-condition frame is joined to the readings (broadcast when its row count, read
-once at plan time, is bounded) and every rule kind becomes hit times ->
-islands -> AND/OR.
-The work therefore grows with the readings scanned, not with the number of
-rules, and there is no per-rule job.
+(``k`` = event class), with ``sensor_type``, ``arrival`` (epoch seconds at which
+a row came in), ``wire`` and ``depth`` where rules need them. Rules are never
+turned into SQL text: conditions are joined to the readings, and every kind
+becomes hit times -> islands -> AND/OR. Sliding means and z-scores are computed
+once per (asset, parameter, duration, run window) and then compared with every
+rule's threshold. The window work therefore grows with the readings and the
+distinct durations; only the hits grow with the rules. There is no per-rule job.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..functions.scalars import compare, pct_change
+from ..functions.scalars import OPERATORS, compare, pct_change
 from ..operators.intervals import all_present, intersect_members
 from ..operators.islands import islands
 from ..operators.windows import forward_average, trailing_stats
@@ -42,106 +44,168 @@ CONDITION_SCHEMA = StructType([
     StructField("data_frequency", LongType()), StructField("join_condition", StringType()),
     StructField("threshold_unit", StringType()), StructField("baseline_time", LongType()),
     StructField("class", IntegerType()), StructField("start_time", LongType()), StructField("end_time", LongType()),
+    StructField("sensor_type", StringType()), StructField("wire", StringType()),
+    StructField("depth_from", LongType()), StructField("depth_to", LongType()),
 ])
 
+#: Rule kinds that ``evaluate`` knows. Points hit single times, intervals hit islands, cells a grid.
+INTERVAL_KINDS = ("raw", "avg", "zscore", "differential", "fibre_differential")
+POINT_KINDS = ("magnitude", "fibre_raw", "fibre_avg", "fibre_min", "fibre_max")
+KINDS = (*INTERVAL_KINDS, *POINT_KINDS, "count")
+
+# Function names of rule documents and the function each one means.
+FUNCTION_NAMES = {
+    "raw": "raw", "average": "avg", "avg": "avg", "minimum": "min", "maximum": "max", "zscore": "zscore",
+    "differential": "differential", "differential_over_a_baseline_value": "differential",
+    "differential over a baseline value": "differential",
+}
+# Parameters of rule documents and the family of sensors each one belongs to.
+PARAMETER_FAMILIES = {
+    "pressure": "series", "temperature": "series", "surface_flow_rate": "series", "well_head_pressure": "series",
+    "dts": "fibre", "axial_strain": "fibre", "bend_magnitude": "fibre", "distributed_temperature": "fibre",
+    "magnitude": "magnitude", "no_of_events": "count", "number_of_seismic_events": "count",
+}
+# Fibre parameters that are stored under another column name.
+FIBRE_COLUMNS = {"axial_strain": "axial_strain_thermal", "bend_magnitude": "bend_mag", "dts": "curr_temp"}
+# Functions each family can evaluate, and the kind that does it.
+FAMILY_KINDS = {
+    "series": {"raw": "raw", "avg": "avg", "zscore": "zscore", "differential": "differential"},
+    "fibre": {"raw": "fibre_raw", "avg": "fibre_avg", "min": "fibre_min", "max": "fibre_max",
+              "differential": "fibre_differential"},
+}
+
 MEMBER = ["rule_id", "condition_id", "asset_id"]
-# columns a member's hits carry into the window and island steps
-_KEEP = [*MEMBER, "epoch", "value", "duration", "operator", "threshold", "limit", "start_time", "end_time",
-         "n_members", "join_condition", "_scope"]
-_EXTRA = ["n_members", "join_condition", "_scope"]
+_RULE = ["n_members", "join_condition", "_scope"]
+
 
-# conditions beyond this many rows are joined without a broadcast hint
-MAX_BROADCAST_CONDITIONS = 100_000
+@dataclass
+class KindFacts:
+    """What the conditions of one kind need from the readings."""
+    lo: int | None = None
+    hi: int | None = None
+    base_lo: int | None = None
+    base_hi: int | None = None
+    durations: set[int] = field(default_factory=set)
+    wildcard: bool = False
+    explicit: bool = False
 
 
 @dataclass
 class RulePlan:
-    """Prepared conditions plus the plan-time facts read from the (small)
-    condition table in one summary query."""
+    """Prepared conditions and the plan-time facts of each kind."""
     conditions: DataFrame
-    kinds: set[str]
-    durations: list[int]
-    n_rows: int
+    kinds: dict[str, KindFacts]
     has_and: bool
     has_or: bool
-    has_wildcard: bool
-    has_explicit: bool
-    lo: int | None
-    hi: int | None
 
 
 def gap_limit(data_frequency) -> Column:
     """Island gap limit ``2 * data_frequency - 1`` (S1)."""
     f = data_frequency if isinstance(data_frequency, Column) else F.lit(data_frequency)
-    return 2 * f - 1
+    return 2 * f.cast("long") - 1
+
 
+def _lookup(names: Mapping[str, str], value: Column) -> Column:
+    return F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[value]
 
-def prepare(conditions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_CONDITIONS) -> RulePlan:
-    """Add ``limit`` and ``n_members`` and read the plan-time facts.
+
+def dispatch(conditions: DataFrame, families: Mapping[str, str] = PARAMETER_FAMILIES,
+             columns: Mapping[str, str] = FIBRE_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """(conditions whose ``function`` is a kind, error rows) from document names (RU10, PJ9).
+
+    The parameter's family decides: events are counted or filtered by magnitude
+    whatever the function says, series and fibre parameters evaluate the named
+    function. Names match without regard to case or outer blanks; a missing
+    function means raw. An unknown function, parameter or operator, or a
+    function its family does not have, gives an error row (rule_id, error,
+    detail) and no anomalies.
+    """
+    name = F.lower(F.trim(F.coalesce("function", F.lit("raw"))))
+    function, family = _lookup(FUNCTION_NAMES, name), _lookup(families, F.col("parameter"))
+    of_family = None
+    for fam, kinds in FAMILY_KINDS.items():
+        known = _lookup(kinds, function)
+        of_family = F.when(family == fam, known) if of_family is None else of_family.when(family == fam, known)
+    kind = F.when(family.isin("count", "magnitude"), family).otherwise(of_family)
+    operator = F.col("operator").isin(*OPERATORS)
+    c = conditions.withColumn("_kind", kind).withColumn("_error", F.when(
+        family.isNull(), F.lit("unknown parameter")).when(function.isNull(), F.lit("unknown function")).when(
+        kind.isNull(), F.lit("function not available for parameter")).when(
+        ~F.coalesce(operator, F.lit(False)), F.lit("unknown operator")))
+    detail = F.concat_ws(" ", F.coalesce("parameter", F.lit("-")), F.coalesce("function", F.lit("-")), F.coalesce("operator", F.lit("-")))
+    errors = c.filter(F.col("_error").isNotNull()).select("rule_id", F.col("_error").alias("error"), detail.alias("detail")).distinct()
+    parameter = F.when(family == "fibre", F.coalesce(_lookup(columns, F.col("parameter")), F.col("parameter"))).otherwise(F.col("parameter"))
+    good = c.filter(F.col("_error").isNull()).withColumn("parameter", parameter).withColumn("function", F.col("_kind"))
+    return good.drop("_kind", "_error"), errors
+
+
+def prepare(conditions: DataFrame) -> RulePlan:
+    """Add ``kind``, ``limit`` and ``n_members`` and read the plan-time facts.
 
     ``asset_id`` null means "every asset, evaluated per asset": the condition
     is joined to the readings on ``parameter`` only, and AND combines the
     rule's conditions per asset. Otherwise members are (condition, asset)
-    pairs of the rule. The condition table is broadcast only when its row
-    count, read here, is at most ``max_broadcast_rows``.
-
-    The facts come from one read of at most ``max_broadcast_rows + 1`` narrow
-    rows of the (configuration-sized) table; a larger table is summarised by
-    an aggregate instead and joined without a broadcast hint.
+    pairs of the rule. The facts come from one aggregate with a row per kind,
+    duration and scope, whatever the number of rules. A kind outside ``KINDS``
+    raises; ``dispatch`` turns documents' names into kinds and errors.
     """
+    for f in CONDITION_SCHEMA.fields:
+        if f.name not in conditions.columns:
+            conditions = conditions.withColumn(f.name, F.lit(None).cast(f.dataType))
     w = Window.partitionBy("rule_id")
-    c = (conditions.withColumn("limit", gap_limit(F.col("data_frequency")))
+    c = (conditions.withColumn("kind", F.lower("function")).withColumn("limit", gap_limit(F.col("data_frequency")))
                    .withColumn("join_condition", F.lower(F.coalesce(F.col("join_condition"), F.lit("or"))))
-                   .withColumn("n_members", F.count(F.lit(1)).over(w)))
-    narrow = conditions.select(
-        "rule_id", F.lower(F.col("function")).alias("f"), "duration", F.col("asset_id").isNull().alias("wild"),
-        F.lower(F.coalesce(F.col("join_condition"), F.lit("or"))).alias("jc"),
-        F.least(F.col("start_time") - F.greatest(gap_limit(F.col("data_frequency")), F.coalesce(F.col("duration"), F.lit(0))),
-                F.coalesce(F.col("baseline_time"), F.col("start_time"))).alias("lo"),
-        F.col("end_time").alias("hi"))
-    rows = narrow.limit(max_broadcast_rows + 1).collect()
-    if len(rows) <= max_broadcast_rows:
-        members = Counter(r["rule_id"] for r in rows)
-        facts = [(r["f"], r["duration"], r["wild"], r["jc"] == "and" and members[r["rule_id"]] > 1, r["lo"], r["hi"])
-                 for r in rows]
-        c = F.broadcast(c)
-    else:
-        is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
-        agg = (c.groupBy(F.lower(F.col("function")).alias("f"), "duration", F.col("asset_id").isNull().alias("wild"),
-                         is_and.alias("is_and"))
-                .agg(F.min(F.least(F.col("start_time") - F.greatest(F.col("limit"), F.coalesce(F.col("duration"), F.lit(0))),
-                                   F.coalesce(F.col("baseline_time"), F.col("start_time")))).alias("lo"),
-                     F.max("end_time").alias("hi"))
-                .collect())
-        facts = [(r["f"], r["duration"], r["wild"], r["is_and"], r["lo"], r["hi"]) for r in agg]
-    los = [x[4] for x in facts if x[4] is not None]
-    his = [x[5] for x in facts if x[5] is not None]
-    return RulePlan(
-        conditions=c, kinds={x[0] for x in facts},
-        durations=sorted({int(x[1]) for x in facts if x[0] in ("avg", "zscore") and x[1] is not None}),
-        n_rows=len(rows), has_and=any(x[3] for x in facts), has_or=any(not x[3] for x in facts),
-        has_wildcard=any(x[2] for x in facts), has_explicit=any(not x[2] for x in facts),
-        lo=min(los) if los else None, hi=max(his) if his else None)
-
-
-def _joined(readings: DataFrame, plan: RulePlan, fn: str, lo: Column, hi: Column) -> DataFrame:
-    """Readings x conditions of one kind: explicit assets by (asset, parameter),
-    wildcard conditions by parameter; the readings side is never broadcast."""
-    c = plan.conditions.filter(F.lower(F.col("function")) == fn)
-    r = readings
-    if plan.lo is not None and plan.hi is not None:
-        r = r.filter(F.col("epoch").between(plan.lo, plan.hi))  # global run bounds, ahead of the join
+                   .withColumn("n_members", F.count(F.lit(1)).over(w))
+                   .withColumn("n_points", F.count(F.when(F.col("kind").isin(*POINT_KINDS), 1)).over(w)))
+    is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
+    early = F.greatest(F.coalesce("limit", F.lit(0)), F.coalesce("duration", F.lit(0)))
+    rows = (c.groupBy("kind", "duration", F.col("asset_id").isNull().alias("wild"), is_and.alias("is_and"))
+             .agg(F.min(F.col("start_time") - early).alias("lo"), F.max("end_time").alias("hi"),
+                  F.min("baseline_time").alias("base_lo"), F.max("baseline_time").alias("base_hi")).collect())
+    kinds: dict[str, KindFacts] = {}
+    for r in rows:
+        if r["kind"] not in KINDS:
+            raise ValueError(f"unknown rule kind {r['kind']!r}; expected one of {KINDS}")
+        k = kinds.setdefault(r["kind"], KindFacts())
+        for name, pick in (("lo", min), ("hi", max), ("base_lo", min), ("base_hi", max)):
+            known = [x for x in (getattr(k, name), r[name]) if x is not None]
+            setattr(k, name, pick(known) if known else None)
+        if r["duration"] is not None:
+            k.durations.add(int(r["duration"]))
+        k.wildcard |= r["wild"]
+        k.explicit |= not r["wild"]
+    return RulePlan(c, kinds, any(r["is_and"] for r in rows), any(not r["is_and"] for r in rows))
+
+
+def _scoped(readings: DataFrame, c: DataFrame, facts: KindFacts, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Readings x conditions: explicit assets by (asset, parameter), wildcard
+    conditions by parameter. ``_scope`` is the asset of a per-asset rule or '*'.
+    A condition's sensor type, where both sides have one, must agree."""
+    c = c.withColumnRenamed("sensor_type", "_sensor")
     parts = []
-    if plan.has_explicit:
+    if facts.explicit:
         e = c.filter(F.col("asset_id").isNotNull())
-        parts.append(r.join(e, ["asset_id", "parameter"], "inner").withColumn("_scope", F.lit("*")))
-    if plan.has_wildcard:
+        parts.append(readings.join(e, ["asset_id", "parameter", *extra_keys], "inner").withColumn("_scope", F.lit("*")))
+    if facts.wildcard:
         wc = c.filter(F.col("asset_id").isNull()).drop("asset_id")
-        parts.append(r.join(wc, "parameter", "inner").withColumn("_scope", F.col("asset_id").cast("string")))
+        parts.append(readings.join(wc, ["parameter", *extra_keys], "inner").withColumn("_scope", F.col("asset_id").cast("string")))
     j = parts[0]
     for p in parts[1:]:
         j = j.unionByName(p)
-    return j.filter((F.col("epoch") >= lo) & (F.col("epoch") <= hi))
+    if "sensor_type" in readings.columns:
+        j = j.filter(F.col("_sensor").isNull() | (F.col("_sensor") == F.col("sensor_type")))
+    return j
+
+
+def _joined(readings: DataFrame, plan: RulePlan, kind: str, lo: Column, hi: Column, at: str = "epoch") -> DataFrame:
+    """Readings of one kind's conditions inside ``[lo, hi]`` of column ``at``; the
+    kind's own bounds filter the readings ahead of the join."""
+    facts = plan.kinds[kind]
+    r = readings
+    if facts.lo is not None and facts.hi is not None:
+        r = r.filter(F.col(at).between(facts.lo, facts.hi))
+    j = _scoped(r, plan.conditions.filter(F.col("kind") == kind), facts)
+    return j.filter((F.col(at) >= lo) & (F.col(at) <= hi))
 
 
 def _class_ok() -> Column:
@@ -154,33 +218,99 @@ def raw_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     return j.filter(compare("value", F.col("operator"), F.col("threshold")))
 
 
+def _series_specs(plan: RulePlan, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(distinct series windows of a kind, its conditions), both with ``_spec``:
+    the text of everything a window function depends on."""
+    c = plan.conditions.filter(F.col("kind") == kind)
+    text = [F.coalesce(F.col(x).cast("string"), F.lit("*")) for x in
+            ("asset_id", "parameter", "sensor_type", "duration", "start_time", "end_time")]
+    c = c.withColumn("_spec", F.concat_ws("|", *text))
+    specs = c.select("_spec", "asset_id", "parameter", "sensor_type", "duration", "start_time", "end_time").distinct()
+    return specs, c
+
+
+def _with_rules(series: DataFrame, c: DataFrame) -> DataFrame:
+    """Windowed series (one row per spec, asset and time) x the rules of the spec."""
+    rules = c.select("_spec", "rule_id", "condition_id", "operator", "threshold", "limit", "start_time")
+    return series.join(rules, "_spec", "inner")
+
+
 def avg_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU5: forward sliding mean over ``[t, t + duration - 1]`` passes the operator."""
-    j = _joined(readings, plan, "avg", F.col("start_time"), F.col("end_time"))
-    fa = forward_average(j.select(*_KEEP), MEMBER, "epoch", "value", F.col("duration"), durations=plan.durations)
-    return fa.filter(compare("avg_value", F.col("operator"), F.col("threshold")))
+    specs, c = _series_specs(plan, "avg")
+    facts = plan.kinds["avg"]
+    r = readings if facts.lo is None or facts.hi is None else readings.filter(F.col("epoch").between(facts.lo, facts.hi))
+    j = _scoped(r, specs, facts).filter(F.col("epoch").between(F.col("start_time"), F.col("end_time")))
+    fa = forward_average(j.select("_spec", "asset_id", "epoch", "value", "duration"), ["_spec", "asset_id"], "epoch", "value",
+                         F.col("duration"), durations=sorted(facts.durations))
+    return _with_rules(fa.select("_spec", "asset_id", "epoch", "avg_value"), c).filter(
+        compare("avg_value", F.col("operator"), F.col("threshold")))
+
+
+def zscore_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
+    """z-score rule (S9): history ``[start - d, end)``, flags in ``[start, end)``."""
+    specs, c = _series_specs(plan, "zscore")
+    facts = plan.kinds["zscore"]
+    r = readings if facts.lo is None or facts.hi is None else readings.filter(F.col("epoch").between(facts.lo, facts.hi))
+    j = _scoped(r, specs, facts).filter(
+        F.col("epoch").between(F.col("start_time") - F.col("duration"), F.col("end_time") - 1))
+    st = trailing_stats(j.select("_spec", "asset_id", "epoch", "value", "duration"), ["_spec", "asset_id"], "epoch", "value",
+                        F.col("duration"), durations=sorted(facts.durations))
+    z = F.when(F.col("hist_std") != 0, F.abs((F.col("value") - F.col("hist_mean")) / F.col("hist_std")))
+    st = st.select("_spec", "asset_id", "epoch", z.alias("_z")).filter("_z is not null")
+    return _with_rules(st, c).filter((F.col("epoch") >= F.col("start_time")) & compare("_z", F.col("operator"), F.col("threshold")))
+
+
+def _baseline(readings: DataFrame, plan: RulePlan, kind: str, keys: list[str]) -> DataFrame:
+    """Readings at the conditions' baseline times: an equi join on the time, inside the baselines' own bounds."""
+    facts = plan.kinds[kind]
+    r = readings.filter(F.col("epoch").between(facts.base_lo, facts.base_hi)).withColumnRenamed("epoch", "baseline_time")
+    b = _scoped(r, plan.conditions.filter(F.col("kind") == kind), facts, ("baseline_time",))
+    return b.groupBy(*keys).agg(F.max("value").alias("baseline_value"))
 
 
 def differential_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU6: change vs the reading at ``baseline_time``: absolute percent when the
     unit is ``%`` (S4: a zero baseline gives no hit), else the plain difference."""
-    at_base = _joined(readings, plan, "differential", F.col("baseline_time"), F.col("baseline_time"))
-    base = (at_base.filter(F.col("epoch") == F.col("baseline_time"))
-                   .groupBy(*MEMBER).agg(F.max(F.struct("epoch", "value"))["value"].alias("baseline_value")))
-    cur = _joined(readings, plan, "differential", F.col("start_time"), F.col("end_time"))
-    j = cur.join(base, MEMBER, "inner")
+    j = _joined(readings, plan, "differential", F.col("start_time"), F.col("end_time"))
+    j = j.join(_baseline(readings, plan, "differential", MEMBER), MEMBER, "inner")
     diff = F.when(F.col("threshold_unit") == "%", pct_change("value", "baseline_value", absolute=True)) \
             .otherwise(F.col("value") - F.col("baseline_value"))
     return j.withColumn("value_difference", diff).filter(compare("value_difference", F.col("operator"), F.col("threshold")))
 
 
-def zscore_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
-    """z-score rule (S9): history ``[start - d, end)``, flags in ``[start, end)``."""
-    j = _joined(readings, plan, "zscore", F.col("start_time") - F.col("duration"), F.col("end_time") - 1)
-    st = trailing_stats(j.select(*_KEEP), MEMBER, "epoch", "value", F.col("duration"), durations=plan.durations)
-    z = F.when(F.col("hist_std") != 0, (F.col("value") - F.col("hist_mean")) / F.col("hist_std"))
-    return (st.filter(F.col("epoch") >= F.col("start_time"))
-              .filter(compare(F.abs(z), F.col("operator"), F.col("threshold"))))
+def _wire_ok(c: DataFrame) -> Column:
+    ok = F.col("depth_from").isNull() | F.col("depth_to").isNull() | F.col("depth").between(F.col("depth_from"), F.col("depth_to"))
+    return ok & (F.col("_wire").isNull() | (F.col("wire").cast("string") == F.col("_wire")))
+
+
+def _fibre(readings: DataFrame, plan: RulePlan, kind: str) -> DataFrame:
+    """Fibre readings of a kind's conditions: wire and depth range, run window."""
+    own = RulePlan(plan.conditions.withColumnRenamed("wire", "_wire"), plan.kinds, plan.has_and, plan.has_or)
+    r = readings if "wire" in readings.columns else readings.withColumn("wire", F.lit(None).cast("string"))
+    return _joined(r, own, kind, F.col("start_time"), F.col("end_time")).filter(_wire_ok(own.conditions))
+
+
+def fibre_hits(readings: DataFrame, plan: RulePlan, kind: str) -> DataFrame:
+    """RU9: times at which any value (raw) or the average, least or largest value
+    over the depth range passes the operator."""
+    j = _fibre(readings, plan, kind)
+    if kind == "fibre_raw":
+        return j.filter(compare("value", F.col("operator"), F.col("threshold"))).select(*MEMBER, *_RULE, "n_points", "epoch").distinct()
+    of = {"fibre_avg": F.avg, "fibre_min": F.min, "fibre_max": F.max}[kind]
+    per = j.groupBy(*MEMBER, *_RULE, "n_points", "epoch", "operator", "threshold").agg(of("value").alias("_v"))
+    return per.filter(compare("_v", F.col("operator"), F.col("threshold")))
+
+
+def fibre_differential_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
+    """RU9: signed change vs the profile at ``baseline_time``, depth by depth; times with any hit."""
+    keys = [*MEMBER, "depth"]
+    j = _fibre(readings, plan, "fibre_differential")
+    base = _baseline(readings, plan, "fibre_differential", keys)
+    j = j.join(base, keys, "inner")
+    diff = F.when(F.col("threshold_unit") == "%", pct_change("value", "baseline_value", absolute=False)) \
+            .otherwise(F.col("value") - F.col("baseline_value"))
+    return j.filter(compare(diff, F.col("operator"), F.col("threshold"))).select(*MEMBER, "epoch", "limit").distinct()
 
 
 def count_cells(readings: DataFrame, plan: RulePlan) -> DataFrame:
@@ -189,7 +319,7 @@ def count_cells(readings: DataFrame, plan: RulePlan) -> DataFrame:
     j = _joined(readings, plan, "count", F.col("start_time"), F.col("end_time")).filter(_class_ok())
     g = F.floor((F.col("epoch") - F.col("start_time")) / F.col("duration")).cast("long")
     agg = (j.withColumn("grp", g)
-            .groupBy(*MEMBER, "grp", "start_time", "duration", "operator", "threshold", *_EXTRA)
+            .groupBy(*MEMBER, "grp", "start_time", "duration", "operator", "threshold", *_RULE)
             .agg(F.count(F.lit(1)).alias("n_events")))
     return (agg.filter(compare("n_events", F.col("operator"), F.col("threshold")))
                .withColumn("start_time", F.col("start_time") + F.col("duration") * F.col("grp"))
@@ -197,64 +327,57 @@ def count_cells(readings: DataFrame, plan: RulePlan) -> DataFrame:
 
 
 def magnitude_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
-    """RU8: readings passing the operator (optionally of one class) in the window."""
-    j = _joined(readings, plan, "magnitude", F.col("start_time"), F.col("end_time")).filter(_class_ok())
+    """RU8: readings passing the operator (optionally of one class) that came in
+    during the run window: by ``arrival`` where the readings have it, so that
+    late events are not missed, else by ``epoch``."""
+    at = "arrival" if "arrival" in readings.columns else "epoch"
+    j = _joined(readings, plan, "magnitude", F.col("start_time"), F.col("end_time"), at).filter(_class_ok())
     return j.filter(compare("value", F.col("operator"), F.col("threshold")))
 
 
-def _narrow(hits: DataFrame) -> DataFrame:
-    from ..session import cut_lineage
-    return cut_lineage(hits.select(*MEMBER, "epoch", "limit"))
-
-
 def _islands_of(hits: DataFrame, plan: RulePlan) -> DataFrame:
     """Islands per member; only (member, time, limit) travel through the shuffle.
-    Rule parameters come back afterwards from the broadcast condition table
-    (one row per rule x condition) for the duration / window-edge test (S2)."""
-    # chunks follow the member's data density (islands.density_chunk of its limit)
-    isl = (islands(hits, MEMBER, "epoch", "limit", extra=["limit"])
+    Rule parameters come back afterwards from the condition table (one row per
+    rule x condition) for the duration / window-edge test (S2)."""
+    isl = (islands(hits.select(*MEMBER, "epoch", "limit"), MEMBER, "epoch", "limit", extra=["limit"])
            .withColumnRenamed("start_time", "_is").withColumnRenamed("end_time", "_ie"))
-    params = (plan.conditions.select("rule_id", "condition_id", "duration", "start_time", "end_time", "n_members",
+    params = (plan.conditions.select("rule_id", "condition_id", "duration", "start_time", "end_time", "n_members", "n_points",
                                      "join_condition", F.col("asset_id").isNull().alias("_wild"))
                              .dropDuplicates(["rule_id", "condition_id"]))
-    if plan.n_rows <= MAX_BROADCAST_CONDITIONS:
-        params = F.broadcast(params)
     j = isl.join(params, ["rule_id", "condition_id"])
-    keep = ((F.col("_ie") - F.col("_is") >= F.col("duration"))
+    keep = ((F.col("_ie") - F.col("_is") >= F.coalesce("duration", F.lit(0)))
             | (F.col("_is") == F.col("start_time") - F.col("limit"))
             | (F.col("_ie") == F.col("end_time")))
     scope = F.when(F.col("_wild"), F.col("asset_id").cast("string")).otherwise(F.lit("*"))
-    return j.filter(keep).select(*MEMBER, "n_members", "join_condition", scope.alias("_scope"),
+    return j.filter(keep).select(*MEMBER, "n_members", "join_condition", scope.alias("_scope"), "n_points",
                                  F.col("_is").alias("start_time"), F.col("_ie").alias("end_time"))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def member_intervals(readings: DataFrame, conditions: DataFrame | RulePlan) -> DataFrame:
     """Per member (rule, condition, asset) anomaly intervals for all rule kinds
     except event counts: ``rule_id, condition_id, asset_id, n_members,
-    join_condition, _scope, start_time, end_time``."""
+    join_condition, _scope, n_points, start_time, end_time``; a point kind's
+    interval is its time."""
     plan = conditions if isinstance(conditions, RulePlan) else prepare(conditions)
-    parts = []
-    if "raw" in plan.kinds:
-        parts.append(_islands_of(raw_hits(readings, plan), plan))
-    # window-based hits are costly to recompute: the island step reads them in
-    # several branches, so they are written once (narrow: member, time, limit)
-    if "avg" in plan.kinds:
-        parts.append(_islands_of(_narrow(avg_hits(readings, plan)), plan))
-    if "zscore" in plan.kinds:
-        parts.append(_islands_of(_narrow(zscore_hits(readings, plan)), plan))
-    if "differential" in plan.kinds:
-        parts.append(_islands_of(_narrow(differential_hits(readings, plan)), plan))
-    if "magnitude" in plan.kinds:
-        parts.append(magnitude_hits(readings, plan).select(
-            *MEMBER, *_EXTRA, F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time")))
+    hits = {"raw": raw_hits, "avg": avg_hits, "zscore": zscore_hits, "differential": differential_hits,
+            "fibre_differential": fibre_differential_hits}
+    parts = [_islands_of(hits[k](readings, plan), plan) for k in INTERVAL_KINDS if k in plan.kinds]
+    for k in POINT_KINDS:
+        if k in plan.kinds:
+            h = magnitude_hits(readings, plan) if k == "magnitude" else fibre_hits(readings, plan, k)
+            parts.append(h.select(*MEMBER, *_RULE, "n_points", F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time")))
     if not parts:
-        spark = readings.sparkSession
-        return spark.createDataFrame([], "rule_id int, condition_id int, asset_id long, n_members long, "
-                                         "join_condition string, _scope string, start_time long, end_time long")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return readings.sparkSession.createDataFrame(
+            [], "rule_id int, condition_id int, asset_id long, n_members long, join_condition string, _scope string, "
+                "n_points long, start_time long, end_time long")
+    return _union(parts)
 
 
 def _scope_asset(readings: DataFrame) -> Column:
@@ -262,64 +385,80 @@ def _scope_asset(readings: DataFrame) -> Column:
     return F.when(F.col("_scope") == "*", F.lit(None)).otherwise(F.col("_scope")).cast(t).alias("asset_id")
 
 
-def evaluate(readings: DataFrame, conditions: DataFrame | RulePlan) -> DataFrame:
+_ANOMALY = ["rule_id", "asset_id", "start_time", "end_time"]
+
+
+def evaluate(readings: DataFrame, conditions: DataFrame | RulePlan, mode: str = "overlap") -> DataFrame:
     """Anomalies ``rule_id, asset_id, start_time, end_time`` of every rule (RU10).
 
     OR rules (and single-member rules) keep every member interval (UNION ALL;
-    ``asset_id`` = the member's asset); AND rules keep the spans where all
-    members hold an interval (sweep line; ``asset_id`` = the asset of a
-    per-asset rule, null for a multi-asset rule); event-count AND rules need
-    every member in the same grid cell (S13).
+    ``asset_id`` = the member's asset). AND rules keep, in ``overlap`` mode, the
+    spans where all members hold an interval (sweep line), in ``exact`` mode
+    (RU11) the intervals that every member holds with the same start and end;
+    ``asset_id`` is the asset of a per-asset rule, null for a multi-asset rule.
+    AND rules of point kinds alone need every member at the same time, and
+    event-count AND rules every member in the same grid cell (S13).
     """
-    from ..session import cut_lineage
-
+    if mode not in ("overlap", "exact"):
+        raise ValueError(f"unknown mode {mode!r}")
     plan = conditions if isinstance(conditions, RulePlan) else prepare(conditions)
     is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
-    both = plan.has_and and plan.has_or
+    only_points = F.col("n_points") == F.col("n_members")
+    member = F.concat_ws(":", "condition_id", "asset_id")
+    group = ["rule_id", "_scope"]
     parts = []
-    if plan.kinds - {"count"}:
+    if set(plan.kinds) - {"count"}:
         mi = member_intervals(readings, plan)
-        if both:
-            mi = cut_lineage(mi)  # feeds the OR and the AND branch: computed once
         if plan.has_or:
-            parts.append(mi.filter(~is_and).select("rule_id", "asset_id", "start_time", "end_time"))
+            parts.append(mi.filter(~is_and).select(*_ANOMALY))
         if plan.has_and:
-            parts.append(intersect_members(mi.filter(is_and), ["rule_id", "_scope"], "condition_id", "n_members")
-                         .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
+            both = mi.filter(is_and).withColumn("member", member)
+            points = set(plan.kinds) & set(POINT_KINDS)
+            whole = both if mode == "exact" else both.filter(only_points)
+            if mode == "exact" or points:
+                parts.append(all_present(whole, [*group, "start_time"], "end_time", "member", "n_members")
+                             .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
+            if mode == "overlap" and set(plan.kinds) - {"count"}:
+                spans = both.filter(~only_points).select(*group, "member", "n_members", "start_time", "end_time").distinct()
+                parts.append(intersect_members(spans, group, "member", "n_members")
+                             .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
     if "count" in plan.kinds:
         cells = count_cells(readings, plan)
-        if both:
-            cells = cut_lineage(cells)
         if plan.has_or:
-            parts.append(cells.filter(~is_and).select("rule_id", "asset_id", "start_time", "end_time"))
+            parts.append(cells.filter(~is_and).select(*_ANOMALY))
         if plan.has_and:
-            members = cells.filter(is_and).withColumn("member", F.concat_ws(":", "condition_id", "asset_id"))
-            parts.append(all_present(members, ["rule_id", "_scope", "start_time", "end_time"], "grp", "member",
-                                     "n_members").select("rule_id", _scope_asset(readings), "start_time", "end_time"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            parts.append(all_present(cells.filter(is_and).withColumn("member", member), [*group, "start_time", "end_time"], "grp",
+                                     "member", "n_members").select("rule_id", _scope_asset(readings), "start_time", "end_time"))
+    if not parts:
+        return member_intervals(readings, plan).select(*_ANOMALY)
+    return _union(parts)
 
 
-def messages(anomalies: DataFrame, rules: DataFrame) -> DataFrame:
-    """One JSON message per rule with anomalies (RU14):
+def messages(anomalies: DataFrame, rules: DataFrame, page: int = 1000) -> DataFrame:
+    """JSON messages of the rules with anomalies (RU14):
     ``{"anomalies": [{start_time, end_time, asset_id}...], "time_range": {"start", "end"},
-    "rule": {...}}``.
+    "rule": {...}}``, one row ``rule_id, page, message`` per rule and ``page`` anomalies.
 
     ``rules`` holds one row per rule: ``rule_id``, ``start_time``, ``end_time``,
     optionally ``max_limit`` (the largest gap limit of its members; the reported
     range starts that much earlier, as the hits were read from there), and any
-    rule fields, which form the ``rule`` object. The anomaly list of a rule is
-    bounded by its run window and assets (islands are separated by more than
-    the gap limit), so the per-rule collect is bounded.
+    rule fields, which form the ``rule`` object. A rule's anomalies are ordered
+    by (start, end, asset) and numbered in blocks of a day, so that neither a
+    rule's list nor its ordering is one task's.
     """
-    per = (anomalies.groupBy("rule_id")
-                    .agg(F.sort_array(F.collect_list(F.struct("start_time", "end_time", "asset_id"))).alias("anomalies")))
+    a = anomalies.select(*_ANOMALY).withColumn("_day", F.floor(F.col("start_time") / 86400))
+    days = a.groupBy("rule_id", "_day").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("rule_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("rule_id", "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("rule_id", "_day").orderBy("start_time", "end_time", F.col("asset_id").asc_nulls_first())
+    a = a.withColumn("_r", F.row_number().over(inside)).join(days, ["rule_id", "_day"], "inner")
+    a = a.withColumn("page", F.floor((F.col("_before") + F.col("_r") - 1) / page).cast("int"))
+    per = (a.groupBy("rule_id", "page")
+            .agg(F.sort_array(F.collect_list(F.struct("start_time", "end_time", "asset_id"))).alias("anomalies")))
     window_cols = {"start_time", "end_time", "max_limit"}
     fields = [c for c in rules.columns if c not in window_cols]
     lead = F.coalesce(F.col("max_limit"), F.lit(0)) if "max_limit" in rules.columns else F.lit(0)
     r = rules.select("rule_id", F.struct(*fields).alias("rule"),
                      F.struct((F.col("start_time") - lead).alias("start"), F.col("end_time").alias("end")).alias("time_range"))
     j = per.join(r, "rule_id")
-    return j.select("rule_id", F.to_json(F.struct("anomalies", "time_range", "rule")).alias("message"))
+    return j.select("rule_id", "page", F.to_json(F.struct("anomalies", "time_range", "rule")).alias("message"))

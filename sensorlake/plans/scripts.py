@@ -1,10 +1,12 @@
 """Script rules (RU15, RU16): user rule functions registered by name.
 
 A script rule is a Python function ``fn(data: DataFrame, params: dict) ->
-DataFrame`` returning ``start_time, end_time`` (and optional chart columns);
-it receives the readings of its assets for ``[start - history, end]``. Rules
-reference functions by name; nothing is executed from text. All script rules
-of a run become one union plan.
+DataFrame``. ``data`` holds the readings of all rules that share the script and
+its parameters, once per rule, for ``[start - history, end]``, with ``rule_id``,
+``start_time`` and ``end_time`` of the rule; it returns ``rule_id, asset_id,
+start_time, end_time``. Rules reference functions by name; nothing is executed
+from text. Rules are a table joined to the readings, so the plan has a branch
+per distinct (script, parameters), not per rule.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import local_frame
+
 SCRIPTS: dict[str, Callable[[DataFrame, dict], DataFrame]] = {}
 
 
@@ -26,17 +30,33 @@ def script_rule(name: str):
 
 def run_script_rules(rules: list[dict], readings: DataFrame, ts: str = "epoch") -> DataFrame | None:
     """RU15/RU16: ``rules`` are script rule rows (rule_id, script, asset_ids (None =
-    every asset), start_time, end_time, history, params) — a configuration list. Returns
-    ``rule_id, start_time, end_time`` for all of them as one plan."""
-    out = None
+    every asset), start_time, end_time, history, params), a configuration list. Returns
+    ``rule_id, asset_id, start_time, end_time`` for all of them as one plan."""
+    kind = readings.schema["asset_id"].dataType.simpleString()
+    groups: dict[tuple, list[dict]] = {}
     for r in rules:
-        fn = SCRIPTS[r["script"]]
-        lo = int(r["start_time"]) - int(r.get("history", 0))
-        data = readings.filter(F.col(ts).between(lo, int(r["end_time"])))
-        if r.get("asset_ids") is not None:  # None: every asset
-            data = data.filter(F.col("asset_id").isin(*r["asset_ids"]))
-        res = fn(data, dict(r.get("params", {}), start_time=r["start_time"], end_time=r["end_time"]))
-        res = res.select(F.lit(r["rule_id"]).alias("rule_id"), "start_time", "end_time")
+        groups.setdefault((r["script"], repr(sorted(dict(r.get("params", {})).items()))), []).append(r)
+    out = None
+    for (script, _), same in groups.items():
+        rows = [(int(r["rule_id"]), a, int(r["start_time"]), int(r["end_time"]), int(r.get("history", 0)))
+                for r in same for a in (r["asset_ids"] if r.get("asset_ids") is not None else [None])]
+        table = local_frame(readings.sparkSession, rows, f"rule_id int, _asset {kind}, start_time long, end_time long, history long")
+        lo, hi = min(x[2] - x[4] for x in rows), max(x[3] for x in rows)
+        every = [x for x in rows if x[1] is None]
+        data = readings.filter(F.col(ts).between(lo, hi))
+        parts = []
+        if len(every) < len(rows):
+            parts.append(data.join(table.filter("_asset is not null"), F.col("asset_id") == F.col("_asset"), "inner"))
+        if every:  # rules over every asset: a constant list on each reading
+            spec = F.array(*[F.struct(F.lit(i).alias("rule_id"), F.lit(s).cast("long").alias("start_time"),
+                                      F.lit(e).cast("long").alias("end_time"), F.lit(h).cast("long").alias("history"))
+                             for i, _, s, e, h in every])
+            parts.append(data.select("*", F.inline(spec)).withColumn("_asset", F.lit(None).cast(kind)))
+        data = parts[0]
+        for p in parts[1:]:
+            data = data.unionByName(p)
+        data = data.filter(F.col(ts).between(F.col("start_time") - F.col("history"), F.col("end_time"))).drop("_asset")
+        res = SCRIPTS[script](data, dict(same[0].get("params", {}))).select("rule_id", "asset_id", "start_time", "end_time")
         out = res if out is None else out.unionByName(res)
     return out
 
@@ -51,11 +71,11 @@ def chart(df: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:
 def zscore_spike(data: DataFrame, params: dict) -> DataFrame:
     """Example registered rule: trailing z-score spikes (WN4) as single-point anomalies."""
     from ..operators.windows import trailing_zscore
-    keys = ["asset_id", *params.get("keys", [])]
+    keys = ["rule_id", "asset_id", *params.get("keys", [])]
     z = trailing_zscore(data, keys, "epoch", params.get("value", "value"), int(params.get("d", 3600)),
                         params.get("operator", ">"), float(params.get("threshold", 3.0)))
-    z = z.filter(F.col("flag") & F.col("epoch").between(params["start_time"], params["end_time"]))
-    return z.select(F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time"))
+    z = z.filter(F.col("flag") & F.col("epoch").between(F.col("start_time"), F.col("end_time")))
+    return z.select("rule_id", "asset_id", F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time"))
 
 
 def route_rule_types(rules: DataFrame, type_col: str = "rule_type") -> tuple[DataFrame, DataFrame]:

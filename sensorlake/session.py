@@ -1,14 +1,13 @@
-"""Session defaults, checkpoint location and size-checked broadcast."""
+"""Session defaults, checkpoint location, small configuration frames.
+
+No join is hinted: Spark broadcasts a side by its measured size
+(``spark.sql.autoBroadcastJoinThreshold`` with AQE)."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Default broadcast ceiling for sides whose size is checked from plan statistics.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,11 +44,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """The cluster's shared ``spark.checkpoint.dir``. Only a local master, where one
+    machine is all there is, may leave it unset and gets a scratch folder; on a
+    cluster that would be a folder per machine, so it is an error there."""
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:  # once per context
@@ -71,23 +73,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate (an upper bound for scans and filters); None if unknown."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return None
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only when the plan's size bound is below ``max_bytes``;
-    otherwise leave the choice to AQE, which re-checks actual sizes at run time."""
-    size = plan_size_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
-
-
 def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     """Small configuration frame (rule specs, coefficient tables) built through
     Arrow, so no Python worker is needed to read it on the executors."""

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as ag
-from ..session import broadcast_if_small
 
 # Watermark delays of the silver and gold streams.
 SILVER_WATERMARK = "30 seconds"
@@ -36,13 +35,13 @@ def dedup_silver(df: DataFrame, ts: str = "timestamp", keys: Sequence[str] = ("t
 
 def physical_tags(df: DataFrame, aggregation_tags: DataFrame, tag: str = "tag_id") -> DataFrame:
     """JN2/SM5: raw tags that are not aggregation tags (stream x static left anti)."""
-    return df.join(broadcast_if_small(aggregation_tags.select(tag)), tag, "left_anti")
+    return df.join(aggregation_tags.select(tag), tag, "left_anti")
 
 
 def enrich_gold(df: DataFrame, metadata: DataFrame, tag: str = "tag_id",
                 source_tag: str = "source_tag_id") -> DataFrame:
     """JN1/SM5: silver x tag metadata (measurement set uuid), stream-static inner join."""
-    m = broadcast_if_small(metadata.withColumnRenamed(source_tag, tag))
+    m = metadata.withColumnRenamed(source_tag, tag)
     return df.join(m, tag, "inner")
 
 
