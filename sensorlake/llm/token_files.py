@@ -95,7 +95,7 @@ class Dac:
 
 
 def write_token_files(docs: DataFrame, tokenizer_file: str, path: str | None = None, end_id: int = 2,
-                      segment_tokens: int = 1_000_000, bytes_per_part: int = 32 << 20) -> str:
+                      segment_tokens: int = 1_000_000, bytes_per_part: int = 8 << 20) -> str:
     """Write every document's ids and ``end_id`` in ascending doc_id order; returns the folder.
 
     Parts are ranges of doc_id of about equal numbers of rows; a part's task writes segments of about

@@ -2,8 +2,9 @@
 
 A tokenizer splits a text by a pattern and encodes every piece on its own, so a piece's ids can be
 kept. Texts of plain characters (ASCII without apostrophe, Western European letters) are cut in numpy
-by the classes of their bytes; any other text, or one that may hold a special string, goes to the
-library whole. Both give the library's ids.
+by the classes of their bytes, and their distinct pieces go to the library's merges once; any other
+text, or one that may hold a special string, goes to the library whole. Both give the library's ids.
+Pieces are told apart by a 64-bit hash of their bytes and length.
 """
 
 from __future__ import annotations
@@ -97,37 +98,70 @@ def cut(data: np.ndarray, bounds: np.ndarray, words: bool) -> tuple[np.ndarray,
     return at, np.append(at[1:], n)
 
 
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for
+    themselves, the others in order from code point 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
+
+
+class Known:
+    """Sorted 64-bit hashes, each with a number: what the pieces of earlier texts were given."""
+
+    def __init__(self):
+        self.hash, self.value = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where there is none."""
+        if not len(self.hash):
+            return np.full(len(h), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+        return np.where(self.hash[at] == h, self.value[at], -1)
+
+    def add(self, h: np.ndarray, value: np.ndarray) -> None:
+        """Hashes in ascending order that are not there yet."""
+        at = np.searchsorted(self.hash, h)
+        self.hash, self.value = np.insert(self.hash, at, h), np.insert(self.value, at, value)
+
+
 class TokenIds:
-    """Ids of texts; null text counts as empty. The cache has two generations of ``limit`` pieces each."""
+    """Ids of texts; null text counts as empty. At most about ``limit`` pieces are kept, as hashes and ids
+    in arrays (some 40 bytes a piece)."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
         self.words = "Lowercase" in str(self.library.normalizer)
-        self.limit, self.cache, self.older = limit, {}, {}
+        self.merges = Tokenizer(self.library.model)  # the merges alone: pieces come cut and byte-mapped
+        self.characters = str.maketrans(dict(enumerate(_byte_characters())))
+        self.limit = limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Known()
+        self.ids, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+        self.begin, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    def learn(self, unseen: list[bytes]) -> None:
-        """Encode pieces: those of letters in one text, where they split alike, the rest one by one."""
-        runs = [p for p in unseen if (p if self.words else p[1:]).isalpha() and (self.words or p[:1] == b" ")]
-        for at in range(0, len(runs), 5_000):
-            part = runs[at:at + 5_000]
-            e = self.library.encode((b" " if self.words else b"").join(part).decode(), add_special_tokens=False)
-            ids, of = np.array(e.ids, dtype=np.uint32), np.array(e.word_ids, dtype=np.int64)
-            cuts = np.searchsorted(of, np.arange(len(part) + 1))
-            raw = ids.tobytes()
-            self.cache.update((p, raw[4 * a:4 * b]) for p, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()))
-        done = set(runs)
-        rest = [p for p in unseen if p not in done]
-        for at in range(0, len(rest), 5_000):
-            part = rest[at:at + 5_000]
-            for p, e in zip(part, self.library.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)):
-                self.cache[p] = np.array(e.ids, dtype=np.uint32).tobytes()
+    def learn(self, pieces: list[bytes]) -> None:
+        """Append the ids of pieces, in order."""
+        for at in range(0, len(pieces), 5_000):
+            part = [p.decode("latin-1").translate(self.characters) for p in pieces[at:at + 5_000]]
+            e = self.merges.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(e.ids, dtype=np.uint32)
+            size = np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part))
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used:self.used + len(ids)] = ids
+            self.begin = np.append(self.begin, self.used + np.cumsum(size) - size)
+            self.size = np.append(self.size, size)
+            self.used += len(ids)
 
     def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all plain texts in a row, number of ids of each)."""
@@ -135,27 +169,21 @@ class TokenIds:
         starts, ends = cut(data, bounds, self.words)
         if not len(starts):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
-        _, at, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.begin) > self.limit or self.used > 8 * self.limit:
+            self.forget()
+        hashes, at, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        entry = self.known.find(hashes)
+        new = np.flatnonzero(entry < 0)
+        a, b = starts[at[new]], ends[at[new]]
         raw = data.tobytes()
-        pieces = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-        if len(self.cache) > self.limit:
-            self.older, self.cache = self.cache, {}
-        found = list(map(self.cache.get, pieces))
-        unseen = []
-        for p in (p for p, ids in zip(pieces, found) if ids is None):
-            ids = self.older.get(p)
-            if ids is None:
-                unseen.append(p)
-            else:
-                self.cache[p] = ids
-        self.learn(unseen)
-        known = [self.cache[p] if ids is None else ids for p, ids in zip(pieces, found)]
-        size = np.array([len(k) for k in known], dtype=np.int64) // 4
-        table = np.frombuffer(b"".join(known), dtype=np.uint32)
-        begin = np.cumsum(size) - size
-        n = size[which]
+        entry[new] = len(self.begin) + np.arange(len(new))
+        self.learn([raw[x:y] for x, y in zip(a.tolist(), b.tolist())])
+        short = new[b - a <= 64]
+        self.known.add(hashes[short], entry[short])
+        entry = entry[which]
+        n = self.size[entry]
         upto = np.cumsum(n)
-        ids = table[np.repeat(begin[which] - (upto - n), n) + np.arange(upto[-1])]
+        ids = self.ids[np.repeat(self.begin[entry] - (upto - n), n) + np.arange(upto[-1])]
         cuts = np.append(0, upto)[np.searchsorted(starts, bounds)]
         return ids, np.diff(cuts)
 
