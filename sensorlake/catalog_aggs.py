@@ -444,7 +444,7 @@ s AS (SELECT asset_id, parameter, i, epoch, value AS smoothed FROM r WHERE i = 1
       UNION ALL
       SELECT r.asset_id, r.parameter, r.i, r.epoch, {WN8_ALPHA} * r.value + {1 - WN8_ALPHA} * s.smoothed
       FROM s JOIN r ON r.asset_id = s.asset_id AND r.parameter = s.parameter AND r.i = s.i + 1)
-SELECT asset_id, parameter, epoch, floor(smoothed * 10000 + 0.37) / 10000 AS smoothed FROM s
+SELECT asset_id, parameter, epoch, floor(smoothed * 10000 + 0.3712345678) / 10000 AS smoothed FROM s
 """
 
 
@@ -455,7 +455,7 @@ def wn8_exponential_smoothing(spark: SparkSession, sf: str) -> DataFrame:
     s = wn.exp_smooth(r, ["asset_id", "parameter"], "epoch", "value", WN8_ALPHA)
     # 4 decimals, cut in both engines off the exact halves that the recursion yields
     return s.select("asset_id", "parameter", "epoch",
-                    (F.floor(F.col("smoothed") * 10000 + 0.37) / 10000).alias("smoothed"))
+                    (F.floor(F.col("smoothed") * 10000 + 0.3712345678) / 10000).alias("smoothed"))
 
 
 WN9_SQL = f"""

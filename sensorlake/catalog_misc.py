@@ -240,7 +240,7 @@ s AS (SELECT asset_id, parameter, i, moving_avg AS y, moving_avg AS state FROM m
       FROM s JOIN m ON m.asset_id = s.asset_id AND m.parameter = s.parameter AND m.i = s.i + 1),
 w AS (SELECT m.asset_id, m.parameter, m.epoch, m.raw, m.modified, coalesce(s.y, m.modified) AS filtered,
              m.moving_avg * 0.9 + 1.0 AS predicted FROM m JOIN s USING (asset_id, parameter, i))
-SELECT asset_id, parameter, epoch, variable, floor(v * 10000 + 0.37) / 10000 AS v FROM (
+SELECT asset_id, parameter, epoch, variable, floor(v * 10000 + 0.3712345678) / 10000 AS v FROM (
   SELECT asset_id, parameter, epoch, 'raw' AS variable, raw AS v FROM w
   UNION ALL SELECT asset_id, parameter, epoch, 'modified', modified FROM w
   UNION ALL SELECT asset_id, parameter, epoch, 'filtered', filtered FROM w
@@ -264,7 +264,7 @@ def ml1_preprocess_chain(spark: SparkSession, sf: str) -> DataFrame:
     long = ml.to_long(wide, ["asset_id", "parameter", "epoch"],
                       ["raw", "modified", "filtered", "predicted", "prediction_bias"], ["v"])
     # 4 decimals, cut in both engines off the exact halves that the recursion yields
-    return long.withColumn("v", F.floor(F.col("v") * 10000 + 0.37) / 10000)
+    return long.withColumn("v", F.floor(F.col("v") * 10000 + 0.3712345678) / 10000)
 
 
 ML2_COEF = [("l_quantity", 12.5), ("l_discount", -300.0), ("l_tax", 150.0), ("__intercept__", 7.0)]
@@ -659,3 +659,303 @@ def ru15_script_rule(spark: SparkSession, sf: str) -> DataFrame:
             "end_time": 4102444800, "history": RU15_D,  # a run over all data
             "params": {"d": RU15_D, "threshold": RU15_T, "keys": ["parameter"]}}
     return scripts.run_script_rules([rule], r)
+
+
+# ---------------------------------------------------------------- rules from documents (RU2, RU3, RU10)
+
+RULE_PERIOD = 30 * DAY
+#: Parameters of the test readings as sensor families; 'error' readings count as magnitudes.
+RULE_FAMILIES = {"click": "series", "view": "series", "purchase": "count", "error": "magnitude"}
+#: (offset of the rule id, parameter, function, operator, threshold, duration, unit) of each asset's rules.
+RULE_TEXTS = [(1, "click", "Average", ">", 30.0, 2 * DAY, "abs"), (2, "purchase", "raw", ">=", 2.0, 3 * DAY, "abs"),
+              (3, "error", "RAW", ">", 100.0, 0, "abs"),
+              (4, "view", "differential over a baseline value", "<", -20.0, 0, "abs"),
+              (5, "click", "median", ">", 1.0, 0, "abs"), (6, "signup", "raw", ">", 1.0, 0, "abs"),
+              (7, "view", "raw", "~", 1.0, 0, "abs")]
+
+
+def _rule_documents(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rule documents (seven per asset, three of them faulty), assets, readings and watermarks."""
+    r = readings(spark, sf).withColumn("sensor_type", F.lit("events"))
+    base = r.filter(F.col("parameter") == "view").groupBy("asset_id").agg(F.min("epoch").alias("b"))
+    per = r.select("asset_id").distinct().join(base, "asset_id", "left")
+    rules = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("parameter"), F.lit(f).alias("function"), F.lit(o).alias("operator"),
+                               F.lit(t).alias("threshold"), F.lit(d).alias("duration"), F.lit(u).alias("unit"))
+                      for i, p, f, o, t, d, u in RULE_TEXTS])
+    per = per.select("asset_id", "b", F.inline(rules))
+    cond = F.struct(F.lit(1).alias("condition_id"), F.lit("c").alias("condition_name"),
+                    F.array(F.col("asset_id").cast("string")).alias("asset_id"), "parameter", "operator",
+                    F.lit(None).cast("int").alias("class"), "threshold", F.col("duration").cast("int").alias("duration"),
+                    F.lit(None).cast("string").alias("wire"), "function", F.lit(None).cast("string").alias("wire_length_from"),
+                    F.lit(None).cast("string").alias("wire_length_to"), F.lit(RULE_PERIOD).cast("int").alias("rule_run_frequency"),
+                    F.lit("events").alias("sensor_type"), F.col("b").cast("int").alias("baseline_time"), F.col("unit").alias("threshold_unit"))
+    docs = per.select((F.col("asset_id") * 10 + F.col("i")).cast("int").alias("rule_id"), F.concat(F.lit("rule "), "parameter").alias("rule_name"),
+                      F.lit("t").alias("tenant_id"), F.lit("or").alias("join_condition"), F.lit("high").alias("severity"),
+                      F.array().cast("array<int>").alias("risk_register_controls"), F.lit("create").alias("operation"),
+                      F.array(cond).alias("conditions"))
+    assets = r.select(F.col("asset_id").cast("string").alias("asset_id")).distinct().withColumn("data_frequency", F.lit(43200))
+    newest = F.max("epoch")
+    state = r.agg((newest - F.pmod(newest, F.lit(RULE_PERIOD)) + 100).alias("last_run_time")).select(
+        F.lit("wf").alias("workflow_id"), F.lit("events").alias("sensor_type"), "last_run_time", F.lit(None).cast("timestamp").alias("last_updated_date"))
+    return docs, assets, r.withColumn("asset_id", F.col("asset_id").cast("string")), state
+
+
+def _run_documents(spark: SparkSession, sf: str):
+    from .plans import engine
+    from .session import cut_lineage
+    docs, assets, r, state = _rule_documents(spark, sf)
+    docs, assets, state = cut_lineage(docs), cut_lineage(assets), cut_lineage(state)  # tables of their own in a real run
+    return engine.run_rules(docs, assets, r, state, "wf", engine_period=1800, downtime=RULE_PERIOD, now=0, families=RULE_FAMILIES)
+
+
+_WINDOW_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+t AS (SELECT max(epoch) AS mx, max(epoch) - max(epoch) % {RULE_PERIOD} + 100 AS lr FROM r),
+win AS (SELECT CAST(trunc(CAST(lr AS DOUBLE) - 100.0 - {RULE_PERIOD}.0) AS BIGINT) AS lo,
+               CAST(trunc(CAST(lr AS DOUBLE) - 100.0 + 1800.0 * ((mx - lr) / 1800.0)) AS BIGINT) AS hi FROM t)"""
+
+RULE_DOC_SQL = _WINDOW_SQL + f""",
+lim AS (SELECT 86399 AS l),
+fa AS (SELECT DISTINCT asset_id, epoch, avg(value) OVER (PARTITION BY asset_id ORDER BY epoch RANGE BETWEEN CURRENT ROW AND {2 * DAY - 1} FOLLOWING) AS m
+       FROM r, win WHERE parameter = 'click' AND epoch BETWEEN lo AND hi),
+bt AS (SELECT asset_id, min(epoch) AS b FROM r WHERE parameter = 'view' GROUP BY asset_id),
+bv AS (SELECT r.asset_id, max(value) AS bv FROM r JOIN bt ON r.asset_id = bt.asset_id AND r.epoch = bt.b WHERE parameter = 'view' GROUP BY r.asset_id),
+h AS (SELECT asset_id * 10 + 1 AS rule_id, asset_id, epoch, {2 * DAY} AS dur FROM fa WHERE m > 30
+      UNION ALL
+      SELECT r.asset_id * 10 + 4, r.asset_id, epoch, 0 FROM r JOIN bv USING (asset_id), win
+      WHERE parameter = 'view' AND epoch BETWEEN lo AND hi AND value - bv < -20),
+g AS (SELECT *, sum(CASE WHEN p IS NULL OR epoch - p > 86399 THEN 1 ELSE 0 END) OVER (PARTITION BY rule_id ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS isl
+      FROM (SELECT *, lag(epoch) OVER (PARTITION BY rule_id ORDER BY epoch) AS p FROM h)),
+i AS (SELECT rule_id, asset_id, min(epoch) AS s, max(epoch) AS e, any_value(dur) AS dur FROM g GROUP BY rule_id, asset_id, isl),
+c AS (SELECT asset_id, CAST(floor((epoch - lo) / {3 * DAY}) AS BIGINT) AS cell, any_value(lo) AS lo FROM r, win
+      WHERE parameter = 'purchase' AND epoch BETWEEN lo AND hi GROUP BY ALL HAVING count(*) >= 2)
+SELECT CAST(rule_id AS INTEGER) AS rule_id, CAST(asset_id AS VARCHAR) AS asset_id, s AS start_time, e AS end_time FROM i, win
+WHERE e - s >= dur OR s = lo - 86399 OR e = hi
+UNION ALL
+SELECT CAST(asset_id * 10 + 2 AS INTEGER), CAST(asset_id AS VARCHAR), lo + {3 * DAY} * cell, lo + {3 * DAY} * cell + {3 * DAY} FROM c
+UNION ALL
+SELECT CAST(asset_id * 10 + 3 AS INTEGER), CAST(asset_id AS VARCHAR), epoch, epoch FROM r, win
+WHERE parameter = 'error' AND value > 100 AND epoch BETWEEN lo AND hi
+"""
+
+
+@register("ru10_rule_documents", RULE_DOC_SQL)
+def ru10_rule_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """RU10/PJ9/RU2/RU13: a run over rule documents, four valid ones per asset (average, number of
+    events, magnitude, differential over a baseline value), all in one plan."""
+    return _run_documents(spark, sf).anomalies.select("rule_id", "asset_id", "start_time", "end_time")
+
+
+RULE_ERROR_SQL = f"""
+WITH a AS (SELECT DISTINCT asset_id FROM ({READINGS_SQL}))
+SELECT CAST(asset_id * 10 + 5 AS INTEGER) AS rule_id, 'unknown function' AS error, 'click median >' AS detail FROM a
+UNION ALL SELECT CAST(asset_id * 10 + 6 AS INTEGER), 'unknown parameter', 'signup raw >' FROM a
+UNION ALL SELECT CAST(asset_id * 10 + 7 AS INTEGER), 'unknown operator', 'view raw ~' FROM a
+"""
+
+
+@register("ru3_rule_errors", RULE_ERROR_SQL)
+def ru3_rule_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """RU3: the same documents' error rows: unknown function, parameter and operator."""
+    return _run_documents(spark, sf).errors
+
+
+RULE_STATE_SQL = _WINDOW_SQL + """
+SELECT 'wf' AS workflow_id, 'events' AS sensor_type,
+       CAST(trunc(CAST(lr AS DOUBLE) + 1800.0 * ((mx - lr) / 1800.0) + 1800.0) AS BIGINT) AS last_run_time FROM t
+"""
+
+
+@register("ru13_run_watermark", RULE_STATE_SQL)
+def ru13_run_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    """RU13/CH1: the watermark after that run."""
+    return _run_documents(spark, sf).state.select("workflow_id", "sensor_type", "last_run_time")
+
+
+def _spec_conditions(spark: SparkSession, r: DataFrame, rows: list[tuple], cols: str) -> DataFrame:
+    from .catalog import _conditions, _run_window
+    return _run_window(_conditions(spark, rows, cols), r)
+
+
+RU8_AND_SQL = f"""
+WITH r AS (SELECT asset_id, parameter, epoch - epoch % {DAY} AS epoch, value FROM ({READINGS_SQL}))
+SELECT 44 AS rule_id, asset_id, epoch AS start_time, epoch AS end_time
+FROM r WHERE parameter IN ('error', 'view') AND value > 20 GROUP BY asset_id, epoch HAVING count(DISTINCT parameter) = 2
+"""
+
+
+@register("ru8_magnitude_and", RU8_AND_SQL)
+def ru8_magnitude_and(spark: SparkSession, sf: str) -> DataFrame:
+    """RU8 with AND: both conditions hit at the same time (days here), however many readings each has then."""
+    from .plans import rules as ru
+    r = readings(spark, sf).withColumn("epoch", F.col("epoch") - F.pmod("epoch", F.lit(DAY)))
+    from .catalog import SPEC_COLS
+    c = _spec_conditions(spark, r, [(44, 1, "error", "magnitude", ">", 20.0, 0, 43200, "and"),
+                                    (44, 2, "view", "magnitude", ">", 20.0, 0, 43200, "and")], SPEC_COLS)
+    return ru.evaluate(r, c)
+
+
+RU11_EXACT_SQL = f"""
+WITH r AS (SELECT asset_id, parameter, epoch - epoch % {DAY} AS epoch, value FROM ({READINGS_SQL})),
+h AS (SELECT DISTINCT asset_id, parameter, epoch FROM r WHERE parameter IN ('click', 'view') AND value > 20),
+g AS (SELECT *, sum(CASE WHEN p IS NULL OR epoch - p > {2 * DAY - 1} THEN 1 ELSE 0 END) OVER (PARTITION BY asset_id, parameter ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS isl
+      FROM (SELECT *, lag(epoch) OVER (PARTITION BY asset_id, parameter ORDER BY epoch) AS p FROM h)),
+i AS (SELECT asset_id, parameter, min(epoch) AS s, max(epoch) AS e FROM g GROUP BY asset_id, parameter, isl)
+SELECT 53 AS rule_id, asset_id, s AS start_time, e AS end_time FROM i GROUP BY asset_id, s, e HAVING count(DISTINCT parameter) = 2
+"""
+
+
+@register("ru11_exact_mode", RU11_EXACT_SQL)
+def ru11_exact_mode(spark: SparkSession, sf: str) -> DataFrame:
+    """RU11 exact mode through the rule evaluation: intervals that both conditions hold alike."""
+    from .catalog import SPEC_COLS
+    from .plans import rules as ru
+    r = readings(spark, sf).withColumn("epoch", F.col("epoch") - F.pmod("epoch", F.lit(DAY)))
+    c = _spec_conditions(spark, r, [(53, 1, "click", "raw", ">", 20.0, 0, DAY, "and"), (53, 2, "view", "raw", ">", 20.0, 0, DAY, "and")], SPEC_COLS)
+    return ru.evaluate(r, c, mode="exact")
+
+
+FIBRE_COLS = ("rule_id int, condition_id int, parameter string, function string, operator string, threshold double, duration long, "
+              "data_frequency long, join_condition string, threshold_unit string, baseline_time long, wire string, depth_from long, depth_to long")
+
+
+def _fibre_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings as fibre profiles: time in hours, depth = class, one wire."""
+    r = readings(spark, sf)
+    return r.select("asset_id", "parameter", (F.col("epoch") - F.pmod("epoch", F.lit(3600))).alias("epoch"), "value", "k",
+                    F.col("k").alias("depth"), F.lit("1").alias("wire"))
+
+
+RU9_ENGINE_SQL = f"""
+WITH r AS (SELECT asset_id, parameter, epoch - epoch % 3600 AS epoch, value, k AS depth FROM ({READINGS_SQL})),
+p AS (SELECT asset_id, parameter, epoch, avg(value) AS a, min(value) AS lo, max(value) AS hi FROM r
+      WHERE depth BETWEEN 10 AND 60 GROUP BY ALL),
+bt AS (SELECT min(epoch) AS b FROM r),
+d AS (SELECT DISTINCT c.asset_id, c.epoch FROM r c JOIN (SELECT asset_id, depth, max(value) AS bv FROM r, bt WHERE epoch = b AND parameter = 'click' GROUP BY ALL) b USING (asset_id, depth)
+      WHERE c.parameter = 'click' AND c.value - b.bv < 0),
+g AS (SELECT *, sum(CASE WHEN q IS NULL OR epoch - q > {2 * DAY - 1} THEN 1 ELSE 0 END) OVER (PARTITION BY asset_id ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS isl
+      FROM (SELECT *, lag(epoch) OVER (PARTITION BY asset_id ORDER BY epoch) AS q FROM d))
+SELECT 81 AS rule_id, asset_id, epoch AS start_time, epoch AS end_time FROM (SELECT DISTINCT asset_id, epoch FROM r WHERE parameter = 'click' AND depth BETWEEN 10 AND 60 AND value > 80)
+UNION ALL SELECT 82, asset_id, epoch, epoch FROM p WHERE parameter = 'view' AND a > 40
+UNION ALL SELECT 83, asset_id, epoch, epoch FROM p WHERE parameter = 'view' AND lo < 2
+UNION ALL SELECT 84, asset_id, epoch, epoch FROM p WHERE parameter = 'error' AND hi >= 60
+UNION ALL SELECT 85, asset_id, min(epoch), max(epoch) FROM g GROUP BY asset_id, isl
+UNION ALL SELECT 86, x.asset_id, x.epoch, x.epoch FROM p x JOIN p y USING (asset_id, epoch)
+  WHERE x.parameter = 'click' AND x.a > 10 AND y.parameter = 'view' AND y.a > 10
+"""
+
+
+@register("ru9_fibre_rule_engine", RU9_ENGINE_SQL)
+def ru9_fibre_rule_engine(spark: SparkSession, sf: str) -> DataFrame:
+    """RU9 in the rule evaluation: raw, average, minimum, maximum over a depth range of a wire,
+    differential by depth with islands, and AND of two at the same time."""
+    from .plans import rules as ru
+    from .catalog import _conditions, _run_window
+    r = _fibre_readings(spark, sf)
+    rows = [(81, 1, "click", "fibre_raw", ">", 80.0, 0, DAY, "or", None, None, "1", 10, 60),
+            (82, 1, "view", "fibre_avg", ">", 40.0, 0, DAY, "or", None, None, "1", 10, 60),
+            (83, 1, "view", "fibre_min", "<", 2.0, 0, DAY, "or", None, None, "1", 10, 60),
+            (84, 1, "error", "fibre_max", ">=", 60.0, 0, DAY, "or", None, None, "1", 10, 60),
+            (85, 1, "click", "fibre_differential", "<", 0.0, 0, DAY, "or", "abs", None, "1", None, None),
+            (86, 1, "click", "fibre_avg", ">", 10.0, 0, DAY, "and", None, None, "1", 10, 60),
+            (86, 2, "view", "fibre_avg", ">", 10.0, 0, DAY, "and", None, None, "1", 10, 60)]
+    c = _run_window(_conditions(spark, rows, FIBRE_COLS), r)
+    first = r.select(F.min("epoch")).scalar()
+    c = c.withColumn("baseline_time", F.when(F.col("function") == "fibre_differential", first))
+    return ru.evaluate(r, c)
+
+
+HUNDRED_AVG_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+spec AS (SELECT CAST(id AS INTEGER) AS rule_id, CAST(id / 2 AS DOUBLE) AS threshold FROM range(1, 101) t(id)),
+fa AS (SELECT DISTINCT asset_id, epoch, avg(value) OVER (PARTITION BY asset_id ORDER BY epoch RANGE BETWEEN CURRENT ROW AND {DAY - 1} FOLLOWING) AS m
+       FROM r WHERE parameter = 'click'),
+h AS (SELECT rule_id, asset_id, epoch FROM fa JOIN spec ON m > threshold),
+g AS (SELECT *, sum(CASE WHEN p IS NULL OR epoch - p > 86399 THEN 1 ELSE 0 END) OVER (PARTITION BY rule_id, asset_id ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS isl
+      FROM (SELECT *, lag(epoch) OVER (PARTITION BY rule_id, asset_id ORDER BY epoch) AS p FROM h))
+SELECT rule_id, asset_id, min(epoch) AS start_time, max(epoch) AS end_time FROM g GROUP BY rule_id, asset_id, isl
+HAVING max(epoch) - min(epoch) >= {DAY} OR max(epoch) = {RUN_END} OR min(epoch) = {RUN_START} - 86399
+"""
+
+
+@register("ru5_hundred_averages", HUNDRED_AVG_SQL)
+def ru5_hundred_averages(spark: SparkSession, sf: str) -> DataFrame:
+    """RU5/RU10: 100 average rules that differ in their threshold: one sliding mean for all of them."""
+    from .catalog import _conditions, _run_window
+    from .plans import rules as ru
+    r = readings(spark, sf)
+    spec = spark.range(1, 101).select(
+        F.col("id").cast("int").alias("rule_id"), F.lit(1).alias("condition_id"), F.lit("click").alias("parameter"),
+        F.lit("avg").alias("function"), F.lit(">").alias("operator"), (F.col("id") / 2).alias("threshold"),
+        F.lit(DAY).cast("long").alias("duration"), F.lit(43200).cast("long").alias("data_frequency"), F.lit("or").alias("join_condition"))
+    return ru.evaluate(r, _run_window(_conditions(spark, spec), r))
+
+
+# ---------------------------------------------------------------- further green rows
+
+@register("ru12_rule_headers", """
+SELECT CAST(l_orderkey AS INTEGER) AS rule_id, min(l_returnflag) AS severity,
+       list(DISTINCT CAST(l_linenumber AS INTEGER) ORDER BY CAST(l_linenumber AS INTEGER)) AS condition_ids,
+       to_json(list({'condition_id': CAST(l_linenumber AS INTEGER), 'parameter': l_returnflag, 'operator': '>', 'threshold': l_quantity,
+                     'duration': CAST(l_suppkey AS INTEGER), 'function': 'raw'} ORDER BY l_linenumber, l_returnflag, l_quantity, l_suppkey)) AS conditions_json
+FROM lineitem GROUP BY l_orderkey
+""")
+def ru12_rule_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """RU12: per rule (order) the payload header with its conditions (lines) as JSON."""
+    li = table(spark, sf, "lineitem")
+    cond = li.select(F.col("l_orderkey").cast("int").alias("rule_id"), F.col("l_linenumber").cast("int").alias("condition_id"),
+                     F.col("l_returnflag").alias("parameter"), F.lit(">").alias("operator"), F.col("l_quantity").alias("threshold"),
+                     F.col("l_suppkey").cast("int").alias("duration"), F.lit("raw").alias("function"))
+    rules = li.groupBy(F.col("l_orderkey").cast("int").alias("rule_id")).agg(
+        F.min("l_returnflag").alias("severity")).withColumn("risk_register_controls", F.array().cast("array<int>"))
+    return lifecycle.rule_headers(cond, rules).select("rule_id", "severity", "condition_ids", "conditions_json")
+
+
+@register("ru1_rule_changes", """
+WITH o AS (SELECT o_orderkey AS rule_id, o_orderpriority AS rule_name, o_orderstatus AS s FROM orders),
+inc AS (SELECT c_custkey AS rule_id, c_name AS rule_name,
+               CASE c_custkey % 3 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' ELSE 'create' END AS operation FROM customer)
+SELECT rule_id, rule_name FROM o WHERE rule_id NOT IN (SELECT rule_id FROM inc WHERE operation <> 'create')
+UNION ALL SELECT rule_id, rule_name FROM inc WHERE operation = 'update'
+UNION ALL SELECT rule_id, rule_name FROM inc WHERE operation = 'create' AND rule_id NOT IN (SELECT rule_id FROM o)
+""")
+def ru1_rule_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """RU1: change documents (customers) applied to a rule table (orders): delete, update, create."""
+    op = F.when(F.col("c_custkey") % 3 == 0, "delete").when(F.col("c_custkey") % 3 == 1, "update").otherwise("create")
+    existing = table(spark, sf, "orders").select(F.col("o_orderkey").alias("rule_id"), F.col("o_orderpriority").alias("rule_name"))
+    inc = table(spark, sf, "customer").select(F.col("c_custkey").alias("rule_id"), F.col("c_name").alias("rule_name"),
+                                              op.alias("operation"), F.lit("f1").alias("file_name"))
+    return lifecycle.apply_rule_changes(existing, inc)
+
+
+@register("wn11_combination_ids", """
+SELECT p_brand, p_type, CAST(row_number() OVER (ORDER BY p_brand, p_type) AS INTEGER) AS combination_id
+FROM (SELECT DISTINCT p_brand, p_type FROM part)
+""")
+def wn11_combination_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """WN11: stable ids of the distinct (brand, type) combinations."""
+    from .operators import windows as wn
+    return wn.combination_ids(table(spark, sf, "part").select("p_brand", "p_type").distinct(), ["p_brand", "p_type"])
+
+
+@register("go4_two_measures", f"""
+WITH a AS (SELECT l_suppkey, CAST(floor(epoch(l_shipdate)) AS BIGINT) - CAST(floor(epoch(l_shipdate)) AS BIGINT) % {30 * DAY} AS bucket_start,
+                  CAST(floor(epoch(l_shipdate)) AS BIGINT) AS t, l_quantity AS q, l_extendedprice AS p FROM lineitem),
+g AS (SELECT l_suppkey, bucket_start, min({{'v': q, 't': t}}) AS qlo, max({{'v': q, 't': t}}) AS qhi, sum(q) AS qs, count(q) AS qc,
+             min({{'v': p, 't': t}}) AS plo, max({{'v': p, 't': t}}) AS phi, sum(p) AS ps, count(p) AS pc FROM a GROUP BY l_suppkey, bucket_start)
+SELECT l_suppkey, bucket_start, 'l_quantity_min' AS parameter, qlo.t AS timestamp, round(qlo.v, 2) AS value FROM g
+UNION ALL SELECT l_suppkey, bucket_start, 'l_quantity_max', qhi.t, round(qhi.v, 2) FROM g
+UNION ALL SELECT l_suppkey, bucket_start, 'l_quantity_sum', bucket_start, round(qs, 2) FROM g
+UNION ALL SELECT l_suppkey, bucket_start, 'l_quantity_count', bucket_start, CAST(qc AS DOUBLE) FROM g
+UNION ALL SELECT l_suppkey, bucket_start, 'l_extendedprice_min', plo.t, round(plo.v, 2) FROM g
+UNION ALL SELECT l_suppkey, bucket_start, 'l_extendedprice_max', phi.t, round(phi.v, 2) FROM g
+UNION ALL SELECT l_suppkey, bucket_start, 'l_extendedprice_sum', bucket_start, round(ps, 2) FROM g
+UNION ALL SELECT l_suppkey, bucket_start, 'l_extendedprice_count', bucket_start, CAST(pc AS DOUBLE) FROM g
+""")
+def go4_two_measures(spark: SparkSession, sf: str) -> DataFrame:
+    """GO4: gold of two measures of wide rows in one pass."""
+    from .functions.scalars import epoch_seconds
+    li = table(spark, sf, "lineitem")
+    rows = li.select("l_suppkey", epoch_seconds("l_shipdate", li.schema["l_shipdate"].dataType).alias("t"), "l_quantity", "l_extendedprice")
+    g = resample.summarize(rows, ["l_suppkey"], "t", ["l_quantity", "l_extendedprice"], 30 * DAY)
+    return g.select("l_suppkey", "bucket_start", "parameter", "timestamp", F.round("value", 2).alias("value"))

@@ -137,3 +137,67 @@ def test_one_plan_equals_rule_by_rule(spark):
     for rid in sorted({s[0] for s in spec}):
         alone += [tuple(r) for r in ru.evaluate(readings, cond.filter(F.col("rule_id") == rid)).collect()]
     assert together == sorted(alone) and len(together) > 0
+
+
+def test_magnitude_and_needs_every_member_at_the_time(spark):
+    """Two readings of one condition are not two members; one more reading does not lose a time."""
+    cond = _cond(spark, [(5, 1, None, "p", "magnitude", ">", 1.0, 0, 5, "and"), (5, 2, None, "q", "magnitude", ">", 1.0, 0, 5, "and")])
+    one = _readings(spark, [(1, "p", 100, 5.0, None), (1, "p", 100, 6.0, None)])
+    assert ru.evaluate(one, cond).count() == 0
+    both = _readings(spark, [(1, "p", 100, 5.0, None), (1, "p", 100, 6.0, None), (1, "q", 100, 5.0, None)])
+    assert [(r.start_time, r.end_time) for r in ru.evaluate(both, cond).collect()] == [(100, 100)]
+
+
+def test_magnitude_by_arrival(spark):
+    """A late reading counts in the run it arrives in."""
+    cond = _cond(spark, [(5, 1, None, "p", "magnitude", ">", 1.0, 0, 5, "or")])
+    r = _readings(spark, [(1, "p", -50, 5.0, None), (1, "p", 60, 5.0, None)]).withColumn(
+        "arrival", F.when(F.col("epoch") < 0, 10).otherwise(5000).cast("long"))
+    assert [x.start_time for x in ru.evaluate(r, cond).collect()] == [-50]
+
+
+def test_sensor_type_joins_only_its_readings(spark):
+    cond = _cond(spark, [(5, 1, None, "p", "raw", ">", 1.0, 0, 5, "or")]).withColumn("sensor_type", F.lit("gauge"))
+    r = _readings(spark, [(1, "p", 10, 5.0, None), (2, "p", 10, 5.0, None)]).withColumn(
+        "sensor_type", F.when(F.col("asset_id") == 1, "gauge").otherwise("flow"))
+    assert [x.asset_id for x in ru.evaluate(r, cond).collect()] == [1]
+
+
+def test_dispatch_names_and_errors(spark):
+    rows = [(1, "pressure", " Average ", ">"), (2, "no_of_events", "raw", ">"), (3, "magnitude", None, ">"),
+            (4, "dts", "maximum", ">"), (5, "axial_strain", "differential over a baseline value", "<"),
+            (6, "pressure", "maximum", ">"), (7, "pressure", "median", ">"), (8, "colour", "raw", ">"), (9, "pressure", "raw", "~")]
+    c = spark.createDataFrame(rows, "rule_id int, parameter string, function string, operator string")
+    good, errors = ru.dispatch(c)
+    assert {r.rule_id: (r.function, r.parameter) for r in good.collect()} == {
+        1: ("avg", "pressure"), 2: ("count", "no_of_events"), 3: ("magnitude", "magnitude"), 4: ("fibre_max", "curr_temp"),
+        5: ("fibre_differential", "axial_strain_thermal")}
+    assert {r.rule_id: r.error for r in errors.collect()} == {
+        6: "function not available for parameter", 7: "unknown function", 8: "unknown parameter", 9: "unknown operator"}
+
+
+def test_unknown_kind_raises(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        ru.evaluate(_readings(spark, [(1, "p", 1, 1.0, None)]), _cond(spark, [(1, 1, None, "p", "average", ">", 0.0, 0, 5, "or")]))
+
+
+def test_window_work_does_not_grow_with_the_rules(spark):
+    """100 average rules on one series: the same shuffles as one rule up to the hits."""
+    r = _readings(spark, [(1, "p", t, float(t % 7), None) for t in range(300)])
+    plans = []
+    for n in (1, 100):
+        c = _cond(spark, [(i, 1, None, "p", "avg", ">", 100.0 + i, 20, 5, "or") for i in range(n)])
+        df = ru.avg_hits(r, ru.prepare(c))
+        assert df.count() == 0
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+    assert plans[0] == plans[1]
+
+
+def test_messages_are_paged(spark):
+    import json
+    an = spark.createDataFrame([(1, None, t * 50_000, t * 50_000 + 1) for t in range(25)], "rule_id int, asset_id long, start_time long, end_time long")
+    rules = spark.createDataFrame([(1, 0, 10, "x")], "rule_id int, start_time long, end_time long, name string")
+    got = sorted((r.page, json.loads(r.message)) for r in ru.messages(an, rules, page=10).collect())
+    assert [len(m["anomalies"]) for _, m in got] == [10, 10, 5]
+    assert [a["start_time"] for _, m in got for a in m["anomalies"]] == [t * 50_000 for t in range(25)]
