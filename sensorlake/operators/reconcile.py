@@ -46,7 +46,7 @@ def attribute_violations(features: DataFrame, rules: DataFrame, id_col: str, tex
 
 def fk_report(child: DataFrame, child_name: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """RC4/RC5: child rows whose foreign key has no parent row, counted per value."""
-    p = parent.select(F.col(pk).alias(fk)).distinct()
+    p = parent.select(F.col(pk).alias(fk))
     orphans = child.filter(F.col(fk).isNotNull()).join(p, fk, "left_anti")
     return orphans.groupBy(fk).agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(child_name).alias("child"), F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("value"), "n_rows")

@@ -67,6 +67,14 @@ def read_stream_table(spark: SparkSession, path: str, fmt: str = "parquet", sche
     return r.load(path)
 
 
+def landing_errors(df: DataFrame) -> DataFrame:
+    """Landing messages whose body is no array of readings: ``source_module, body,
+    error``. ``landing_to_bronze`` has no row for them; this is where they go."""
+    parsed = F.from_json("body", BODY_SCHEMA)
+    bad = parsed.isNull() | F.exists(parsed, lambda r: r["displayName"].isNull() & r["value"].isNull())
+    return df.filter(bad).withColumn("error", F.lit("malformed body"))
+
+
 def read_rules(spark: SparkSession, paths, schema: StructType = RULE_DOC) -> DataFrame:
     """SR5: rule documents with an explicit nested schema, plus the source file name."""
     return spark.read.schema(schema).option("multiLine", "true").json(paths).withColumn(
@@ -108,10 +116,12 @@ def split_lines(df: DataFrame, file_col: str, text: str, sep: str = "\r?\n") ->
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ";@", columns: Sequence[str] | None = None,
-                   fill: dict | float | None = 0) -> DataFrame:
+                   fill: dict | float | None = 0, schema: StructType | str | None = None) -> DataFrame:
     """SR8: delimited text with a multi-character separator, fixed header list,
-    nulls filled with 0 (numeric columns) as the reference's pandas reader did."""
-    df = spark.read.option("sep", sep).option("header", columns is None).option("inferSchema", "true").csv(path)
+    nulls filled with 0 (numeric columns). With ``schema`` the files are read
+    once; without, types are inferred by a second read."""
+    reader = spark.read.option("sep", sep).option("header", columns is None and schema is None)
+    df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", "true").csv(path)
     if columns:
         df = df.toDF(*columns)
     if fill is not None:
@@ -119,10 +129,11 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";@", columns: Seq
     return df
 
 
-def read_features(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
-    """SR9: XML features; ``row_tag`` is the local element name (namespaces ignored)."""
-    return (spark.read.format("xml").option("rowTag", row_tag.split(":")[-1])
-                 .option("ignoreNamespace", "true").load(path))
+def read_features(spark: SparkSession, path: str, row_tag: str, schema: StructType | str | None = None) -> DataFrame:
+    """SR9: XML features; ``row_tag`` is the local element name (namespaces ignored).
+    With ``schema`` the files are read once; without, it is inferred by a second read."""
+    reader = (spark.read.format("xml").option("rowTag", row_tag.split(":")[-1]).option("ignoreNamespace", "true"))
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def rename_columns(df: DataFrame, names: Sequence[str] | None = None, prefix: str | None = None) -> DataFrame:

@@ -1,9 +1,11 @@
 """Sinks and table maintenance (SK1-SK3, SK5, SK6, SK9, SK10).
 
-Without a transactional table format, updates are written as a new version
-folder (never overwriting a path that is being read) and readers follow the
-newest complete version; ``upsert``/``delete_matching`` return the new table
-content as a DataFrame so the caller picks the write.
+Long tables are partitioned by day and updated by day: ``replace_days`` (Spark's
+dynamic partition overwrite) rewrites only the days that the new rows touch, the
+other days' files stay as they are. Small tables without a day are written as a
+new version folder and readers follow the newest complete version;
+``upsert``/``delete_matching`` return the new table content as a DataFrame so the
+caller picks the write.
 """
 
 from __future__ import annotations
@@ -148,14 +150,61 @@ def write_clustered(df: DataFrame, path: str, ts: str, cluster_by: Sequence[str]
     partitioned by day for partition pruning, and within each day range-
     partitioned and sorted by (cluster keys, time) so parquet row-group
     statistics let tag / asset / time filters skip data."""
-    day = F.to_date(F.timestamp_seconds(F.col(ts))) if dict(df.dtypes)[ts] in ("bigint", "int") \
-        else F.to_date(F.col(ts))
-    d = df.withColumn(day_col, day)
+    d = df.withColumn(day_col, day_of(ts, df))
     n = files_per_day or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = d.repartitionByRange(n, day_col, *cluster_by, ts).sortWithinPartitions(day_col, *cluster_by, ts)
     d.write.mode(mode).partitionBy(day_col).parquet(path)
 
 
+def day_of(ts: str, df: DataFrame):
+    """Day of an epoch-seconds or timestamp column."""
+    numeric = dict(df.dtypes)[ts] in ("bigint", "int")
+    return F.to_date(F.timestamp_seconds(F.col(ts))) if numeric else F.to_date(F.col(ts))
+
+
+def replace_days(df: DataFrame, path: str, ts: str, day_col: str = "day") -> None:
+    """Rows of whole days written in place of those days' partitions of a
+    day-partitioned table; days that ``df`` does not hold are not touched. Spark
+    stages the new files and swaps them in when all tasks are done."""
+    d = df.withColumn(day_col, day_of(ts, df))
+    (d.repartition(day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+      .partitionBy(day_col).parquet(path))
+
+
+def _touched(spark: SparkSession, path: str, source: DataFrame, ts: str, day_col: str) -> DataFrame:
+    """The table's rows of the days that ``source`` holds (partition-pruned)."""
+    days = source.select(day_of(ts, source).alias(day_col)).distinct()
+    return spark.read.parquet(path).join(days, day_col, "left_semi").drop(day_col)
+
+
+def upsert_days(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], ts: str,
+                set_cols: Sequence[str] | None = None, day_col: str = "day") -> None:
+    """SK5/SK7/GO6 on a day-partitioned table: ``upsert`` of the touched days only.
+    ``keys`` must fix the day (hold ``ts`` or a bucket of it)."""
+    merged = upsert(_touched(spark, path, source, ts, day_col), source, keys, set_cols)
+    replace_days(merged, path, ts, day_col)
+
+
+def refresh_days(spark: SparkSession, path: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame],
+                 ts: str, day_col: str = "day") -> None:
+    """GO7 and the like: ``merge(old rows of the touched days, source)`` replaces
+    those days, e.g. with ``resample.refresh_gold``."""
+    replace_days(merge(_touched(spark, path, source, ts, day_col), source), path, ts, day_col)
+
+
+def drop_days_before(spark: SparkSession, path: str, cutoff_day: str, day_col: str = "day") -> list[str]:
+    """PB7/SK6 on a day-partitioned table: remove whole days before ``cutoff_day``
+    (``YYYY-MM-DD``); nothing is rewritten. Returns the removed days."""
+    fs, p = _fs(spark, path)
+    gone = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{day_col}=") and name.split("=", 1)[1] < cutoff_day:
+            fs.delete(st.getPath(), True)
+            gone.append(name.split("=", 1)[1])
+    return sorted(gone)
+
+
 def retain_version(spark: SparkSession, base: str, ts: str, cutoff, partition_by: Sequence[str] = ()) -> str | None:
     """PB7 on a versioned table: the latest version's rows at or after ``cutoff``
     become a new version (the old one is never overwritten while it may be read)."""

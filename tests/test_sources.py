@@ -156,3 +156,42 @@ def test_write_clustered_timestamp_column(spark, tmp):
     sinks.write_clustered(df, p, "ts", ["tag"], files_per_day=2)
     days = sorted(r.day.isoformat() for r in spark.read.parquet(p).select("day").distinct().collect())
     assert days == ["2024-01-01", "2024-01-02"]
+
+
+def _files(path):
+    import os
+    return {d: sorted(f for f in os.listdir(os.path.join(path, d)) if f.startswith("part")) for d in sorted(os.listdir(path)) if d.startswith("day=")}
+
+
+def test_updates_rewrite_only_the_touched_days(spark, tmp):
+    import os
+    path = os.path.join(tmp, "gold")
+    rows = [(a, t, float(a + t)) for t in (0, 86400, 2 * 86400) for a in (1, 2)]
+    sinks.replace_days(spark.createDataFrame(rows, "asset int, t long, v double"), path, "t")
+    before = _files(path)
+    new = spark.createDataFrame([(1, 86400, -1.0), (3, 86400, -3.0)], "asset int, t long, v double")
+    sinks.upsert_days(spark, path, new, ["asset", "t"], "t")
+    after = _files(path)
+    assert [d for d in before if before[d] != after[d]] == ["day=1970-01-02"]
+    got = sorted((r.asset, r.t, r.v) for r in spark.read.parquet(path).collect())
+    assert got == sorted([r for r in rows if r[:2] != (1, 86400)] + [(1, 86400, -1.0), (3, 86400, -3.0)])
+    sinks.refresh_days(spark, path, new, lambda old, s: s, "t")
+    assert spark.read.parquet(path).count() == 6
+    assert sinks.drop_days_before(spark, path, "1970-01-02") == ["1970-01-01"]
+    assert list(_files(path)) == ["day=1970-01-02", "day=1970-01-03"]
+
+
+def test_landing_errors(spark):
+    rows = [("m", '[{"displayName": "T", "value": {"value": 1.0}}]'), ("m", "no json"), ("m", None)]
+    df = spark.createDataFrame(rows, "source_module string, body string")
+    assert files.landing_to_bronze(df).count() == 1
+    assert sorted(str(r.body) for r in files.landing_errors(df).collect()) == ["None", "no json"]
+
+
+def test_read_delimited_with_schema_reads_once(spark, tmp):
+    import os
+    p = os.path.join(tmp, "x.csv")
+    with open(p, "w") as f:
+        f.write("1;@5;@\n2;@;@7\n")
+    df = files.read_delimited(spark, p, schema="a int, b int, c int")
+    assert sorted(map(tuple, df.collect())) == [(1, 5, 0), (2, 0, 7)]
