@@ -37,7 +37,7 @@ def spread(spark: SparkSession, units: float, per_task: float) -> int:
 
 
 def block_ranks(rows: DataFrame, group: list[str], band: Column, order: list[Column], salt: Column,
-                rank: str, rows_per_block: int = 50_000) -> DataFrame:
+                rank: str, rows_per_block: int = 1000) -> DataFrame:
     """``rows`` with ``rank`` = position (from 1, long) inside ``group``, ordered by
     (band, block, *order*).
 

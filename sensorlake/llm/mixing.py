@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import block_ranks, word_count
+from sensorlake.llm.common import block_ranks, cut_lineage, word_count
 
 CYCLE = (3, 1, 2)
 
@@ -42,7 +42,7 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE, share: floa
 
 
 def mix(docs: DataFrame, seed: int = 42, cycle: tuple[int, ...] = CYCLE, share: float = 1.5,
-        max_repeat: float = 2.0, rows_per_block: int = 50_000) -> DataFrame:
+        max_repeat: float = 2.0, rows_per_block: int = 1000) -> DataFrame:
     """doc_id, size, source, source_size, target, copies, taken: how often the mix takes each document.
 
     A document's expected copies are its source's target over the source's size. Inside a source the
@@ -55,7 +55,8 @@ def mix(docs: DataFrame, seed: int = 42, cycle: tuple[int, ...] = CYCLE, share:
     Equal doc_ids stay separate rows. Sources without words: target 0, taken 0. Empty input: no rows.
     Only doc_id, text and source are read, so further columns cannot clash.
     """
-    sized = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    sized = cut_lineage(docs.select(  # texts are read once; their sizes serve every later step
+        F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
     targets = source_targets(sized, cycle, share, max_repeat)
     digits = F.length(F.col("size").cast("string"))
     band = F.when(digits <= 3, F.col("size")).otherwise(
@@ -101,7 +102,7 @@ banded AS (
   SELECT *, CASE WHEN length(size::VARCHAR) <= 3 THEN size
                  ELSE size - size % (10 ** (length(size::VARCHAR) - 3))::BIGINT END AS band FROM sized),
 blocked AS (
-  SELECT *, coalesce(doc_id, 0) % ceil(count(*) OVER (PARTITION BY source, band) / 50000.0)::BIGINT AS block FROM banded),
+  SELECT *, coalesce(doc_id, 0) % ceil(count(*) OVER (PARTITION BY source, band) / 1000.0)::BIGINT AS block FROM banded),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY band, block, size, doc_id NULLS FIRST) AS r FROM blocked),
 joined AS (
