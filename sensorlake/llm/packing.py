@@ -129,7 +129,7 @@ def pack(docs: DataFrame, tokenizer_file: str, max_tokens: int = 1024, max_docs:
     plan, _ = fit_plan({int(r["length"]): int(r["n"]) for r in counted}, max_tokens, max_docs or max_tokens,
                        max_cost or max_tokens * max_tokens, weights, rule)
     ranked = block_ranks(pieces, ["length"], F.lit(0).cast("long"), [F.col("doc_id"), F.col("piece")],
-                         F.abs(F.xxhash64("doc_id", "piece") % 1_000_003), "_rank", 100_000)
+                         F.abs(F.xxhash64("doc_id", "piece") % 1_000_003), "_rank")
     order = np.lexsort((plan[:, 1], plan[:, 0]))
     plan = plan[order]
     span = int(plan[:, 1].max(initial=0) + plan[:, 2].max(initial=0)) + 1
