@@ -881,14 +881,11 @@ HAVING max(epoch) - min(epoch) >= {DAY} OR max(epoch) = {RUN_END} OR min(epoch)
 @register("ru5_hundred_averages", HUNDRED_AVG_SQL)
 def ru5_hundred_averages(spark: SparkSession, sf: str) -> DataFrame:
     """RU5/RU10: 100 average rules that differ in their threshold: one sliding mean for all of them."""
-    from .catalog import _conditions, _run_window
+    from .catalog import SPEC_COLS, _conditions, _run_window
     from .plans import rules as ru
     r = readings(spark, sf)
-    spec = spark.range(1, 101).select(
-        F.col("id").cast("int").alias("rule_id"), F.lit(1).alias("condition_id"), F.lit("click").alias("parameter"),
-        F.lit("avg").alias("function"), F.lit(">").alias("operator"), (F.col("id") / 2).alias("threshold"),
-        F.lit(DAY).cast("long").alias("duration"), F.lit(43200).cast("long").alias("data_frequency"), F.lit("or").alias("join_condition"))
-    return ru.evaluate(r, _run_window(_conditions(spark, spec), r))
+    spec = [(i, 1, "click", "avg", ">", i / 2, DAY, 43200, "or") for i in range(1, 101)]
+    return ru.evaluate(r, _run_window(_conditions(spark, spec, SPEC_COLS), r))
 
 
 # ---------------------------------------------------------------- further green rows
