@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.tokens import groups, join_bytes, span_hashes
+from sensorlake.llm.tokens import Known, groups, join_bytes, span_hashes
 
 SPACE = "▁"
 
@@ -29,7 +29,7 @@ class Transducer:
     vocabulary counts as its UTF-8 bytes and merges with nothing.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 1_500_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -45,7 +45,7 @@ class Transducer:
         self.states: list[tuple] = [("", (None,), (0,))]
         self.number = {self.states[0]: 0}
         self.moves: dict[tuple[int, str], tuple[int, int]] = {}
-        self.keep, self.counts, self.older = keep, {}, {}
+        self.keep, self.known = keep, Known()  # counts of whole segments met before
 
     def merge(self, text: str) -> list[str]:
         """Merges of a short text: best piece first, leftmost on ties."""
@@ -99,21 +99,20 @@ class Transducer:
             total += n
         return total
 
-    def counts_of(self, segments: list[bytes]) -> np.ndarray:
-        """Tokens of each segment (UTF-8, spaces as 0x20); counts are kept for later batches."""
-        if len(self.counts) > self.keep:
-            self.older, self.counts = self.counts, {}
-        found = list(map(self.counts.get, segments))
-        for i, n in enumerate(found):
-            if n is None:
-                s = segments[i]
-                n = self.older.get(s)
-                if n is None:
-                    n = self.run(s.decode().replace(" ", SPACE))
-                if len(s) <= 64:
-                    self.counts[s] = n
-                found[i] = n
-        return np.array(found, dtype=np.int64)
+    def counts_of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of each segment of ``data`` (UTF-8, spaces as 0x20); a segment met before is not run again."""
+        if not len(starts):
+            return np.zeros(0, dtype=np.int64)
+        if len(self.known.hash) > self.keep:
+            self.known = Known()
+        hashes, at, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        count = self.known.find(hashes)
+        new = np.flatnonzero(count < 0)
+        a, b = starts[at[new]], ends[at[new]]
+        raw = data.tobytes()
+        count[new] = [self.run(raw[x:y].decode().replace(" ", SPACE)) for x, y in zip(a.tolist(), b.tolist())]
+        self.known.add(hashes[new], count[new])
+        return count[which]
 
     # chunk state maps ------------------------------------------------------------------------------
     def chunk_map(self, chunk: str) -> tuple[str, int | None, str]:
@@ -124,9 +123,8 @@ class Transducer:
         starts = np.flatnonzero((data[1:] == 32) & (data[:-1] != 32)) + 1
         if not len(starts):
             return chunk, None, ""
-        raw = data.tobytes()
-        inner = [raw[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
-        return raw[:starts[0]].decode(), int(self.counts_of(inner).sum()), raw[starts[-1]:].decode()
+        inner = int(self.counts_of(data, starts[:-1], starts[1:]).sum())
+        return data[:starts[0]].tobytes().decode(), inner, data[starts[-1]:].tobytes().decode()
 
     def compose(self, left: tuple[str, int | None, str], right: tuple[str, int | None, str]) -> tuple[str, int | None, str]:
         """State map of two chunks in a row (associative)."""
@@ -182,9 +180,7 @@ class Transducer:
             start[bounds[:-1]] = True
             starts = np.flatnonzero(start)
             ends = np.append(starts[1:], len(data))
-            _, at, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-            raw = data.tobytes()
-            n = self.counts_of([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])[which]
+            n = self.counts_of(data, starts, ends)
             out[short] = np.add.reduceat(n, np.searchsorted(starts, bounds[:-1]))
         return out
 
