@@ -110,12 +110,6 @@ def array_average(df: DataFrame, keys: Sequence[str], data: str, out: str = "dat
     return lst.select(*keys, F.transform("_l", lambda x: x["_a"]).alias(out))
 
 
-def distinct_list(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """AG12: sorted distinct list per key (``collect_set`` keeps one copy per value
-    map-side, so the list is bounded by the value domain)."""
-    return df.groupBy(*keys).agg(F.sort_array(F.collect_set(value)).alias(out))
-
-
 def flatten_lists(df: DataFrame, keys: Sequence[str], lists: str, out: str) -> DataFrame:
     """AG12: flatten + distinct of per-row lists per key: elements are exploded
     first and gathered as a set (deduplicated map-side), so a hot key never

@@ -44,12 +44,13 @@ def predict_wide(df: DataFrame, coefficients: DataFrame, feature: str = "feature
 
 def expand_quadratic(df: DataFrame, keys: Sequence[str], feature: str, value: str) -> DataFrame:
     """ML2 (degree 2): add ``a*b`` features (a <= b by name) to a long feature table:
-    a self join on the row key, bounded by the number of features per row."""
-    a = df.select(*keys, F.col(feature).alias("_fa"), F.col(value).alias("_va"))
-    b = df.select(*keys, F.col(feature).alias("_fb"), F.col(value).alias("_vb"))
-    sq = (a.join(b, list(keys)).filter(F.col("_fa") <= F.col("_fb"))
-           .select(*keys, F.concat_ws("*", "_fa", "_fb").alias(feature), (F.col("_va") * F.col("_vb")).alias(value)))
-    return df.select(*keys, feature, value).unionByName(sq)
+    a row's features are gathered once (bounded by the model) and paired in place."""
+    rows = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(feature).alias("f"), F.col(value).alias("v")))).alias("_l"))
+    one = F.transform("_l", lambda a: F.struct(a["f"].alias(feature), a["v"].alias(value)))
+    two = F.flatten(F.transform("_l", lambda a: F.transform(
+        F.filter("_l", lambda b: b["f"] >= a["f"]),
+        lambda b: F.struct(F.concat_ws("*", a["f"], b["f"]).alias(feature), (a["v"] * b["v"]).alias(value)))))
+    return rows.select(*keys, F.inline(F.concat(one, two)))
 
 
 def bias(df: DataFrame, filtered: str = "filtered", predicted: str = "predicted", out: str = "prediction_bias") -> DataFrame:

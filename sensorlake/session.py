@@ -5,7 +5,11 @@ No join is hinted: Spark broadcasts a side by its measured size
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,19 +44,32 @@ def get_spark(master: str | None = None, app: str = "sensorlake",
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on (UTC) on a session we did not build."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    share_package(spark)
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's place, where they can see it and do not
+    have it otherwise (a local master started in another folder)."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared ``spark.checkpoint.dir``. Only a local master, where one
     machine is all there is, may leave it unset and gets a scratch folder; on a
     cluster that would be a folder per machine, so it is an error there."""
+    share_package(spark)
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
         if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:  # once per context
         spark.sparkContext.setCheckpointDir(path)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField, StructType)
 
+from ..operators.chunks import carry
+
 # Landing envelope and its JSON body (one reading per array element).
 LANDING_SCHEMA = StructType([StructField("source_module", StringType()), StructField("body", StringType())])
 BODY_SCHEMA = ArrayType(StructType([
@@ -86,16 +88,23 @@ def parse_block_text(lines: DataFrame, start_re: str, end_re: str, file_col: str
     """SR6: calibration text: rows between a start marker line and an end marker
     line are a block; block ids by a running count of start markers per file.
 
-    ``lines`` holds (file, line_no, value), e.g. from ``read_text_lines``. Each file
-    is ordered by its own line numbers, so files are processed in parallel.
+    ``lines`` holds (file, line_no, value), e.g. from ``read_text_lines``. Markers
+    are counted inside pieces of 10,000 lines and carried over a file's pieces
+    (a window over one row per piece), so a long file is not one task.
     Returns the lines inside blocks with ``block_id`` (1-based per file).
     """
-    w = Window.partitionBy(file_col).orderBy(line_no).rowsBetween(Window.unboundedPreceding, 0)
-    is_start = F.col(text).rlike(start_re).cast("int")
-    is_end = F.col(text).rlike(end_re).cast("int")
-    t = (lines.withColumn("_s", F.sum(is_start).over(w))
-              .withColumn("_e", F.sum(is_end).over(w))
-              .withColumn("_is_start", is_start == 1).withColumn("_is_end", is_end == 1))
+    piece = lines.withColumn("_chunk", F.floor(F.col(line_no) / 10_000).cast("long"))
+    piece = (piece.withColumn("_is_start", F.coalesce(F.col(text).rlike(start_re), F.lit(False)))
+                  .withColumn("_is_end", F.coalesce(F.col(text).rlike(end_re), F.lit(False))))
+    w = Window.partitionBy(file_col, "_chunk").orderBy(line_no).rowsBetween(Window.unboundedPreceding, 0)
+    marks = [("_s", "_is_start"), ("_e", "_is_end")]
+    t = piece.select("*", *[F.sum(F.col(m).cast("int")).over(w).alias(n) for n, m in marks])
+    sums = piece.groupBy(file_col, "_chunk").agg(*[F.sum(F.col(m).cast("int")).alias(n) for n, m in marks])
+    sums = carry(sums, [file_col], {f"{n}_before": F.sum(n) for n, _ in marks}).select(
+        F.col(file_col).alias("_file"), F.col("_chunk").alias("_piece"), "_s_before", "_e_before")
+    t = t.join(sums, F.col(file_col).eqNullSafe(F.col("_file")) & (F.col("_chunk") == F.col("_piece")), "inner")
+    for n, _ in marks:
+        t = t.withColumn(n, F.col(n) + F.coalesce(F.col(f"{n}_before"), F.lit(0)))
     # inside block k: k starts seen, fewer than k ends seen before this line
     inside = (F.col("_s") > 0) & ((F.col("_e") - F.col("_is_end").cast("int")) < F.col("_s")) \
         & ~F.col("_is_start") & ~F.col("_is_end")
