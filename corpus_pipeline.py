@@ -7,12 +7,15 @@ Parquet to the shared checkpoint folder and reads it back as the next one's docu
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake.llm import language, mixing, packing, simhash, suffix_dedup
 from sensorlake.llm.common import cut_lineage, documents
 from sensorlake.llm.tokens import tokenizer_path
+from sensorlake.session import share_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document whose largest language has less than this share of its n-grams is rejected, as is one
@@ -81,12 +84,21 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), MAX_TOKENS)
 
 
+def stage(function):
+    """A stage whose Python workers find this package."""
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        share_package(spark)
+        return function(spark, docs, sf_dir)
+    return run_stage
+
+
 STAGES = [
-    ("language_id", language_stage),
-    ("simhash_near_dedup", simhash_stage),
-    ("suffix_array_dedup", suffix_stage),
-    ("source_mixing", mixing_stage),
-    ("best_fit_packing", packing_stage),
+    ("language_id", stage(language_stage)),
+    ("simhash_near_dedup", stage(simhash_stage)),
+    ("suffix_array_dedup", stage(suffix_stage)),
+    ("source_mixing", stage(mixing_stage)),
+    ("best_fit_packing", stage(packing_stage)),
 ]
 
 #: Language mixtures, XXH64 fingerprints and token ids cannot be stated in SQL.
@@ -96,6 +108,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over the whole table of documents; the last stage's rows."""
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir))
+    for _, function in STAGES[:-1]:
+        docs = cut_lineage(function(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
