@@ -124,9 +124,15 @@ def copies(packed: DataFrame) -> DataFrame:
         digest, "chunk long, place int, doc_id long, digest binary")
     rows = cut_lineage(rows.filter("doc_id is not null"))
     least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    least = least.select(F.col("digest").alias("d"), "least")
-    return (rows.join(least, F.col("digest") == F.col("d")).filter("doc_id > least")
-            .groupBy("chunk").agg(F.collect_list("place").alias("copies")))
+    least = cut_lineage(least.select(F.col("digest").alias("d"), "least"))  # a plain side: Spark splits a hot digest
+    return cut_lineage(rows.join(least, F.col("digest") == F.col("d")).filter("doc_id > least")
+                       .groupBy("chunk").agg(F.collect_list("place").alias("copies")))
+
+
+def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
+    """Which of n places lie in a window of ``length`` that begins at one of ``starts``."""
+    change = np.bincount(starts, minlength=n + 1) - np.bincount(starts + length, minlength=n + 1)
+    return np.cumsum(change[:n]) > 0
 
 
 def message(bucket: int, chunk: int, keys: bytes, n: int, extra: bytes = b"", docs: bytes = b"", kind: int = 0) -> tuple:

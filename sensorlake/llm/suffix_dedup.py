@@ -18,22 +18,25 @@ MANY_ROWS = 512
 
 # deep-shallow sorting ------------------------------------------------------------------------------
 def big_endian_words(data: np.ndarray) -> np.ndarray:
-    """Eight bytes from every place, as integers that compare like the bytes; zeros past the end."""
-    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
-    out = np.zeros(len(data), dtype=np.uint64)
-    for j in range(8):
-        out |= padded[j:j + len(data)].astype(np.uint64) << np.uint64(56 - 8 * j)
+    """Eight bytes from every place, as integers that compare like the bytes; zeros past the end.
+    There are eight more places than bytes, so that a suffix's last word has one."""
+    padded = np.concatenate([data, np.zeros(16, dtype=np.uint8)])
+    n = len(data) + 8
+    out = padded[:n].astype(np.uint64)
+    for j in range(1, 8):
+        out <<= np.uint64(8)
+        out |= padded[j:j + n]
     return out
 
 
 def _masked(words: np.ndarray, at: np.ndarray, depth: int, length: int) -> np.ndarray:
     """Next eight bytes of each suffix from ``depth``, bytes past ``length`` as zero."""
-    w = words[np.minimum(at + depth, len(words) - 1)]
+    w = words[at + depth]
     over = depth + 8 - length
     return w if over <= 0 else w & np.uint64(~((1 << 8 * over) - 1) & (2 ** 64 - 1))
 
 
-def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int, shallow: int = 24) -> tuple[np.ndarray, np.ndarray]:
+def deep_shallow(data: np.ndarray, starts: np.ndarray, length: int, shallow: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """(order, group): the suffixes at ``starts`` in order of their first ``length`` bytes, and for each
     place of the order the number of its run of equal ones. Every suffix has ``length`` bytes.
 
@@ -153,13 +156,13 @@ class Anchors:
         if span < width:
             low = np.minimum(low[:len(low) - (width - span)], low[width - span:])
         self.anchor = low[self.at]
-        text = np.searchsorted(t.ends, self.at, side="right")
         new = np.ones(len(self.at), dtype=bool)
-        new[1:] = (self.anchor[1:] != self.anchor[:-1]) | (text[1:] != text[:-1])
-        self.begin = np.flatnonzero(new)  # runs of windows with one anchor
+        new[1:] = self.anchor[1:] != self.anchor[:-1]
+        new[np.searchsorted(self.at, t.starts[takes])] = True
+        self.begin = np.flatnonzero(new)  # runs of windows of one text with one anchor
         self.end = np.append(self.begin[1:], len(self.at))
         self.anchor = mix64(self.anchor[self.begin])
-        self.rank = t.rank[text[self.begin]]
+        self.rank = t.rank[np.searchsorted(t.ends, self.at[self.begin], side="right")]
 
     def keys(self) -> Keys:
         return Keys(self.anchor, self.rank)
@@ -209,19 +212,19 @@ class Regions:
 
     def removed(self, replies: dict[int, bytes]) -> np.ndarray:
         """Starts of the windows that also start in a smaller doc_id."""
-        out = []
-        earlier: dict[int, np.ndarray] = {}
+        if not len(self.at):
+            return np.zeros(0, dtype=np.int64)
+        place, flat, n = np.zeros(len(self.at), dtype=np.int64), [], 0
         for b, which in self.by_bucket.items():
-            n = self.count[which]
-            bits = np.unpackbits(np.frombuffer(replies[b], np.uint8))[:int(n.sum())].astype(bool)
-            for i, s, e in zip(which.tolist(), (np.cumsum(n) - n).tolist(), np.cumsum(n).tolist()):
-                earlier[i] = bits[s:e]
-        for i, (a, of, n) in enumerate(zip(self.at.tolist(), self.of.tolist(), self.count.tolist())):
-            if self.rank[i] > self.rank[of]:
-                out.append(np.arange(a, a + n))
-            else:
-                out.append(a + np.flatnonzero(earlier[of]))
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+            size = self.count[which]
+            place[which] = n + np.cumsum(size) - size
+            n += int(size.sum())
+            flat.append(np.unpackbits(np.frombuffer(replies[b], np.uint8))[:int(size.sum())])
+        earlier = np.concatenate(flat).astype(bool)
+        later = self.rank > self.rank[self.of]  # repeats a region of a smaller doc_id in this row
+        inside = np.arange(int(self.count.sum())) - np.repeat(np.cumsum(self.count) - self.count, self.count)
+        gone = np.repeat(later, self.count) | earlier[np.repeat(place[self.of], self.count) + inside]
+        return (np.repeat(self.at, self.count) + inside)[gone]
 
 
 def sorter(length: int, shallow: int):
@@ -255,7 +258,7 @@ def sorter(length: int, shallow: int):
     return answer
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, shallow: int = 24, many_rows: int = MANY_ROWS,
+def remove_repeats(docs: DataFrame, length: int = 50, shallow: int = 16, many_rows: int = MANY_ROWS,
                    with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text, and ``carry`` as strings) of every row.
 
@@ -289,10 +292,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, shallow: int = 24, many_ro
         keys = own.keys()
         every = packets.unpack_two(kept, len(keys.key))
         gone = Regions(own, keys.of(own.anchor, every), buckets).removed(replies)
-        change = np.zeros(len(t.data) + 1, dtype=np.int64)
-        np.add.at(change, gone, 1)
-        np.add.at(change, gone + length, -1)
-        removed = np.cumsum(change[:-1]) > 0
+        removed = packets.covered(gone, length, len(t.data))
         for i in dup:
             if t.ends[i] - t.starts[i] >= length:
                 removed[t.starts[i]:t.ends[i]] = True
