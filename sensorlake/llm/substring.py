@@ -41,9 +41,9 @@ class Words:
         last = t.ends[t.ends > 0] - 1
         end[last] |= word[last]
         self.starts, self.ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-        self.text = np.searchsorted(t.ends, self.starts, side="right")
-        self.n = np.bincount(self.text, minlength=len(t.ends))
-        self.upto = np.cumsum(self.n)
+        self.upto = np.searchsorted(self.starts, t.ends)
+        self.n = np.diff(self.upto, prepend=0)
+        self.text = np.repeat(np.arange(len(t.ends)), self.n)
         part = t.rank >= 0
         part[skip] = False
         self.takes_part = part[self.text]
@@ -196,10 +196,7 @@ def _remover(n: int, buckets: int, with_text: bool):
             s, e = cuts[b], cuts[b + 1]
             earlier[s:e] = np.unpackbits(np.frombuffer(bits, np.uint8))[:e - s].astype(bool)
         gone = at[earlier[exact.key_of] | (words.rank[at] > exact.rank[exact.key_of])]
-        change = np.zeros(len(words.starts) + 1, dtype=np.int64)
-        np.add.at(change, gone, 1)
-        np.add.at(change, gone + n, -1)
-        removed = np.cumsum(change[:-1]) > 0
+        removed = packets.covered(gone, n, len(words.starts))
         if dup:
             whole = np.zeros(len(t.ends), dtype=bool)
             whole[dup] = True
