@@ -24,12 +24,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = star.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             star.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"))
-        low = low.select(F.col("u").alias("w"), F.least("m", "u").alias("m"))
+        low = cut_lineage(low.select(F.col("u").alias("w"), F.least("m", "u").alias("m")))  # a plain side: Spark splits a hub
         large = both.join(low, F.col("u") == F.col("w")).filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         # the node itself keeps its link to the smallest
         large = large.unionByName(low.filter("w > m").select(F.col("w").alias("a"), F.col("m").alias("b"))).distinct()
         large = cut_lineage(large)
-        low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("w"), "m")
+        low = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("w"), "m"))
         small = large.join(low, F.col("a") == F.col("w"))
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             low.select(F.col("w").alias("a"), F.col("m").alias("b"))).filter("a > b").distinct()
