@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorlake.llm.common import cut_lineage
+
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 ASCII_LETTER = re.compile("[A-Za-z]")
@@ -45,7 +47,7 @@ def train(docs: DataFrame, per_language: int = 2000) -> tuple[list[str], np.ndar
     """
     usable = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("l"), "n")
+    sizes = cut_lineage(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("l"), "n"))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sample = usable.join(sizes, F.col("lang") == F.col("l")).filter(share * F.col("n") < F.lit(float(per_language)))
 
