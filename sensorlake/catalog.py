@@ -142,9 +142,10 @@ WHERE end_time - start_time >= dur OR start_time = lo OR end_time = hi
 
 
 def _run_window(c: DataFrame, r: DataFrame) -> DataFrame:
-    """The data's own run window on every condition, as scalar subqueries (no job of their own)."""
-    lo, hi = r.select(F.min("epoch")).scalar(), r.select(F.max("epoch")).scalar()
-    return c.withColumn("start_time", lo - F.pmod(lo, F.lit(DAY))).withColumn("end_time", hi)
+    """The data's own run window on every condition, as one scalar subquery (no job of its own)."""
+    span = r.select(F.struct(F.min("epoch").alias("lo"), F.max("epoch").alias("hi"))).scalar()
+    return (c.withColumn("_span", span).withColumn("start_time", F.col("_span.lo") - F.pmod(F.col("_span.lo"), F.lit(DAY)))
+             .withColumn("end_time", F.col("_span.hi")).drop("_span"))
 
 
 @register("ru4_threshold_islands", RU4_SQL)
