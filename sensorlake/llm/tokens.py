@@ -36,17 +36,20 @@ BYTE_VALUES = _RANDOM.integers(1, 2 ** 63, 256, dtype=np.uint64) | np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
 
 
-@lru_cache(maxsize=1)
+_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE ** i and BASE ** -i modulo 2 ** 64 for i < n."""
-    def run(base: int) -> np.ndarray:
-        out = np.ones(n, dtype=np.uint64)
-        done, step = 1, base
-        while done < n:
-            out[done:2 * done] = out[:min(done, n - done)] * np.uint64(step)
-            done, step = 2 * done, step * step % 2 ** 64
-        return out
-    return run(BASE), run(pow(BASE, -1, 2 ** 64))
+    """BASE ** i and BASE ** -i modulo 2 ** 64 for i < n; the longest tables asked for are kept."""
+    if len(_POWERS[0]) < n:
+        for which, base in enumerate((BASE, pow(BASE, -1, 2 ** 64))):
+            out = np.ones(n, dtype=np.uint64)
+            done, step = 1, base
+            while done < n:
+                out[done:2 * done] = out[:min(done, n - done)] * np.uint64(step)
+                done, step = 2 * done, step * step % 2 ** 64
+            _POWERS[which] = out
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
