@@ -47,6 +47,7 @@ def main() -> None:
     r = spark.read.parquet(path)
     runs = {
         "islands": lambda: isl.islands(r.filter(F.col("value") > 55), ["asset_id"], "epoch", 1),
+        "islands, 12-hour limit": lambda: isl.islands(r.filter(F.col("value") > 55), ["asset_id"], "epoch", 43_199),
         "forward_average": lambda: wn.forward_average(r, ["asset_id"], "epoch", "value", 600),
         "trailing_zscore_blocks": lambda: wn.trailing_zscore(r, ["asset_id"], "epoch", "value", 3600),
         "trailing_zscore_running": lambda: wn.trailing_zscore(r, ["asset_id"], "epoch", "value", 3600,
