@@ -85,7 +85,7 @@ def pack_texts(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame,
      .withColumn("chunk", F.monotonically_increasing_id())
      .write.bucketBy(buckets, "chunk").format("parquet").option("compression", "zstd")
      .option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
-    return spark.table(name), 1 << max(0, (spread(spark, size, 8 << 20) - 1).bit_length())
+    return spark.table(name), 1 << max(0, (spread(spark, size, 4 << 20) - 1).bit_length())
 
 
 class Texts:
