@@ -18,9 +18,6 @@ from sensorlake.llm.tokens import tokenizer_path
 from sensorlake.session import share_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A document whose largest language has less than this share of its n-grams is rejected, as is one
-#: without letters.
-MIN_SHARE = 0.4
 SHINGLE, MAX_BITS = 4, 4
 MATCH_BYTES = 50
 MAX_TOKENS = 1024
@@ -29,15 +26,15 @@ MAX_TOKENS = 1024
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; ``lang`` becomes the predicted one.
 
-    Learned from the stage's own labelled documents. Rejected: text null or without letters, and text
-    where no language reaches ``MIN_SHARE``. With no labelled document at all nothing can be predicted
-    or judged, and all documents with letters stay as they are.
+    Learned from the stage's own labelled documents. Rejected: text null or without letters. A text of
+    several languages stays, whatever their shares; its ``lang`` is the one with the largest. With no
+    labelled document at all nothing can be predicted, and all documents with letters stay as they are.
     """
     model = language.train(docs)
     if not model[0]:
         return docs.filter(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     kept = language.identify(docs, model, keep_columns=COLUMNS)
-    kept = kept.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SHARE))
+    kept = kept.filter(F.col("lang_pred") != language.UNKNOWN)
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

@@ -4,7 +4,7 @@ import llm_plain as brute
 from llm_plain import ODD
 
 import corpus_pipeline as pipeline
-from sensorlake.llm import mixing
+from sensorlake.llm import language, mixing
 from sensorlake.llm.common import cut_lineage
 
 SF = "/root/testdata/sf0.001"
@@ -75,6 +75,23 @@ def test_stages_on_odd_rows(spark, odd_docs):
     assert len(ODD) > 10
 
 
+def test_language_stage_keeps_even_mixtures(spark):
+    """Clean documents of three and four languages in about equal parts stay, though no share reaches 0.4."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*COLUMNS)
+    one = {}
+    for r in docs.filter("n_chars between 1500 and 2000").orderBy("doc_id").collect():
+        one.setdefault(r["lang"], r["text"][:1500])
+    de, en, es, fr = (one[k] for k in ("de", "en", "es", "fr"))
+    given = [(-1, "\n".join((de, es, fr)), "de", "a"), (-2, "\n".join((de, en, es, fr)), "de", "a"), (-3, "12 34 --", "de", "a")]
+    mixed = spark.createDataFrame([(*r, len(r[1])) for r in given], docs.schema)
+    table = language.odds_table((model := language.train(docs.unionByName(mixed)))[1])
+    for _, text, *_ in given[:2]:
+        assert 3 <= len(found := language.infer(text, model[0], table)) and found[0][1] < 0.4
+    kept = dict(pipeline.STAGES)["language_id"](spark, docs.unionByName(mixed), SF).filter("doc_id < 0").collect()
+    assert {r["doc_id"]: r["text"] for r in kept} == {i: t for i, t, *_ in given[:2]}
+    assert all(r["lang"] in ("de", "en", "es", "fr") for r in kept)
+
+
 def test_stages_on_no_rows(spark, no_docs):
     for _, stage in pipeline.STAGES:
         assert stage(spark, no_docs.select(*COLUMNS), SF).count() == 0
