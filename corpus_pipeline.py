@@ -41,15 +41,25 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one that names the component.
 
-    Rows that repeat its doc_id and text stay once. Rows without a doc_id cannot be named and stay,
-    each text once.
+    Rows that repeat its doc_id and text stay once. Rows without a doc_id are grouped among themselves
+    and one of each group stays; they neither link nor remove rows that have one, nor are removed by them.
     """
     found = simhash.near_duplicates(docs.filter(F.col("doc_id").isNotNull()), SHINGLE, MAX_BITS)
     named = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept"))
     kept = docs.join(named, F.col("doc_id") == F.col("_kept"), "left_semi").select(*COLUMNS)
     if found.groupBy("doc_id").count().filter("count > 1").limit(1).count():
         kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()).select(*COLUMNS).dropDuplicates(["text"]))
+    unnamed = docs.filter(F.col("doc_id").isNull()).select(*COLUMNS)
+    return kept.unionByName(one_of_each(unnamed)) if unnamed.limit(1).count() else kept
+
+
+def one_of_each(unnamed: DataFrame) -> DataFrame:
+    """One row of each near-duplicate group of rows without a doc_id, which their texts' digests name."""
+    single = unnamed.withColumn("_name", F.sha2(F.coalesce("text", F.lit("")), 256)).dropDuplicates(["_name"])
+    single = cut_lineage(single)
+    found = simhash.near_duplicates(single.select(F.col("_name").alias("doc_id"), "text"), SHINGLE, MAX_BITS)
+    named = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept"))
+    return single.join(named, F.col("_name") == F.col("_kept"), "left_semi").select(*COLUMNS)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

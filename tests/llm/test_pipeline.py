@@ -92,6 +92,21 @@ def test_language_stage_keeps_even_mixtures(spark):
     assert all(r["lang"] in ("de", "en", "es", "fr") for r in kept)
 
 
+def test_simhash_stage_groups_rows_without_id(spark, make_docs):
+    """Near copies without a doc_id leave one row; what is far from them stays."""
+    base = [f"word{i}" for i in range(3000)]
+    near = [" ".join(w if i != at else "other" for i, w in enumerate(base)) for at in (3, 250, 400)]
+    prints = [brute.simhash(t) for t in near]
+    assert all((prints[0] ^ p).bit_count() <= 4 for p in prints) and len(set(near)) == 3
+    far = " ".join(f"else{i}" for i in range(300))
+    assert (brute.simhash(far) ^ prints[0]).bit_count() > 4
+    given = [(None, t) for t in (*near, near[0], far, far)] + [(5, "a b c"), (None, None), (None, "")]
+    got = rows(dict(pipeline.STAGES)["simhash_near_dedup"](spark, make_docs(given), SF))
+    assert [i for i, _ in got].count(5) == 1 and len(got) == 4
+    texts = [t for i, t in got if i is None]
+    assert texts.count(far) == 1 and sum(t in near for t in texts) == 1 and sum(not t for t in texts) == 1
+
+
 def test_stages_on_no_rows(spark, no_docs):
     for _, stage in pipeline.STAGES:
         assert stage(spark, no_docs.select(*COLUMNS), SF).count() == 0
