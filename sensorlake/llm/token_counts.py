@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -87,17 +87,25 @@ class Transducer:
         self.moves[state, char] = to, emitted
         return to, emitted
 
-    def run(self, segment: str) -> int:
-        """Tokens of one whole segment, from the first state."""
-        if len(self.states) > 1_000_000:  # compiled again when met again
-            del self.states[1:]
-            self.number, self.moves, self.tolerated = {self.states[0]: 0}, {}, {}
-        state, total = 0, 0
+    def follow(self, state: int, text: str) -> tuple[int, int]:
+        """(exit state, emitted count) of a text from a state."""
+        total = 0
         moves = self.moves
-        for char in segment:
+        for char in text:
             state, n = moves.get((state, char)) or self.move(state, char)
             total += n
-        return total
+        return state, total
+
+    def forget(self) -> None:
+        """Drop the compiled states when there are many; they are compiled again when met again."""
+        if len(self.states) > 250_000:
+            del self.states[1:]
+            self.number, self.moves, self.tolerated = {self.states[0]: 0}, {}, {}
+
+    def run(self, segment: str) -> int:
+        """Tokens of one whole segment, from the first state."""
+        self.forget()
+        return self.follow(0, segment)[1]
 
     def counts_of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each segment of ``data`` (UTF-8, spaces as 0x20); a segment met before is not run again."""
@@ -115,54 +123,41 @@ class Transducer:
         return count[which]
 
     # chunk state maps ------------------------------------------------------------------------------
-    def chunk_map(self, chunk: str) -> tuple[str, int | None, str]:
-        """A chunk's state map: text that continues the entry state's segment, tokens of the segments
-        that begin and end inside, and the open segment at its end. None: no segment begins inside, so
-        the exit state is the entry state moved on by the text."""
+    def move_on(self, text: str, entry: tuple) -> tuple[tuple, int]:
+        """(exit state, emitted count) of a segment's part from a state, both as what a state stands for."""
+        self.forget()
+        state = self.number.get(entry)
+        if state is None:  # forgotten since
+            state = self.number[entry] = len(self.states)
+            self.states.append(entry)
+        state, total = self.follow(state, text.replace(" ", SPACE))
+        return self.states[state], total
+
+    def chunk_map(self, chunk: str, entry: tuple) -> tuple[tuple, int]:
+        """A chunk's state map at one entry state: exit state and emitted count.
+
+        What comes before the first segment's start inside moves the entry state on, segments that begin
+        and end inside are counted whole, and the last one, from the first state, gives the exit state.
+        With no start inside, the whole chunk moves the entry state on."""
         data = np.frombuffer(chunk.encode("utf-8", "replace"), dtype=np.uint8)
         starts = np.flatnonzero((data[1:] == 32) & (data[:-1] != 32)) + 1
         if not len(starts):
-            return chunk, None, ""
+            return self.move_on(chunk, entry)
+        _, head = self.move_on(data[:starts[0]].tobytes().decode(), entry)
         inner = int(self.counts_of(data, starts[:-1], starts[1:]).sum())
-        return data[:starts[0]].tobytes().decode(), inner, data[starts[-1]:].tobytes().decode()
-
-    def compose(self, left: tuple[str, int | None, str], right: tuple[str, int | None, str]) -> tuple[str, int | None, str]:
-        """State map of two chunks in a row (associative)."""
-        if left[1] is None and right[1] is None:
-            joined = left[0] + right[0]
-            if left[0][-1:] != " " and right[0][:1] == " " and left[0]:
-                return left[0], 0, right[0]
-            return joined, None, ""
-        if left[1] is None:
-            if left[0] and left[0][-1:] != " " and right[0][:1] == " ":
-                return left[0], self.run(right[0].replace(" ", SPACE)) + right[1], right[2]
-            return left[0] + right[0], right[1], right[2]
-        tail = left[2]
-        apart = tail[-1:] != " " and right[0][:1] == " "
-        if right[1] is None:
-            if apart:
-                return left[0], left[1] + self.run(tail.replace(" ", SPACE)), right[0]
-            return left[0], left[1], tail + right[0]
-        middle = [tail, right[0]] if apart else [tail + right[0]]
-        return left[0], left[1] + sum(self.run(m.replace(" ", SPACE)) for m in middle) + right[1], right[2]
-
-    def scan(self, maps: list[tuple[str, int | None, str]]) -> list[tuple[str, int | None, str]]:
-        """Inclusive prefix compositions, log2(n) rounds of independent compositions."""
-        step = 1
-        while step < len(maps):
-            maps = [self.compose(maps[i - step], m) if i >= step else m for i, m in enumerate(maps)]
-            step *= 2
-        return maps
-
-    def closed(self, state_map: tuple[str, int | None, str]) -> int:
-        """Tokens of a whole text from its state map."""
-        head, inner, tail = state_map
-        return sum(self.run(s.replace(" ", SPACE)) for s in (head, tail) if s) + (inner or 0)
+        state, tail = self.move_on(data[starts[-1]:].tobytes().decode(), self.states[0])
+        return state, head + inner + tail
 
     def count_long(self, text: str, chunk: int) -> int:
-        """Tokens of one text by the prefix scan over its chunks."""
-        maps = [self.chunk_map(text[i:i + chunk]) for i in range(0, len(text), chunk)]
-        return self.closed(reduce(lambda _, m: m, self.scan(maps), ("", None, "")))
+        """Tokens of one text: its chunks' state maps in a row, each at the state the one before leaves.
+        One state and one total are held, whatever the number of chunks."""
+        state, total = self.states[0], 0
+        for i in range(0, len(text), chunk):
+            if i and text[i] == " " and text[i - 1] != " ":  # a segment begins with the chunk
+                state = self.states[0]
+            state, n = self.chunk_map(text[i:i + chunk], state)
+            total += n
+        return total
 
     def count(self, texts: list[str | None], chunk: int = 65536) -> np.ndarray:
         """Tokens of each text. Texts of up to ``chunk`` characters are one chunk each and run together."""
@@ -195,7 +190,8 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096, chunk: int
     """doc_id, n_bytes, n_tokens, over_limit for every row's whole text.
 
     Null and empty text: 0 bytes, 0 tokens. Texts longer than ``chunk`` characters are cut into chunks
-    whose state maps are composed by a prefix scan. Rows with equal or null doc_ids stay separate rows.
+    whose state maps (exit state and count for the entry state reached) are composed from left to right,
+    also inside a segment longer than a chunk. Rows with equal or null doc_ids stay separate rows.
     Empty input: no rows. Only doc_id and text are read.
     """
 

@@ -190,6 +190,29 @@ def test_counts_equal_the_library(spark):
     assert machine.count(texts[:50]).tolist() == want[:50] == machine.count(texts[:50]).tolist()
 
 
+def test_counts_of_long_texts_without_spaces():
+    """Segments longer than many chunks: the library's counts, and memory that does not grow with its square."""
+    import tracemalloc
+
+    import sentencepiece
+
+    path = tokens.tokenizer_path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    machine = token_counts.Transducer(path)
+    rng = random.Random(8)
+    bits = ["function(", "aGVsbG8", "return", "\n", "中文", "é", "==", "9", "ing"]
+    line = "".join(rng.choice(bits) for _ in range(400))
+    texts = [line * 30, "中文字\n" * 15_000, "x" * 40_000, " " * 3000 + line * 5 + "  " + line * 5 + " end"]
+    want = [len(library.encode(t)) for t in texts]
+    for chunk in (16, 1000):
+        tracemalloc.start()
+        got = machine.count(texts, chunk=chunk).tolist()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got == want
+        assert peak < 16_000_000
+
+
 def test_token_count_rows(odd_docs, no_docs):
     path = tokens.tokenizer_path("piece_bpe_32k.model")
     got = token_counts.token_counts(odd_docs, path, limit=4096).collect()
