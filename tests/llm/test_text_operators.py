@@ -307,6 +307,18 @@ def test_packing_is_best_fit():
         assert {int(n): int(plan[plan[:, 0] == n, 2].sum()) for n in set(sizes)} == counts
 
 
+def test_production_weights_against_plain_best_fit():
+    """The registered weights use at most 1 % and one sequence more than plain best-fit on tokens."""
+    rng = random.Random(9)
+    for _ in range(10):
+        sizes = [min(1024, int(rng.lognormvariate(5, 1.2)) + 1) for _ in range(rng.randint(50, 1500))]
+        counts = {n: sizes.count(n) for n in set(sizes)}
+        plan, bins = packing.fit_plan(counts)
+        _, plain = packing.fit_plan(counts, weights=(1.0, 0.0, 0.0))
+        assert int(plan[:, 2].sum()) == len(sizes)
+        assert -(-sum(sizes) // 1024) <= bins <= 1.01 * plain + 1
+
+
 def test_packing_empty_and_too_small(no_docs):
     assert packing.pack(no_docs, tokens.tokenizer_path("byte_bpe_50k.json")).count() == 0
     with pytest.raises(ValueError):
