@@ -141,8 +141,9 @@ def remove_repeats(docs: DataFrame, window: int = 13, first: int = 4, with_text:
     Removes each word covered by a window of ``window`` words that also starts in a document with a
     smaller doc_id, judged on the input. Windows of ``first`` words are asked for over the whole corpus;
     only where all of a longer window's two halves repeat across documents is it asked for at twice the
-    length, up to ``window``. Levels before the last compare 50-bit keys, which can only let a window
-    through to the next; the last compares 104 to 128 bits of two hashes and the smallest doc_id.
+    length, up to ``window``. Levels before the last compare keys of 40 bits and the bucket's, which can only let a window
+    through to the next; the last compares 40 bits each of two hashes, the bucket's bits and the
+    smallest doc_id.
 
     Words are runs of anything but space and 0x09-0x0D; kept words are joined by one space. Null text
     has no words. Rows with a null doc_id are kept whole and remove nothing; rows with equal doc_ids do
