@@ -55,21 +55,30 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, block: int = 2048) -> DataFrame:
+def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, block: int = 2048,
+          query_block: int = 2048) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest integer inner products over all candidates.
 
     ``queries`` and ``candidates`` hold vec_id and v (array<long>, missing trailing components count as
-    zero). Candidates are dealt by a hash of their id into blocks of about ``block`` rows; the queries
-    go to every block, as a stated query set against all rows in blocks, so no block depends on the
-    size of the whole. In a block each query accumulates its terms' postings into a dense score array,
+    zero). Candidates are dealt by a hash of their id into blocks of about ``block`` rows, queries into
+    blocks of about ``query_block``, and every pair of blocks is one group, so no group depends on the
+    size of the whole. In a group each query accumulates its terms' postings into a dense score array,
     a partition selects its k best, and these are merged over blocks. A candidate with the query's own
     vec_id is left out. Ties go to the smaller vec_id; repeated rows stay separate candidates; fewer
     than k candidates give fewer rows; empty inputs give none. Scores are 64-bit integers.
     """
     spark = candidates.sparkSession
     blocks = spread(spark, candidates.count(), block)
-    own = candidates.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v")
-    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "v")
+    asks = spread(spark, queries.count(), query_block)
+
+    def dealt(n: int) -> Column:
+        return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    own = candidates.select(dealt(blocks).alias("block"), each(asks).alias("asks"), "vec_id", "v")
+    asked = queries.select(each(blocks).alias("block"), dealt(asks).alias("asks"), "vec_id", "v")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = np.asarray(left["vec_id"].combine_chunks())
@@ -85,7 +94,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, block: int = 2
         join = lambda x: np.concatenate(x) if x else np.zeros(0, dtype=np.int64)
         return pa.table({"query_id": join(out_q), "vec_id": join(out_c), "score": join(out_s)})
 
-    part = own.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(search, "query_id long, vec_id long, score long")
+    part = own.groupBy("block", "asks").cogroup(asked.groupBy("block", "asks")).applyInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (part.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -54,6 +54,16 @@ def test_top_k(vectors, block):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_top_k_queries_in_blocks(vectors):
+    """Queries dealt into many small blocks give the same rows as one block."""
+    _, df = vectors
+    scaled = topk.scaled(df)
+    queries = scaled.filter("vec_id % 10 = 0")
+    one = topk.top_k(queries, scaled, 10, 40, 100_000).collect()
+    many = topk.top_k(queries, scaled, 10, 40, 5).collect()
+    assert len(one) > 50 and sorted(map(tuple, one)) == sorted(map(tuple, many))
+
+
 def test_top_k_few_and_none(spark):
     two = topk.scaled(spark.createDataFrame([(0, [0.5, -0.25], 0), (3, [1.0], 0)], SCHEMA))
     assert [tuple(r) for r in topk.top_k(two.filter("vec_id = 0"), two).collect()] == [(0, 1, 3, 512 * 1024)]
