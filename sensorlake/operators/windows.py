@@ -261,6 +261,10 @@ def moving_average(df: DataFrame, keys: Sequence[str], ts: str, value: str, n: i
     return h.withColumn(out, F.avg(value).over(w)).filter("_primary").drop("_chunk", "_primary", "_k")
 
 
+#: Longest block of ``exp_smooth``, in rows.
+SMOOTH_ROWS = 1_000_000
+
+
 def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: float, out: str = "smoothed",
                chunk=DEFAULT_CHUNK) -> DataFrame:
     """Exponential smoothing (WN8): ``y_1 = x_1``, ``y_j = a*x_j + (1-a)*y_{j-1}``.
@@ -271,14 +275,15 @@ def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: f
     the series (by row rank) are as long as d^m stays above 1e-60, so the sums
     stay in range; and as a state fades by that factor over a whole block, the
     entering state follows from the two blocks before, by ``lag`` over one row
-    per block. Two window passes over the rows, all in Spark's own expressions.
+    per block. For an alpha so small that ``SMOOTH_ROWS`` cuts blocks shorter, it
+    is folded over all blocks before. Two window passes over the rows, all in Spark's own expressions.
     """
     a, d = float(alpha), 1.0 - float(alpha)
     if not 0.0 < a <= 1.0:
         raise ValueError("alpha must be in (0, 1]")
     if d == 0.0:
         return df.withColumn(out, F.col(value).cast("double"))
-    m = max(2, min(1_000_000, int(60 / -math.log10(d))))
+    m = max(2, min(SMOOTH_ROWS, int(60 / -math.log10(d))))
     keys = list(keys)
     r = row_ranks(df, keys, [ts, value], ts, "_k", chunk, F.col(value).isNotNull())
     r = r.withColumn("_b", F.floor((F.col("_k") - 1) / m).cast("long"))
@@ -289,6 +294,9 @@ def exp_smooth(df: DataFrame, keys: Sequence[str], ts: str, value: str, alpha: f
     line = Window.partitionBy(*keys).orderBy("_b")
     per = r.groupBy(*keys, "_b").agg(F.max_by("_L", "_k").alias("_end"))
     enters = F.coalesce(F.lag("_end").over(line), F.lit(0.0)) + F.pow(F.lit(d), F.lit(float(m))) * F.coalesce(F.lag("_end", 2).over(line), F.lit(0.0))
+    if m == SMOOTH_ROWS:
+        before = F.collect_list("_end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+        enters = F.aggregate(before, F.lit(0.0), lambda state, end: state * F.lit(d ** m) + end)
     per = per.select(*[F.col(k).alias(f"_q_{k}") for k in keys], F.col("_b").alias("_q_b"), enters.alias("_in"))
     same = F.col("_b") == F.col("_q_b")
     for k in keys:
