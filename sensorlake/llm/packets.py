@@ -27,13 +27,6 @@ MESSAGE = "bucket int, chunk long, kind int, n int, keys binary, extra binary, d
 REPLY = "chunk long, bucket int, kind int, bits binary"
 
 
-def mix64(h: np.ndarray) -> np.ndarray:
-    """Bijective mixing of 64-bit values."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def five_bytes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values, dtype="<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
@@ -78,7 +71,8 @@ def pack_texts(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame,
         if held:
             yield row()
 
-    buckets = max(spread(spark, size, 8 << 20), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))  # beyond it, more packed rows share a bucket
+    buckets = min(most, max(spread(spark, size, 8 << 20), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     name = f"packed_{uuid.uuid4().hex}"
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).cast("string") for c in carry])
      .mapInArrow(pack, "doc_ids array<long>, ends binary, data binary, carried array<array<string>>")
@@ -145,6 +139,20 @@ def messages(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
+def runs(values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, first place, place after the last) of each run of equal values."""
+    if not len(values):
+        return []
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return list(zip(values[first].tolist(), first.tolist(), np.append(first[1:], len(values)).tolist()))
+
+
+def bucket_runs(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """Runs of ascending keys of ``KEY_BITS`` bits by bucket: only buckets that occur, so the work of a row of
+    texts follows its keys, whatever the number of buckets."""
+    return runs(keys // np.uint64((1 << KEY_BITS) // buckets))
+
+
 def state(chunk: int, buckets: int, bits: bytes) -> tuple:
     """A message that comes back unchanged: what a row of texts keeps for its next pass."""
     return message(chunk % buckets, chunk, bits, 0, kind=1)
@@ -165,22 +173,14 @@ class Keys:
         self.many = packed[first] != packed[last]
 
     def packets(self, chunk: int, buckets: int):
-        cuts = self.cuts(buckets)
-        for b, (a, e) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-            if e > a:
-                yield message(b, chunk, five_bytes(self.key[a:e]), e - a, np.packbits(self.many[a:e]).tobytes())
-
-    def cuts(self, buckets: int) -> np.ndarray:
-        edge = np.arange(buckets + 1, dtype=np.uint64) * np.uint64((1 << KEY_BITS) // buckets)
-        return np.searchsorted(self.key, edge)
+        for b, a, e in bucket_runs(self.key, buckets):
+            yield message(b, chunk, five_bytes(self.key[a:e]), e - a, np.packbits(self.many[a:e]).tobytes())
 
     def answered(self, replies: dict[int, bytes], buckets: int) -> np.ndarray:
         """Answer byte of each key, in order."""
-        cuts = self.cuts(buckets)
         out = np.zeros(len(self.key), dtype=np.uint8)
-        for b, bits in replies.items():
-            a, e = cuts[b], cuts[b + 1]
-            out[a:e] = unpack_two(bits, e - a)
+        for b, a, e in bucket_runs(self.key, buckets):
+            out[a:e] = unpack_two(replies[b], e - a)
         return out
 
     def of(self, hashes: np.ndarray, answer: np.ndarray) -> np.ndarray:

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from sensorlake.llm import packets
-from sensorlake.llm.packets import Keys, Texts, message, messages, mix64
-from sensorlake.llm.tokens import powers, span_hashes
+from sensorlake.llm.packets import Keys, Texts, message, messages
+from sensorlake.llm.tokens import mix64, powers, span_hashes
 
 BLANKS = np.zeros(256, dtype=bool)
 BLANKS[[0x20, *range(0x09, 0x0E)]] = True
@@ -97,17 +97,14 @@ class Exact:
         self.key_of = np.empty(len(at), dtype=np.int64)
         self.key_of[order] = np.cumsum(new) - 1
 
-    def cuts(self, buckets: int) -> np.ndarray:
-        return np.searchsorted(self.a >> np.uint64(64 - packets.KEY_BITS),
-                               np.arange(buckets + 1, dtype=np.uint64) * np.uint64((1 << packets.KEY_BITS) // buckets))
+    def runs(self, buckets: int) -> list[tuple[int, int, int]]:
+        return packets.bucket_runs(self.a >> np.uint64(64 - packets.KEY_BITS), buckets)
 
     def packets(self, chunk: int, buckets: int, t: Texts):
-        cuts = self.cuts(buckets)
-        for k, (s, e) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-            if e > s:
-                used, of = np.unique(self.rank[s:e], return_inverse=True)
-                key = packets.five_bytes(self.a[s:e] >> np.uint64(14)) + packets.five_bytes(self.b[s:e])
-                yield message(k, chunk, key, e - s, of.astype("<u2").tobytes(), t.distinct[used].astype("<i8").tobytes())
+        for k, s, e in self.runs(buckets):
+            used, of = np.unique(self.rank[s:e], return_inverse=True)
+            key = packets.five_bytes(self.a[s:e] >> np.uint64(14)) + packets.five_bytes(self.b[s:e])
+            yield message(k, chunk, key, e - s, of.astype("<u2").tobytes(), t.distinct[used].astype("<i8").tobytes())
 
 
 def smaller_elsewhere(table: pa.Table) -> pa.Table:
@@ -192,10 +189,8 @@ def _remover(n: int, buckets: int, with_text: bool):
         at = _places(kept, len(words.starts))
         exact = Exact(words, at, n)
         earlier = np.zeros(len(exact.a), dtype=bool)
-        cuts = exact.cuts(buckets)
-        for b, bits in replies.items():
-            s, e = cuts[b], cuts[b + 1]
-            earlier[s:e] = np.unpackbits(np.frombuffer(bits, np.uint8))[:e - s].astype(bool)
+        for b, s, e in exact.runs(buckets):
+            earlier[s:e] = np.unpackbits(np.frombuffer(replies[b], np.uint8))[:e - s].astype(bool)
         gone = at[earlier[exact.key_of] | (words.rank[at] > exact.rank[exact.key_of])]
         removed = packets.covered(gone, n, len(words.starts))
         if dup:

@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from sensorlake.llm import packets
-from sensorlake.llm.packets import Keys, Texts, message, messages, mix64
-from sensorlake.llm.tokens import BYTE_VALUES, powers
+from sensorlake.llm.packets import Keys, Texts, message, messages
+from sensorlake.llm.tokens import BYTE_VALUES, mix64, powers
 
 #: An anchor found in this many rows of texts has its windows sent one by one, by their own hash.
 MANY_ROWS = 512
@@ -200,8 +200,7 @@ class Regions:
         own = np.flatnonzero(self.of == np.arange(len(self.of)))
         bucket = (key >> np.uint64(64 - packets.KEY_BITS)) // np.uint64((1 << packets.KEY_BITS) // buckets)
         order = own[np.argsort(bucket[own], kind="stable")]
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-        self.by_bucket = {b: order[s:e] for b, (s, e) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if e > s}
+        self.by_bucket = {b: order[s:e] for b, s, e in packets.runs(bucket[order])}
 
     def packets(self, chunk: int):
         for b, which in self.by_bucket.items():

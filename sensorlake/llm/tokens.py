@@ -4,7 +4,7 @@ A tokenizer splits a text by a pattern and encodes every piece on its own, so a
 kept. Texts of plain characters (ASCII without apostrophe, Western European letters) are cut in numpy
 by the classes of their bytes, and their distinct pieces go to the library's merges once; any other
 text, or one that may hold a special string, goes to the library whole. Both give the library's ids.
-Pieces are told apart by a 64-bit hash of their bytes and length.
+Pieces are told apart by a 64-bit hash of their bytes and length (``span_hashes``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿŒœ"
 #: A character outside these, or what may open a contraction or a special string, sends a text to the library.
@@ -52,15 +53,34 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+def mix64(h: np.ndarray) -> np.ndarray:
+    """Bijective mixing of 64-bit values."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes, by differences of one running sum."""
-    size = 1 << max(16, int(len(data)).bit_length())
-    power, inverse = powers(size)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUES[data] * power[:len(data)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    h ^= (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
+    """64-bit hash of each span of bytes.
+
+    Spans of up to 8 bytes: a bijection of their bytes, salted by the length. Up to 16 bytes: both
+    halves, mixed one into the other. Longer ones: XXH3, span by span.
+    """
+    raw = data.tobytes()
+    padded = np.frombuffer(raw + bytes(16), dtype=np.uint8)
+    eight = np.ndarray((len(data) + 9,), dtype="<u8", buffer=padded, strides=(1,))  # 8 bytes from every place on
+    size = ends - starts
+    h = mix64((eight[starts] & _MASKS[np.minimum(size, 8)])
+              ^ (size.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    two = np.flatnonzero(size > 8)
+    second = eight[starts[two] + 8] & _MASKS[np.minimum(size[two] - 8, 8)]
+    h[two] = mix64(h[two] ^ mix64(second + np.uint64(0xD6E8FEB86659FD93)))
+    long = np.flatnonzero(size > 16)
+    h[long] = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+    return h
 
 
 def join_bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
