@@ -91,13 +91,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """Small configuration frame (rule specs, coefficient tables) built through
-    Arrow, so no Python worker is needed to read it on the executors."""
-    import pandas as pd
+    """Small configuration frame (rule specs, coefficient tables) built from an Arrow table with the declared
+    types, whatever the session's Arrow setting: no Python worker is needed to read it on the executors, and
+    a null leaves a long column long."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     st = _parse_datatype_string(schema)
-    pdf = pd.DataFrame.from_records(list(rows), columns=st.names)
-    if pdf.empty:
+    rows = list(rows)
+    if not rows:
         return spark.createDataFrame([], st)
-    return spark.createDataFrame(pdf, schema=st)
+    columns = [pa.array(list(values), field.type) for values, field in zip(zip(*rows), to_arrow_schema(st))]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=st.names), schema=st)
