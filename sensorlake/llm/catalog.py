@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import embed_dedup, language, mixing, packing, simhash, substring, suffix_dedup, token_counts, token_files, topk
+from sensorlake.llm import embed_dedup, harmonic, language, mixing, packing, simhash, substring, suffix_dedup, token_counts, token_files, topk
 from sensorlake.llm.common import documents, embeddings, ensure_checkpoint_dir
 from sensorlake.llm.tokens import tokenizer_path
 
@@ -89,3 +89,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to their targets by systematic sampling."""
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op12_harmonic_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens, bins of reciprocal-capacity classes."""
+    return harmonic.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), max_tokens=1024)
