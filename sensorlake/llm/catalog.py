@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import embed_dedup, harmonic, language, mixing, packing, simhash, substring, suffix_dedup, token_counts, token_files, topk
+from sensorlake.llm import embed_dedup, harmonic, language, mixing, packing, periodic, simhash, substring, suffix_dedup, token_counts, token_files, topk
 from sensorlake.llm.common import documents, embeddings, ensure_checkpoint_dir
 from sensorlake.llm.tokens import tokenizer_path
 
@@ -95,3 +95,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens, bins of reciprocal-capacity classes."""
     return harmonic.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), max_tokens=1024)
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodic words in every document, some of them planted, and the texts without them."""
+    return periodic.run_report(periodic.collapse(periodic.plant(documents(spark, sf_dir)), min_words=6, min_repeats=4))
