@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import embed_dedup, harmonic, language, mixing, packing, periodic, simhash, substring, suffix_dedup, token_counts, token_files, topk
+from sensorlake.llm import conversations, embed_dedup, harmonic, language, mixing, packing, periodic, simhash, substring, suffix_dedup, token_counts, token_files, topk
 from sensorlake.llm.common import documents, embeddings, ensure_checkpoint_dir
 from sensorlake.llm.tokens import tokenizer_path
 
@@ -91,6 +91,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op11_conversation_repair", conversations.REPAIR_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, repaired by the cheapest edits."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repair_report(conversations.damage(turns), dropped="dropped")
+
+
 @query("op12_harmonic_packing")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens, bins of reciprocal-capacity classes."""
