@@ -450,3 +450,4 @@ def jn6_interval_overlap_join(spark: SparkSession, sf: str) -> DataFrame:
 from . import catalog_aggs  # noqa: E402,F401  (registers its queries)
 from . import catalog_fibre  # noqa: E402,F401
 from . import catalog_misc  # noqa: E402,F401
+from . import catalog_rules  # noqa: E402,F401

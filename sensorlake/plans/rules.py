@@ -15,11 +15,10 @@ every asset, evaluated per asset), see ``CONDITION_SCHEMA``:
 Readings are the long table ``asset_id, parameter, epoch, value, k``
 (``k`` = event class), with ``sensor_type``, ``arrival`` (epoch seconds at which
 a row came in), ``wire`` and ``depth`` where rules need them. Rules are never
-turned into SQL text: conditions are joined to the readings, and every kind
-becomes hit times -> islands -> AND/OR. Sliding means and z-scores are computed
-once per (asset, parameter, duration, run window) and then compared with every
-rule's threshold. The window work therefore grows with the readings and the
-distinct durations; only the hits grow with the rules. There is no per-rule job.
+turned into SQL text: every kind becomes series -> hit times -> islands -> AND/OR. A series (readings, sliding
+means, z-scores, changes, event counts) is computed once per (asset, parameter, run window and what else it
+depends on) and meets the thresholds of all its rules in one sorted ladder (``plans.ladder``). The work
+therefore grows with the readings and the distinct series; only the hits grow with the rules. There is no per-rule job.
 """
 
 from __future__ import annotations
@@ -31,10 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..functions.scalars import OPERATORS, compare, pct_change
+from ..functions.scalars import OPERATORS, pct_change
 from ..operators.intervals import all_present, intersect_members
 from ..operators.islands import islands
 from ..operators.windows import forward_average, trailing_stats
+from ..session import estimated_bytes
+from . import ladder
 
 CONDITION_SCHEMA = StructType([
     StructField("rule_id", IntegerType()), StructField("condition_id", IntegerType()),
@@ -75,7 +76,6 @@ FAMILY_KINDS = {
 }
 
 MEMBER = ["rule_id", "condition_id", "asset_id"]
-_RULE = ["n_members", "join_condition", "_scope"]
 
 
 @dataclass
@@ -92,11 +92,13 @@ class KindFacts:
 
 @dataclass
 class RulePlan:
-    """Prepared conditions and the plan-time facts of each kind."""
+    """Prepared conditions and the plan-time facts of each kind; ``mixed_counts``: some AND rule joins an event
+    count with another kind."""
     conditions: DataFrame
     kinds: dict[str, KindFacts]
     has_and: bool
     has_or: bool
+    mixed_counts: bool = False
 
 
 def gap_limit(data_frequency) -> Column:
@@ -152,16 +154,21 @@ def prepare(conditions: DataFrame) -> RulePlan:
     for f in CONDITION_SCHEMA.fields:
         if f.name not in conditions.columns:
             conditions = conditions.withColumn(f.name, F.lit(None).cast(f.dataType))
+    if estimated_bytes(conditions) <= SMALL_BYTES:  # one partition: no shuffle between the steps over a few rules
+        conditions = conditions.coalesce(1)
     w = Window.partitionBy("rule_id")
     c = (conditions.withColumn("kind", F.lower("function")).withColumn("limit", gap_limit(F.col("data_frequency")))
                    .withColumn("join_condition", F.lower(F.coalesce(F.col("join_condition"), F.lit("or"))))
                    .withColumn("n_members", F.count(F.lit(1)).over(w))
-                   .withColumn("n_points", F.count(F.when(F.col("kind").isin(*POINT_KINDS), 1)).over(w)))
+                   .withColumn("n_points", F.count(F.when(F.col("kind").isin(*POINT_KINDS), 1)).over(w))
+                   .withColumn("n_counts", F.count(F.when(F.col("kind") == "count", 1)).over(w)))
     is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
+    mixed = is_and & (F.col("n_counts") > 0) & (F.col("n_counts") < F.col("n_members"))
     early = F.greatest(F.coalesce("limit", F.lit(0)), F.coalesce("duration", F.lit(0)))
     rows = (c.groupBy("kind", "duration", F.col("asset_id").isNull().alias("wild"), is_and.alias("is_and"))
              .agg(F.min(F.col("start_time") - early).alias("lo"), F.max("end_time").alias("hi"),
-                  F.min("baseline_time").alias("base_lo"), F.max("baseline_time").alias("base_hi")).collect())
+                  F.min("baseline_time").alias("base_lo"), F.max("baseline_time").alias("base_hi"),
+                  F.max(mixed).alias("mixed")).collect())
     kinds: dict[str, KindFacts] = {}
     for r in rows:
         if r["kind"] not in KINDS:
@@ -174,156 +181,147 @@ def prepare(conditions: DataFrame) -> RulePlan:
             k.durations.add(int(r["duration"]))
         k.wildcard |= r["wild"]
         k.explicit |= not r["wild"]
-    return RulePlan(c, kinds, any(r["is_and"] for r in rows), any(not r["is_and"] for r in rows))
+    return RulePlan(c, kinds, any(r["is_and"] for r in rows), any(not r["is_and"] for r in rows), any(r["mixed"] for r in rows))
 
 
-def _scoped(readings: DataFrame, c: DataFrame, facts: KindFacts, extra_keys: tuple[str, ...] = ()) -> DataFrame:
-    """Readings x conditions: explicit assets by (asset, parameter), wildcard
-    conditions by parameter. ``_scope`` is the asset of a per-asset rule or '*'.
-    A condition's sensor type, where both sides have one, must agree."""
-    c = c.withColumnRenamed("sensor_type", "_sensor")
+#: Conditions that the plan estimates at no more than this lie in one partition.
+SMALL_BYTES = 4 << 20
+
+#: What the series of a kind depends on, besides asset, parameter and sensor type.
+SERIES = {
+    "raw": ("limit", "start_time", "end_time"), "avg": ("duration", "start_time", "end_time"),
+    "zscore": ("duration", "start_time", "end_time"),
+    "differential": ("baseline_time", "threshold_unit", "start_time", "end_time"),
+    "magnitude": ("class", "start_time", "end_time"), "count": ("class", "duration", "start_time", "end_time"),
+    **{k: ("wire", "depth_from", "depth_to", "start_time", "end_time") for k in ("fibre_raw", "fibre_avg", "fibre_min", "fibre_max")},
+    "fibre_differential": ("wire", "depth_from", "depth_to", "baseline_time", "threshold_unit", "start_time", "end_time"),
+}
+
+
+def _series(plan: RulePlan, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(distinct series of a kind, its conditions), both with ``_spec``: the text of everything that the
+    series' values depend on. Rules that differ in operator or threshold only share a series."""
+    names = ("asset_id", "parameter", "sensor_type", *SERIES[kind])
+    spec = ", ".join(f"coalesce(cast({x} AS string), '*')" for x in names)
+    c = plan.conditions.where(f"kind = '{kind}'").selectExpr("*", f"concat_ws('|', {spec}) AS _spec")
+    return c.select("_spec", *names).distinct(), c
+
+
+def _scoped(readings: DataFrame, specs: DataFrame, facts: KindFacts, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Readings x series: explicit assets by (asset, parameter), wildcard ones by parameter.
+    A series' sensor type, where both sides have one, must agree."""
+    c = specs.withColumnRenamed("sensor_type", "_sensor").withColumnRenamed("wire", "_wire").withColumnRenamed("class", "_class")
     parts = []
     if facts.explicit:
-        e = c.filter(F.col("asset_id").isNotNull())
-        parts.append(readings.join(e, ["asset_id", "parameter", *extra_keys], "inner").withColumn("_scope", F.lit("*")))
+        parts.append(readings.join(c.filter(F.col("asset_id").isNotNull()), ["asset_id", "parameter", *extra_keys], "inner"))
     if facts.wildcard:
-        wc = c.filter(F.col("asset_id").isNull()).drop("asset_id")
-        parts.append(readings.join(wc, ["parameter", *extra_keys], "inner").withColumn("_scope", F.col("asset_id").cast("string")))
-    j = parts[0]
-    for p in parts[1:]:
-        j = j.unionByName(p)
+        every = c.filter(F.col("asset_id").isNull()).drop("asset_id")
+        parts.append(readings.join(every, ["parameter", *extra_keys], "inner"))
+    j = _union(parts)
     if "sensor_type" in readings.columns:
         j = j.filter(F.col("_sensor").isNull() | (F.col("_sensor") == F.col("sensor_type")))
+    if "_class" in j.columns:
+        j = j.filter(F.col("_class").isNull() | (F.col("k") == F.col("_class")))
+    if "_wire" in j.columns:
+        inside = F.col("depth_from").isNull() | F.col("depth_to").isNull() | F.col("depth").between(F.col("depth_from"), F.col("depth_to"))
+        wire = F.col("wire").cast("string") if "wire" in readings.columns else F.lit(None).cast("string")
+        j = j.filter(inside & (F.col("_wire").isNull() | (wire == F.col("_wire"))))
     return j
 
 
-def _joined(readings: DataFrame, plan: RulePlan, kind: str, lo: Column, hi: Column, at: str = "epoch") -> DataFrame:
-    """Readings of one kind's conditions inside ``[lo, hi]`` of column ``at``; the
-    kind's own bounds filter the readings ahead of the join."""
+def _in_window(readings: DataFrame, plan: RulePlan, kind: str, lo: Column, hi: Column, at: str = "epoch") -> tuple[DataFrame, DataFrame]:
+    """(readings of one kind's series with ``at`` inside ``[lo, hi]``, the kind's conditions); the kind's own
+    bounds filter the readings ahead of the join."""
     facts = plan.kinds[kind]
+    specs, c = _series(plan, kind)
     r = readings
     if facts.lo is not None and facts.hi is not None:
         r = r.filter(F.col(at).between(facts.lo, facts.hi))
-    j = _scoped(r, plan.conditions.filter(F.col("kind") == kind), facts)
-    return j.filter((F.col(at) >= lo) & (F.col(at) <= hi))
+    return _scoped(r, specs, facts).filter((F.col(at) >= lo) & (F.col(at) <= hi)), c
 
 
-def _class_ok() -> Column:
-    return F.col("class").isNull() | (F.col("k") == F.col("class"))
+def _passing(series: DataFrame, c: DataFrame, value: str = "value", keep: tuple[str, ...] = ("epoch",)) -> DataFrame:
+    """Rows of the series x the rules they pass (``ladder``): ``MEMBER``, what the rule's members combine by, and ``keep``."""
+    own = ("rule_id", "condition_id", "limit", "n_members", "join_condition", "n_points", "n_counts")
+    rules = c.selectExpr("_spec", "operator", "threshold", *own, "asset_id IS NULL AS _wild")
+    rows = series.select("_spec", "asset_id", value, *[k for k in keep if k != value])
+    j = ladder.passing(rows, rules, "_spec", value, (*own, "_wild"))
+    return j.selectExpr("rule_id", "condition_id", "asset_id", *own[2:], "if(_wild, cast(asset_id AS string), '*') AS _scope", *keep)
 
 
 def raw_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU4: readings whose value passes the operator, in ``[start - limit, end]``."""
-    j = _joined(readings, plan, "raw", F.col("start_time") - F.col("limit"), F.col("end_time"))
-    return j.filter(compare("value", F.col("operator"), F.col("threshold")))
-
-
-def _series_specs(plan: RulePlan, kind: str) -> tuple[DataFrame, DataFrame]:
-    """(distinct series windows of a kind, its conditions), both with ``_spec``:
-    the text of everything a window function depends on."""
-    c = plan.conditions.filter(F.col("kind") == kind)
-    text = [F.coalesce(F.col(x).cast("string"), F.lit("*")) for x in
-            ("asset_id", "parameter", "sensor_type", "duration", "start_time", "end_time")]
-    c = c.withColumn("_spec", F.concat_ws("|", *text))
-    specs = c.select("_spec", "asset_id", "parameter", "sensor_type", "duration", "start_time", "end_time").distinct()
-    return specs, c
-
-
-def _with_rules(series: DataFrame, c: DataFrame) -> DataFrame:
-    """Windowed series (one row per spec, asset and time) x the rules of the spec."""
-    rules = c.select("_spec", "rule_id", "condition_id", "operator", "threshold", "limit", "start_time")
-    return series.join(rules, "_spec", "inner")
+    return _passing(*_in_window(readings, plan, "raw", F.col("start_time") - F.col("limit"), F.col("end_time")))
 
 
 def avg_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU5: forward sliding mean over ``[t, t + duration - 1]`` passes the operator."""
-    specs, c = _series_specs(plan, "avg")
-    facts = plan.kinds["avg"]
-    r = readings if facts.lo is None or facts.hi is None else readings.filter(F.col("epoch").between(facts.lo, facts.hi))
-    j = _scoped(r, specs, facts).filter(F.col("epoch").between(F.col("start_time"), F.col("end_time")))
+    j, c = _in_window(readings, plan, "avg", F.col("start_time"), F.col("end_time"))
     fa = forward_average(j.select("_spec", "asset_id", "epoch", "value", "duration"), ["_spec", "asset_id"], "epoch", "value",
-                         F.col("duration"), durations=sorted(facts.durations))
-    return _with_rules(fa.select("_spec", "asset_id", "epoch", "avg_value"), c).filter(
-        compare("avg_value", F.col("operator"), F.col("threshold")))
+                         F.col("duration"), durations=sorted(plan.kinds["avg"].durations))
+    return _passing(fa, c, "avg_value")
 
 
 def zscore_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """z-score rule (S9): history ``[start - d, end)``, flags in ``[start, end)``."""
-    specs, c = _series_specs(plan, "zscore")
-    facts = plan.kinds["zscore"]
-    r = readings if facts.lo is None or facts.hi is None else readings.filter(F.col("epoch").between(facts.lo, facts.hi))
-    j = _scoped(r, specs, facts).filter(
-        F.col("epoch").between(F.col("start_time") - F.col("duration"), F.col("end_time") - 1))
-    st = trailing_stats(j.select("_spec", "asset_id", "epoch", "value", "duration"), ["_spec", "asset_id"], "epoch", "value",
-                        F.col("duration"), durations=sorted(facts.durations))
+    j, c = _in_window(readings, plan, "zscore", F.col("start_time") - F.col("duration"), F.col("end_time") - 1)
+    st = trailing_stats(j.select("_spec", "asset_id", "epoch", "value", "duration", "start_time"), ["_spec", "asset_id"], "epoch",
+                        "value", F.col("duration"), durations=sorted(plan.kinds["zscore"].durations))
     z = F.when(F.col("hist_std") != 0, F.abs((F.col("value") - F.col("hist_mean")) / F.col("hist_std")))
-    st = st.select("_spec", "asset_id", "epoch", z.alias("_z")).filter("_z is not null")
-    return _with_rules(st, c).filter((F.col("epoch") >= F.col("start_time")) & compare("_z", F.col("operator"), F.col("threshold")))
+    st = st.filter(F.col("epoch") >= F.col("start_time")).select("_spec", "asset_id", "epoch", z.alias("_z"))
+    return _passing(st, c, "_z")
+
+
+def _change(j: DataFrame, absolute: bool) -> DataFrame:
+    """``_change`` against the baseline: percent where the unit is ``%`` (S4: a zero baseline gives no hit), else
+    the plain difference."""
+    percent = pct_change("value", "baseline_value", absolute=absolute)
+    return j.withColumn("_change", F.when(F.col("threshold_unit") == "%", percent).otherwise(F.col("value") - F.col("baseline_value")))
 
 
 def _baseline(readings: DataFrame, plan: RulePlan, kind: str, keys: list[str]) -> DataFrame:
-    """Readings at the conditions' baseline times: an equi join on the time, inside the baselines' own bounds."""
+    """Readings at the series' baseline times: an equi join on the time, inside the baselines' own bounds."""
     facts = plan.kinds[kind]
     r = readings.filter(F.col("epoch").between(facts.base_lo, facts.base_hi)).withColumnRenamed("epoch", "baseline_time")
-    b = _scoped(r, plan.conditions.filter(F.col("kind") == kind), facts, ("baseline_time",))
+    b = _scoped(r, _series(plan, kind)[0], facts, ("baseline_time",))
     return b.groupBy(*keys).agg(F.max("value").alias("baseline_value"))
 
 
 def differential_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
-    """RU6: change vs the reading at ``baseline_time``: absolute percent when the
-    unit is ``%`` (S4: a zero baseline gives no hit), else the plain difference."""
-    j = _joined(readings, plan, "differential", F.col("start_time"), F.col("end_time"))
-    j = j.join(_baseline(readings, plan, "differential", MEMBER), MEMBER, "inner")
-    diff = F.when(F.col("threshold_unit") == "%", pct_change("value", "baseline_value", absolute=True)) \
-            .otherwise(F.col("value") - F.col("baseline_value"))
-    return j.withColumn("value_difference", diff).filter(compare("value_difference", F.col("operator"), F.col("threshold")))
-
-
-def _wire_ok(c: DataFrame) -> Column:
-    ok = F.col("depth_from").isNull() | F.col("depth_to").isNull() | F.col("depth").between(F.col("depth_from"), F.col("depth_to"))
-    return ok & (F.col("_wire").isNull() | (F.col("wire").cast("string") == F.col("_wire")))
-
-
-def _fibre(readings: DataFrame, plan: RulePlan, kind: str) -> DataFrame:
-    """Fibre readings of a kind's conditions: wire and depth range, run window."""
-    own = RulePlan(plan.conditions.withColumnRenamed("wire", "_wire"), plan.kinds, plan.has_and, plan.has_or)
-    r = readings if "wire" in readings.columns else readings.withColumn("wire", F.lit(None).cast("string"))
-    return _joined(r, own, kind, F.col("start_time"), F.col("end_time")).filter(_wire_ok(own.conditions))
+    """RU6: change vs the reading at ``baseline_time``."""
+    keys = ["_spec", "asset_id"]
+    j, c = _in_window(readings, plan, "differential", F.col("start_time"), F.col("end_time"))
+    j = j.join(_baseline(readings, plan, "differential", keys), keys, "inner")
+    return _passing(_change(j, absolute=True), c, "_change")
 
 
 def fibre_hits(readings: DataFrame, plan: RulePlan, kind: str) -> DataFrame:
     """RU9: times at which any value (raw) or the average, least or largest value
     over the depth range passes the operator."""
-    j = _fibre(readings, plan, kind)
+    j, c = _in_window(readings, plan, kind, F.col("start_time"), F.col("end_time"))
     if kind == "fibre_raw":
-        return j.filter(compare("value", F.col("operator"), F.col("threshold"))).select(*MEMBER, *_RULE, "n_points", "epoch").distinct()
+        return _passing(j, c).distinct()
     of = {"fibre_avg": F.avg, "fibre_min": F.min, "fibre_max": F.max}[kind]
-    per = j.groupBy(*MEMBER, *_RULE, "n_points", "epoch", "operator", "threshold").agg(of("value").alias("_v"))
-    return per.filter(compare("_v", F.col("operator"), F.col("threshold")))
+    return _passing(j.groupBy("_spec", "asset_id", "epoch").agg(of("value").alias("_v")), c, "_v")
 
 
 def fibre_differential_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU9: signed change vs the profile at ``baseline_time``, depth by depth; times with any hit."""
-    keys = [*MEMBER, "depth"]
-    j = _fibre(readings, plan, "fibre_differential")
-    base = _baseline(readings, plan, "fibre_differential", keys)
-    j = j.join(base, keys, "inner")
-    diff = F.when(F.col("threshold_unit") == "%", pct_change("value", "baseline_value", absolute=False)) \
-            .otherwise(F.col("value") - F.col("baseline_value"))
-    return j.filter(compare(diff, F.col("operator"), F.col("threshold"))).select(*MEMBER, "epoch", "limit").distinct()
+    keys = ["_spec", "asset_id", "depth"]
+    j, c = _in_window(readings, plan, "fibre_differential", F.col("start_time"), F.col("end_time"))
+    j = j.join(_baseline(readings, plan, "fibre_differential", keys), keys, "inner")
+    return _passing(_change(j, absolute=False), c, "_change").distinct()
 
 
 def count_cells(readings: DataFrame, plan: RulePlan) -> DataFrame:
     """RU7 / AG8: tumbling event count on a grid anchored at the window start;
     cells whose count passes the operator -> ``[start + d*g, start + d*g + d]``."""
-    j = _joined(readings, plan, "count", F.col("start_time"), F.col("end_time")).filter(_class_ok())
+    j, c = _in_window(readings, plan, "count", F.col("start_time"), F.col("end_time"))
     g = F.floor((F.col("epoch") - F.col("start_time")) / F.col("duration")).cast("long")
-    agg = (j.withColumn("grp", g)
-            .groupBy(*MEMBER, "grp", "start_time", "duration", "operator", "threshold", *_RULE)
-            .agg(F.count(F.lit(1)).alias("n_events")))
-    return (agg.filter(compare("n_events", F.col("operator"), F.col("threshold")))
-               .withColumn("start_time", F.col("start_time") + F.col("duration") * F.col("grp"))
-               .withColumn("end_time", F.col("start_time") + F.col("duration")))
+    counted = (j.groupBy("_spec", "asset_id", (F.col("start_time") + F.col("duration") * g).alias("_start"), "duration")
+                .agg(F.count(F.lit(1)).alias("n_events")))
+    cells = _passing(counted, c, "n_events", ("n_events", "_start", "duration"))
+    return cells.withColumn("start_time", F.col("_start")).withColumn("end_time", F.col("_start") + F.col("duration")).drop("_start")
 
 
 def magnitude_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
@@ -331,8 +329,7 @@ def magnitude_hits(readings: DataFrame, plan: RulePlan) -> DataFrame:
     during the run window: by ``arrival`` where the readings have it, so that
     late events are not missed, else by ``epoch``."""
     at = "arrival" if "arrival" in readings.columns else "epoch"
-    j = _joined(readings, plan, "magnitude", F.col("start_time"), F.col("end_time"), at).filter(_class_ok())
-    return j.filter(compare("value", F.col("operator"), F.col("threshold")))
+    return _passing(*_in_window(readings, plan, "magnitude", F.col("start_time"), F.col("end_time"), at))
 
 
 def _islands_of(hits: DataFrame, plan: RulePlan) -> DataFrame:
@@ -342,14 +339,14 @@ def _islands_of(hits: DataFrame, plan: RulePlan) -> DataFrame:
     isl = (islands(hits.select(*MEMBER, "epoch", "limit"), MEMBER, "epoch", "limit", extra=["limit"])
            .withColumnRenamed("start_time", "_is").withColumnRenamed("end_time", "_ie"))
     params = (plan.conditions.select("rule_id", "condition_id", "duration", "start_time", "end_time", "n_members", "n_points",
-                                     "join_condition", F.col("asset_id").isNull().alias("_wild"))
+                                     "n_counts", "join_condition", F.col("asset_id").isNull().alias("_wild"))
                              .dropDuplicates(["rule_id", "condition_id"]))
     j = isl.join(params, ["rule_id", "condition_id"])
     keep = ((F.col("_ie") - F.col("_is") >= F.coalesce("duration", F.lit(0)))
             | (F.col("_is") == F.col("start_time") - F.col("limit"))
             | (F.col("_ie") == F.col("end_time")))
     scope = F.when(F.col("_wild"), F.col("asset_id").cast("string")).otherwise(F.lit("*"))
-    return j.filter(keep).select(*MEMBER, "n_members", "join_condition", scope.alias("_scope"), "n_points",
+    return j.filter(keep).select(*MEMBER, "n_members", "join_condition", scope.alias("_scope"), "n_points", "n_counts",
                                  F.col("_is").alias("start_time"), F.col("_ie").alias("end_time"))
 
 
@@ -360,26 +357,38 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def member_intervals(readings: DataFrame, conditions: DataFrame | RulePlan) -> DataFrame:
-    """Per member (rule, condition, asset) anomaly intervals for all rule kinds
-    except event counts: ``rule_id, condition_id, asset_id, n_members,
-    join_condition, _scope, n_points, start_time, end_time``; a point kind's
-    interval is its time."""
+_MEMBER_ROW = [*MEMBER, "n_members", "join_condition", "_scope", "n_points", "n_counts", "start_time", "end_time"]
+
+
+def member_intervals(readings: DataFrame, conditions: DataFrame | RulePlan, counts: bool = False) -> DataFrame:
+    """Per member (rule, condition, asset) anomaly intervals for all rule kinds, event counts only with
+    ``counts``: ``rule_id, condition_id, asset_id, n_members, join_condition, _scope, n_points, n_counts,
+    start_time, end_time``; a point kind's interval is its time, a count's the grid cell."""
     plan = conditions if isinstance(conditions, RulePlan) else prepare(conditions)
     hits = {"raw": raw_hits, "avg": avg_hits, "zscore": zscore_hits, "differential": differential_hits,
             "fibre_differential": fibre_differential_hits}
-    parts = [_islands_of(hits[k](readings, plan), plan) for k in INTERVAL_KINDS if k in plan.kinds]
+    parts = [_islands_of(hits[k](readings, plan), plan).select(*_MEMBER_ROW) for k in INTERVAL_KINDS if k in plan.kinds]
     for k in POINT_KINDS:
         if k in plan.kinds:
             h = magnitude_hits(readings, plan) if k == "magnitude" else fibre_hits(readings, plan, k)
-            parts.append(h.select(*MEMBER, *_RULE, "n_points", F.col("epoch").alias("start_time"), F.col("epoch").alias("end_time")))
+            parts.append(h.withColumn("start_time", F.col("epoch")).withColumn("end_time", F.col("epoch")).select(*_MEMBER_ROW))
+    if counts and "count" in plan.kinds:
+        parts.append(count_cells(readings, plan).select(*_MEMBER_ROW))
     if not parts:
         return readings.sparkSession.createDataFrame(
             [], "rule_id int, condition_id int, asset_id long, n_members long, join_condition string, _scope string, "
-                "n_points long, start_time long, end_time long")
+                "n_points long, n_counts long, start_time long, end_time long")
     return _union(parts)
 
 
+def touching_cells(cells: DataFrame) -> DataFrame:
+    """Grid cells that hold an anomaly, each member's touching ones as one interval: a cell ends where the next
+    begins, and a sweep over members needs every member's intervals apart."""
+    carried = ["n_members", "join_condition", "_scope", "n_points", "n_counts", "duration"]
+    runs = islands(cells.select(*MEMBER, *carried, F.col("start_time").alias("_at")), MEMBER, "_at", "duration", extra=carried)
+    return runs.withColumn("end_time", F.col("end_time") + F.col("duration")).select(*_MEMBER_ROW)
+
+
 def _scope_asset(readings: DataFrame) -> Column:
     t = readings.schema["asset_id"].dataType
     return F.when(F.col("_scope") == "*", F.lit(None)).otherwise(F.col("_scope")).cast(t).alias("asset_id")
@@ -392,46 +401,41 @@ def evaluate(readings: DataFrame, conditions: DataFrame | RulePlan, mode: str =
     """Anomalies ``rule_id, asset_id, start_time, end_time`` of every rule (RU10).
 
     OR rules (and single-member rules) keep every member interval (UNION ALL;
-    ``asset_id`` = the member's asset). AND rules keep, in ``overlap`` mode, the
-    spans where all members hold an interval (sweep line), in ``exact`` mode
-    (RU11) the intervals that every member holds with the same start and end;
-    ``asset_id`` is the asset of a per-asset rule, null for a multi-asset rule.
-    AND rules of point kinds alone need every member at the same time, and
-    event-count AND rules every member in the same grid cell (S13).
+    ``asset_id`` = the member's asset). AND rules keep, in ``exact`` mode (RU11), the
+    intervals that every member holds with the same start and end; in
+    ``overlap`` mode the spans where all members hold an interval. There a member is an island, a point or
+    the touching grid cells of an event count, and one sweep line counts members of all kinds. AND rules of
+    point kinds alone need every member at the same time, and those of event counts alone every member
+    in the same grid cell (S13). ``asset_id`` is the asset of a per-asset rule, null for a multi-asset rule.
     """
     if mode not in ("overlap", "exact"):
         raise ValueError(f"unknown mode {mode!r}")
     plan = conditions if isinstance(conditions, RulePlan) else prepare(conditions)
     is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
-    only_points = F.col("n_points") == F.col("n_members")
+    alike = (F.col("n_points") == F.col("n_members")) | (F.col("n_counts") == F.col("n_members"))
     member = F.concat_ws(":", "condition_id", "asset_id")
     group = ["rule_id", "_scope"]
+    out = ["rule_id", _scope_asset(readings), "start_time", "end_time"]
+    every = member_intervals(readings, plan, counts=True)
     parts = []
-    if set(plan.kinds) - {"count"}:
-        mi = member_intervals(readings, plan)
-        if plan.has_or:
-            parts.append(mi.filter(~is_and).select(*_ANOMALY))
-        if plan.has_and:
-            both = mi.filter(is_and).withColumn("member", member)
-            points = set(plan.kinds) & set(POINT_KINDS)
-            whole = both if mode == "exact" else both.filter(only_points)
-            if mode == "exact" or points:
-                parts.append(all_present(whole, [*group, "start_time"], "end_time", "member", "n_members")
-                             .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
-            if mode == "overlap" and set(plan.kinds) - {"count"}:
-                spans = both.filter(~only_points).select(*group, "member", "n_members", "start_time", "end_time").distinct()
-                parts.append(intersect_members(spans, group, "member", "n_members")
-                             .select("rule_id", _scope_asset(readings), "start_time", "end_time"))
-    if "count" in plan.kinds:
-        cells = count_cells(readings, plan)
-        if plan.has_or:
-            parts.append(cells.filter(~is_and).select(*_ANOMALY))
-        if plan.has_and:
-            parts.append(all_present(cells.filter(is_and).withColumn("member", member), [*group, "start_time", "end_time"], "grp",
-                                     "member", "n_members").select("rule_id", _scope_asset(readings), "start_time", "end_time"))
-    if not parts:
-        return member_intervals(readings, plan).select(*_ANOMALY)
-    return _union(parts)
+    if plan.has_or:
+        parts.append(every.filter(~is_and).select(*_ANOMALY))
+    same = is_and if mode == "exact" else is_and & alike
+    if plan.has_and and (mode == "exact" or set(plan.kinds) & {*POINT_KINDS, "count"}):
+        held = every.filter(same).withColumn("member", member)
+        parts.append(all_present(held, [*group, "start_time"], "end_time", "member", "n_members").select(*out))
+    if plan.has_and and mode == "overlap":
+        mixed = is_and & ~alike
+        spans = []
+        if set(plan.kinds) - {"count"}:
+            spans.append(member_intervals(readings, plan).filter(mixed))
+        if plan.mixed_counts:
+            spans.append(touching_cells(count_cells(readings, plan).filter(mixed)))
+        if spans:
+            held = _union(spans).withColumn("member", member)
+            held = held.select(*group, "member", "n_members", "start_time", "end_time").distinct()
+            parts.append(intersect_members(held, group, "member", "n_members").select(*out))
+    return _union(parts) if parts else every.select(*_ANOMALY)
 
 
 def messages(anomalies: DataFrame, rules: DataFrame, page: int = 1000) -> DataFrame:

@@ -90,6 +90,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size that the optimizer estimates for a frame (exact for local rows, an upper guess elsewhere); no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     """Small configuration frame (rule specs, coefficient tables) built from an Arrow table with the declared
     types, whatever the session's Arrow setting: no Python worker is needed to read it on the executors, and
