@@ -13,6 +13,7 @@ from sensorlake.llm.common import cut_lineage
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
+MAX_LANGUAGES = 1000
 ASCII_LETTER = re.compile("[A-Za-z]")
 
 
@@ -42,13 +43,17 @@ def train(docs: DataFrame, per_language: int = 2000) -> tuple[list[str], np.ndar
     """Languages and log P(feature | language), from rows with text and lang.
 
     The fit takes about ``per_language`` rows of each language (all, if fewer), chosen by a hash of the
-    doc_id, and their whole texts: a documented bound, as a classifier's sample may have. Counts are
-    summed on Spark; what reaches the driver is at most languages x ``BUCKETS`` numbers.
+    doc_id (of the text, where that is null), and their whole texts: a documented bound, as a classifier's sample may have. Counts are
+    summed on Spark; what reaches the driver is at most languages x ``BUCKETS`` numbers. Labels are languages, so
+    more than ``MAX_LANGUAGES`` of them are an error, not a table that no worker could hold.
     """
     usable = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = cut_lineage(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("l"), "n"))
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    if sizes.count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+    share = F.pmod(spread, F.lit(1 << 20)) / F.lit(float(1 << 20))
     sample = usable.join(sizes, F.col("lang") == F.col("l")).filter(share * F.col("n") < F.lit(float(per_language)))
 
     def count(batches):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.llm.common import block_ranks, cut_lineage, word_count
@@ -41,6 +41,12 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE, share: floa
     return per.select("source", "source_size", "weight", target.cast("double").alias("target"))
 
 
+def deal(doc_id: str, text: str) -> Column:
+    """Number that deals a document to a block of ranks: 32 bits of the digest of its doc_id, or of its text."""
+    named = F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit(""))
+    return F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("long")
+
+
 def mix(docs: DataFrame, seed: int = 42, cycle: tuple[int, ...] = CYCLE, share: float = 1.5,
         max_repeat: float = 2.0, rows_per_block: int = 1000) -> DataFrame:
     """doc_id, size, source, source_size, target, copies, taken: how often the mix takes each document.
@@ -49,20 +55,22 @@ def mix(docs: DataFrame, seed: int = 42, cycle: tuple[int, ...] = CYCLE, share:
     documents stand in order of size (bands of three leading digits), expected copies are
     prefix-summed, one offset per source (from ``seed`` and the source's name) is added, and a document
     is taken once for each integer its interval crosses. Systematic sampling along the sizes keeps the
-    words taken within a few documents of the target.
+    words taken within a few documents of the target. Ranks are counted in blocks, to which documents are
+    dealt by a digest of their doc_id (of their text, where it is null).
 
     Null or empty text: size 0, counted and possibly taken, 0 words. Null source: a source of its own.
     Equal doc_ids stay separate rows. Sources without words: target 0, taken 0. Empty input: no rows.
     Only doc_id, text and source are read, so further columns cannot clash.
     """
     sized = cut_lineage(docs.select(  # texts are read once; their sizes serve every later step
-        F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
+        F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
+        deal("doc_id", "text").alias("_deal")))
     targets = source_targets(sized, cycle, share, max_repeat)
     digits = F.length(F.col("size").cast("string"))
     band = F.when(digits <= 3, F.col("size")).otherwise(
         F.col("size") - F.pmod(F.col("size"), F.pow(F.lit(10), digits - 3).cast("long")))
     ranked = block_ranks(sized, ["source"], band.cast("long"), [F.col("size"), F.col("doc_id")],
-                         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_rank", rows_per_block)
+                         F.col("_deal"), "_rank", rows_per_block)
     targets = targets.withColumnRenamed("source", "_source").drop("weight")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("source"), F.lit(""))).cast("binary"))
@@ -79,6 +87,7 @@ def mix(docs: DataFrame, seed: int = 42, cycle: tuple[int, ...] = CYCLE, share:
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, CAST(source AS VARCHAR) AS source,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 8))::BIGINT AS deal,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 per AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
@@ -102,7 +111,7 @@ banded AS (
   SELECT *, CASE WHEN length(size::VARCHAR) <= 3 THEN size
                  ELSE size - size % (10 ** (length(size::VARCHAR) - 3))::BIGINT END AS band FROM sized),
 blocked AS (
-  SELECT *, coalesce(doc_id, 0) % ceil(count(*) OVER (PARTITION BY source, band) / 1000.0)::BIGINT AS block FROM banded),
+  SELECT *, deal % ceil(count(*) OVER (PARTITION BY source, band) / 1000.0)::BIGINT AS block FROM banded),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY band, block, size, doc_id NULLS FIRST) AS r FROM blocked),
 joined AS (

@@ -124,12 +124,13 @@ def pack(docs: DataFrame, tokenizer_file: str, max_tokens: int = 1024, max_docs:
     Null and empty texts are one piece that holds the end id. Rows with equal or null doc_ids are packed
     each by itself. Empty input: no rows. Only doc_id and text are read.
     """
-    pieces = cut_lineage(token_pieces(docs, tokenizer_file, max_tokens, end_id, with_ids))
+    pieces = token_pieces(docs, tokenizer_file, max_tokens, end_id, with_ids)
+    pieces = cut_lineage(pieces.withColumn("_deal", F.xxhash64(F.monotonically_increasing_id())))
     counted = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()  # at most max_tokens rows
     plan, _ = fit_plan({int(r["length"]): int(r["n"]) for r in counted}, max_tokens, max_docs or max_tokens,
                        max_cost or max_tokens * max_tokens, weights, rule)
     ranked = block_ranks(pieces, ["length"], F.lit(0).cast("long"), [F.col("doc_id"), F.col("piece")],
-                         F.abs(F.xxhash64("doc_id", "piece") % 1_000_003), "_rank")
+                         F.abs(F.col("_deal") % 1_000_003), "_rank")
     order = np.lexsort((plan[:, 1], plan[:, 0]))
     plan = plan[order]
     span = int(plan[:, 1].max(initial=0) + plan[:, 2].max(initial=0)) + 1
