@@ -147,3 +147,81 @@ def ru5_threshold_ladder(spark: SparkSession, sf: str) -> DataFrame:
     hits = ru.evaluate(r, _run_window(_conditions(spark, LADDER_SPEC, SPEC_COLS), r))
     return hits.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n_hits"), F.min("start_time").alias("first_time"),
                                        F.max("end_time").alias("last_time"), F.count_distinct("asset_id").alias("n_assets"))
+
+
+# ---------------------------------------------------------------- script rules from documents (RU15, RU16)
+
+#: (offset of the rule id, type, script, [(parameter, operator, threshold, duration)]) of each asset's documents.
+SCRIPT_TEXTS = [(1, "script", "above_history", [("click", ">", 3.0, 5 * DAY)]),
+                (2, "Script", "spread", [("click", ">", 10.0, 2 * DAY), ("view", ">", 0.0, 2 * DAY)]),
+                (3, None, None, [("error", ">", 50.0, 0)]),
+                (4, "script", "no_such_script", [("click", ">", 1.0, 0)])]
+SCRIPT_PERIOD = 10 * DAY
+
+
+def _script_documents(spark: SparkSession, sf: str):
+    """Four rule documents for each of the assets, three of them of type script, and a run over all data."""
+    from .plans import engine
+    from .session import cut_lineage
+    r = readings(spark, sf).withColumn("asset_id", F.col("asset_id").cast("string")).withColumn("sensor_type", F.lit("events"))
+    assets = cut_lineage(r.select("asset_id").distinct().withColumn("data_frequency", F.lit(HOUR)))
+
+    def condition(i, script, p, op, t, d):
+        return F.struct(F.lit(i).alias("condition_id"), F.array("asset_id").alias("asset_id"), F.lit(p).alias("parameter"),
+                        F.lit(op).alias("operator"), F.lit(None).cast("int").alias("class"), F.lit(t).alias("threshold"),
+                        F.lit(d).alias("duration"), F.lit(None).cast("string").alias("wire"),
+                        F.lit(None if script else "raw").cast("string").alias("function"),
+                        F.lit(None).cast("string").alias("wire_length_from"), F.lit(None).cast("string").alias("wire_length_to"),
+                        F.lit(SCRIPT_PERIOD).alias("rule_run_frequency"), F.lit("events").alias("sensor_type"),
+                        F.lit(None).cast("int").alias("baseline_time"), F.lit("abs").alias("threshold_unit"),
+                        F.lit(script).cast("string").alias("path"))
+
+    texts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(kind).cast("string").alias("rule_type"),
+                               F.array(*[condition(k + 1, script, *c) for k, c in enumerate(conditions)]).alias("conditions"))
+                      for i, kind, script, conditions in SCRIPT_TEXTS])
+    docs = assets.select("asset_id", F.inline(texts)).select(
+        (F.col("asset_id").cast("int") * 10 + F.col("i")).alias("rule_id"), F.lit("rule").alias("rule_name"), F.lit("t").alias("tenant_id"),
+        F.lit("or").alias("join_condition"), F.lit("low").alias("severity"), F.array().cast("array<int>").alias("risk_register_controls"),
+        F.lit("create").alias("operation"), "rule_type", "conditions")
+    state = r.agg((F.max("epoch") - F.pmod(F.max("epoch"), F.lit(SCRIPT_PERIOD)) + 100).alias("last_run_time")).select(
+        F.lit("wf").alias("workflow_id"), F.lit("events").alias("sensor_type"), "last_run_time", F.lit(None).cast("timestamp").alias("last_updated_date"))
+    families = {"click": "series", "view": "series", "error": "magnitude"}
+    return engine.run_rules(cut_lineage(docs), assets, r, cut_lineage(state), "wf", engine_period=1800, downtime=SCRIPT_PERIOD, now=0, families=families)
+
+
+RU16_SQL = f"""
+WITH r AS ({READINGS_SQL}),
+t AS (SELECT max(epoch) AS mx, max(epoch) - max(epoch) % {SCRIPT_PERIOD} + 100 AS lr FROM r),
+win AS (SELECT CAST(trunc(CAST(lr AS DOUBLE) - 100.0 - {SCRIPT_PERIOD}.0) AS BIGINT) AS lo,
+               CAST(trunc(CAST(lr AS DOUBLE) - 100.0 + 1800.0 * ((mx - lr) / 1800.0)) AS BIGINT) AS hi FROM t),
+c AS (SELECT asset_id, epoch, value FROM r, win WHERE parameter = 'click' AND epoch BETWEEN lo - {5 * DAY} AND hi),
+h AS (SELECT asset_id, epoch, value, avg(value) OVER (PARTITION BY asset_id ORDER BY epoch
+             RANGE BETWEEN {5 * DAY} PRECEDING AND 1 PRECEDING) AS m FROM c),
+one AS (SELECT asset_id, epoch, max(value) AS value FROM r WHERE parameter = 'click' GROUP BY ALL),
+two AS (SELECT asset_id, epoch, max(value) AS value FROM r WHERE parameter = 'view' GROUP BY ALL),
+s AS (SELECT one.asset_id, one.epoch, one.value - two.value AS d, one.epoch - two.epoch AS age
+      FROM one ASOF JOIN two ON one.asset_id = two.asset_id AND one.epoch >= two.epoch)
+SELECT DISTINCT CAST(asset_id * 10 + 1 AS INTEGER) AS rule_id, CAST(asset_id AS VARCHAR) AS asset_id, epoch AS start_time, epoch AS end_time
+FROM h, win WHERE epoch BETWEEN lo AND hi AND value > 3.0 * m
+UNION ALL SELECT CAST(asset_id * 10 + 2 AS INTEGER), CAST(asset_id AS VARCHAR), epoch, epoch
+FROM s, win WHERE epoch BETWEEN lo AND hi AND age <= {2 * DAY} AND d > 10.0
+UNION ALL SELECT CAST(asset_id * 10 + 3 AS INTEGER), CAST(asset_id AS VARCHAR), epoch, epoch
+FROM r, win WHERE parameter = 'error' AND value > 50.0 AND epoch BETWEEN lo AND hi
+"""
+
+
+@register("ru16_script_documents", RU16_SQL)
+def ru16_script_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """RU15/RU16: documents of type script reach their functions of one asset's frame, beside standard ones."""
+    return _script_documents(spark, sf).anomalies
+
+
+RU16_ERRORS_SQL = f"""
+SELECT DISTINCT CAST(asset_id * 10 + 4 AS INTEGER) AS rule_id, 'unknown script' AS error, 'no_such_script' AS detail FROM ({READINGS_SQL})
+"""
+
+
+@register("ru16_script_errors", RU16_ERRORS_SQL)
+def ru16_script_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """RU16/RU3: documents whose script is not registered give error rows."""
+    return _script_documents(spark, sf).errors

@@ -25,6 +25,9 @@ from . import lifecycle, scripts
 from . import rules as ru
 
 
+SCRIPT = "script"
+
+
 @dataclass
 class RunResult:
     messages: DataFrame
@@ -32,6 +35,7 @@ class RunResult:
     errors: DataFrame
     state: DataFrame
     windows: DataFrame
+    graphs: DataFrame | None = None
 
 
 def newest_data(readings: DataFrame, sensors: DataFrame, state: DataFrame) -> DataFrame:
@@ -64,11 +68,18 @@ def run_rules(docs: DataFrame, assets: DataFrame, readings: DataFrame, state: Da
     ``delay`` shifts the run windows back by so many seconds (late data);
     ``families`` maps document parameters to sensor families; ``mode`` is how AND
     rules combine (``rules.evaluate``); ``script_rules`` are run beside the
-    documents' rules (``scripts.run_script_rules``). Rules naming an unknown
-    function, parameter, operator or asset give error rows and nothing else.
+    documents' rules (``scripts.run_script_rules``). Documents of type ``script`` go to the frame rule
+    that their conditions' ``path`` names (RU16, ``scripts.run_frame_rules``); their anomalies' graphs are in
+    ``graphs``. Rules naming an unknown function, parameter, operator, script or asset give error rows
+    and nothing else.
     """
     flat = lifecycle.flatten_rules(docs)
-    known, name_errors = ru.dispatch(flat, families)
+    routed = "rule_type" in flat.columns and "path" in flat.columns
+    standard, script = scripts.route_rule_types(flat) if routed else (flat, None)
+    known, name_errors = ru.dispatch(standard, families)
+    if routed:
+        known = known.unionByName(script.withColumn("function", F.lit(SCRIPT)))
+        name_errors = name_errors.unionByName(scripts.unknown_scripts(script))
     per_rule = known.select("rule_id", "condition_id", F.col("asset_ids").alias("asset_id")).dropDuplicates(
         ["rule_id", "condition_id"])
     ok, frequency_errors = lifecycle.rules_with_frequency(per_rule, assets)
@@ -86,26 +97,31 @@ def run_rules(docs: DataFrame, assets: DataFrame, readings: DataFrame, state: Da
     windows = lifecycle.execution_window(per, engine_period, downtime, now)
     due = windows.filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
 
-    conditions = (cond.join(due.select("rule_id", "sensor_type", "start_time", "end_time"), ["rule_id", "sensor_type"], "inner")
-                      .select("rule_id", "condition_id", "asset_id", "parameter", "function", "operator",
-                              "threshold", F.col("duration").cast("long").alias("duration"),
-                              F.col("data_frequency").cast("long").alias("data_frequency"), "join_condition",
-                              "threshold_unit", F.col("baseline_time").cast("long").alias("baseline_time"),
-                              "class", "start_time", "end_time", "sensor_type", "wire",
-                              F.col("wire_length_from").cast("long").alias("depth_from"),
-                              F.col("wire_length_to").cast("long").alias("depth_to")))
+    run = cond.join(due.select("rule_id", "sensor_type", "start_time", "end_time"), ["rule_id", "sensor_type"], "inner")
+    conditions = (run.filter(F.col("function") != SCRIPT)
+                     .select("rule_id", "condition_id", "asset_id", "parameter", "function", "operator",
+                             "threshold", F.col("duration").cast("long").alias("duration"),
+                             F.col("data_frequency").cast("long").alias("data_frequency"), "join_condition",
+                             "threshold_unit", F.col("baseline_time").cast("long").alias("baseline_time"),
+                             "class", "start_time", "end_time", "sensor_type", "wire",
+                             F.col("wire_length_from").cast("long").alias("depth_from"),
+                             F.col("wire_length_to").cast("long").alias("depth_to")))
     anomalies = ru.evaluate(readings, conditions, mode)
+    graphs = None
+    if routed:
+        graphs = scripts.run_frame_rules(run.filter(F.col("function") == SCRIPT), readings)
+        anomalies = anomalies.unionByName(graphs.select(*anomalies.columns))
     if script_rules:
         anomalies = anomalies.unionByName(scripts.run_script_rules(script_rules, readings).select(*anomalies.columns))
     # message header: the rule as documented (name, tenant, severity, join condition,
     # controls, conditions) plus its run window, reported from start - largest gap limit
-    header = (conditions.groupBy("rule_id")
-                        .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
-                             F.max(ru.gap_limit(F.col("data_frequency"))).alias("max_limit"))
-                        .join(docs.select("rule_id", "rule_name", "tenant_id", "severity", "join_condition",
-                                          "risk_register_controls", "conditions"), "rule_id"))
+    header = (run.groupBy("rule_id")
+                 .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
+                      F.max(ru.gap_limit(F.col("data_frequency"))).alias("max_limit"))
+                 .join(docs.select("rule_id", "rule_name", "tenant_id", "severity", "join_condition",
+                                   "risk_register_controls", "conditions"), "rule_id"))
     messages = ru.messages(anomalies, header)
     runs = (windows.groupBy("sensor_type").agg(F.max("next_run_time").alias("next_run_time"))
                    .select(F.lit(workflow_id).alias("workflow_id"), "sensor_type", "next_run_time"))
     new_state = lifecycle.advance_watermark(state, runs)
-    return RunResult(messages, anomalies, errors, new_state, windows)
+    return RunResult(messages, anomalies, errors, new_state, windows, graphs)

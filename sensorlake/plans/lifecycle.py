@@ -19,8 +19,8 @@ from ..sources.sinks import upsert
 def flatten_rules(docs: DataFrame) -> DataFrame:
     """PJ8/RU2: rule documents -> one row per rule x condition x asset, with the
     rule's join condition (empty is treated as "or", S6) and the asset list kept
-    as ``asset_ids`` (AND rules use the whole list)."""
-    c = docs.select("rule_id", "rule_name", "tenant_id", "severity",
+    as ``asset_ids`` (AND rules use the whole list) and, where documents have one, their ``rule_type``."""
+    c = docs.select("rule_id", "rule_name", "tenant_id", "severity", *[c for c in ("rule_type",) if c in docs.columns],
                     F.lower(F.coalesce(F.nullif(F.trim("join_condition"), F.lit("")), F.lit("or"))).alias("join_condition"),
                     F.inline("conditions"))
     return c.withColumn("asset_ids", F.col("asset_id")).withColumn("asset_id", F.explode("asset_id"))

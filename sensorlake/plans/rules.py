@@ -376,7 +376,7 @@ def member_intervals(readings: DataFrame, conditions: DataFrame | RulePlan, coun
         parts.append(count_cells(readings, plan).select(*_MEMBER_ROW))
     if not parts:
         return readings.sparkSession.createDataFrame(
-            [], "rule_id int, condition_id int, asset_id long, n_members long, join_condition string, _scope string, "
+            [], f"rule_id int, condition_id int, asset_id {readings.schema['asset_id'].dataType.simpleString()}, n_members long, join_condition string, _scope string, "
                 "n_points long, n_counts long, start_time long, end_time long")
     return _union(parts)
 

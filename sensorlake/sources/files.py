@@ -27,12 +27,14 @@ CONDITION_DOC = StructType([
     StructField("wire", StringType()), StructField("function", StringType()),
     StructField("wire_length_from", StringType()), StructField("wire_length_to", StringType()),
     StructField("rule_run_frequency", IntegerType()), StructField("sensor_type", StringType()),
-    StructField("baseline_time", IntegerType()), StructField("threshold_unit", StringType())])
+    StructField("baseline_time", IntegerType()), StructField("threshold_unit", StringType()),
+    StructField("path", StringType())])
 RULE_DOC = StructType([
     StructField("rule_id", IntegerType()), StructField("rule_name", StringType()),
     StructField("tenant_id", StringType()), StructField("join_condition", StringType()),
     StructField("severity", StringType()), StructField("risk_register_controls", ArrayType(IntegerType())),
-    StructField("operation", StringType()), StructField("conditions", ArrayType(CONDITION_DOC))])
+    StructField("operation", StringType()), StructField("rule_type", StringType()),
+    StructField("conditions", ArrayType(CONDITION_DOC))])
 
 
 def read_landing(spark: SparkSession, path: str, schema: StructType = LANDING_SCHEMA,
