@@ -225,8 +225,8 @@ FROM s WHERE sd IS NOT NULL AND sd <> 0 AND abs((value - m) / sd) > {WN4_T}
 def wn4_trailing_zscore(spark: SparkSession, sf: str) -> DataFrame:
     """WN4: z-score against the previous 3 days (current row excluded, sample std), |z| > 1.5."""
     r = readings(spark, sf).select("asset_id", "parameter", "epoch", "value")
-    z = wn.trailing_zscore(r, ["asset_id", "parameter"], "epoch", "value", WN4_D, ">", WN4_T)
-    # the linear method agrees to about 1e-9 relative; |z| reaches some hundreds in near-constant windows
+    # running totals: one shuffle, no copies; they agree to about 1e-9 relative where four decimals are compared
+    z = wn.trailing_zscore(r, ["asset_id", "parameter"], "epoch", "value", WN4_D, ">", WN4_T, method="running")
     return z.filter("flag").select("asset_id", "parameter", "epoch", "value", F.round("zscore", 4).alias("zscore"))
 
 
@@ -451,3 +451,5 @@ from . import catalog_aggs  # noqa: E402,F401  (registers its queries)
 from . import catalog_fibre  # noqa: E402,F401
 from . import catalog_misc  # noqa: E402,F401
 from . import catalog_rules  # noqa: E402,F401
+from . import catalog_sources  # noqa: E402,F401
+from . import catalog_streams  # noqa: E402,F401

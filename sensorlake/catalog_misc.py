@@ -499,14 +499,10 @@ def st4_exact_combinations(spark: SparkSession, sf: str) -> DataFrame:
 
 GO6_MIDNIGHT = 1705708800  # 2024-01-20 00:00:00 UTC
 GO6_SQL = f"""
-WITH old AS (SELECT * FROM {_gold_sql(None, GO6_MIDNIGHT + DAY - 1)}),
-new AS (SELECT * FROM {_gold_sql(GO6_MIDNIGHT, None)})
-SELECT o.asset_id, o.tag, o.parameter, o.timestamp, round(coalesce(n.value, o.value), 6) AS value
-FROM old o LEFT JOIN new n USING (asset_id, tag, parameter, timestamp)
-UNION ALL
-SELECT n.asset_id, n.tag, n.parameter, n.timestamp, round(n.value, 6) FROM new n
-WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.asset_id = n.asset_id AND o.tag = n.tag
-                  AND o.parameter = n.parameter AND o.timestamp = n.timestamp)
+WITH old AS MATERIALIZED (SELECT * FROM {_gold_sql(None, GO6_MIDNIGHT + DAY - 1)}),
+new AS MATERIALIZED (SELECT * FROM {_gold_sql(GO6_MIDNIGHT, None)})
+SELECT asset_id, tag, parameter, timestamp, round(coalesce(n.value, o.value), 6) AS value
+FROM old o FULL JOIN new n USING (asset_id, tag, parameter, timestamp)
 """
 
 
@@ -556,11 +552,7 @@ def sr8_delimited_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_discount")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensorlake-export-{uuid.uuid4().hex}"
     li.write.option("sep", ";@").option("header", "false").csv(path)
-    back = files.read_delimited(spark, path, ";@", ["l_orderkey", "l_linenumber", "l_returnflag", "l_discount"])
-    return back.select(F.col("l_orderkey").cast("long").alias("l_orderkey"),
-                       F.col("l_linenumber").cast("int").alias("l_linenumber"),
-                       F.col("l_returnflag").cast("string").alias("l_returnflag"),
-                       F.col("l_discount").cast("double").alias("l_discount"))
+    return files.read_delimited(spark, path, ";@", schema="l_orderkey long, l_linenumber int, l_returnflag string, l_discount double")
 
 
 SR1_SQL = """
@@ -572,8 +564,8 @@ FROM events
 
 @register("sr1_landing_roundtrip", SR1_SQL)
 def sr1_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """SR1/PJ1/PJ2/SK3: readings packed as landing messages (one JSON array body per asset
-    and day), written as JSON lines to the checkpoint folder, read back with the landing
+    """SR1/PJ1/PJ2/SK3: readings packed as landing messages (JSON array bodies, one for an
+    asset's ten minutes), written as JSON lines to the checkpoint folder, read back with the landing
     schema and exploded to bronze rows (tag, value, time, quality)."""
     import uuid
     from .session import ensure_checkpoint_dir
@@ -584,7 +576,8 @@ def sr1_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                     F.struct(F.col("value").alias("value"),
                              F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
                              F.lit("Good").alias("statusCode")).alias("value"))
-    msgs = (ev.groupBy("user_id", F.to_date("ts").alias("_day"))  # one message per asset and day
+    # one message per asset and ten minutes
+    msgs = (ev.groupBy("user_id", F.window(F.col("ts").cast("timestamp"), "10 minutes").alias("_page"))
               .agg(F.to_json(F.collect_list(item)).alias("body"))
               .select(F.lit("opc").alias("source_module"), "body"))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensorlake-landing-{uuid.uuid4().hex}"

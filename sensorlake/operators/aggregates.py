@@ -35,20 +35,61 @@ def pivot_tags(df: DataFrame, keys: Sequence[str], tag: str, value: str, tags: S
     return p
 
 
+def median_bracket(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = 1000) -> DataFrame:
+    """Per key the values between which the median's ranks must lie, each once with its count (``_v``, ``_c``), one
+    row for all rows below them (``_v`` null), and the key's number of rows (``_n``).
+
+    The bracket's ends come from a quantile sketch (bounded, merged map-side): it holds some ``4 / accuracy`` of a
+    key's rows, and equal values are one row after the map side.
+    """
+    x = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
+    reach = 2.0 / accuracy
+    ends = F.percentile_approx("_x", [0.5 - reach, 0.5 + reach], accuracy)
+    per = x.groupBy(*keys).agg(ends.alias("_b"), F.count(F.lit(1)).alias("_n"))
+    per = per.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_n")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    j = x.join(per, same, "inner") if keys else x.join(F.broadcast(per))  # without keys: one row
+    inside = F.when(F.col("_x") >= F.col("_lo"), F.col("_x"))
+    return j.filter(F.col("_x") <= F.col("_hi")).groupBy(*keys, inside.alias("_v"), "_n").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", accuracy: int = 1000) -> DataFrame:
+    """Exact median per key without holding a key's values: a sketch brackets the middle ranks, one more pass counts
+    what lies below and inside the bracket (``median_bracket``), and only that is ordered to pick them.
+    Nulls are left out (a key of nulls alone has no row), NaN is the largest value, as in Spark's own ``median``.
+    """
+    keys = list(keys)
+    line = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
+    counted = median_bracket(df, keys, value, accuracy).withColumn("_upto", F.sum("_c").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    first, last = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1  # the middle ranks, from 1
+    holds = [(F.col("_upto") >= r) & (F.col("_upto") - F.col("_c") < r) for r in (first, last)]
+    return counted.groupBy(*keys).agg(((F.max(F.when(holds[0], F.col("_v"))) + F.max(F.when(holds[1], F.col("_v")))) / 2).alias(out))
+
+
 def soft_tags(df: DataFrame, mapping: DataFrame, keys: Sequence[str], tag: str, value: str, ts: str) -> DataFrame:
-    """AG3: derived tags from tag sets, all in one aggregate.
+    """AG3: derived tags from tag sets, all in one aggregate (medians by ``exact_median``).
 
     ``mapping`` rows ``(output_tag, input_tag, function)`` with function one of
     average / maximum / median / sum (sum = rate). Our definition of the absent
     helpers (S7): per (keys, output tag) aggregate over the listed input tags,
-    timestamp = latest input time, quality ``Good``.
+    timestamp = latest input time, quality ``Good``. In a stream a median is Spark's own, over one window's values.
     """
     m = mapping.withColumnRenamed("input_tag", tag)
     j = df.join(m, tag)
     fn = F.first("function")
-    agg = j.groupBy(*keys, "output_tag").agg(
-        fn.alias("_fn"), F.avg(value).alias("_avg"), F.max(value).alias("_max"),
-        F.median(F.when(F.col("function") == "median", F.col(value))).alias("_med"), F.sum(value).alias("_sum"), F.max(ts).alias(ts))
+    wanted = F.when(F.col("function") == "median", F.col(value))
+    aggs = [fn.alias("_fn"), F.avg(value).alias("_avg"), F.max(value).alias("_max"), F.sum(value).alias("_sum"), F.max(ts).alias(ts)]
+    agg = j.groupBy(*keys, "output_tag").agg(*aggs, *([F.median(wanted).alias("_med")] if df.isStreaming else []))
+    if not df.isStreaming:
+        own = [*keys, "output_tag"]
+        med = exact_median(j.filter(F.col("function") == "median"), own, value, "_med")
+        same = F.lit(True)
+        for i, k in enumerate(own):
+            med = med.withColumnRenamed(k, f"_m{i}")
+            same = same & F.col(k).eqNullSafe(F.col(f"_m{i}"))
+        agg = agg.join(med, same, "left").drop(*[f"_m{i}" for i in range(len(own))])
     v = (F.when(F.col("_fn") == "average", F.col("_avg")).when(F.col("_fn") == "maximum", F.col("_max"))
           .when(F.col("_fn") == "median", F.col("_med")).when(F.col("_fn") == "sum", F.col("_sum")))
     return agg.select(*keys, F.col("output_tag").alias("tag_id"), v.alias("value"), ts, F.lit("Good").alias("quality"))

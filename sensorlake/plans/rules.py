@@ -438,7 +438,7 @@ def evaluate(readings: DataFrame, conditions: DataFrame | RulePlan, mode: str =
     return _union(parts) if parts else every.select(*_ANOMALY)
 
 
-def messages(anomalies: DataFrame, rules: DataFrame, page: int = 1000) -> DataFrame:
+def messages(anomalies: DataFrame, rules: DataFrame, page: int = 1000, cell: int = 60) -> DataFrame:
     """JSON messages of the rules with anomalies (RU14):
     ``{"anomalies": [{start_time, end_time, asset_id}...], "time_range": {"start", "end"},
     "rule": {...}}``, one row ``rule_id, page, message`` per rule and ``page`` anomalies.
@@ -447,15 +447,15 @@ def messages(anomalies: DataFrame, rules: DataFrame, page: int = 1000) -> DataFr
     optionally ``max_limit`` (the largest gap limit of its members; the reported
     range starts that much earlier, as the hits were read from there), and any
     rule fields, which form the ``rule`` object. A rule's anomalies are ordered
-    by (start, end, asset) and numbered in blocks of a day, so that neither a
-    rule's list nor its ordering is one task's.
+    by (start, end, asset) and numbered in cells of ``cell`` seconds: only the cells' counts are summed over a
+    rule, so a wildcard rule's day over all assets is many tasks.
     """
-    a = anomalies.select(*_ANOMALY).withColumn("_day", F.floor(F.col("start_time") / 86400))
-    days = a.groupBy("rule_id", "_day").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("rule_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("rule_id", "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("rule_id", "_day").orderBy("start_time", "end_time", F.col("asset_id").asc_nulls_first())
-    a = a.withColumn("_r", F.row_number().over(inside)).join(days, ["rule_id", "_day"], "inner")
+    a = anomalies.select(*_ANOMALY).withColumn("_cell", F.floor(F.col("start_time") / cell))
+    cells = a.groupBy("rule_id", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("rule_id").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("rule_id", "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("rule_id", "_cell").orderBy("start_time", "end_time", F.col("asset_id").asc_nulls_first())
+    a = a.withColumn("_r", F.row_number().over(inside)).join(cells, ["rule_id", "_cell"], "inner")
     a = a.withColumn("page", F.floor((F.col("_before") + F.col("_r") - 1) / page).cast("int"))
     per = (a.groupBy("rule_id", "page")
             .agg(F.sort_array(F.collect_list(F.struct("start_time", "end_time", "asset_id"))).alias("anomalies")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField, StructType)
 
 from ..operators.chunks import carry
+from .sinks import APPENDED
 
 # Landing envelope and its JSON body (one reading per array element).
 LANDING_SCHEMA = StructType([StructField("source_module", StringType()), StructField("body", StringType())])
@@ -60,9 +61,7 @@ def landing_to_bronze(df: DataFrame, reset_date: str | None = None) -> DataFrame
 
 def read_stream_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
                       max_files: int | None = None) -> DataFrame:
-    """SR4: stream a file table (new files only). The change-tolerance options of
-    the reference (skip change commits, ignore deletes) are Delta-only; a plain
-    file source never sees updates."""
+    """SR4: stream a file table that is only appended to (every new file)."""
     r = spark.readStream.format(fmt)
     if schema is not None:
         r = r.schema(schema)
@@ -71,6 +70,23 @@ def read_stream_table(spark: SparkSession, path: str, fmt: str = "parquet", sche
     return r.load(path)
 
 
+def read_appended(spark: SparkSession, path: str, schema: StructType | str, max_files: int | None = None,
+                  day_col: str = "day") -> DataFrame:
+    """SR4: change-tolerant stream over a day-partitioned table: every row that ``sinks.append_days`` appended, once.
+
+    Days that were rewritten (``replace_days``, ``upsert_days``, ``refresh_days``) and days that were
+    dropped are passed over: rewritten files carry another name, and appended files of a rewritten
+    day are found, under their old name, where the rewrite moved them. Files are told apart by name alone, so a
+    moved file is not read twice. ``schema`` is the appended rows' (without the day).
+    """
+    names = f"{path.rstrip('/')}{{,_appended}}/{day_col}=*"
+    r = (spark.readStream.schema(schema).option("pathGlobFilter", f"{APPENDED}-*").option("fileNameOnly", "true")
+              .option("maxFileAge", "36500d").option("ignoreMissingFiles", "true"))
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(names)
+
+
 def landing_errors(df: DataFrame) -> DataFrame:
     """Landing messages whose body is no array of readings: ``source_module, body,
     error``. ``landing_to_bronze`` has no row for them; this is where they go."""
@@ -114,9 +130,21 @@ def parse_block_text(lines: DataFrame, start_re: str, end_re: str, file_col: str
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text files as (file, line_no, value): whole files, line numbers per file."""
-    df = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    return split_lines(df, "file", "value")
+    """SR6: text files as (file, line_no, value), line numbers from 1 per file.
+
+    Files are read in Spark's splits, so a file of any size is many tasks and no value holds more than a
+    line. A line's number is its place in its split (rows of a split have consecutive ids) plus the
+    lines of the file's splits before it, which is a running sum over one row per split.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_id"), F.regexp_replace("value", "\r$", "").alias("value"))
+    splits = lines.groupBy("file", "_at").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(F.col("file").alias("_f"), F.col("_at").alias("_a"), "_first",
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = lines.join(splits, (F.col("file") == F.col("_f")) & (F.col("_at") == F.col("_a")), "inner")
+    return numbered.select("file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "value")
 
 
 def split_lines(df: DataFrame, file_col: str, text: str, sep: str = "\r?\n") -> DataFrame:

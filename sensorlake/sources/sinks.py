@@ -1,8 +1,7 @@
 """Sinks and table maintenance (SK1-SK3, SK5, SK6, SK9, SK10).
 
-Long tables are partitioned by day and updated by day: ``replace_days`` (Spark's
-dynamic partition overwrite) rewrites only the days that the new rows touch, the
-other days' files stay as they are. Small tables without a day are written as a
+Long tables are partitioned by day and updated by day: ``replace_days`` rewrites only
+the days that the new rows touch, the other days' files stay as they are. Small tables without a day are written as a
 new version folder and readers follow the newest complete version;
 ``upsert``/``delete_matching`` return the new table content as a DataFrame so the
 caller picks the write.
@@ -10,6 +9,7 @@ caller picks the write.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -162,13 +162,66 @@ def day_of(ts: str, df: DataFrame):
     return F.to_date(F.timestamp_seconds(F.col(ts))) if numeric else F.to_date(F.col(ts))
 
 
-def replace_days(df: DataFrame, path: str, ts: str, day_col: str = "day") -> None:
+#: File names of rows that were appended; rows that a rewrite placed keep Spark's own prefix.
+APPENDED = "append"
+
+
+def clustered(df: DataFrame, day_col: str, cluster_by: Sequence[str], ts: str) -> DataFrame:
+    """Rows dealt to tasks by ranges of (day, cluster keys, time) and sorted so.
+
+    A hot day is many tasks and files, several small days share a task (AQE joins small neighbouring
+    ranges), and files of a day hold disjoint ranges of the cluster keys, so that row-group statistics still
+    let tag, asset and time filters skip them.
+    """
+    order = list(dict.fromkeys([day_col, *cluster_by, ts]))
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def append_days(df: DataFrame, path: str, ts: str, cluster_by: Sequence[str] = (), day_col: str = "day") -> None:
+    """Rows appended to a day-partitioned table, in files that a stream over the table sees
+    (``files.read_appended``)."""
+    d = clustered(df.withColumn(day_col, day_of(ts, df)), day_col, cluster_by, ts)
+    d.write.mode("append").option("mapreduce.output.basename", APPENDED).partitionBy(day_col).parquet(path)
+
+
+def appended_path(path: str) -> str:
+    """Where appended files go when their day is rewritten: streams that have not read them yet find them there."""
+    return f"{path.rstrip('/')}_appended"
+
+
+def _move(fs, jvm, source, folder: str) -> None:
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+    if not fs.rename(source, jvm.org.apache.hadoop.fs.Path(f"{folder}/{source.getName()}")):
+        raise OSError(f"cannot move {source} to {folder}")
+
+
+def replace_days(df: DataFrame, path: str, ts: str, cluster_by: Sequence[str] = (), day_col: str = "day") -> None:
     """Rows of whole days written in place of those days' partitions of a
-    day-partitioned table; days that ``df`` does not hold are not touched. Spark
-    stages the new files and swaps them in when all tasks are done."""
-    d = df.withColumn(day_col, day_of(ts, df))
-    (d.repartition(day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-      .partitionBy(day_col).parquet(path))
+    day-partitioned table; days that ``df`` does not hold are not touched.
+
+    The new files are written beside the table first (``df`` may read the very days it replaces), a day in as
+    many tasks and files as it asks for (``clustered``). Then each day's folder is swapped: files of appended rows
+    move to ``appended_path``, where streams still find them, others go, and the new ones move in.
+    """
+    spark = df.sparkSession
+    fs, table = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    staged = f"{path.rstrip('/')}/_staged_{uuid.uuid4().hex}"
+    clustered(df.withColumn(day_col, day_of(ts, df)), day_col, cluster_by, ts).write.partitionBy(day_col).parquet(staged)
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(staged)):
+        name = st.getPath().getName()
+        if not st.isDirectory() or not name.startswith(f"{day_col}="):
+            continue
+        old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+        for f in fs.listStatus(old) if fs.exists(old) else []:
+            if f.getPath().getName().startswith(f"{APPENDED}-"):
+                _move(fs, jvm, f.getPath(), f"{appended_path(path)}/{name}")
+            else:
+                fs.delete(f.getPath(), True)
+        for f in fs.listStatus(st.getPath()):
+            _move(fs, jvm, f.getPath(), f"{path.rstrip('/')}/{name}")
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+    spark.catalog.refreshByPath(path)
 
 
 def _touched(spark: SparkSession, path: str, source: DataFrame, ts: str, day_col: str) -> DataFrame:
@@ -180,29 +233,31 @@ def _touched(spark: SparkSession, path: str, source: DataFrame, ts: str, day_col
 def upsert_days(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], ts: str,
                 set_cols: Sequence[str] | None = None, day_col: str = "day") -> None:
     """SK5/SK7/GO6 on a day-partitioned table: ``upsert`` of the touched days only.
-    ``keys`` must fix the day (hold ``ts`` or a bucket of it)."""
+    ``keys`` must fix the day (hold ``ts`` or a bucket of it); files are clustered by them."""
     merged = upsert(_touched(spark, path, source, ts, day_col), source, keys, set_cols)
-    replace_days(merged, path, ts, day_col)
+    replace_days(merged, path, ts, keys, day_col)
 
 
 def refresh_days(spark: SparkSession, path: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame],
-                 ts: str, day_col: str = "day") -> None:
+                 ts: str, cluster_by: Sequence[str] = (), day_col: str = "day") -> None:
     """GO7 and the like: ``merge(old rows of the touched days, source)`` replaces
     those days, e.g. with ``resample.refresh_gold``."""
-    replace_days(merge(_touched(spark, path, source, ts, day_col), source), path, ts, day_col)
+    replace_days(merge(_touched(spark, path, source, ts, day_col), source), path, ts, cluster_by, day_col)
 
 
 def drop_days_before(spark: SparkSession, path: str, cutoff_day: str, day_col: str = "day") -> list[str]:
     """PB7/SK6 on a day-partitioned table: remove whole days before ``cutoff_day``
     (``YYYY-MM-DD``); nothing is rewritten. Returns the removed days."""
-    fs, p = _fs(spark, path)
     gone = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{day_col}=") and name.split("=", 1)[1] < cutoff_day:
-            fs.delete(st.getPath(), True)
-            gone.append(name.split("=", 1)[1])
-    return sorted(gone)
+    for folder in (path, appended_path(path)):
+        fs, p = _fs(spark, folder)
+        for st in fs.listStatus(p) if fs.exists(p) else []:
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(f"{day_col}=") and name.split("=", 1)[1] < cutoff_day:
+                fs.delete(st.getPath(), True)
+                gone.append(name.split("=", 1)[1])
+    spark.catalog.refreshByPath(path)
+    return sorted(set(gone))
 
 
 def retain_version(spark: SparkSession, base: str, ts: str, cutoff, partition_by: Sequence[str] = ()) -> str | None:
