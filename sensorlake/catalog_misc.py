@@ -107,6 +107,23 @@ def go7_refresh_gold(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("asset_id", "tag", "parameter", "timestamp", _r6(), "bucket_start")
 
 
+@register("go7_refresh_days", GO7_SQL)
+def go7_refresh_days(spark: SparkSession, sf: str) -> DataFrame:
+    """GO7/SK7 on a table: the days that the recomputation holds are rewritten, the others stay."""
+    import uuid
+    from .session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensorlake-gold-{uuid.uuid4().hex}"
+    day = (F.col("timestamp") - F.pmod("timestamp", F.lit(DAY))).alias("bucket_start")
+    keys = ["asset_id", "tag"]
+    sinks.append_days(_gold(spark, sf, until=GO7_OLD_END).select("asset_id", "tag", "parameter", "timestamp", "value", day), path, "bucket_start", keys)
+
+    def merge(old, new):
+        return resample.refresh_gold(old.drop("bucket_start"), new.drop("bucket_start"), keys, DAY)
+    new = _gold(spark, sf, since=GO7_NEW_START).select("asset_id", "tag", "parameter", "timestamp", "value", day)
+    sinks.refresh_days(spark, path, new, merge, "bucket_start", keys)
+    return spark.read.parquet(path).select("asset_id", "tag", "parameter", "timestamp", _r6(), "bucket_start")
+
+
 GO8_SQL = f"""
 WITH g AS (SELECT * FROM {_gold_sql(None, GO7_OLD_END)} UNION ALL SELECT * FROM {_gold_sql(GO7_NEW_START, None)}),
 a AS (SELECT asset_id, tag, parameter, timestamp - timestamp % {DAY} AS bucket_start,

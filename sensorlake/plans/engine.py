@@ -6,8 +6,9 @@ watermark and the newest data (RU13, CH1, AG14) -> due rules only -> anomalies
 of all rules together (RU10, RU11) and of script rules (RU15, RU16) -> messages
 (RU14) -> advanced watermark (CH1).
 
-Nothing loops over rules on the driver. Driver reads are configuration facts:
-the summary of the condition table (``rules.prepare``) and one row per sensor
+Nothing loops over rules on the driver. The due rules (rules x conditions x assets) are written once as a
+table of their own. Driver reads are configuration facts:
+the condition table or its summary (``rules.prepare``) and one row per sensor
 type with its newest data time, which is read once and only from the stored
 watermark on.
 """
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import local_frame
+from ..session import cut_lineage, local_frame
 from . import lifecycle, scripts
 from . import rules as ru
 
@@ -97,7 +98,8 @@ def run_rules(docs: DataFrame, assets: DataFrame, readings: DataFrame, state: Da
     windows = lifecycle.execution_window(per, engine_period, downtime, now)
     due = windows.filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
 
-    run = cond.join(due.select("rule_id", "sensor_type", "start_time", "end_time"), ["rule_id", "sensor_type"], "inner")
+    # the due rules as a table of their own: every kind's plan reads it several times
+    run = cut_lineage(cond.join(due.select("rule_id", "sensor_type", "start_time", "end_time"), ["rule_id", "sensor_type"], "inner"))
     conditions = (run.filter(F.col("function") != SCRIPT)
                      .select("rule_id", "condition_id", "asset_id", "parameter", "function", "operator",
                              "threshold", F.col("duration").cast("long").alias("duration"),

@@ -34,7 +34,7 @@ from ..functions.scalars import OPERATORS, pct_change
 from ..operators.intervals import all_present, intersect_members
 from ..operators.islands import islands
 from ..operators.windows import forward_average, trailing_stats
-from ..session import estimated_bytes
+from ..session import estimated_bytes, local_frame
 from . import ladder
 
 CONDITION_SCHEMA = StructType([
@@ -147,28 +147,34 @@ def prepare(conditions: DataFrame) -> RulePlan:
     ``asset_id`` null means "every asset, evaluated per asset": the condition
     is joined to the readings on ``parameter`` only, and AND combines the
     rule's conditions per asset. Otherwise members are (condition, asset)
-    pairs of the rule. The facts come from one aggregate with a row per kind,
-    duration and scope, whatever the number of rules. A kind outside ``KINDS``
+    pairs of the rule. Conditions that the plan estimates at no more than ``SMALL_BYTES`` are read once and go on
+    as local rows, so that no step over rules shuffles or runs again; of more, only the facts are read,
+    one row per kind, duration and scope. A kind outside ``KINDS``
     raises; ``dispatch`` turns documents' names into kinds and errors.
     """
-    for f in CONDITION_SCHEMA.fields:
-        if f.name not in conditions.columns:
-            conditions = conditions.withColumn(f.name, F.lit(None).cast(f.dataType))
-    if estimated_bytes(conditions) <= SMALL_BYTES:  # one partition: no shuffle between the steps over a few rules
-        conditions = conditions.coalesce(1)
-    w = Window.partitionBy("rule_id")
-    c = (conditions.withColumn("kind", F.lower("function")).withColumn("limit", gap_limit(F.col("data_frequency")))
-                   .withColumn("join_condition", F.lower(F.coalesce(F.col("join_condition"), F.lit("or"))))
-                   .withColumn("n_members", F.count(F.lit(1)).over(w))
-                   .withColumn("n_points", F.count(F.when(F.col("kind").isin(*POINT_KINDS), 1)).over(w))
-                   .withColumn("n_counts", F.count(F.when(F.col("kind") == "count", 1)).over(w)))
-    is_and = (F.col("join_condition") == "and") & (F.col("n_members") > 1)
-    mixed = is_and & (F.col("n_counts") > 0) & (F.col("n_counts") < F.col("n_members"))
-    early = F.greatest(F.coalesce("limit", F.lit(0)), F.coalesce("duration", F.lit(0)))
-    rows = (c.groupBy("kind", "duration", F.col("asset_id").isNull().alias("wild"), is_and.alias("is_and"))
-             .agg(F.min(F.col("start_time") - early).alias("lo"), F.max("end_time").alias("hi"),
-                  F.min("baseline_time").alias("base_lo"), F.max("baseline_time").alias("base_hi"),
-                  F.max(mixed).alias("mixed")).collect())
+    spark = conditions.sparkSession
+    missing = [f for f in CONDITION_SCHEMA.fields if f.name not in conditions.columns]
+    c = conditions.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+    small = estimated_bytes(c) <= SMALL_BYTES
+    if small:
+        c = c.coalesce(1)
+    points = ", ".join(f"'{k}'" for k in POINT_KINDS)
+    c = c.withColumns({"kind": F.lower("function"), "limit": gap_limit(F.col("data_frequency")),
+                       "join_condition": F.lower(F.coalesce(F.col("join_condition"), F.lit("or")))})
+    c = c.selectExpr("*", "count(1) OVER (PARTITION BY rule_id) AS n_members",
+                     f"count(CASE WHEN kind IN ({points}) THEN 1 END) OVER (PARTITION BY rule_id) AS n_points",
+                     "count(CASE WHEN kind = 'count' THEN 1 END) OVER (PARTITION BY rule_id) AS n_counts")
+    facts = ["start_time - greatest(coalesce(limit, 0), coalesce(duration, 0)) AS lo", "end_time AS hi", "baseline_time AS base_lo",
+             "baseline_time AS base_hi", "asset_id IS NULL AS wild", "join_condition = 'and' AND n_members > 1 AS is_and"]
+    if small:  # read once; from here on the rules are local rows of the plan
+        rows = [{**r.asDict(), "mixed": r["is_and"] and 0 < r["n_counts"] < r["n_members"]} for r in c.selectExpr("*", *facts).collect()]
+        c = local_frame(spark, [tuple(r[n] for n in c.columns) for r in rows], c.schema).coalesce(1)
+    else:
+        mixed = "is_and AND n_counts > 0 AND n_counts < n_members"
+        rows = (c.selectExpr("kind", "duration", "n_counts", "n_members", *facts).selectExpr("*", f"{mixed} AS mixed")
+                 .groupBy("kind", "duration", "wild", "is_and").agg(
+                     F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("base_lo").alias("base_lo"),
+                     F.max("base_hi").alias("base_hi"), F.max("mixed").alias("mixed")).collect())
     kinds: dict[str, KindFacts] = {}
     for r in rows:
         if r["kind"] not in KINDS:
@@ -184,7 +190,7 @@ def prepare(conditions: DataFrame) -> RulePlan:
     return RulePlan(c, kinds, any(r["is_and"] for r in rows), any(not r["is_and"] for r in rows), any(r["mixed"] for r in rows))
 
 
-#: Conditions that the plan estimates at no more than this lie in one partition.
+#: Conditions that the plan estimates at no more than this are local rows of the plan.
 SMALL_BYTES = 4 << 20
 
 #: What the series of a kind depends on, besides asset, parameter and sensor type.

@@ -12,6 +12,7 @@ import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -95,7 +96,7 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+def local_frame(spark: SparkSession, rows, schema: str | StructType) -> DataFrame:
     """Small configuration frame (rule specs, coefficient tables) built from an Arrow table with the declared
     types, whatever the session's Arrow setting: no Python worker is needed to read it on the executors, and
     a null leaves a long column long."""
@@ -103,7 +104,7 @@ def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    st = _parse_datatype_string(schema)
+    st = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
     rows = list(rows)
     if not rows:
         return spark.createDataFrame([], st)
