@@ -23,6 +23,9 @@ SESSION_DEFAULTS = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
 def get_spark(master: str | None = None, app: str = "sensorlake",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with UTC time, AQE and the web UI off."""
@@ -50,13 +53,26 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def share_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from the driver's place, where they can see it and do not
-    have it otherwise (a local master started in another folder)."""
-    root = str(Path(__file__).resolve().parents[1])
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    """Let Python workers import this package: a local master's from the driver's place, a cluster's from an
+    archive that Spark sends to every executor, once per context."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        root = str(Path(__file__).resolve().parents[1])
+        env = sc.environment
+        paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    elif sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        folder = tempfile.mkdtemp(prefix="sensorlake-package-")  # on the driver, which serves the archive from here
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.addPyFile(package_archive(folder))
+
+
+def package_archive(folder: str) -> str:
+    """This package as a zip archive that Python imports from."""
+    package = Path(__file__).resolve().parent
+    return shutil.make_archive(f"{folder}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
