@@ -216,27 +216,34 @@ def damage(turns: DataFrame) -> DataFrame:
 
 
 # conversations -> segments ---------------------------------------------------------------------------
+#: A row that says the next one, of the same key, is a duplicate.
+REPEATS = -1
+
+
 def judged(turns: DataFrame, dropped: str | None) -> DataFrame:
-    """Turns with their first fault (0 none, 1 blank, 2 duplicate, 3 truncated) and a number, ``_id``.
+    """Turns with a number, ``_id``, and the first fault that each shows by itself (0 none, 1 blank, 3 truncated),
+    and for every duplicate one more row of the same key without text, of fault ``REPEATS``.
 
     A duplicate's role and text were seen earlier in its conversation: the first row of each such digest is
     found by one aggregate, and only digests of several rows come back, so a hot conversation is not one group.
+    Digests and numbers are shuffled for it, not texts.
     """
     rows = turns.select(
         "conv_id", "turn", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")],
         (F.col(dropped) if dropped else F.lit(False)).alias("dropped"))
-    rows = rows.withColumn("_tie", F.md5("text")).withColumn("_id", F.monotonically_increasing_id())
-    digest = F.md5(F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.lit(":"), F.length("role").cast("string"),
-                            F.lit(":"), "role", F.lit(":"), "_tie"))
-    rows = cut_lineage(rows.withColumn("_digest", digest))
+    rows = rows.withColumn("_tie", F.unhex(F.md5("text"))).withColumn("_id", F.monotonically_increasing_id())
+    same = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.lit(":"), F.length("role").cast("string"),
+                    F.lit(":"), "role", F.lit(":"), F.hex("_tie"))
+    bare = F.rtrim("text", F.lit(BLANKS))
+    fault = F.when(bare == "", F.lit(1)).when(~F.substring(bare, -1, 1).isin(".", "!", "?"), F.lit(3)).otherwise(F.lit(0))
+    rows = cut_lineage(rows.withColumn("_digest", F.unhex(F.md5(same))).withColumn("fault", fault))
     order = F.struct(F.col("turn").isNotNull().alias("known"), "turn", "_id")
     first = rows.filter(~F.col("dropped")).groupBy("_digest").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
     first = first.filter("_n > 1").select(F.col("_digest").alias("_d"), F.col("_first._id").alias("_first"))
-    rows = rows.join(first, F.col("_digest") == F.col("_d"), "left")
-    bare = F.rtrim("text", F.lit(BLANKS))
-    fault = (F.when(bare == "", F.lit(1)).when(F.col("_first") != F.col("_id"), F.lit(2))
-             .when(~F.substring(bare, -1, 1).isin(".", "!", "?"), F.lit(3)).otherwise(F.lit(0)))
-    return rows.select("conv_id", "turn", "role", "text", "dropped", "_tie", "_id", fault.alias("fault"))
+    key = ["conv_id", "turn", "role", "_tie", "_id"]
+    again = rows.filter(~F.col("dropped")).select(*key, "_digest").join(first, F.col("_digest") == F.col("_d"), "inner")
+    again = again.filter(F.col("_first") != F.col("_id")).select(*key, F.lit(REPEATS).alias("fault"))
+    return rows.drop("_digest").unionByName(again, allowMissingColumns=True)
 
 
 class Segment:
@@ -300,7 +307,7 @@ def segments(turns: DataFrame, dropped: str | None, with_turns: bool, segment_tu
     """
     rows = judged(turns, dropped)
     key = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role").asc(), F.col("_tie").asc(), F.col("_id").asc()]
-    rows = rows.repartitionByRange(*key).sortWithinPartitions(*key)
+    rows = rows.repartitionByRange(*key).sortWithinPartitions(*key, "fault")  # a duplicate's mark comes before it
     kind = turns.schema["conv_id"].dataType.simpleString()
 
     def run(batches):
@@ -308,6 +315,7 @@ def segments(turns: DataFrame, dropped: str | None, with_turns: bool, segment_tu
         done: list[tuple] = []
         held = 0  # bytes of the turns in done
         current, begun = None, True  # the task's first conversation may have begun in the task before
+        marked = None
 
         def take(segment: Segment, whole: bool) -> None:
             nonlocal number, held
@@ -328,7 +336,12 @@ def segments(turns: DataFrame, dropped: str | None, with_turns: bool, segment_tu
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            for conv_id, turn, role, text, gone, fault in zip(*(c.to_pylist() for c in batch.columns)):
+            for conv_id, turn, role, text, gone, fault, number_ in zip(*(c.to_pylist() for c in batch.columns)):
+                if fault == REPEATS:
+                    marked = number_
+                    continue
+                if number_ == marked and fault != 1:
+                    fault = 2
                 if current is None or current.conv_id != conv_id:
                     if current is not None:
                         take(current, whole=not begun)
@@ -350,7 +363,7 @@ def segments(turns: DataFrame, dropped: str | None, with_turns: bool, segment_tu
            "repaired array<struct<role: string, text: string>>, "
            f"facts struct<{', '.join(f'{c}: ' + ('string' if t == pa.string() else 'long') for c, t in FACTS.items())}>, "
            "costs array<long>, audits array<string>, turns array<struct<role: string, text: string>>")
-    return rows.select("conv_id", "turn", "role", "text", "dropped", "fault").mapInArrow(run, out)
+    return rows.select("conv_id", "turn", "role", "text", "dropped", "fault", "_id").mapInArrow(run, out)
 
 
 def _segments(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
