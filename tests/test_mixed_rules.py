@@ -109,3 +109,15 @@ def test_mixed_and_over_explicit_assets(spark):
     readings = local_frame(spark, rows, "asset_id long, parameter string, epoch long, value double, k int")
     c = _conditions(spark, [(5, 1, 1, "p", "raw", ">", 5.0, 0, 10, "and"), (5, 2, 2, "e", "count", ">=", 1.0, 50, 10, "and")], 200)
     assert [tuple(r) for r in ru.evaluate(readings, c).collect()] == [(5, None, 50, 90)]
+
+
+def test_large_rule_tables_give_the_same(spark, monkeypatch):
+    """Rules that are not made local rows (a large rule table) take the distributed path."""
+    rng = random.Random(5)
+    rows = [(rng.randrange(3), rng.choice("pqe"), rng.randrange(0, 300, 10), rng.choice([1.0, 5.0, 9.0]), None) for _ in range(200)]
+    readings = local_frame(spark, rows, "asset_id long, parameter string, epoch long, value double, k int")
+    c = _conditions(spark, [(1, 1, None, "p", "raw", ">", 4.0, 0, 10, "and"), (1, 2, None, "e", "count", ">=", 2.0, 40, 10, "and"),
+                            (2, 1, None, "q", "avg", "<", 6.0, 30, 10, "or"), (3, 1, 1, "q", "magnitude", ">", 4.0, 0, 10, "or")], 300)
+    small = sorted(map(repr, ru.evaluate(readings, c).collect()))
+    monkeypatch.setattr(ru, "SMALL_BYTES", -1)
+    assert sorted(map(repr, ru.evaluate(readings, c).collect())) == small and small
