@@ -54,15 +54,22 @@ def _folder(spark: SparkSession) -> str:
 
 def run_arrivals(rows: DataFrame, start: Callable[[DataFrame, str], StreamingQuery]) -> str:
     """One availableNow run after each arrival's files: ``start(stream, folder)`` begins the query on the files so far,
-    always with the same checkpoint. Returns the folder."""
+    always with the same checkpoint. State is kept in no more partitions than twice the cores, as every batch
+    visits them all. Returns the folder."""
     spark, folder = rows.sparkSession, _folder(rows.sparkSession)
     rows.write.partitionBy("arrival").parquet(f"{folder}/all")
     held = spark.read.parquet(f"{folder}/all")
     columns = [c for c in rows.columns if c != "arrival"]
+    own = spark.conf.get("spark.sql.shuffle.partitions")
     for i in range(ARRIVALS):
         held.filter(F.col("arrival") == i).select(*columns).write.parquet(f"{folder}/in/{i}")
         stream = spark.readStream.schema(held.select(*columns).schema).parquet(f"{folder}/in/*")
-        start(stream, folder).awaitTermination()
+        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(own), 2 * spark.sparkContext.defaultParallelism)))
+        try:
+            query = start(stream, folder)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", own)
+        query.awaitTermination()
     return folder
 
 

@@ -4,6 +4,8 @@ import pytest
 import test_catalog
 from test_catalog import con  # noqa: F401
 
+import __spark_entry__ as entry
+
 NAMES = ["ru9_fibre_rule_engine", "ru3_rule_errors", "ru13_execution_windows", "ml2_linear_prediction", "ag3_soft_tags", "ru5_sliding_avg_islands"]
 
 
@@ -11,6 +13,6 @@ NAMES = ["ru9_fibre_rule_engine", "ru3_rule_errors", "ru13_execution_windows", "
 def test_query_matches_oracle_without_arrow(spark, con, name):  # noqa: F811
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
     try:
-        test_catalog.test_query_matches_oracle(spark, con, name)
+        test_catalog.check_query(con, name, entry.queries()[name](spark, test_catalog.SF))
     finally:
         spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
