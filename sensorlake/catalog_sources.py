@@ -155,9 +155,10 @@ FROM (SELECT s_name AS asset_id, unnest(range(0, 3600)) AS epoch FROM supplier)
 @register("sk11_generated_gauges", SK11_SQL)
 def sk11_generated_gauges(spark: SparkSession, sf: str) -> DataFrame:
     """SK11: an hour of generated gauge rows for every supplier as asset, five minutes of anomalies injected."""
-    assets = [r["s_name"] for r in table(spark, sf, "supplier").select("s_name").distinct().collect()]  # configuration of the generator
-    g = generate.generate_gauge(spark, 0, 3600, assets, {"pressure": (10.0, 20.0), "temperature": (50.0, 60.0)},
-                                anomalies=[(a, 600, 899, "pressure", 99.0) for a in assets])
+    assets = table(spark, sf, "supplier").select(F.col("s_name").alias("asset_id")).distinct()
+    windows = assets.select("asset_id", F.lit(0).alias("n"), F.lit(600).alias("start_time"), F.lit(899).alias("end_time"),
+                            F.lit("pressure").alias("column"), F.lit(99.0).alias("value"))
+    g = generate.generate_gauge(spark, 0, 3600, assets, {"pressure": (10.0, 20.0), "temperature": (50.0, 60.0)}, anomalies=windows)
     ok = ((F.col("pressure").between(10, 20) | (F.col("pressure") == 99)) & F.col("temperature").between(50, 60))
     return g.groupBy("asset_id").agg(F.count(F.lit(1)).alias("n_rows"), F.min("epoch_timestamp").alias("first_time"),
                                      F.max("epoch_timestamp").alias("last_time"), F.count(F.when(F.col("pressure") == 99, 1)).cast("int").alias("n_anomalies"),
