@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import local_frame
+from ..session import even_tasks, local_frame
 
 #: Seconds that one asset's row of the plan stands for before they are written out.
 BLOCK = 3600
@@ -48,8 +48,7 @@ def generate_gauge(spark: SparkSession, start: int, end: int, assets: DataFrame
         df = df.withColumn(f"_windows_{i}", F.filter(f"_windows_{i}", lambda w: (
             w["start_time"] < F.col("_from") + BLOCK) & (w["end_time"] >= F.col("_from"))))
     # a fixed number of tasks: the blocks are few bytes, and Spark would put them into one
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    df = df.repartition(tasks, "asset_id", "_from")
+    df = df.repartition(even_tasks(spark), "asset_id", "_from")
     last = F.least(F.col("_from") + BLOCK, F.lit(end)) - 1
     df = df.select(F.explode(F.sequence("_from", last)).alias("epoch_timestamp"), "asset_id",
                    *[f"_windows_{i}" for i in range(len(bounds))])

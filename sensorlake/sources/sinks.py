@@ -15,7 +15,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from ..session import even_tasks
 
 
 def write_stream(df: DataFrame, target: str, checkpoint: str, trigger: str | None = "10 seconds",
@@ -49,9 +51,28 @@ def idempotent_batch_writer(path: str, transform: Callable[[DataFrame], DataFram
     return fn
 
 
+def _dealt(df: DataFrame, tasks: int) -> DataFrame:
+    """A stream's rows dealt in turn over ``tasks`` tasks, whatever its own partitions. Every partition's first row goes to
+    the first task, as Spark writes an empty file for a first task without rows."""
+    def number(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+        n, shift = 0, TaskContext.get().partitionId()
+        for b in batches:
+            at = np.arange(n, n + b.num_rows, dtype="int64")
+            at = np.where(at == 0, 0, (at + shift) % tasks).astype("int32")
+            n += b.num_rows
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at)], names=[*b.schema.names, "_landing_task"])
+
+    schema = StructType([*df.schema.fields, StructField("_landing_task", IntegerType())])
+    return df.mapInArrow(number, schema).repartitionById(tasks, "_landing_task").drop("_landing_task")
+
+
 def write_landing(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """SK3: one record per JSON file in a landing folder."""
-    w = (df.writeStream.format("json").option("checkpointLocation", checkpoint)
+    """SK3: one record per JSON file in a landing folder. A batch's files are created by many tasks, also where
+    it comes from one large file."""
+    w = (_dealt(df, even_tasks(df.sparkSession)).writeStream.format("json").option("checkpointLocation", checkpoint)
            .option("maxRecordsPerFile", 1).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start(path)
