@@ -10,7 +10,9 @@ Plan: two shuffles. Hits are grouped by (keys, time cell) and reduced to the
 islands inside a cell; a cell's first and last island may go on in another
 cell, so only these (at most two rows a cell) are grouped by the keys and
 merged, while inner islands stay with their own cell. No window over a whole
-series' hits exists, whatever the limit or the data frequency.
+series' hits exists, whatever the limit or the data frequency. Both shuffles
+have a fixed number of tasks: hits compress thirtyfold and more, so merged
+by their bytes a few tasks would sort them all in memory.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import even_tasks
 from .chunks import chunk_of
 
 #: Seconds per cell: a task's unit is one series' hits of a cell, and the merge of a series sees at
@@ -53,6 +56,8 @@ def islands(hits: DataFrame, keys: Sequence[str], ts: str, limit, duration=None,
         *keys, *extra, F.col(ts).alias("_t"), chunk_of(ts, chunk).alias("_cell"), *[v.alias(k) for k, v in params.items()])
 
     # islands inside a cell
+    tasks = even_tasks(hits.sparkSession)
+    h = h.repartition(tasks, *keys, "_cell")
     cell = Window.partitionBy(*keys, "_cell")
     order = cell.orderBy("_t")
     h = h.withColumn("_p", F.lag("_t").over(order))
@@ -64,7 +69,7 @@ def islands(hits: DataFrame, keys: Sequence[str], ts: str, limit, duration=None,
     edge = (F.col("_isl") == 1) | (F.col("_isl") == F.col("_last"))
 
     # cells' first and last islands meet per key; inner ones are whole and keep a group of their own
-    part = part.withColumn("_group", F.when(edge, F.lit(None)).otherwise(F.col("_cell")))
+    part = part.withColumn("_group", F.when(edge, F.lit(None)).otherwise(F.col("_cell"))).repartition(tasks, *keys, "_group")
     line = Window.partitionBy(*keys, "_group").orderBy("start_time")
     part = part.withColumn("_p", F.lag("end_time").over(line))
     part = part.withColumn("_new", (F.col("_group").isNotNull() | F.col("_p").isNull()
