@@ -42,8 +42,9 @@ def generate_gauge(spark: SparkSession, start: int, end: int, assets: DataFrame
     window = F.struct("n", "start_time", "end_time", "value")
     windows = anomalies.groupBy("asset_id").agg(*[
         F.collect_list(F.when(F.col("column") == name, window)).alias(f"_windows_{i}") for i, name in enumerate(bounds)])
-    blocks = spark.range(start, end, BLOCK).withColumnRenamed("id", "_from")
-    df = assets.select("asset_id").join(windows, "asset_id", "left").crossJoin(blocks)
+    firsts = F.array(*[F.lit(t).cast("long") for t in range(start, end, BLOCK)]) if end - start <= BLOCK else F.sequence(
+        F.lit(start).cast("long"), F.lit(end - 1).cast("long"), F.lit(BLOCK).cast("long"))
+    df = assets.select("asset_id").join(windows, "asset_id", "left").withColumn("_from", F.explode(firsts.cast("array<bigint>")))
     for i in range(len(bounds)):  # a block keeps the windows that reach into it
         df = df.withColumn(f"_windows_{i}", F.filter(f"_windows_{i}", lambda w: (
             w["start_time"] < F.col("_from") + BLOCK) & (w["end_time"] >= F.col("_from"))))
